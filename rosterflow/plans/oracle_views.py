@@ -110,9 +110,26 @@ FROM events WHERE event_id % 3 <> 2""",
 SELECT guid AS user_id, 1 AS hold_no FROM v_patron WHERE bty IN (3, 14, 43, 44, 45, 52)
 UNION ALL
 SELECT concat(' ', guid), 2 FROM v_patron WHERE bty IN (43, 45)""",
+    # Derived reconcile inputs: yes/no flags, guarantor and collection status
+    # that the roster carries but the base views do not.
+    "x_extract": """
+SELECT e.*,
+       CASE CAST(right(patron_id, 1) AS INT) % 4 WHEN 0 THEN 'Yes' WHEN 1 THEN 'No' WHEN 2 THEN '' ELSE 'Yes' END AS permission,
+       CASE CAST(right(patron_id, 2) AS INT) % 3 WHEN 0 THEN 'Yes' WHEN 1 THEN 'No' ELSE '' END AS laptop,
+       CASE CAST(right(patron_id, 3) AS INT) % 5 WHEN 0 THEN 'No' WHEN 1 THEN '' ELSE 'Yes' END AS tech_optout,
+       CASE WHEN CAST(right(patron_id, 1) AS INT) < 3 THEN ''
+            ELSE concat('G', CAST(CAST(right(patron_id, 2) AS INT) % 50 AS VARCHAR)) END AS guarantor,
+       CAST(CASE WHEN bty IN (13, 40, 51) THEN 78 ELSE 1 END AS INT) AS collection_status
+FROM v_extract e""",
+    "x_sor": """
+SELECT p.*,
+       CASE CAST(right(patron_id, 1) AS INT) % 3 WHEN 0 THEN 'Yes' WHEN 1 THEN 'No' ELSE '' END AS permission,
+       CASE CAST(right(patron_id, 2) AS INT) % 4 WHEN 0 THEN 'No' WHEN 1 THEN 'Yes' ELSE '' END AS laptop,
+       CASE CAST(right(patron_id, 3) AS INT) % 5 WHEN 0 THEN 'Yes' WHEN 1 THEN '' ELSE 'No' END AS tech_optout
+FROM v_patron p""",
 }
 
-_NAME = re.compile(r"\bv_[a-z_]+\b")
+_NAME = re.compile(r"\b[vx]_[a-z_]+\b")
 
 
 def _needed(sql: str) -> list[str]:

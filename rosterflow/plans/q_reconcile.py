@@ -1 +1,253 @@
-"""Registered queries."""
+"""Registered reconcile queries.
+
+Inputs: ``x_sor`` (SoR snapshot), ``x_extract`` (roster) and ``v_last_seen``
+(state) with run date 2024-02-01 and a 7-day grace period.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from rosterflow.operators import reconcile as rc
+from rosterflow.plans.catalog import register
+from rosterflow.sources.tables import VIEW_RUN_DATE
+
+RUN = VIEW_RUN_DATE
+STUDENT_COLS = ["bty", "last_name", "first_name", "default_branch", "exp_date", "birth_date"]
+STAFF_COLS = ["bty", "last_name", "first_name", "default_branch", "exp_date", "email", "collection_status"]
+CONTACT = ["email", "collection_status", "default_branch", "bty"]
+FLAGS = {"tech_optout": 1, "laptop": 3, "permission": 4}
+
+
+def run(v):
+    """One reconcile run over the stand-in inputs -> dict of action tables."""
+    sor, ext = v.sor_x, v.extract_x
+    state, expired = rc.last_seen_merge(v.last_seen, sor, ext, run_date=RUN)
+    remove = rc.reconcile_remove(expired, sor, contact_cols=CONTACT)
+    create = rc.reconcile_create(ext, sor)
+    update = rc.reconcile_update(ext, sor, compare_cols=STUDENT_COLS)
+    return {"state": state, "expired": expired, "remove": remove, "create": create, "update": update}
+
+
+def report(v, by):
+    r = run(v)
+    b = F.col("bty")
+    return rc.reconcile_report(
+        v.extract_x, v.sor_x, r["create"], r["update"], r["remove"], by=by,
+        sor_yes=b.between(21, 34) | (b == 46), sor_no=b.between(35, 37) | (b == 47),
+        extract_yes=F.col("permission") == "Yes", extract_no=F.col("permission") == "No", run_date=RUN)
+
+
+# Independent SQL of the state steps: insert unseen SoR ids with NULL, stamp
+# ids in the extract, insert new extract ids, expire NULL / stale rows.
+STATE_SQL = """
+s1 AS (SELECT patron_id, last_seen FROM v_last_seen
+       UNION ALL SELECT c.patron_id, CAST(NULL AS DATE) FROM x_sor c
+       WHERE c.patron_id NOT IN (SELECT patron_id FROM v_last_seen)),
+s2 AS (SELECT patron_id, CASE WHEN patron_id IN (SELECT patron_id FROM x_extract) THEN DATE '2024-02-01'
+                              ELSE last_seen END AS last_seen FROM s1
+       UNION ALL SELECT i.patron_id, DATE '2024-02-01' FROM x_extract i
+       WHERE i.patron_id NOT IN (SELECT patron_id FROM s1)),
+expired AS (SELECT * FROM s2 WHERE last_seen IS NULL OR last_seen < DATE '2024-01-25'),
+rm AS (SELECT DISTINCT e.patron_id, e.last_seen, c.email, c.collection_status, c.default_branch, c.bty
+       FROM expired e LEFT JOIN x_sor c ON e.patron_id = c.patron_id WHERE c.edit_branch <> 'XMNPS'),
+cr AS (SELECT i.* FROM x_extract i LEFT JOIN x_sor c ON i.patron_id = c.patron_id WHERE c.patron_id IS NULL),
+up AS (SELECT patron_id, bty, last_name, first_name, default_branch, exp_date, birth_date FROM x_extract
+       EXCEPT SELECT patron_id, bty, last_name, first_name, default_branch, exp_date, birth_date FROM x_sor
+       EXCEPT SELECT patron_id, bty, last_name, first_name, default_branch, exp_date, birth_date FROM cr)"""
+
+
+@register("last_seen_merge", sql=f"""WITH {STATE_SQL}
+SELECT patron_id, strftime(last_seen, '%Y-%m-%d') AS last_seen FROM s2
+WHERE NOT (last_seen IS NULL OR last_seen < DATE '2024-01-25')""")
+def q_last_seen_merge(v):
+    return run(v)["state"]
+
+
+@register("seen_today", sql="""
+SELECT patron_id, strftime(last_seen, '%Y-%m-%d') AS last_seen FROM v_last_seen
+WHERE patron_id IN (SELECT patron_id FROM x_extract)""")
+def q_seen_today(v):
+    return rc.seen_today(v.last_seen, v.extract_x)
+
+
+@register("reconcile_remove", sql=f"""WITH {STATE_SQL}
+SELECT patron_id, strftime(last_seen, '%Y-%m-%d') AS last_seen, email, collection_status, default_branch, bty FROM rm""")
+def q_reconcile_remove(v):
+    return run(v)["remove"]
+
+
+@register("reconcile_create", sql="""
+SELECT i.patron_id, i.bty, i.last_name, i.first_name, i.default_branch,
+       strftime(i.exp_date, '%Y-%m-%d') AS exp_date, strftime(i.birth_date, '%Y-%m-%d') AS birth_date, i.email
+FROM v_extract i LEFT JOIN v_patron c ON i.patron_id = c.patron_id WHERE c.patron_id IS NULL""")
+def q_reconcile_create(v):
+    return rc.reconcile_create(v.extract, v.patron)
+
+
+@register("reconcile_update_student", sql=f"""WITH {STATE_SQL}
+SELECT patron_id, bty, last_name, first_name, default_branch,
+       strftime(exp_date, '%Y-%m-%d') AS exp_date, strftime(birth_date, '%Y-%m-%d') AS birth_date FROM up""")
+def q_reconcile_update_student(v):
+    return run(v)["update"]
+
+
+@register("reconcile_update_staff", sql="""
+SELECT i.patron_id, i.bty, i.last_name, i.first_name, i.default_branch, strftime(i.exp_date, '%Y-%m-%d') AS exp_date,
+       i.email, CASE WHEN c.collection_status = 2 THEN 2 ELSE i.collection_status END AS collection_status,
+       concat_ws(',', CASE WHEN i.bty <> c.bty THEN 'bty' END, CASE WHEN i.last_name <> c.last_name THEN 'last_name' END,
+                 CASE WHEN i.first_name <> c.first_name THEN 'first_name' END,
+                 CASE WHEN i.default_branch <> c.default_branch THEN 'default_branch' END,
+                 CASE WHEN i.exp_date <> c.exp_date THEN 'exp_date' END, CASE WHEN i.email <> c.email THEN 'email' END,
+                 CASE WHEN i.collection_status <> c.collection_status AND c.collection_status <> 2 THEN 'collection_status' END)
+         AS changed_cols
+FROM x_extract i LEFT JOIN x_sor c ON i.patron_id = c.patron_id
+WHERE c.patron_id IS NOT NULL AND (i.bty <> c.bty OR i.last_name <> c.last_name OR i.first_name <> c.first_name
+   OR i.default_branch <> c.default_branch OR i.exp_date <> c.exp_date OR i.email <> c.email
+   OR (i.collection_status <> c.collection_status AND c.collection_status <> 2))""")
+def q_reconcile_update_staff(v):
+    return rc.reconcile_update(v.extract_x, v.sor_x, compare_cols=STAFF_COLS, policy="any_column",
+                               sticky={"collection_status": 2})
+
+
+STUDENT_POLICY = {
+    **{c: (rc.take_extract(), rc.take_extract()) for c in STUDENT_COLS},
+    "email": (rc.take_extract(), rc.take_sor()),
+    "email_notices": (rc.const("1"), rc.const("send email")),
+    "collection_status": (rc.const(78), rc.keep_sor_if((2,), rc.const(78))),
+}
+
+
+@register("merged_patron", sql="""
+SELECT i.patron_id, c.patron_id IS NOT NULL AS exists_in_sor, i.bty, i.last_name, i.first_name, i.default_branch,
+       strftime(i.exp_date, '%Y-%m-%d') AS exp_date, strftime(i.birth_date, '%Y-%m-%d') AS birth_date,
+       CASE WHEN c.patron_id IS NULL THEN i.email ELSE c.email END AS email,
+       CASE WHEN c.patron_id IS NULL THEN '1' ELSE 'send email' END AS email_notices,
+       CASE WHEN c.patron_id IS NOT NULL AND c.collection_status = 2 THEN 2 ELSE 78 END AS collection_status
+FROM x_extract i LEFT JOIN x_sor c ON i.patron_id = c.patron_id""")
+def q_merged_patron(v):
+    return rc.merge_policy(v.extract_x, v.sor_x, policy=STUDENT_POLICY, run_date=RUN)
+
+
+@register("email_actions", sql="""
+SELECT i.patron_id, i.email, 'send email' AS email_notices, 'extract' AS source
+FROM x_extract i LEFT JOIN x_sor c ON i.patron_id = c.patron_id
+WHERE (lower(c.email) LIKE '%school.example' AND c.email_notices <> '1')
+   OR (c.email <> '' AND lower(c.email) NOT LIKE '%school.example' AND c.email_notices IN ('0', '3'))
+   OR (c.email = '' AND i.email = '' AND c.email_notices <> '1')
+   OR (c.email = '' AND i.email <> '')
+UNION ALL
+SELECT c.patron_id, c.email, 'send email', 'sor'
+FROM x_extract i LEFT JOIN x_sor c ON i.patron_id = c.patron_id
+WHERE c.email <> '' AND lower(c.email) NOT LIKE '%school.example' AND c.email_notices = '2'""")
+def q_email_actions(v):
+    return rc.email_actions(v.extract_x, v.sor_x, school_domain="SCHOOL.example")
+
+
+@register("attribute_create", sql="""
+WITH i AS (
+  SELECT patron_id, 'tech_optout' AS flag, 1 AS field_id, tech_optout AS v FROM x_extract WHERE tech_optout IN ('Yes', 'No')
+  UNION ALL SELECT patron_id, 'laptop', 3, laptop FROM x_extract WHERE laptop IN ('Yes', 'No')
+  UNION ALL SELECT patron_id, 'permission', 4, CASE WHEN permission = 'No' THEN 'No' ELSE 'Yes' END
+            FROM x_extract WHERE permission IN ('Yes', 'No', '')),
+c AS (
+  SELECT patron_id, 'tech_optout' AS flag FROM x_sor WHERE tech_optout IN ('Yes', 'No')
+  UNION ALL SELECT patron_id, 'laptop' FROM x_sor WHERE laptop IN ('Yes', 'No')
+  UNION ALL SELECT patron_id, 'permission' FROM x_sor WHERE permission <> '')
+SELECT i.patron_id, '0' AS occur, CAST(i.field_id AS VARCHAR) AS field_id,
+       CASE WHEN i.v = 'Yes' THEN '1' ELSE '2' END AS num_code, '0' AS type, i.v AS value_name
+FROM i LEFT JOIN c ON i.patron_id = c.patron_id AND i.flag = c.flag WHERE c.patron_id IS NULL""")
+def q_attribute_create(v):
+    return rc.attribute_changes(v.extract_x, v.sor_x, fields=FLAGS, default_yes=["permission"])[0]
+
+
+@register("attribute_update", sql="""
+WITH i AS (
+  SELECT patron_id, 'tech_optout' AS flag, 1 AS field_id, tech_optout AS v FROM x_extract WHERE tech_optout <> ''
+  UNION ALL SELECT patron_id, 'laptop', 3, laptop FROM x_extract WHERE laptop <> ''
+  UNION ALL SELECT patron_id, 'permission', 4, permission FROM x_extract WHERE permission <> ''),
+c AS (
+  SELECT patron_id, 'tech_optout' AS flag, tech_optout AS v FROM x_sor WHERE tech_optout <> ''
+  UNION ALL SELECT patron_id, 'laptop', laptop FROM x_sor WHERE laptop <> ''
+  UNION ALL SELECT patron_id, 'permission', permission FROM x_sor WHERE permission <> '')
+SELECT i.patron_id, CAST(i.field_id AS VARCHAR) AS field_id,
+       CASE WHEN i.v = 'Yes' THEN '1' ELSE '2' END AS num_code, i.v AS value_name,
+       CASE WHEN c.v = 'Yes' THEN '1' ELSE '2' END AS old_num_code, c.v AS old_value_name
+FROM i JOIN c ON i.patron_id = c.patron_id AND i.flag = c.flag
+WHERE (CASE WHEN i.v = 'Yes' THEN '1' ELSE '2' END) <> (CASE WHEN c.v = 'Yes' THEN '1' ELSE '2' END)""")
+def q_attribute_update(v):
+    return rc.attribute_changes(v.extract_x, v.sor_x, fields=FLAGS, default_yes=["permission"])[1]
+
+
+def report_sql(by: str) -> str:
+    def grp(src, cond="TRUE"):
+        return f"(SELECT {by} AS g, count(patron_id) AS n FROM {src} WHERE {cond} GROUP BY {by})"
+    return f"""WITH {STATE_SQL}
+SELECT '2024-02-01' AS report_date, x.g AS {by}, x.n AS sor, coalesce(i.n, 0) AS extract,
+       coalesce(c.n, 0) AS created, coalesce(u.n, 0) AS updated, coalesce(r.n, 0) AS removed,
+       coalesce(x1.n, 0) AS sor_yes, coalesce(i1.n, 0) AS extract_yes, coalesce(x0.n, 0) AS sor_no,
+       coalesce(i0.n, 0) AS extract_no
+FROM {grp('x_sor')} x
+LEFT JOIN {grp('x_extract')} i ON x.g = i.g
+LEFT JOIN {grp('cr')} c ON x.g = c.g
+LEFT JOIN {grp('up')} u ON x.g = u.g
+LEFT JOIN {grp('rm')} r ON x.g = r.g
+LEFT JOIN {grp('x_sor', '(bty BETWEEN 21 AND 34 OR bty = 46)')} x1 ON x.g = x1.g
+LEFT JOIN {grp('x_extract', "permission = 'Yes'")} i1 ON x.g = i1.g
+LEFT JOIN {grp('x_sor', '(bty BETWEEN 35 AND 37 OR bty = 47)')} x0 ON x.g = x0.g
+LEFT JOIN {grp('x_extract', "permission = 'No'")} i0 ON x.g = i0.g"""
+
+
+@register("reconcile_report_branch", sql=report_sql("default_branch"))
+def q_reconcile_report_branch(v):
+    return report(v, "default_branch")
+
+
+@register("reconcile_report_type", sql=report_sql("bty"))
+def q_reconcile_report_type(v):
+    return report(v, "bty")
+
+
+@register("abort_guard", sql=f"""
+SELECT * FROM ({report_sql('bty')}) r
+WHERE CAST(bty AS VARCHAR) <> '38'
+  AND (extract <= sor * 0.9 OR created >= sor * 0.1 OR updated >= sor * 0.1 OR removed >= sor * 0.1
+       OR coalesce(abs(sor_yes - extract_yes) / CAST(nullif(sor_yes, 0) AS DOUBLE) >= 0.1, FALSE))""")
+def q_abort_guard(v):
+    return rc.abort_guard(report(v, "bty"), by="bty", exempt=38)
+
+
+@register("report_history_upsert", sql=f"""
+WITH r AS ({report_sql('default_branch')})
+SELECT '2024-01-31' AS report_date, default_branch, sor, extract, created, updated, removed,
+       sor_yes, extract_yes, sor_no, extract_no FROM r
+UNION ALL SELECT * FROM r""")
+def q_report_history_upsert(v):
+    rep = report(v, "default_branch")
+    # Existing history: yesterday's run and a stale copy of today's run.
+    history = (rep.withColumn("report_date", F.lit("2024-01-31").cast("date"))
+               .unionByName(rep.withColumn("extract", F.lit(0).cast("bigint"))))
+    return rc.report_history_upsert(history, rep.drop("report_date"), run_date=RUN)
+
+
+@register("exceptions_redundant", sql="""
+WITH o AS (SELECT patron_id, bty, default_branch FROM v_patron WHERE CAST(right(patron_id, 4) AS INT) % 9 = 0),
+once AS (SELECT patron_id, min(bty) AS bty, min(default_branch) AS default_branch FROM v_extract
+         GROUP BY patron_id HAVING count(*) = 1)
+SELECT o.patron_id, o.bty, o.default_branch,
+       CASE WHEN once.patron_id IS NOT NULL AND o.bty = once.bty AND o.default_branch = once.default_branch
+            THEN 'delete' ELSE 'keep' END AS action
+FROM o LEFT JOIN once ON o.patron_id = once.patron_id""")
+def q_exceptions_redundant(v):
+    overrides = v.patron.filter(F.expr("CAST(right(patron_id, 4) AS INT) % 9 = 0")) \
+                        .select("patron_id", "bty", "default_branch")
+    return rc.exceptions_redundant(overrides, v.extract, compare_cols=["bty", "default_branch"])
+
+
+@register("action_summary", sql=f"""WITH {STATE_SQL}
+SELECT 'create' AS action, count(*) AS n FROM cr
+UNION ALL SELECT 'update', count(*) FROM up
+UNION ALL SELECT 'remove', count(*) FROM rm""")
+def q_action_summary(v):
+    r = run(v)
+    return rc.action_summary({"create": r["create"], "update": r["update"], "remove": r["remove"]})

@@ -245,3 +245,30 @@ class Views:
             (eid % 150 + 190000000).cast("string").alias("patron_id"),
             F.date_add(F.col("ts").cast("date"), 21).alias("due_date"),
         )
+
+    # -- derived reconcile inputs ---------------------------------------------
+    @cached_property
+    def extract_x(self) -> DataFrame:
+        """Extract plus the yes/no flags, guarantor and collection status a
+        roster carries (derived deterministically from the id)."""
+        d1, d2, d3 = (F.expr(f"right(patron_id, {n})").cast("int") for n in (1, 2, 3))
+        return self.extract.select(
+            "*",
+            F.when(d1 % 4 == 0, "Yes").when(d1 % 4 == 1, "No").when(d1 % 4 == 2, "").otherwise("Yes")
+             .alias("permission"),
+            F.when(d2 % 3 == 0, "Yes").when(d2 % 3 == 1, "No").otherwise("").alias("laptop"),
+            F.when(d3 % 5 == 0, "No").when(d3 % 5 == 1, "").otherwise("Yes").alias("tech_optout"),
+            F.when(d1 < 3, F.lit("")).otherwise(F.concat(F.lit("G"), (d2 % 50).cast("string")))
+             .alias("guarantor"),
+            F.when(F.col("bty").isin(13, 40, 51), 78).otherwise(1).cast("int").alias("collection_status"),
+        )
+
+    @cached_property
+    def sor_x(self) -> DataFrame:
+        d1, d2, d3 = (F.expr(f"right(patron_id, {n})").cast("int") for n in (1, 2, 3))
+        return self.patron.select(
+            "*",
+            F.when(d1 % 3 == 0, "Yes").when(d1 % 3 == 1, "No").otherwise("").alias("permission"),
+            F.when(d2 % 4 == 0, "No").when(d2 % 4 == 1, "Yes").otherwise("").alias("laptop"),
+            F.when(d3 % 5 == 0, "Yes").when(d3 % 5 == 1, "").otherwise("No").alias("tech_optout"),
+        )
