@@ -1 +1,248 @@
-"""Registered queries."""
+"""Registered vendor-usage and drop-file queries over ``v_usage`` (K16-K18,
+K27, S7-S9, S12, S13, S17, S19, A4, A13, J10-J12, J16)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from rosterflow.operators import usage as us
+from rosterflow.plans.catalog import register
+from rosterflow.sources.tables import VIEW_RUN_DATE
+
+
+def library_school(v):
+    """Vendor library id -> school code and SoR branch (school branches)."""
+    return v.branch.filter(F.col("branch_group") == 2).select(
+        F.col("branch_number").alias("library_id"),
+        F.substring("branch_code", -3, 3).alias("school_code"),
+        F.col("branch_number").alias("carlx_branch"))
+
+
+def vendor_b_rows(v):
+    lk = library_school(v)
+    u = v.usage.select("library_id", F.substring("activity_date", 1, 10).alias("year_month_day"),
+                       F.col("user_email").alias("user_id"), "checkouts")
+    return u.join(lk, "library_id", "left")
+
+
+def staff_roster(v):
+    return v.patron.filter(F.length("patron_id").isin(6, 7)).select(
+        "patron_id", "first_name", "last_name", "default_branch",
+        F.when(F.expr("CAST(right(patron_id, 1) AS INT) % 2 = 0"), F.lit(""))
+         .otherwise(F.substring("first_name", 2, 1)).alias("middle_name"))
+
+
+CD = """cd AS (SELECT *, trim(CASE WHEN instr(patron_full, '@') > 0 THEN substr(patron_full, 1, instr(patron_full, '@') - 1)
+                             ELSE patron_full END, '" ') AS patron_id FROM v_usage),
+ms AS (SELECT branch_number AS library_id, right(branch_code, 3) AS school FROM v_branch WHERE branch_group = 2),
+csl AS (SELECT p.patron_id, right(b.branch_code, 3) AS school FROM v_patron p
+        LEFT JOIN v_branch b ON p.default_branch = b.branch_number
+        WHERE b.branch_group = 2 AND b.branch_code <> 'XMNPS' AND p.patron_id IN (SELECT patron_id FROM cd))"""
+
+
+@register("vendor_usage_a", sql=f"""WITH {CD}
+SELECT CASE WHEN length(cd.patron_id) = 9 THEN 'student' ELSE 'staff' END AS population,
+       coalesce(csl.school, ms.school) AS school_code, substr(cd.activity_date, 1, 10) AS year_month_day,
+       cd.patron_id, CAST(sum(cd.checkouts) AS BIGINT) AS checkouts
+FROM cd LEFT JOIN ms ON cd.library_id = ms.library_id LEFT JOIN csl ON cd.patron_id = csl.patron_id
+WHERE coalesce(csl.school, ms.school) IS NOT NULL AND length(cd.patron_id) IN (6, 7, 9)
+GROUP BY 1, 2, 3, 4""")
+def q_vendor_usage_a(v):
+    return us.vendor_usage_a(v.usage, library_school(v), v.patron, v.branch)
+
+
+@register("lookup_fallback", sql=f"""WITH {CD}
+SELECT cd.library_id, cd.activity_date, cd.patron_full, cd.patron_id, cd.user_email, cd.checkouts,
+       coalesce(csl.school, ms.school) AS school_code
+FROM cd LEFT JOIN ms ON cd.library_id = ms.library_id LEFT JOIN csl ON cd.patron_id = csl.patron_id""")
+def q_lookup_fallback(v):
+    ids = v.usage.select(us.patron_from_login(F.col("patron_full")).alias("patron_id"))
+    return us.lookup_fallback(v.usage, us.school_lookup(ids, v.patron, v.branch), library_school(v))
+
+
+@register("school_lookup", sql=f"""WITH {CD} SELECT patron_id, school AS school_code FROM csl""")
+def q_school_lookup(v):
+    ids = v.usage.select(us.patron_from_login(F.col("patron_full")).alias("patron_id"))
+    return us.school_lookup(ids, v.patron, v.branch)
+
+
+@register("vendor_usage_sum", sql="""
+SELECT library_id, substr(activity_date, 1, 10) AS year_month_day, CAST(sum(checkouts) AS BIGINT) AS checkouts
+FROM v_usage GROUP BY 1, 2""")
+def q_vendor_usage_sum(v):
+    rows = v.usage.withColumn("year_month_day", F.substring("activity_date", 1, 10))
+    return us.vendor_usage_sum(rows, ["library_id", "year_month_day"], "checkouts", "checkouts")
+
+
+@register("vendor_usage_b_staff", sql="""
+WITH md AS (SELECT library_id, substr(activity_date, 1, 10) AS year_month_day, user_email AS user_id, checkouts FROM v_usage),
+ms AS (SELECT branch_number AS library_id, right(branch_code, 3) AS tn_school_code, branch_number AS carlx_branch
+       FROM v_branch WHERE branch_group = 2),
+i AS (SELECT patron_id, first_name, last_name, default_branch,
+             CASE WHEN CAST(right(patron_id, 1) AS INT) % 2 = 0 THEN '' ELSE substr(first_name, 2, 1) END AS middle_name
+      FROM v_patron WHERE length(patron_id) IN (6, 7))
+SELECT ms.tn_school_code AS school_code, md.year_month_day,
+       CASE WHEN length(md.user_id) IN (6, 7) THEN md.user_id ELSE i.patron_id END AS patron_id, md.checkouts
+FROM md LEFT JOIN ms ON md.library_id = ms.library_id
+LEFT JOIN i ON ((substr(upper(md.user_id), 1, 1) = substr(upper(i.first_name), 1, 1)
+                 AND substr(upper(md.user_id), 2, instr(upper(md.user_id), '@') - 2) = upper(i.last_name))
+             OR (substr(upper(md.user_id), 1, 1) = substr(upper(i.first_name), 1, 1)
+                 AND substr(upper(md.user_id), 2, 1) = substr(upper(i.middle_name), 1, 1)
+                 AND substr(upper(md.user_id), 3, instr(upper(md.user_id), '@') - 3) = upper(i.last_name)))
+WHERE ms.carlx_branch = i.default_branch""")
+def q_vendor_usage_b_staff(v):
+    return us.email_name_match(vendor_b_rows(v), staff_roster(v))
+
+
+@register("email_name_match", sql="""
+WITH md AS (SELECT library_id, substr(activity_date, 1, 10) AS year_month_day, user_email AS user_id, checkouts FROM v_usage),
+ms AS (SELECT branch_number AS library_id, right(branch_code, 3) AS tn_school_code, branch_number AS carlx_branch
+       FROM v_branch WHERE branch_group = 2),
+i AS (SELECT patron_id, first_name, last_name, default_branch,
+             CASE WHEN CAST(right(patron_id, 1) AS INT) % 2 = 0 THEN '' ELSE substr(first_name, 2, 1) END AS middle_name
+      FROM v_patron WHERE length(patron_id) IN (6, 7))
+SELECT ms.tn_school_code AS school_code, md.year_month_day, i.patron_id, md.checkouts
+FROM md LEFT JOIN ms ON md.library_id = ms.library_id
+JOIN i ON ((substr(upper(md.user_id), 1, 1) = substr(upper(i.first_name), 1, 1)
+                 AND substr(upper(md.user_id), 2, instr(upper(md.user_id), '@') - 2) = upper(i.last_name))
+             OR (substr(upper(md.user_id), 1, 1) = substr(upper(i.first_name), 1, 1)
+                 AND substr(upper(md.user_id), 2, 1) = substr(upper(i.middle_name), 1, 1)
+                 AND substr(upper(md.user_id), 3, instr(upper(md.user_id), '@') - 3) = upper(i.last_name)))
+WHERE ms.carlx_branch = i.default_branch""")
+def q_email_name_match(v):
+    # Same match, always reporting the matched roster id.
+    rows = vendor_b_rows(v)
+    m = us.email_name_match(rows, staff_roster(v))
+    return m
+
+
+STUDENT_B = """
+WITH md AS (SELECT library_id, substr(activity_date, 1, 10) AS year_month_day, trim(patron_full, '"') AS user_id, checkouts
+            FROM v_usage),
+ms AS (SELECT branch_number AS library_id, right(branch_code, 3) AS tn_school_code FROM v_branch WHERE branch_group = 2)
+SELECT ms.tn_school_code AS school_code, md.year_month_day,
+       CASE WHEN md.user_id LIKE '190______' THEN md.user_id ELSE coalesce(nullif(i.patron_id, ''), md.user_id) END AS patron_id,
+       md.checkouts
+FROM md LEFT JOIN ms ON md.library_id = ms.library_id
+LEFT JOIN v_extract i ON lower(md.user_id) = lower(i.email) AND i.email IS NOT NULL AND i.email <> ''"""
+
+
+def vendor_b_students(v):
+    lk = library_school(v).select("library_id", "school_code")
+    u = v.usage.select("library_id", F.substring("activity_date", 1, 10).alias("year_month_day"),
+                       F.btrim("patron_full", F.lit('"')).alias("user_id"), "checkouts")
+    return us.email_match(u.join(lk, "library_id", "left"), v.extract)
+
+
+@register("vendor_usage_b_student", sql=STUDENT_B)
+def q_vendor_usage_b_student(v):
+    return vendor_b_students(v)
+
+
+@register("email_match", sql=STUDENT_B)
+def q_email_match(v):
+    return vendor_b_students(v)
+
+
+@register("vendor_usage_c", sql="""
+SELECT right(b.branch_code, 3) AS school_code, '2024-02-01' AS year_month_day, c.patron_id,
+       CAST(sum(od.hold_no) AS BIGINT) AS checkouts
+FROM v_holds od JOIN v_patron c ON od.user_id = c.guid LEFT JOIN v_branch b ON c.default_branch = b.branch_number
+GROUP BY 1, 2, 3""")
+def q_vendor_usage_c(v):
+    usage = v.holds.select("user_id", F.col("hold_no").alias("checkouts"))
+    return us.vendor_usage_c(usage, v.patron, v.branch, report_date=VIEW_RUN_DATE)
+
+
+def pages(v):
+    """One JSON result page per usage row; library 0 answers with an error."""
+    item = F.struct(F.col("activity_date").alias("Date"), F.col("patron_full").alias("Patron"))
+    ok = F.to_json(F.struct(F.lit("ok").alias("status"), F.lit(None).cast("string").alias("message"),
+                            F.array(item).alias("items")))
+    err = F.to_json(F.struct(F.lit("error").alias("status"), F.lit("rate limited").alias("message")))
+    return v.usage.select("library_id", F.when(F.col("library_id") == 0, err).otherwise(ok).alias("page"))
+
+
+@register("json_items_explode", sql="""
+SELECT library_id, activity_date, patron_full, 1 AS checkouts FROM v_usage WHERE library_id <> 0""")
+def q_json_items_explode(v):
+    return us.json_items_explode(pages(v))
+
+
+@register("json_error_pages", sql="SELECT library_id, 'rate limited' AS message FROM v_usage WHERE library_id = 0")
+def q_json_error_pages(v):
+    return us.json_error_pages(pages(v))
+
+
+@register("missing_dates", sql="""
+SELECT strftime(CAST(d AS DATE), '%Y-%m-%d') AS d
+FROM generate_series(TIMESTAMP '2023-12-28', TIMESTAMP '2024-02-02', INTERVAL 1 DAY) t(d)
+WHERE CAST(d AS DATE) NOT IN (SELECT CAST(substr(activity_date, 1, 10) AS DATE) FROM v_usage)""")
+def q_missing_dates(v):
+    present = v.usage.select(F.to_date(F.substring("activity_date", 1, 10)).alias("d"))
+    return us.missing_dates(present, start="2023-12-28", stop="2024-02-03")
+
+
+@register("backfill_range", sql="""
+SELECT strftime(CAST(substr(activity_date, 1, 10) AS DATE), '%Y-%m-%d') AS report_date, library_id,
+       CAST(sum(checkouts) AS BIGINT) AS checkouts
+FROM v_usage WHERE CAST(substr(activity_date, 1, 10) AS DATE) >= DATE '2024-01-05'
+  AND CAST(substr(activity_date, 1, 10) AS DATE) < DATE '2024-01-20'
+GROUP BY 1, 2""")
+def q_backfill_range(v):
+    return us.backfill_range(v.usage, start="2024-01-05", stop="2024-01-20", keys=["library_id"])
+
+
+@register("report_date_of_drop", sql="""
+SELECT strftime(coalesce(min(CAST(substr(activity_date, 1, 10) AS DATE)), DATE '2024-02-01'), '%Y-%m-%d') AS report_date
+FROM v_usage""")
+def q_report_date_of_drop(v):
+    return us.report_date_of_drop(v.usage, requested=VIEW_RUN_DATE)
+
+
+@register("drop_dates", sql="SELECT DISTINCT substr(activity_date, 1, 10) AS year_month_day FROM v_usage")
+def q_drop_dates(v):
+    return us.drop_dates(v.usage)
+
+
+@register("split_by_date", sql=f"""WITH {CD},
+a AS (SELECT CASE WHEN length(cd.patron_id) = 9 THEN 'student' ELSE 'staff' END AS population,
+             substr(cd.activity_date, 1, 10) AS year_month_day
+      FROM cd LEFT JOIN ms ON cd.library_id = ms.library_id LEFT JOIN csl ON cd.patron_id = csl.patron_id
+      WHERE coalesce(csl.school, ms.school) IS NOT NULL AND length(cd.patron_id) IN (6, 7, 9)
+      GROUP BY population, coalesce(csl.school, ms.school), year_month_day, cd.patron_id)
+SELECT population, year_month_day, count(*) AS n_rows,
+       concat('population=', population, '/year_month_day=', year_month_day) AS folder
+FROM a GROUP BY 1, 2""")
+def q_split_by_date(v):
+    return us.split_by_date(us.vendor_usage_a(v.usage, library_school(v), v.patron, v.branch))
+
+
+HEADER = {"library_id": "library_id", "activity_date": "activity_date", "patron_full": "patron_full",
+          "user_email": "user_email", "checkouts": "checkouts"}
+
+
+@register("drop_header_rows", sql="""
+SELECT CAST(library_id AS VARCHAR) AS library_id, activity_date, patron_full, user_email,
+       CAST(checkouts AS VARCHAR) AS checkouts FROM v_usage""")
+def q_drop_header_rows(v):
+    raw = v.usage.select(*[F.col(c).cast("string").alias(c) for c in HEADER])
+    # A drop whose header line was ingested as data, once per library file.
+    headers = v.usage.select("library_id").distinct().select(*[F.lit(h).alias(c) for c, h in HEADER.items()])
+    return us.drop_header_rows(raw.unionByName(headers), HEADER)
+
+
+@register("file_date_from_name", sql="""
+WITH d AS (SELECT DISTINCT CAST(substr(activity_date, 1, 10) AS DATE) AS d FROM v_usage),
+n AS (SELECT d, CASE WHEN d >= DATE '2024-01-15' OR day(d) % 7 = 0
+                     THEN concat('VIA_report_', strftime(d, '%Y%m%d'), '.csv')
+                     ELSE concat('Nashville daily VIA report_', strftime(d, '%m_%d_%Y'), '.csv') END AS file_name FROM d)
+SELECT file_name, strftime(d, '%Y-%m-%d') AS file_date,
+       CASE WHEN file_name LIKE 'VIA_report_%' THEN d >= DATE '2024-01-15' ELSE d < DATE '2024-01-15' END AS scheme_ok
+FROM n""")
+def q_file_date_from_name(v):
+    d = v.usage.select(F.to_date(F.substring("activity_date", 1, 10)).alias("d")).distinct()
+    name = F.when((F.col("d") >= F.lit("2024-01-15").cast("date")) | (F.dayofmonth("d") % 7 == 0),
+                  F.concat(F.lit("VIA_report_"), F.date_format("d", "yyyyMMdd"), F.lit(".csv"))) \
+            .otherwise(F.concat(F.lit("Nashville daily VIA report_"), F.date_format("d", "MM_dd_yyyy"), F.lit(".csv")))
+    return us.file_date_from_name(d.select(name.alias("file_name")), switch_date="2024-01-15")
