@@ -1 +1,72 @@
-"""Registered queries."""
+"""Registered file-source queries (S1-S6).  Each lands a file derived from the
+stand-in tables under the shared checkpoint folder, then reads it back with
+the source under test."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from rosterflow.plans.catalog import register
+from rosterflow.sources import files as fs
+
+POSITIONS = {0: "patron_id", 1: "bty", 2: "last_name", 3: "first_name", 6: "default_branch", 7: "exp_date", 9: "email"}
+
+
+def _land_lines(v, name: str, header: str | None, lines):
+    """Write text lines (header first) as one file; returns the folder."""
+    path = fs.landing_path(v.spark, name)
+    out = lines.select(F.col("line").alias("value"))
+    if header is not None:
+        out = v.spark.createDataFrame([(header,)], "value string").unionByName(out)
+    out.coalesce(1).write.text(path)
+    return path
+
+
+@register("scan_positional", sql="""
+SELECT patron_id, CAST(bty AS VARCHAR) AS bty, last_name, first_name, CAST(default_branch AS VARCHAR) AS default_branch,
+       CAST(exp_date AS VARCHAR) AS exp_date, email FROM v_extract""")
+def q_scan_positional(v):
+    e = v.extract
+    cols = {0: "patron_id", 1: "bty", 2: "last_name", 3: "first_name", 4: None, 5: None, 6: "default_branch",
+            7: "exp_date", 8: None, 9: "email"}
+    line = F.concat_ws("|", *[F.col(c).cast("string") if c else F.lit("x") for c in cols.values()])
+    path = fs.landing_path(v.spark, "positional")
+    e.select(line.alias("value")).write.text(path)
+    return fs.read_positional(v.spark, path, POSITIONS, width=10)
+
+
+@register("scan_csv_headerless", sql="SELECT patron_id, bty, last_name, email FROM v_patron")
+def q_scan_csv_headerless(v):
+    path = fs.landing_path(v.spark, "headerless")
+    v.patron.select("patron_id", "bty", "last_name", "email").write.option("header", False).csv(path)
+    schema = T.StructType([T.StructField("patron_id", T.StringType()), T.StructField("bty", T.IntegerType()),
+                           T.StructField("last_name", T.StringType()), T.StructField("email", T.StringType())])
+    return fs.read_csv_headerless(v.spark, path, schema)
+
+
+@register("scan_csv_headered", sql="""
+SELECT user_id AS "User ID", CAST(hold_no AS VARCHAR) AS "Hold No" FROM v_holds WHERE hold_no = 1""")
+def q_scan_csv_headered(v):
+    # Tab-separated export; second holds carry a stray extra field (ragged rows).
+    line = F.when(F.col("hold_no") == 1, F.concat_ws("\t", "user_id", F.col("hold_no").cast("string"))) \
+            .otherwise(F.concat_ws("\t", "user_id", F.col("hold_no").cast("string"), F.lit("extra")))
+    path = _land_lines(v, "headered", "User ID\tHold No", v.holds.select(line.alias("line")))
+    return fs.read_csv_headered(v.spark, path)
+
+
+@register("scan_header_normalized", sql="""
+SELECT user_id AS "USER ID", CAST(hold_no AS VARCHAR) AS "HOLD NO" FROM v_holds WHERE hold_no = 1""")
+def q_scan_header_normalized(v):
+    rows = v.holds.filter(F.col("hold_no") == 1).select(
+        F.concat_ws(",", "user_id", F.col("hold_no").cast("string")).alias("line"))
+    path = _land_lines(v, "normalized", '﻿"User ID", hold no ', rows)
+    return fs.read_csv_headered(v.spark, path, sep=",", normalize=True)
+
+
+@register("scan_alias_columns", sql="SELECT user_id FROM v_holds")
+def q_scan_alias_columns(v):
+    rows = v.holds.select(F.concat_ws("\t", "user_id", F.col("hold_no").cast("string")).alias("line"))
+    path = _land_lines(v, "alias", "Patron ID\tHold No", rows)
+    df = fs.read_csv_headered(v.spark, path)
+    return fs.alias_columns(df, "user_id", ["User ID", "user id", "UserID", "Patron ID"]).select("user_id")
