@@ -1 +1,83 @@
-"""Registered queries."""
+"""Registered action-payload queries (K28), flattened for comparison."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from rosterflow.operators import actions as ac
+from rosterflow.operators import notes as nt
+from rosterflow.operators import roster as ro
+from rosterflow.plans import fixtures as fx
+from rosterflow.plans import q_notes, q_reconcile, q_roster
+from rosterflow.plans.catalog import REGISTRY, register
+from rosterflow.sources.tables import VIEW_RUN_DATE
+
+FLAT = ["patron_id", "action", "patron_type", "last_name", "first_name", "default_branch", "email", "birth_date",
+        "expiration_date", "pin", "preferred_address", "sponsor_name"]
+
+
+def _flat(df):
+    return df.select(*FLAT, F.col("addresses")[0]["street"].alias("primary_street"),
+                     F.col("addresses")[0]["city"].alias("city"), F.col("addresses")[1]["street"].alias("sponsor_street"))
+
+
+def _roster(v):
+    return ro.format_student_roster(fx.roster_df(v), run_date=VIEW_RUN_DATE, expiration=q_roster.EXPIRATION)
+
+
+def _flat_sql(action: str, pin: str) -> str:
+    return (f"patron_id, '{action}' AS action, bty AS patron_type, last_name, first_name, default_branch, email, "
+            f"birth_date, expiration_date, {pin} AS pin, "
+            f"CASE WHEN teacher_id <> '' THEN 'Sponsor' ELSE 'Primary' END AS preferred_address, "
+            f"teacher_name AS sponsor_name, street AS primary_street, city, teacher_id AS sponsor_street")
+
+
+_PIN = "CASE WHEN starts_with(patron_id, '190999') THEN '7357' ELSE concat(substr(birth_date, 6, 2), substr(birth_date, 9, 2)) END"
+
+
+@register("payload_create", sql=f"""
+WITH r AS ({q_roster._roster_sql()})
+SELECT {_flat_sql('create', _PIN)} FROM r WHERE patron_id NOT IN (SELECT patron_id FROM v_patron)""")
+def q_payload_create(v):
+    r = _roster(v).join(v.patron.select("patron_id"), "patron_id", "left_anti")
+    return _flat(ac.payload_create(r))
+
+
+@register("payload_update", sql=f"""
+WITH r AS ({q_roster._roster_sql()})
+SELECT {_flat_sql('update', _PIN)} FROM r
+WHERE EXISTS (SELECT 1 FROM v_patron c WHERE c.patron_id = r.patron_id
+              AND (r.bty <> CAST(c.bty AS VARCHAR) OR r.last_name <> c.last_name))""")
+def q_payload_update(v):
+    c = v.patron.select("patron_id", F.col("bty").cast("string").alias("_cb"), F.col("last_name").alias("_cl"))
+    r = _roster(v).join(c, "patron_id").filter((F.col("bty") != F.col("_cb")) | (F.col("last_name") != F.col("_cl")))
+    return _flat(ac.payload_update(r, run_date=VIEW_RUN_DATE, start="2024-01-08", twenty_day="2024-02-05"))
+
+
+@register("payload_remove", sql=f"""WITH {q_reconcile.STATE_SQL}
+SELECT patron_id, 'remove' AS action, 38 AS patron_type, 'XMNPS' AS default_branch,
+       CASE WHEN collection_status IN (0, 1, 78) THEN 'not sent' END AS collection_status,
+       CASE WHEN instr(lower(email), '@mnpsk12.org') > 1 OR instr(lower(email), '@mnps.org') > 1 THEN '' ELSE email END AS email,
+       CASE WHEN (CASE WHEN instr(lower(email), '@mnpsk12.org') > 1 OR instr(lower(email), '@mnps.org') > 1 THEN '' ELSE email END) = ''
+            THEN 'do not send email' END AS email_notices,
+       strftime(coalesce(last_seen, DATE '2024-01-31'), '%Y-%m-%d') AS expiration_date,
+       concat('MNPS patron expired ', strftime(coalesce(last_seen, DATE '2024-01-31'), '%Y-%m-%d'), '. Previous branchcode: ',
+              CAST(default_branch AS VARCHAR), '. Previous bty: ', CAST(bty AS VARCHAR), '.') AS note_text
+FROM rm""")
+def q_payload_remove(v):
+    return ac.payload_remove(q_reconcile.run(v)["remove"], run_date=VIEW_RUN_DATE)
+
+
+_note_add_sql = REGISTRY["guarantor_note_create"].sql
+_note_del_sql = REGISTRY["expired_note_delete"].sql
+
+
+@register("payload_notes", sql=f"""
+WITH a AS ({_note_add_sql}), d AS ({_note_del_sql})
+SELECT patron_id, 'note_add' AS action, '800' AS note_type, note AS note_text, CAST(NULL AS VARCHAR) AS note_id FROM a
+UNION ALL SELECT patron_id, 'note_delete', NULL, NULL, note_id FROM d""")
+def q_payload_notes(v):
+    sor_g = v.sor_x.select("patron_id").join(nt.latest_note(v.note, marker=q_notes.GUARANTOR), "patron_id", "left")
+    add = nt.guarantor_note_create(v.extract_x, sor_g, run_date=VIEW_RUN_DATE, term_start="2024-01-08")
+    delete = nt.expired_note_delete(v.extract, nt.expired_note_ids(v.note, marker=q_notes.EXPIRED))
+    return ac.payload_notes(add, delete)
