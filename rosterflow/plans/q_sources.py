@@ -7,7 +7,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rosterflow.plans.catalog import register
+from rosterflow.plans import q_notes  # noqa: F401  (registers the note queries reused below)
+from rosterflow.plans.catalog import REGISTRY, register
+from rosterflow.sources.snapshot import patron_snapshot
 from rosterflow.sources import files as fs
 
 POSITIONS = {0: "patron_id", 1: "bty", 2: "last_name", 3: "first_name", 6: "default_branch", 7: "exp_date", 9: "email"}
@@ -70,3 +72,23 @@ def q_scan_alias_columns(v):
     path = _land_lines(v, "alias", "Patron ID\tHold No", rows)
     df = fs.read_csv_headered(v.spark, path)
     return fs.alias_columns(df, "user_id", ["User ID", "user id", "UserID", "Patron ID"]).select("user_id")
+
+
+_LATEST = REGISTRY["latest_note"].sql
+_IDS = REGISTRY["expired_note_ids"].sql
+_DELS = REGISTRY["guarantor_note_delete"].sql
+
+
+@register("patron_snapshot", sql=f"""
+WITH g AS ({_LATEST}), x AS ({_IDS}), dl AS ({_DELS})
+SELECT p.patron_id, p.bty, p.last_name, p.first_name, b.branch_code AS default_branch_code,
+       strftime(p.exp_date, '%Y-%m-%d') AS exp_date, p.email, strftime(p.birth_date, '%Y-%m-%d') AS birth_date,
+       g.guarantor, p.email_notices, x.expired_note_ids, dl.delete_note_ids, p.collection_status,
+       CASE WHEN p.edit_branch = 'XMNPS' THEN 'XMNPS' ELSE e.branch_code END AS edit_branch_code, p.guid
+FROM v_patron p
+LEFT JOIN v_branch b ON p.default_branch = b.branch_number
+LEFT JOIN v_branch e ON p.edit_branch = CAST(e.branch_number AS VARCHAR)
+LEFT JOIN g ON p.patron_id = g.patron_id LEFT JOIN x ON p.patron_id = x.patron_id LEFT JOIN dl ON p.patron_id = dl.patron_id
+WHERE (p.bty BETWEEN 21 AND 38 OR p.bty IN (46, 47)) OR regexp_matches(p.patron_id, '^190[0-9]{{6}}$')""")
+def q_patron_snapshot(v):
+    return patron_snapshot(v.patron, v.branch, v.note, v.loan, run_date="2024-02-01")
