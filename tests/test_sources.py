@@ -67,5 +67,5 @@ def test_header_only_file_and_dynamic_overwrite(spark):
     day1 = spark.createDataFrame([("2024-01-31", 1), ("2024-02-01", 2)], "report_date string, n int")
     sinks.write_partitions(day1, hist, ["report_date"])
     sinks.write_partitions(spark.createDataFrame([("2024-02-01", 5)], "report_date string, n int"), hist, ["report_date"])
-    got = sorted((r.report_date, r.n) for r in spark.read.parquet(hist).collect())
+    got = sorted((str(r.report_date), r.n) for r in spark.read.parquet(hist).collect())
     assert got == [("2024-01-31", 1), ("2024-02-01", 5)]
