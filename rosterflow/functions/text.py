@@ -99,25 +99,35 @@ def _capitalize(s: Column) -> Column:
     return F.array_join(F.transform(toks, rule), "")
 
 
+# Exceptions whose fourth letter stays lower case, as one prefix pattern over
+# the lower-cased word (derived from MAC_EXCEPTIONS).
+_MAC_KEEP = "^mac(" + "|".join(p[3:].lower() for p, r in MAC_EXCEPTIONS if r[3].islower()) + ")"
+
+
 def _irish(s: Column) -> Column:
+    """Mac/Mc + upper-case letter, except the listed Mac names; applied only
+    when the name looks Irish.  One token pass instead of one regex per
+    exception."""
     toks = _tokens(s)
 
     def rule(t):
-        return (F.when(t.rlike(r"^Mac[A-Za-z]"),
+        return (F.when(t.rlike(r"^Mac[A-Za-z]") & ~F.lower(t).rlike(_MAC_KEEP),
                        F.concat(F.lit("Mac"), F.upper(F.substring(t, 4, 1)), F.substring(t, 5, 1 << 20)))
                 .when(t.rlike(r"^Mc[A-Za-z]"),
                       F.concat(F.lit("Mc"), F.upper(F.substring(t, 3, 1)), F.substring(t, 4, 1 << 20)))
                 .otherwise(t))
 
     fixed = F.array_join(F.transform(toks, rule), "")
-    for pat, rep in MAC_EXCEPTIONS:
-        fixed = F.regexp_replace(fixed, r"\b" + pat, rep)
     out = F.when(s.rlike(IRISH_TRIGGER), fixed).otherwise(s)
     return F.regexp_replace(out, "Macmurdo", "MacMurdo")
 
 
-def _initials_and_roman(s: Column, roman: bool) -> Column:
+def _word_pass(s: Column, roman: bool, post_nominals: list[str]) -> Column:
+    """Initials, Roman numerals, lower-case title words and post-nominals, in
+    one token pass (each rule matches whole words only)."""
     toks = _tokens(s)
+    canon = {p.lower(): p for p in post_nominals if re.fullmatch(r"\w+", p)}
+    pn_map = F.create_map(*[x for k, v in canon.items() for x in (F.lit(k), F.lit(v))]) if canon else None
 
     def rule(t, i):
         nxt = F.try_element_at(toks, i + 2)
@@ -126,7 +136,11 @@ def _initials_and_roman(s: Column, roman: bool) -> Column:
         r = F.when(initial, F.upper(t))
         if roman:
             r = r.when(t.rlike(ROMAN), F.upper(t))
-        return r.otherwise(t)
+        r = r.when(t.isin(*LOWER_CASE_WORDS), F.lower(t))
+        w = r.otherwise(t)
+        if pn_map is not None:
+            w = F.coalesce(pn_map[F.lower(w)], w)
+        return w
 
     return F.array_join(F.transform(toks, rule), "")
 
@@ -151,15 +165,16 @@ def namecase(c: Column | str, *, lazy: bool = False, irish: bool = True, spanish
     rules = list(PARTICLES) + ([] if spanish else SPANISH_ARTICLES) + (HEBREW if hebrew else [])
     for pat, rep in rules:
         name = F.regexp_replace(name, pat, rep)
-    name = _initials_and_roman(name, roman)
-    for w in LOWER_CASE_WORDS:
-        name = F.regexp_replace(name, r"\b" + w + r"\b", w.lower())
+    word_pns = [p for p in post_nominals if re.fullmatch(r"\w+", p)] if postnominal else []
+    name = _word_pass(name, roman, word_pns)
     if spanish:
         for cj in SPANISH_CONJUNCTIONS:
             name = F.regexp_replace(name, r"(\s)" + cj + r"(\s)", "$1" + cj.lower() + "$2")
     if postnominal:
+        # Post-nominals with punctuation cannot be matched as one word token.
         for pn in post_nominals:
-            name = F.regexp_replace(name, r"(?i)\b" + re.escape(pn) + r"\b", pn.replace("$", r"\$"))
+            if not re.fullmatch(r"\w+", pn):
+                name = F.regexp_replace(name, r"(?i)\b" + re.escape(pn) + r"\b", pn.replace("$", r"\$"))
     if lazy:
         first_lower = F.substring(s, 1, 1) == F.lower(F.substring(s, 1, 1))
         uniform = (s == F.lower(s)) | (s == F.upper(s))
