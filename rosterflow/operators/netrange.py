@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterflow.functions.net import cidr_bounds, ip_to_long
-from rosterflow.session import broadcast_if_small
 
 REGEX_CHARS = r"[\^$*\[\]()\\|]"
 
@@ -29,21 +28,29 @@ def range_values(ranges: DataFrame, fields=("start_ip", "end_ip")) -> DataFrame:
                .filter(F.col("value") != "")
 
 
-def ip_match(ranges: DataFrame, targets: DataFrame, *, max_targets: int = 100_000) -> DataFrame:
-    """First matching target (by ``target_order``) of every range."""
-    vals = range_values(ranges)
+def ip_match(ranges: DataFrame, targets: DataFrame, *, max_targets: int = 10_000) -> DataFrame:
+    """First matching target (by ``target_order``) of every range.
+
+    The target list is checked to hold at most ``max_targets`` rows and then
+    broadcast in all three joins, so the range table is never shuffled (a
+    block holding most ranges, e.g. all of 10/8, cannot skew a partition).
+    A longer target list is refused rather than run as a quadratic join.
+    """
     t = targets.select("target_order", "target")
-    exact = (vals.join(t, vals["value"] == t["target"], "inner")
+    if t.limit(max_targets + 1).count() > max_targets:
+        raise ValueError(f"more than {max_targets} targets")
+    vals = range_values(ranges)
+    exact = (vals.join(F.broadcast(t), vals["value"] == t["target"], "inner")
              .select("range_id", "target_order", "target"))
     lo, hi = cidr_bounds(F.col("target"))
     cidr = (t.select("target_order", "target", lo.alias("lo"), hi.alias("hi"))
             .filter(F.col("lo").isNotNull())
             .withColumn("bucket", F.explode(F.sequence(F.shiftright("lo", 24), F.shiftright("hi", 24)))))
     by_cidr = (vals.withColumn("bucket", F.shiftright("ip", 24))
-               .join(cidr, ["bucket"], "inner")
+               .join(F.broadcast(cidr), ["bucket"], "inner")
                .filter(F.col("ip").between(F.col("lo"), F.col("hi")))
                .select("range_id", "target_order", "target"))
-    rx = broadcast_if_small(t.filter(F.col("target").rlike(REGEX_CHARS)), max_targets)
+    rx = F.broadcast(t.filter(F.col("target").rlike(REGEX_CHARS)))
     by_regex = (vals.join(rx, F.expr("value rlike target"), "inner")
                 .select("range_id", "target_order", "target"))
     allm = exact.unionByName(by_cidr).unionByName(by_regex)

@@ -15,13 +15,12 @@ from rosterflow.sources import files as fs
 POSITIONS = {0: "patron_id", 1: "bty", 2: "last_name", 3: "first_name", 6: "default_branch", 7: "exp_date", 9: "email"}
 
 
-def _land_lines(v, name: str, header: str | None, lines):
-    """Write text lines (header first) as one file; returns the folder."""
+def _land_csv(v, name: str, df, *, sep: str):
+    """Write ``df`` as delimited text with a header line in every part file
+    and no quoting (values are written raw, as vendor exports are)."""
     path = fs.landing_path(v.spark, name)
-    out = lines.select(F.col("line").alias("value"))
-    if header is not None:
-        out = v.spark.createDataFrame([(header,)], "value string").unionByName(out)
-    out.coalesce(1).write.text(path)
+    df.write.option("header", True).option("sep", sep).option("quote", "").option("escape", "") \
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return path
 
 
@@ -51,9 +50,9 @@ def q_scan_csv_headerless(v):
 SELECT user_id AS "User ID", CAST(hold_no AS VARCHAR) AS "Hold No" FROM v_holds WHERE hold_no = 1""")
 def q_scan_csv_headered(v):
     # Tab-separated export; second holds carry a stray extra field (ragged rows).
-    line = F.when(F.col("hold_no") == 1, F.concat_ws("\t", "user_id", F.col("hold_no").cast("string"))) \
-            .otherwise(F.concat_ws("\t", "user_id", F.col("hold_no").cast("string"), F.lit("extra")))
-    path = _land_lines(v, "headered", "User ID\tHold No", v.holds.select(line.alias("line")))
+    hold = F.when(F.col("hold_no") == 1, F.col("hold_no").cast("string")) \
+            .otherwise(F.concat(F.col("hold_no").cast("string"), F.lit("\textra")))
+    path = _land_csv(v, "headered", v.holds.select(F.col("user_id").alias("User ID"), hold.alias("Hold No")), sep="\t")
     return fs.read_csv_headered(v.spark, path)
 
 
@@ -61,15 +60,15 @@ def q_scan_csv_headered(v):
 SELECT user_id AS "USER ID", CAST(hold_no AS VARCHAR) AS "HOLD NO" FROM v_holds WHERE hold_no = 1""")
 def q_scan_header_normalized(v):
     rows = v.holds.filter(F.col("hold_no") == 1).select(
-        F.concat_ws(",", "user_id", F.col("hold_no").cast("string")).alias("line"))
-    path = _land_lines(v, "normalized", '﻿"User ID", hold no ', rows)
+        F.col("user_id").alias('\ufeff"User ID"'), F.col("hold_no").cast("string").alias("'hold no'"))
+    path = _land_csv(v, "normalized", rows, sep=",")
     return fs.read_csv_headered(v.spark, path, sep=",", normalize=True)
 
 
 @register("scan_alias_columns", sql="SELECT user_id FROM v_holds")
 def q_scan_alias_columns(v):
-    rows = v.holds.select(F.concat_ws("\t", "user_id", F.col("hold_no").cast("string")).alias("line"))
-    path = _land_lines(v, "alias", "Patron ID\tHold No", rows)
+    rows = v.holds.select(F.col("user_id").alias("Patron ID"), F.col("hold_no").cast("string").alias("Hold No"))
+    path = _land_csv(v, "alias", rows, sep="\t")
     df = fs.read_csv_headered(v.spark, path)
     return fs.alias_columns(df, "user_id", ["User ID", "user id", "UserID", "Patron ID"]).select("user_id")
 
