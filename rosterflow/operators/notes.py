@@ -72,13 +72,15 @@ def guarantor_note_create(extract: DataFrame, sor_guarantor: DataFrame, *, run_d
 
 
 def guarantor_windows(notes: DataFrame, *, prefix: str = "Guarantor effective") -> DataFrame:
-    """Notes carrying a parsable ``<prefix> <start> - <stop>:`` window."""
+    """Notes carrying a ``<prefix> <start> - <stop>:`` window.  A date that
+    does not parse stays NULL: such a window can never contain activity, so
+    the note counts as idle (as in the reference, where the keep-join needs
+    both dates)."""
     pat = "^" + prefix + r" ([-/0-9]+) - ([-/0-9]+):"
-    w = notes.filter(F.col("text").rlike(pat)).select(
+    return notes.filter(F.col("text").rlike(pat)).select(
         "note_id", KEY,
         _parse_day(F.regexp_extract("text", pat, 1)).alias("g_start"),
         _parse_day(F.regexp_extract("text", pat, 2)).alias("g_stop"))
-    return w.filter(F.col("g_start").isNotNull() & F.col("g_stop").isNotNull())
 
 
 def notes_without_activity(windows: DataFrame, loans: DataFrame, *, codes=ACTIVITY_CODES) -> DataFrame:

@@ -26,7 +26,7 @@ FROM v_note WHERE regexp_matches(text, '^Guarantor effective ([-/0-9]+) - ([-/0-
 
 IDLE_SQL = f"""
 w AS ({WINDOWS_SQL}),
-idle AS (SELECT w.* FROM w WHERE g_start IS NOT NULL AND g_stop IS NOT NULL AND NOT EXISTS (
+idle AS (SELECT w.* FROM w WHERE NOT EXISTS (
            SELECT 1 FROM v_loan t WHERE t.trans_code IN ('C', 'O', 'L', 'F1', 'F2', 'FS')
              AND t.patron_id = w.patron_id AND t.trans_date BETWEEN w.g_start AND w.g_stop))"""
 
