@@ -3,10 +3,10 @@ id-shape filter, scrubbing, name case, school / type / status rules, address,
 phone, flags, guarantor stop date, programme mode and the final layout.
 
 All rules are column expressions over one row, so a whole roster is one
-narrow stage after the de-duplication shuffle on ``patron_id``.  The keep-best
-choice uses ``row_number`` over a window partitioned by the id: a group is the
-handful of rows one person has in the extract (bounded by the source systems,
-not by data volume).  ``run_date`` is always a parameter.
+narrow stage after the de-duplication on ``patron_id``.  The keep-best choice
+is made with aggregates (``ordered.first_per_key``: max of the address, then
+min of the row, both with map-side partial combine), so an id that occurs
+very often does not load one task.  ``run_date`` is always a parameter.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterflow.functions.text import namecase, namecase_if_caps, scrub_ascii, trim_fields
+from rosterflow.operators.ordered import first_per_key
 
 KEY = "patron_id"
 
@@ -54,7 +55,9 @@ def roster_with_overrides(extract: DataFrame, overrides: DataFrame) -> DataFrame
 
 
 def keep_best(df: DataFrame, order: list[Column], key: str = KEY) -> DataFrame:
-    """First row per key under ``order`` (a unique tiebreak must be included)."""
+    """First row per key under ``order`` (a unique tiebreak must be included).
+    Window form, for small per-key groups; the dedupe jobs below use the
+    aggregate form (``ordered.first_per_key``) that is safe for hot keys."""
     w = Window.partitionBy(key).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
@@ -62,17 +65,16 @@ def keep_best(df: DataFrame, order: list[Column], key: str = KEY) -> DataFrame:
 def dedupe_student(df: DataFrame, *, address_col: str = "street") -> DataFrame:
     """Per id the row with the greatest address (blank addresses last); equal
     addresses resolved by the whole row ascending (C2)."""
-    rest = [F.col(c).asc_nulls_first() for c in df.columns if c != address_col]
-    return keep_best(df, [F.col(address_col).desc_nulls_last(), *rest])
+    return first_per_key(df, KEY, address_col, descending=True).select(*df.columns)
 
 
 def dedupe_staff(extract: DataFrame, overrides: DataFrame, *, fields: list[str]) -> DataFrame:
     """Per id the greatest row over ``fields`` (as one text key); override rows
     then win over extract rows for the same id (C3)."""
     k = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in fields])
-    best = keep_best(extract, [k.desc(), *[F.col(c).asc_nulls_first() for c in extract.columns]])
-    both = roster_with_overrides(best, overrides)
-    return keep_best(both, [F.col("priority").asc(), k.desc()]).drop("priority")
+    best = first_per_key(extract.withColumn("_k", k), KEY, "_k", descending=True).drop("_k")
+    both = roster_with_overrides(best.select(*extract.columns), overrides)
+    return first_per_key(both, KEY, "priority", descending=False).drop("priority").select(*extract.columns)
 
 
 def filter_id_shape(df: DataFrame, *, population: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rosterflow.functions.text import namecase, namecase_if_caps, scrub_ascii, trim_fields
 from rosterflow.operators import quality as dq
 from rosterflow.operators import roster as ro
+from rosterflow.operators.ordered import first_per_key
 from rosterflow.plans import fixtures as fx
 from rosterflow.plans.catalog import register
 from rosterflow.plans.oracle_text import namecase_ctes
@@ -56,7 +57,8 @@ SELECT * EXCLUDE (rn, priority) FROM (
 WHERE rn = 1""")
 def q_dedupe_staff(v):
     s = fx.staff_df(v)
-    best = ro.keep_best(s, [F.concat_ws("|", *STAFF_KEY_FIELDS).desc(), F.col("school_code"), F.col("email")])
+    best = first_per_key(s.withColumn("_k", F.concat_ws("|", *STAFF_KEY_FIELDS)), "patron_id", "_k").drop("_k") \
+        .select(*s.columns)
     ov = best.filter(F.expr(fx.OVERRIDE_FILTER)).withColumn("last_name", F.lit("OVERRIDE"))
     return ro.dedupe_staff(s, ov, fields=STAFF_KEY_FIELDS)
 
