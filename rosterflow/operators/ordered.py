@@ -7,8 +7,9 @@ third of the work.  The operators here avoid it:
 * ``previous_row`` (lag): rows are grouped by key and a time bucket, so a
   hot key's rows are spread over many small sorted groups; the first row of
   each group takes its predecessor from a one-row-per-bucket summary.
-* ``first_per_key`` (keep-best): aggregates with map-side partial combine
-  (``max`` / ``min`` of a struct), never a per-key sort.
+* ``first_per_key`` (keep-best): two aggregations with map-side partial
+  combine (``min`` of a struct per value, ``max_by`` per key), never a
+  per-key sort and no self-join.
 """
 
 from __future__ import annotations
@@ -47,12 +48,21 @@ def previous_row(df: DataFrame, keys: list[str], ts: str, tiebreak: str, values:
 
 
 def first_per_key(df: DataFrame, key: str, best: str, *, descending: bool = True) -> DataFrame:
-    """One row per ``key``: the greatest (or least) ``best`` value; ties are
-    resolved by the whole row ascending.  Two aggregates with partial
-    combine and one equi join (AQE splits a skewed key)."""
-    pick = F.max(best) if descending else F.min(best)
-    top = df.groupBy(key).agg(pick.alias("_best"))
-    cand = df.join(top, (df[key] == top[key]) & df[best].eqNullSafe(top["_best"]), "left_semi")
-    rest = [c for c in df.columns if c != key]
-    return (cand.groupBy(key).agg(F.min(F.struct(*[F.col(c) for c in rest])).alias("_row"))
-            .select(key, *[F.col(f"_row.{c}").alias(c) for c in rest]))
+    """One row per ``key``: the greatest (or least) ``best`` value, NULLs
+    last; ties are resolved by the whole row ascending.
+
+    Two aggregations and no join: per (key, best) the least row (partial
+    combine splits a hot key over its distinct ``best`` values), then per
+    key the row of the best value (one row per distinct value remains).
+    The input is read once.
+    """
+    rest = [c for c in df.columns if c not in (key, best)]
+    per_value = df.groupBy(key, best).agg(F.min(F.struct(*[F.col(c) for c in rest])).alias("_row"))
+    b = F.col(best)
+    if descending:
+        chosen = F.max_by(F.struct(b.alias(best), F.col("_row")), F.struct(b.isNotNull(), b))
+    else:
+        chosen = F.min_by(F.struct(b.alias(best), F.col("_row")), F.struct(b.isNull(), b))
+    out = per_value.groupBy(key).agg(chosen.alias("_pick"))
+    return out.select(key, F.col(f"_pick.{best}").alias(best), *[F.col(f"_pick._row.{c}").alias(c) for c in rest]) \
+              .select(*df.columns)

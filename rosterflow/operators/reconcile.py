@@ -314,3 +314,43 @@ def action_summary(actions: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         u = u.unionByName(p)
     return u.groupBy("action").agg(F.count(F.lit(1)).alias("n"))
+
+
+def reconcile_report_onepass(extract: DataFrame, sor: DataFrame, state: DataFrame, *, by: str,
+                             compare_cols: list[str], run_date: str, grace_days: int = 7,
+                             closed_branch: str = "XMNPS", sor_yes: Column, sor_no: Column,
+                             extract_yes: Column, extract_no: Column) -> DataFrame:
+    """The K11 run report computed from one full outer join of extract, SoR
+    and state on the id (each input read once) and one aggregate.
+
+    Row flags reproduce the action tables: created = extract only; updated =
+    in both and some compare column differs (NULL-safe, the set-difference
+    rule); removed = in the SoR, not closed, and expired after the last-seen
+    merge.  Ids are unique per input (the roster is de-duplicated upstream,
+    the SoR and the state are keyed by id).
+    """
+    e = extract.select(KEY, F.col(by).alias("_eg"), *[F.col(c).alias(f"_e_{c}") for c in compare_cols],
+                       extract_yes.alias("_ey"), extract_no.alias("_en"), F.lit(True).alias("_in_e"))
+    c = sor.select(KEY, F.col(by).alias("_cg"), *[F.col(x).alias(f"_c_{x}") for x in compare_cols],
+                   F.col("edit_branch").alias("_edit"), sor_yes.alias("_cy"), sor_no.alias("_cn"),
+                   F.lit(True).alias("_in_c"))
+    s = state.select(KEY, F.col("last_seen").alias("_seen"))
+    j = e.join(c, KEY, "full").join(s, KEY, "full")
+    in_e, in_c = F.coalesce(F.col("_in_e"), F.lit(False)), F.coalesce(F.col("_in_c"), F.lit(False))
+    differs = F.lit(False)
+    for x in compare_cols:
+        differs = differs | ~F.col(f"_e_{x}").eqNullSafe(F.col(f"_c_{x}"))
+    seen = F.when(in_e, _d(run_date)).otherwise(F.col("_seen"))
+    expired = seen.isNull() | (seen < F.date_sub(_d(run_date), grace_days))
+    tags = [("sor", F.col("_cg"), in_c), ("extract", F.col("_eg"), in_e),
+            ("created", F.col("_eg"), in_e & ~in_c), ("updated", F.col("_eg"), in_e & in_c & differs),
+            ("removed", F.col("_cg"), in_c & expired & (F.col("_edit") != closed_branch)),
+            ("sor_yes", F.col("_cg"), in_c & F.coalesce(F.col("_cy"), F.lit(False))),
+            ("extract_yes", F.col("_eg"), in_e & F.coalesce(F.col("_ey"), F.lit(False))),
+            ("sor_no", F.col("_cg"), in_c & F.coalesce(F.col("_cn"), F.lit(False))),
+            ("extract_no", F.col("_eg"), in_e & F.coalesce(F.col("_en"), F.lit(False)))]
+    pairs = F.filter(F.array(*[F.when(cond, F.struct(g.alias("g"), F.lit(t).alias("t"))) for t, g, cond in tags]),
+                     lambda x: x.isNotNull())
+    long = j.select(F.explode(pairs).alias("p")).select("p.g", "p.t")
+    agg = long.groupBy("g").agg(*[F.count_if(F.col("t") == t).alias(t) for t in REPORT_COLS])
+    return agg.filter(F.col("sor") > 0).select(_d(run_date).alias("report_date"), F.col("g").alias(by), *REPORT_COLS)

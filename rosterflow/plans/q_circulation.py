@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from rosterflow.operators import circulation as circ
 from rosterflow.plans.catalog import register

@@ -30,12 +30,11 @@ def run(v):
 
 
 def report(v, by):
-    r = run(v)
     b = F.col("bty")
-    return rc.reconcile_report(
-        v.extract_x, v.sor_x, r["create"], r["update"], r["remove"], by=by,
+    return rc.reconcile_report_onepass(
+        v.extract_x, v.sor_x, v.last_seen, by=by, compare_cols=STUDENT_COLS, run_date=RUN,
         sor_yes=b.between(21, 34) | (b == 46), sor_no=b.between(35, 37) | (b == 47),
-        extract_yes=F.col("permission") == "Yes", extract_no=F.col("permission") == "No", run_date=RUN)
+        extract_yes=F.col("permission") == "Yes", extract_no=F.col("permission") == "No")
 
 
 # Independent SQL of the state steps: insert unseen SoR ids with NULL, stamp

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from rosterflow.functions.text import namecase, namecase_if_caps, scrub_ascii, trim_fields
 from rosterflow.operators import quality as dq
 from rosterflow.operators import roster as ro
-from rosterflow.operators.ordered import first_per_key
 from rosterflow.plans import fixtures as fx
 from rosterflow.plans.catalog import register
 from rosterflow.plans.oracle_text import namecase_ctes
@@ -45,21 +44,22 @@ def q_dedupe_student(v):
 _skey = "concat_ws('|', " + ", ".join(STAFF_KEY_FIELDS) + ")"
 
 
+_OVERRIDES_SQL = f"""SELECT patron_id, bty, 'OVERRIDE' AS last_name, first_name, middle_name, suffix, school_code, email
+FROM x_staff WHERE {fx.OVERRIDE_FILTER} AND school_code NOT LIKE '%9'"""
+
+
 @register("dedupe_staff", sql=f"""
 WITH best AS (SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY patron_id ORDER BY {_skey} DESC, school_code, email) AS rn FROM x_staff)
   WHERE rn = 1),
-both_ AS (SELECT patron_id, bty, 'OVERRIDE' AS last_name, first_name, middle_name, suffix, school_code, email, 0 AS priority
-          FROM best WHERE {fx.OVERRIDE_FILTER}
-          UNION ALL SELECT *, 1 FROM best)
+both_ AS (SELECT *, 0 AS priority FROM ({_OVERRIDES_SQL}) UNION ALL SELECT *, 1 FROM best)
 SELECT * EXCLUDE (rn, priority) FROM (
   SELECT *, row_number() OVER (PARTITION BY patron_id ORDER BY priority, {_skey} DESC) AS rn FROM both_)
 WHERE rn = 1""")
 def q_dedupe_staff(v):
     s = fx.staff_df(v)
-    best = first_per_key(s.withColumn("_k", F.concat_ws("|", *STAFF_KEY_FIELDS)), "patron_id", "_k").drop("_k") \
-        .select(*s.columns)
-    ov = best.filter(F.expr(fx.OVERRIDE_FILTER)).withColumn("last_name", F.lit("OVERRIDE"))
+    ov = (s.filter(F.expr(fx.OVERRIDE_FILTER) & ~F.col("school_code").endswith("9"))
+          .withColumn("last_name", F.lit("OVERRIDE")))
     return ro.dedupe_staff(s, ov, fields=STAFF_KEY_FIELDS)
 
 
