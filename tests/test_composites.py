@@ -44,3 +44,18 @@ def test_warehouse_day(spark, small):
     days = {r[0] for r in reps["checkouts"].select("year_month_day").distinct().collect()}
     assert days <= {"20240110"}
     assert os.path.isdir(paths["checkouts"])
+
+
+def test_payload_json_and_addresses(spark, small):
+    import json
+
+    from rosterflow.operators import actions as ac
+    from rosterflow.operators import roster as ro
+    from rosterflow.plans import fixtures as fx
+
+    roster = ro.format_student_roster(fx.roster_df(small), run_date="2024-02-01", expiration="2026-10-01").limit(5)
+    out = ac.to_payload_json(ac.payload_create(roster)).collect()
+    assert out and all(r.action == "create" for r in out)
+    p = json.loads(out[0].payload)
+    assert [a["type"] for a in p["addresses"]] == ["Primary", "Secondary"]
+    assert len(p["pin"]) == 4 and p["preferred_address"] in ("Sponsor", "Primary")
