@@ -242,8 +242,10 @@ def not_in(df: DataFrame, key: str, sub: DataFrame, sub_key: str) -> DataFrame:
     """
     s = sub.select(F.col(sub_key).alias("_k"))
     null_in_sub = s.agg(F.max(F.col("_k").isNull().cast("int"))).scalar()
-    kept = df.filter(F.col(key).isNotNull()).join(s.filter(F.col("_k").isNotNull()),
-                                                  F.col(key) == F.col("_k"), "left_anti")
+    # Distinct keys on the anti side: a key repeated many times in the
+    # sub-query (one patron with a third of all loans) becomes one row.
+    keys = s.filter(F.col("_k").isNotNull()).distinct()
+    kept = df.filter(F.col(key).isNotNull()).join(keys, F.col(key) == F.col("_k"), "left_anti")
     return kept.filter(F.coalesce(null_in_sub, F.lit(0)) == 0)
 
 

@@ -39,7 +39,7 @@ def report_roster(roster: DataFrame, *, test_floor: int = 190999000) -> DataFram
 
 def media_missing(roster: DataFrame, media: DataFrame) -> DataFrame:
     """Roster patrons with no image (J17, unmatched right side)."""
-    return roster.join(image_ids(media).select(KEY), KEY, "left_anti")
+    return roster.join(image_ids(media).select(KEY).distinct(), KEY, "left_anti")
 
 
 def media_report(media: DataFrame, roster: DataFrame, *, cutoff: str) -> DataFrame:
@@ -61,7 +61,7 @@ def media_missing_type(roster: DataFrame, media: DataFrame, *, bty: int | None =
     """Staff (optionally of one type) without an image."""
     r = roster if bty is None else roster.filter(F.col("bty") == bty)
     ids = media.select(F.regexp_extract("file_name", r"^(\d+)\.jpg$", 1).alias(KEY))
-    return r.select(KEY).join(ids, KEY, "left_anti")
+    return r.select(KEY).join(ids.distinct(), KEY, "left_anti")
 
 
 def media_orphans(media: DataFrame, roster: DataFrame) -> DataFrame:

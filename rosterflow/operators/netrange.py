@@ -80,5 +80,5 @@ def ip_new_ranges(candidates: DataFrame, existing: DataFrame, *, range_col: str
     c = (candidates.filter(F.col(range_col).isNotNull() & (F.trim(range_col) != ""))
          .select(a.alias("start_ip"), b.alias("end_ip"), F.trim(branch_col).alias("branch"))
          .filter((F.col("start_ip") != "") & F.col("branch").isNotNull() & (F.col("branch") != "")))
-    have = existing.select("start_ip", "end_ip")
+    have = existing.select("start_ip", "end_ip").distinct()
     return c.join(have, ["start_ip", "end_ip"], "left_anti")

@@ -67,15 +67,22 @@ def vendor_usage_a(usage: DataFrame, library_school: DataFrame, patron: DataFram
     """Vendor A checkouts per (population, school, day, patron).
 
     Staff (6-7 character ids) and students (9) come from the same rows, so
-    one pass computes both with a ``population`` column.
+    one pass computes both with a ``population`` column.  Usage is first
+    summed per (library, day, patron) -- the school depends only on the
+    patron and the library -- so the lookup joins see one row per patron and
+    day however many checkouts a patron has.
     """
-    ids = usage.select(patron_from_login(F.col("patron_full")).alias(KEY))
-    ps = school_lookup(ids, patron, branch)
-    rows = lookup_fallback(usage, ps, library_school)
-    rows = rows.filter(F.col("school_code").isNotNull()) \
-               .withColumn("population", population_by_length(F.col(KEY))) \
-               .filter(F.col("population").isNotNull()) \
-               .withColumn("year_month_day", F.substring("activity_date", 1, 10))
+    pre = (usage.select("library_id", F.substring("activity_date", 1, 10).alias("year_month_day"),
+                        patron_from_login(F.col("patron_full")).alias(KEY), "checkouts")
+           .groupBy("library_id", "year_month_day", KEY).agg(F.sum("checkouts").alias("checkouts")))
+    ps = school_lookup(pre.select(KEY), patron, branch).select(KEY, F.col("school_code").alias("_p_school"))
+    lib = broadcast_if_small(library_school.select(F.col("library_id").alias("_lib"),
+                                                   F.col("school_code").alias("_lib_school")))
+    rows = (pre.join(lib, pre["library_id"] == lib["_lib"], "left").join(ps, KEY, "left")
+            .withColumn("school_code", F.coalesce("_p_school", "_lib_school"))
+            .filter(F.col("school_code").isNotNull())
+            .withColumn("population", population_by_length(F.col(KEY)))
+            .filter(F.col("population").isNotNull()))
     return vendor_usage_sum(rows, ["population", "school_code", "year_month_day", KEY], "checkouts",
                             "checkouts")
 
@@ -129,7 +136,9 @@ def vendor_usage_c(usage: DataFrame, patron: DataFrame, branch: DataFrame, *, re
     b = broadcast_if_small(branch.select("branch_number", "branch_code"))
     p = patron.select(KEY, "guid", "default_branch").join(
         b, F.col("default_branch") == F.col("branch_number"), "left")
-    j = usage.join(p, usage["user_id"] == p["guid"], "inner")
+    # One row per guid before the join: a heavy user does not skew it.
+    per_user = usage.groupBy("user_id").agg(F.sum("checkouts").alias("checkouts"))
+    j = per_user.join(p, per_user["user_id"] == p["guid"], "inner")
     rows = j.select(F.substring("branch_code", -3, 3).alias("school_code"),
                     F.lit(report_date).alias("year_month_day"), KEY, "checkouts")
     return vendor_usage_sum(rows, ["school_code", "year_month_day", KEY], "checkouts", "checkouts")
