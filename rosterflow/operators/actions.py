@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KEY = "patron_id"
+# Test-id prefix and PIN, school e-mail domains, note text.
 TEST_PREFIX = "190999"
 TEST_PIN = "7357"
 SCHOOL_MAIL_DOMAINS = ("@mnpsk12.org", "@mnps.org")

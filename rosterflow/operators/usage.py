@@ -111,7 +111,7 @@ def name_keys(first: Column, middle: Column, last: Column) -> tuple[Column, Colu
 
 
 def email_name_match(usage: DataFrame, roster: DataFrame, *, user_col: str = "user_id",
-                     branch_col: str = "carlx_branch") -> DataFrame:
+                     branch_col: str = "sor_branch") -> DataFrame:
     """Vendor B staff (K17/J10): the e-mail local part equals initial+last or
     initial+middle-initial+last of a roster person at the same branch.
 

@@ -136,6 +136,7 @@ def q_calendar_gate(v):
     return el.calendar_gate(actions, calendar, run_date=RUN, skip_windows=skips)
 
 
+# University onboarding column names and constant defaults.
 ONBOARD = {"patron_id": "BUID", "last_name": "Last Name", "first_name": "First Name",
            "middle_name": "Middle Name", "email": "Email"}
 ONBOARD_DEFAULTS = {"bty": 48, "city": "Nashville", "state": "TN", "zip": "37212", "default_branch": "EH",

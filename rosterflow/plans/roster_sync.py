@@ -35,6 +35,7 @@ class RosterSync:
     population: str = "student"
     programme: bool = False
     grace_days: int = 7
+    # Fixed values of the school system: its e-mail domain and closed branch code.
     school_domain: str = "mnpsk12.org"
     closed_branch: str = "XMNPS"
     closed_type: int = 38
