@@ -31,3 +31,13 @@ def require_nonempty(df: DataFrame, what: str) -> DataFrame:
     if df.isEmpty():
         raise RuntimeError(f"{what}: empty result")
     return df
+
+
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, *, mode: str = "overwrite") -> None:
+    """Save ``df`` as a table bucketed and sorted by ``key``.
+
+    Two tables bucketed the same way on the join key (the SoR snapshot and
+    the last-seen state on ``patron_id``) join without shuffling either side:
+    the reconcile joins read matching buckets directly.
+    """
+    (df.write.mode(mode).format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(table))

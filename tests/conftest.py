@@ -16,6 +16,7 @@ def spark():
     scratch = tempfile.mkdtemp(prefix="rosterflow-test-")
     s = build_session("local[*]", app="rosterflow-tests", shuffle_partitions=8,
                       extra={"spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
+                             "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),
                              "spark.local.dir": scratch})
     yield s
     s.stop()

@@ -36,3 +36,17 @@ def test_checkout_scan_is_pruned_and_filtered(spark):
     scan = [line for line in p.splitlines() if "ReadSchema" in line and "event_id" in line]
     assert scan and "props" not in scan[0] and "value" not in scan[0].split("ReadSchema")[1]
     assert "PushedFilters" in p and "IsNotNull(ts)" in p
+
+
+def test_bucketed_snapshot_join_has_no_shuffle(spark, views):
+    from rosterflow.operators import reconcile as rc
+    from rosterflow.sources.sinks import write_bucketed
+
+    write_bucketed(views.patron, "sor_bucketed", "patron_id", 8)
+    write_bucketed(views.last_seen, "state_bucketed", "patron_id", 8)
+    sor, state = spark.table("sor_bucketed"), spark.table("state_bucketed")
+    # Sort-merge join as at scale (the test tables would otherwise be broadcast).
+    joined = state.join(sor.select("patron_id", "edit_branch").hint("merge"), "patron_id")
+    tree = plan_text(joined).split("\n\n")[0]
+    assert "SortMergeJoin" in tree and "Exchange" not in tree
+    assert joined.count() == views.patron.count()
