@@ -2,10 +2,10 @@
 population, every action table, the run report and the change guard.
 
 ``RosterSync.plan`` returns lazy DataFrames; ``RosterSync.run`` persists them:
-* the SoR snapshot and the cleaned extract are checkpointed once
-  (``DataFrame.checkpoint`` into ``spark.checkpoint.dir``), so the eight
-  outputs that read them do not recompute the scans and cleaning, and a lost
-  executor does not replay the whole lineage;
+* the extract, the SoR snapshot and the state are staged once as tables
+  bucketed on ``patron_id`` under ``spark.checkpoint.dir``: the outputs that
+  read them neither recompute the scans and cleaning nor shuffle them again
+  for their id joins, and a lost executor does not replay the lineage;
 * the guard is evaluated before anything is written and aborts the run;
 * action tables are written with dynamic partition overwrite on
   ``run_date`` (a rerun of a day replaces that day only);
@@ -16,6 +16,7 @@ population, every action table, the run report and the change guard.
 from __future__ import annotations
 
 import os
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from rosterflow.operators import notes as nt
 from rosterflow.operators import reconcile as rc
+from rosterflow.session import ensure_checkpoint_dir
 from rosterflow.sources import sinks
 
 STUDENT_COMPARE = ["bty", "last_name", "first_name", "default_branch", "exp_date", "birth_date"]
@@ -70,11 +72,28 @@ class RosterSync:
             out[f"guard_{by}"] = rc.abort_guard(rep, by=by, exempt=exempt)
         return out
 
+    @staticmethod
+    def co_partition(extract: DataFrame, sor: DataFrame, state: DataFrame,
+                     buckets: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Stage the three inputs as tables bucketed identically on the id
+        under the shared checkpoint folder.  Every later join on
+        ``patron_id`` between them reads matching buckets (no shuffle of the
+        inputs), and the staged tables cut the lineage back to the source
+        scans (a lost executor re-reads a bucket file, not the sources)."""
+        spark = extract.sparkSession
+        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        root = os.path.join(ensure_checkpoint_dir(spark), "roster-sync", uuid.uuid4().hex)
+        out = []
+        for name, df in (("extract", extract), ("sor", sor), ("state", state)):
+            table = f"rosterflow_{name}_{os.path.basename(root)}"
+            sinks.write_bucketed(df, table, "patron_id", n, path=os.path.join(root, name))
+            out.append(spark.table(table))
+        return tuple(out)
+
     def run(self, extract: DataFrame, sor: DataFrame, state: DataFrame, *, out_dir: str, state_dir: str,
             notes: DataFrame | None = None, enforce_guard: bool = True) -> dict[str, str]:
         """Persist one run; returns the written locations."""
-        extract = extract.checkpoint(eager=True)
-        sor = sor.checkpoint(eager=True)
+        extract, sor, state = self.co_partition(extract, sor, state)
         tables = self.plan(extract, sor, state, notes)
         if enforce_guard:
             for k in [k for k in tables if k.startswith("guard_")]:

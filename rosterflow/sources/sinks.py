@@ -33,11 +33,16 @@ def require_nonempty(df: DataFrame, what: str) -> DataFrame:
     return df
 
 
-def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, *, mode: str = "overwrite") -> None:
-    """Save ``df`` as a table bucketed and sorted by ``key``.
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, *, mode: str = "overwrite",
+                   path: str | None = None) -> None:
+    """Save ``df`` as a table bucketed and sorted by ``key`` (at ``path`` when
+    given, else in the warehouse).
 
     Two tables bucketed the same way on the join key (the SoR snapshot and
     the last-seen state on ``patron_id``) join without shuffling either side:
     the reconcile joins read matching buckets directly.
     """
-    (df.write.mode(mode).format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(table))
+    w = df.write.mode(mode).format("parquet").bucketBy(buckets, key).sortBy(key)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(table)

@@ -59,3 +59,21 @@ def test_payload_json_and_addresses(spark, small):
     p = json.loads(out[0].payload)
     assert [a["type"] for a in p["addresses"]] == ["Primary", "Secondary"]
     assert len(p["pin"]) == 4 and p["preferred_address"] in ("Sponsor", "Primary")
+
+
+def test_co_partitioned_inputs_join_without_shuffle(spark, small):
+    import contextlib
+    import io
+
+    from rosterflow.operators import reconcile as rc
+
+    ext, sor, state = RosterSync.co_partition(small.extract_x, small.sor_x, small.last_seen)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            rc.reconcile_create(ext, sor).explain()
+        plan = buf.getvalue()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
