@@ -320,8 +320,10 @@ def reconcile_report_onepass(extract: DataFrame, sor: DataFrame, state: DataFram
                              compare_cols: list[str], run_date: str, grace_days: int = 7,
                              closed_branch: str = "XMNPS", sor_yes: Column, sor_no: Column,
                              extract_yes: Column, extract_no: Column) -> DataFrame:
-    """The K11 run report computed from one full outer join of extract, SoR
-    and state on the id (each input read once) and one aggregate.
+    """The K11 run report from each input read once: a tagged union of
+    extract, SoR and state grouped by id (one shuffle -- a three-way full
+    outer join without its three exchanges), row flags, and one aggregate by
+    group (a second, map-side combined shuffle).
 
     Row flags reproduce the action tables: created = extract only; updated =
     in both and some compare column differs (NULL-safe, the set-difference
@@ -329,13 +331,21 @@ def reconcile_report_onepass(extract: DataFrame, sor: DataFrame, state: DataFram
     merge.  Ids are unique per input (the roster is de-duplicated upstream,
     the SoR and the state are keyed by id).
     """
-    e = extract.select(KEY, F.col(by).alias("_eg"), *[F.col(c).alias(f"_e_{c}") for c in compare_cols],
-                       extract_yes.alias("_ey"), extract_no.alias("_en"), F.lit(True).alias("_in_e"))
-    c = sor.select(KEY, F.col(by).alias("_cg"), *[F.col(x).alias(f"_c_{x}") for x in compare_cols],
-                   F.col("edit_branch").alias("_edit"), sor_yes.alias("_cy"), sor_no.alias("_cn"),
-                   F.lit(True).alias("_in_c"))
-    s = state.select(KEY, F.col("last_seen").alias("_seen"))
-    j = e.join(c, KEY, "full").join(s, KEY, "full")
+    e_cols = {"_eg": F.col(by), **{f"_e_{c}": F.col(c) for c in compare_cols},
+              "_ey": extract_yes, "_en": extract_no, "_in_e": F.lit(True)}
+    c_cols = {"_cg": F.col(by), **{f"_c_{x}": F.col(x) for x in compare_cols}, "_edit": F.col("edit_branch"),
+              "_cy": sor_yes, "_cn": sor_no, "_in_c": F.lit(True)}
+    s_cols = {"_seen": F.col("last_seen"), "_in_s": F.lit(True)}
+    parts = {"e": (extract, e_cols), "c": (sor, c_cols), "s": (state, s_cols)}
+    types = {}
+    for df, cols in parts.values():
+        types.update({k: df.select(v.alias(k)).schema[0].dataType for k, v in cols.items()})
+
+    def side(df, cols):
+        return df.select(KEY, *[(cols[k] if k in cols else F.lit(None).cast(t)).alias(k) for k, t in types.items()])
+
+    u = side(*parts["e"]).unionByName(side(*parts["c"])).unionByName(side(*parts["s"]))
+    j = u.groupBy(KEY).agg(*[F.max(k).alias(k) for k in types])
     in_e, in_c = F.coalesce(F.col("_in_e"), F.lit(False)), F.coalesce(F.col("_in_c"), F.lit(False))
     differs = F.lit(False)
     for x in compare_cols:
