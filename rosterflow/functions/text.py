@@ -77,6 +77,18 @@ def trim_fields(c: Column | str, *, quote_to_apostrophe: bool = False) -> Column
     return F.regexp_replace(x, r"^\s+|\s+$", "")
 
 
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and hand it to ``body`` as a lambda variable.
+
+    Column expressions have no local binding: a sub-expression used several
+    times is evaluated several times, and chained passes that each read
+    their input more than once would multiply the work.  Wrapping the value
+    in a one-element array and transforming it binds it to a variable that
+    ``body`` may reference freely.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _tokens(s: Column) -> Column:
     return F.regexp_extract_all(s, F.lit(TOKENS), 0)
 
@@ -85,18 +97,27 @@ def _is_word(t: Column) -> Column:
     return t.rlike(r"^\w")
 
 
+def _neighbours(toks: Column) -> Column:
+    """Tokens zipped with their previous, next and second-next token
+    (``toks`` must be a bound variable: it is referenced four times)."""
+    n = F.size(toks)
+    none = F.array(F.lit(None).cast("string"))
+    prev = F.concat(none, F.slice(toks, 1, F.greatest(n - 1, F.lit(0))))
+    nxt = F.concat(F.slice(toks, 2, F.greatest(n, F.lit(1))), none)
+    nxt2 = F.concat(F.slice(toks, 3, F.greatest(n, F.lit(1))), none, none)
+    return F.arrays_zip(toks.alias("t"), prev.alias("p"), nxt.alias("n"), nxt2.alias("n2"))
+
+
 def _capitalize(s: Column) -> Column:
     """Lower-case, upper-case the first letter of each word; a single letter
     after an apostrophe stays lower (possessive 's)."""
-    toks = _tokens(F.lower(s))
-
-    def rule(t, i):
-        prev = F.when(i > 0, F.try_element_at(toks, i))
+    def rule(x):
+        t, prev = x["t"], x["p"]
         after_apostrophe = (F.length(t) == 1) & F.coalesce(prev.endswith("'"), F.lit(False))
         return F.when(_is_word(t) & ~after_apostrophe,
                       F.concat(F.upper(F.substring(t, 1, 1)), F.substring(t, 2, 1 << 20))).otherwise(t)
 
-    return F.array_join(F.transform(toks, rule), "")
+    return _let(_tokens(F.lower(s)), lambda toks: F.array_join(F.transform(_neighbours(toks), rule), ""))
 
 
 # Exceptions whose fourth letter stays lower case, as one prefix pattern over
@@ -106,10 +127,7 @@ _MAC_KEEP = "^mac(" + "|".join(p[3:].lower() for p, r in MAC_EXCEPTIONS if r[3].
 
 def _irish(s: Column) -> Column:
     """Mac/Mc + upper-case letter, except the listed Mac names; applied only
-    when the name looks Irish.  One token pass instead of one regex per
-    exception."""
-    toks = _tokens(s)
-
+    when the name looks Irish (``s`` must be a bound variable)."""
     def rule(t):
         return (F.when(t.rlike(r"^Mac[A-Za-z]") & ~F.lower(t).rlike(_MAC_KEEP),
                        F.concat(F.lit("Mac"), F.upper(F.substring(t, 4, 1)), F.substring(t, 5, 1 << 20)))
@@ -117,20 +135,37 @@ def _irish(s: Column) -> Column:
                       F.concat(F.lit("Mc"), F.upper(F.substring(t, 3, 1)), F.substring(t, 4, 1 << 20)))
                 .otherwise(t))
 
-    fixed = F.array_join(F.transform(toks, rule), "")
+    fixed = F.array_join(F.transform(_tokens(s), rule), "")
     out = F.when(s.rlike(IRISH_TRIGGER), fixed).otherwise(s)
-    return F.regexp_replace(out, "Macmurdo", "MacMurdo")
+    return F.replace(out, F.lit("Macmurdo"), F.lit("MacMurdo"))
 
 
-def _word_pass(s: Column, roman: bool, post_nominals: list[str]) -> Column:
-    """Initials, Roman numerals, lower-case title words and post-nominals, in
-    one token pass (each rule matches whole words only)."""
-    toks = _tokens(s)
+# Particles as whole-word rules (the PARTICLES / SPANISH_ARTICLES / HEBREW
+# patterns above, restated per word): word -> replacement, and the words that
+# change only when another word follows after white space.
+_PARTICLE_WORDS = {"Ap": "ap", "Bin": "bin", "Binti": "bin", "Binte": "bin", "Della": "della", "Delle": "delle",
+                   "Da": "da", "De": "de", "Di": "di", "Do": "do", "Du": "du", "Das": "das", "Dos": "dos",
+                   "Del": "del", "Der": "der", "Den": "den", "Le": "le", "Lo": "lo", "Ter": "ter", "Ten": "ten",
+                   "Von": "von"}
+_FOLLOWED_WORDS = {"Al": "al", "Van": "van"}
+_SPANISH_WORDS = {"El": "el", "La": "la"}
+_HEBREW_WORDS = {"Ben": "ben", "Bat": "bat"}
+
+
+def _map(d: dict[str, str]) -> Column:
+    return F.create_map(*[x for k, v in d.items() for x in (F.lit(k), F.lit(v))])
+
+
+def _word_pass(s: Column, roman: bool, post_nominals: list[str], *, spanish: bool, hebrew: bool) -> Column:
+    """Particles, initials, Roman numerals, lower-case title words and
+    post-nominals in one token pass (each rule matches whole words only)."""
     canon = {p.lower(): p for p in post_nominals if re.fullmatch(r"\w+", p)}
-    pn_map = F.create_map(*[x for k, v in canon.items() for x in (F.lit(k), F.lit(v))]) if canon else None
+    pn_map = _map(canon) if canon else None
+    plain = dict(_PARTICLE_WORDS, **({} if spanish else _SPANISH_WORDS))
+    followed = dict(_FOLLOWED_WORDS, **(_HEBREW_WORDS if hebrew else {}))
+    plain_map, followed_map = _map(plain), _map(followed)
 
-    def rule(t, i):
-        nxt = F.try_element_at(toks, i + 2)
+    def shape(t, nxt):
         initial = (t.rlike(INITIALS) & ~t.isin(*INITIAL_EXCEPTIONS)
                    & F.coalesce(nxt.rlike(r"^\s"), F.lit(False)))
         r = F.when(initial, F.upper(t))
@@ -138,11 +173,15 @@ def _word_pass(s: Column, roman: bool, post_nominals: list[str]) -> Column:
             r = r.when(t.rlike(ROMAN), F.upper(t))
         r = r.when(t.isin(*LOWER_CASE_WORDS), F.lower(t))
         w = r.otherwise(t)
-        if pn_map is not None:
-            w = F.coalesce(pn_map[F.lower(w)], w)
-        return w
+        return F.coalesce(pn_map[F.lower(w)], w) if pn_map is not None else w
+
+    def rule(x):
+        followed_ok = F.coalesce(x["n"].rlike(r"^\s+$") & x["n2"].isNotNull(), F.lit(False))
+        word = F.coalesce(plain_map[x["t"]], F.when(followed_ok, followed_map[x["t"]]), x["t"])
+        # Bind the particle result so the shape rules read it once.
+        return _let(word, lambda w: shape(w, x["n"]))
 
-    return F.array_join(F.transform(toks, rule), "")
+    return _let(_tokens(s), lambda toks: F.array_join(F.transform(_neighbours(toks), rule), ""))
 
 
 def namecase(c: Column | str, *, lazy: bool = False, irish: bool = True, spanish: bool = True,
@@ -156,30 +195,31 @@ def namecase(c: Column | str, *, lazy: bool = False, irish: bool = True, spanish
     consonant initials upper-cased; the/of/and lower; Roman numerals upper;
     Spanish conjunctions y/e/i lower (blanks kept); post-nominals in their
     canonical case.  Options are per call.  ``lazy`` leaves mixed-case input
-    untouched.  NULL stays NULL, '' stays ''.
+    untouched.  NULL stays NULL, '' stays ''.  Every intermediate string is
+    bound once (``_let``), so the passes add up instead of multiplying.
     """
-    s = _col(c)
-    name = _capitalize(s)
-    if irish:
-        name = _irish(name)
-    rules = list(PARTICLES) + ([] if spanish else SPANISH_ARTICLES) + (HEBREW if hebrew else [])
-    for pat, rep in rules:
-        name = F.regexp_replace(name, pat, rep)
     word_pns = [p for p in post_nominals if re.fullmatch(r"\w+", p)] if postnominal else []
-    name = _word_pass(name, roman, word_pns)
-    if spanish:
-        for cj in SPANISH_CONJUNCTIONS:
-            name = F.regexp_replace(name, r"(\s)" + cj + r"(\s)", "$1" + cj.lower() + "$2")
-    if postnominal:
-        # Post-nominals with punctuation cannot be matched as one word token.
-        for pn in post_nominals:
-            if not re.fullmatch(r"\w+", pn):
-                name = F.regexp_replace(name, r"(?i)\b" + re.escape(pn) + r"\b", pn.replace("$", r"\$"))
-    if lazy:
-        first_lower = F.substring(s, 1, 1) == F.lower(F.substring(s, 1, 1))
-        uniform = (s == F.lower(s)) | (s == F.upper(s))
-        name = F.when(first_lower | uniform, name).otherwise(s)
-    return F.when(s.isNull() | (s == ""), s).otherwise(name)
+
+    def body(s: Column) -> Column:
+        name = _capitalize(s)
+        if irish:
+            name = _let(name, _irish)
+        name = _let(name, lambda v: _word_pass(v, roman, word_pns, spanish=spanish, hebrew=hebrew))
+        if spanish:
+            for cj in SPANISH_CONJUNCTIONS:
+                name = F.regexp_replace(name, r"(\s)" + cj + r"(\s)", "$1" + cj.lower() + "$2")
+        if postnominal:
+            # Post-nominals with punctuation cannot be matched as one word token.
+            for pn in post_nominals:
+                if not re.fullmatch(r"\w+", pn):
+                    name = F.regexp_replace(name, r"(?i)\b" + re.escape(pn) + r"\b", pn.replace("$", r"\$"))
+        if lazy:
+            first_lower = F.substring(s, 1, 1) == F.lower(F.substring(s, 1, 1))
+            uniform = (s == F.lower(s)) | (s == F.upper(s))
+            name = F.when(first_lower | uniform, name).otherwise(s)
+        return F.when(s.isNull() | (s == ""), s).otherwise(name)
+
+    return _let(_col(c), body)
 
 
 def namecase_if_caps(last: Column | str, *cols: Column | str) -> list[Column]:
