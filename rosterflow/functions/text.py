@@ -18,6 +18,8 @@ from typing import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from rosterflow.functions.common import let as _let
+
 TOKENS = r"(\w+|\W+)"
 
 # ---------------------------------------------------------------------------
@@ -77,18 +79,6 @@ def trim_fields(c: Column | str, *, quote_to_apostrophe: bool = False) -> Column
     return F.regexp_replace(x, r"^\s+|\s+$", "")
 
 
-def _let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and hand it to ``body`` as a lambda variable.
-
-    Column expressions have no local binding: a sub-expression used several
-    times is evaluated several times, and chained passes that each read
-    their input more than once would multiply the work.  Wrapping the value
-    in a one-element array and transforming it binds it to a variable that
-    ``body`` may reference freely.
-    """
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _tokens(s: Column) -> Column:
     return F.regexp_extract_all(s, F.lit(TOKENS), 0)
 

@@ -12,14 +12,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rosterflow.functions.common import let
+
 KEY = "patron_id"
 ACTIVITY_CODES = ("C", "O", "L", "F1", "F2", "FS")
 
 
 def _parse_day(s: Column) -> Column:
-    """ISO ``yyyy-MM-dd`` or US ``M/d/yyyy`` text -> DATE (NULL if neither)."""
-    return F.coalesce(F.try_to_timestamp(s, F.lit("yyyy-MM-dd")).cast("date"),
-                      F.try_to_timestamp(s, F.lit("M/d/yyyy")).cast("date"))
+    """ISO ``yyyy-MM-dd`` or US ``M/d/yyyy`` text -> DATE (NULL if neither);
+    the text (a regex extract) is evaluated once."""
+    return let(s, lambda v: F.coalesce(F.try_to_timestamp(v, F.lit("yyyy-MM-dd")).cast("date"),
+                                       F.try_to_timestamp(v, F.lit("M/d/yyyy")).cast("date")))
 
 
 def latest_note(notes: DataFrame, *, marker: str) -> DataFrame:

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rosterflow.functions.common import let
 from rosterflow.functions.text import namecase, namecase_if_caps, scrub_ascii, trim_fields
 from rosterflow.operators.ordered import first_per_key
 
@@ -103,9 +104,11 @@ def _birthday_minus_one(birth: Column, years: int) -> Column:
 
 def age_promotion(bty: Column, birth: Column, *, run_date: str) -> Column:
     """Adults (birth + 18 years - 1 day before ``run_date``): 31-34 -> 46, 37 -> 47 (C11)."""
-    adult = F.coalesce(_birthday_minus_one(birth, 18) < _d(run_date), F.lit(False))
-    return (F.when(bty.isin("31", "32", "33", "34") & adult, F.lit("46"))
-            .when((bty == "37") & adult, F.lit("47")).otherwise(bty))
+    def rule(adult: Column) -> Column:
+        return (F.when(bty.isin("31", "32", "33", "34") & adult, F.lit("46"))
+                .when((bty == "37") & adult, F.lit("47")).otherwise(bty))
+
+    return let(F.coalesce(_birthday_minus_one(birth, 18) < _d(run_date), F.lit(False)), rule)
 
 
 def staff_type_rules(df: DataFrame, *, school_col: str = "school_code") -> DataFrame:
@@ -165,14 +168,18 @@ def guarantor_stop_date(guarantor: Column, birth: Column, *, run_date: str, expi
     otherwise ``least(stop, expiration): GUARANTOR``; a malformed birth date
     uses the expiration date.
     """
-    stop = _birthday_minus_one(birth, 13)
     exp = _d(expiration)
     with_date = lambda d: F.concat(d.cast("string"), F.lit(": "), guarantor)
-    return (F.when(guarantor == "", guarantor)
-            .when(stop.isNull(), with_date(exp))
-            .when(stop < _d(run_date), F.lit(""))
-            .when(stop > exp, with_date(exp))
-            .otherwise(with_date(stop)))
+
+    def rule(stop: Column) -> Column:
+        return (F.when(guarantor == "", guarantor)
+                .when(stop.isNull(), with_date(exp))
+                .when(stop < _d(run_date), F.lit(""))
+                .when(stop > exp, with_date(exp))
+                .otherwise(with_date(stop)))
+
+    # The stop date (a regex test and a date parse) is computed once per row.
+    return let(_birthday_minus_one(birth, 13), rule)
 
 
 def program_mode(df: DataFrame, *, label: str = "Promising Scholars 2026") -> DataFrame:
