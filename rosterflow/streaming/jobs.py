@@ -8,9 +8,13 @@ Sinks are idempotent per micro-batch (a batch id folder is overwritten on
 replay), giving exactly-once results.
 
 * T1 daily counts: event-time tumbling windows of one day with a one-day
-  watermark, append mode (a day is emitted once the watermark passes it).
+  watermark, append mode (a day is emitted once the watermark passes it;
+  events older than the watermark are dropped -- the late-data policy).
 * T2 gap returns: per-item state (last event time and day) with
   ``applyInPandasWithState``; events of a micro-batch are ordered per item.
+  The state is one row per item; the rows of one item in one micro-batch
+  are bounded by the trigger size (``maxFilesPerTrigger`` /
+  ``maxBytesPerTrigger``), which also bounds a hot item's group.
 * T3 last seen: ``foreachBatch`` merge of arriving roster ids into a
   versioned state table (read version n, write version n+1).
 * T4 drops: date-named drop files aggregated per batch with ``foreachBatch``.
