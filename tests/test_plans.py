@@ -50,3 +50,14 @@ def test_bucketed_snapshot_join_has_no_shuffle(spark, views):
     tree = plan_text(joined).split("\n\n")[0]
     assert "SortMergeJoin" in tree and "Exchange" not in tree
     assert joined.count() == views.patron.count()
+
+
+def test_hot_key_shapes(spark):
+    # Checkouts are pre-aggregated (map-side partial count) before the
+    # patron join; the gap window is keyed by item, day and time bucket.
+    p = plan_text(QUERIES["daily_checkouts"](spark, SF))
+    assert "partial_count" in p
+    g = plan_text(QUERIES["txn_gap"](spark, SF))
+    assert "_bucket" in g and "Window" in g
+    d = plan_text(QUERIES["dedupe_student"](spark, SF))
+    assert "Window" not in d and "max_by" in d
