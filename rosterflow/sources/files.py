@@ -8,6 +8,7 @@ inspection reads a single line.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,14 +71,24 @@ def alias_columns(df: DataFrame, target: str, candidates: list[str]) -> DataFram
 
 def read_csv_headered(spark: SparkSession, path: str, *, sep: str | None = None,
                       normalize: bool = False) -> DataFrame:
-    """Headered CSV read by name; rows with a wrong field count are dropped
-    (S3).  The header line fixes the (all-text) schema."""
+    """Headered CSV read by name; rows whose field count differs from the
+    header are dropped (S3).  The header line fixes the (all-text) schema.
+
+    The field count of every line is taken from the raw text (separators
+    outside quotes), so the rows kept do not depend on which columns a query
+    reads -- the parser's DROPMALFORMED mode does, under CSV column pruning.
+    Header lines repeated at the top of further part files are dropped too.
+    As in a CSV table import, an empty field is '' (never NULL).
+    """
     sep = sep or detect_delimiter(spark, path)
     header = spark.read.text(path).limit(1).collect()[0][0]
     names = [n.strip('"') for n in header.split(sep)]
-    schema = string_schema(names)
-    df = (spark.read.schema(schema).option("header", True).option("sep", sep)
-          .option("mode", "DROPMALFORMED").option("enforceSchema", True).csv(path))
+    ddl = ", ".join("`" + n.replace("`", "``") + "` STRING" for n in names)
+    lines = spark.read.text(path).filter(F.col("value") != header)
+    n_fields = F.size(F.split(F.regexp_replace("value", r'"[^"]*"', ""), re.escape(sep), -1))
+    parsed = (lines.filter(n_fields == len(names))
+              .select(F.from_csv("value", ddl, {"sep": sep}).alias("_r")))
+    df = parsed.select(*[F.coalesce(F.col("_r")[n], F.lit("")).alias(n) for n in names])
     return normalize_header(df) if normalize else df
 
 

@@ -69,3 +69,12 @@ def test_header_only_file_and_dynamic_overwrite(spark):
     sinks.write_partitions(spark.createDataFrame([("2024-02-01", 5)], "report_date string, n int"), hist, ["report_date"])
     got = sorted((str(r.report_date), r.n) for r in spark.read.parquet(hist).collect())
     assert got == [("2024-01-31", 1), ("2024-02-01", 5)]
+
+
+def test_ragged_rows_dropped_for_any_projection(spark):
+    d = _tmp()
+    with open(os.path.join(d, "r.tsv"), "w") as f:
+        f.write("a\tb\n1\t2\n3\t4\textra\n5\n6\t\n")
+    df = fs.read_csv_headered(spark, d)
+    assert df.count() == len(df.collect()) == 2
+    assert sorted(tuple(r) for r in df.collect()) == [("1", "2"), ("6", "")]
