@@ -39,7 +39,11 @@ _PIN = "CASE WHEN starts_with(patron_id, '190999') THEN '7357' ELSE concat(subst
 WITH r AS ({q_roster._roster_sql()})
 SELECT {_flat_sql('create', _PIN)} FROM r WHERE patron_id NOT IN (SELECT patron_id FROM v_patron)""")
 def q_payload_create(v):
-    r = _roster(v).join(v.patron.select("patron_id"), "patron_id", "left_anti")
+    # Only patrons missing from the SoR are created: the anti join runs on the
+    # raw roster (ids are not changed by the formatting), so the name-case
+    # work is spent on the new patrons only.
+    raw = fx.roster_df(v).join(v.patron.select("patron_id"), "patron_id", "left_anti")
+    r = ro.format_student_roster(raw, run_date=VIEW_RUN_DATE, expiration=q_roster.EXPIRATION)
     return _flat(ac.payload_create(r))
 
 
