@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rosterflow.session import broadcast_if_small
+
 KEY = "patron_id"
 
 # ZIP codes of the service area.
@@ -157,8 +159,8 @@ def calendar_gate(actions: DataFrame, calendar: DataFrame, *, run_date: str,
              .otherwise(F.lit("closed")))
     out = actions.withColumn("phase", phase)
     if skip_windows is not None:
-        w = F.broadcast(skip_windows.filter((d >= F.col("skip_start")) & (d <= F.col("skip_stop")))
-                        .select(F.col("branch").alias("_sb"), F.col("bty").alias("_st")).distinct())
+        w = broadcast_if_small(skip_windows.filter((d >= F.col("skip_start")) & (d <= F.col("skip_stop")))
+                               .select(F.col("branch").alias("_sb"), F.col("bty").alias("_st")).distinct())
         out = out.join(w, (F.col("default_branch") == F.col("_sb")) & (F.col("bty") == F.col("_st")), "left") \
                  .withColumn("skipped", F.col("_sb").isNotNull()).drop("_sb", "_st")
     else:
