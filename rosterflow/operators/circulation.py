@@ -219,8 +219,12 @@ def latest_checkout(txlog: DataFrame, *, since: str, env_branch: int | None = No
 
 def due_date_extension(open_loans: DataFrame, txlog: DataFrame, patron: DataFrame, *,
                        branch: int, due_before: str, run_date: str,
-                       months: int = 6) -> DataFrame:
-    """Open loans due before a date whose latest checkout was at ``branch``."""
+                       months: int = 6, codes=("C", "O")) -> DataFrame:
+    """Open loans due before a date whose latest checkout was at ``branch``.
+    Loans carrying a ``trans_code`` are restricted to ``codes`` (checked out /
+    overdue)."""
+    if "trans_code" in open_loans.columns:
+        open_loans = open_loans.filter(F.col("trans_code").isin(*codes))
     since = F.add_months(F.trunc(F.lit(run_date).cast("date"), "MM"), -months)
     tx = txlog.filter(F.col("ts") >= since.cast("timestamp_ntz"))
     latest = latest_checkout(tx, since="1900-01-01", env_branch=branch)

@@ -77,3 +77,15 @@ def test_co_partitioned_inputs_join_without_shuffle(spark, small):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_roster_sync_staff_policy(spark, small):
+    sync = RosterSync(run_date="2024-02-01", population="staff")
+    t = sync.plan(small.extract_x, small.sor_x, small.last_seen)
+    upd = t["update"]
+    assert "changed_cols" in upd.columns
+    # Sticky collection status: a SoR status of 2 is kept and never counts as a change.
+    sent = small.sor_x.filter("collection_status = 2").select("patron_id")
+    kept = upd.join(sent, "patron_id")
+    assert kept.filter("collection_status <> 2").count() == 0
+    assert kept.filter("changed_cols LIKE '%collection_status%'").count() == 0
