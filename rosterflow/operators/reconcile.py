@@ -128,8 +128,17 @@ def keep_sor_if(values: tuple, otherwise: Rule) -> Rule:
     return lambda col: F.when(F.col(f"c.{col}").isin(*values), F.col(f"c.{col}")).otherwise(otherwise(col))
 
 
+def today(run_date: str) -> Rule:
+    return lambda col: _d(run_date)
+
+
+def unset(type_name: str) -> Rule:
+    """Leave the field unset (NULL of the given type): the SoR keeps its value."""
+    return lambda col: F.lit(None).cast(type_name)
+
+
 def merge_policy(extract: DataFrame, sor: DataFrame, *,
-                 policy: dict[str, tuple[Rule, Rule]], run_date: str) -> DataFrame:
+                 policy: dict[str, tuple[Rule, Rule]]) -> DataFrame:
     """Merged patron row per extract id from a declarative per-column policy (K5).
 
     ``policy[col] = (rule_if_new, rule_if_existing)``; rules read the extract
@@ -143,10 +152,6 @@ def merge_policy(extract: DataFrame, sor: DataFrame, *,
     return j.select(*cols)
 
 
-def today(run_date: str) -> Rule:
-    return lambda col: _d(run_date)
-
-
 # -- K6: e-mail actions ----------------------------------------------------
 def email_actions(extract: DataFrame, sor: DataFrame, *, school_domain: str,
                   action: str = "send email") -> DataFrame:

@@ -114,6 +114,7 @@ STUDENT_POLICY = {
     "email": (rc.take_extract(), rc.take_sor()),
     "email_notices": (rc.const("1"), rc.const("send email")),
     "collection_status": (rc.const(78), rc.keep_sor_if((2,), rc.const(78))),
+    "registration_date": (rc.today(RUN), rc.unset("date")),
 }
 
 
@@ -122,10 +123,11 @@ SELECT i.patron_id, c.patron_id IS NOT NULL AS exists_in_sor, i.bty, i.last_name
        strftime(i.exp_date, '%Y-%m-%d') AS exp_date, strftime(i.birth_date, '%Y-%m-%d') AS birth_date,
        CASE WHEN c.patron_id IS NULL THEN i.email ELSE c.email END AS email,
        CASE WHEN c.patron_id IS NULL THEN '1' ELSE 'send email' END AS email_notices,
-       CASE WHEN c.patron_id IS NOT NULL AND c.collection_status = 2 THEN 2 ELSE 78 END AS collection_status
+       CASE WHEN c.patron_id IS NOT NULL AND c.collection_status = 2 THEN 2 ELSE 78 END AS collection_status,
+       CASE WHEN c.patron_id IS NULL THEN '2024-02-01' END AS registration_date
 FROM x_extract i LEFT JOIN x_sor c ON i.patron_id = c.patron_id""")
 def q_merged_patron(v):
-    return rc.merge_policy(v.extract_x, v.sor_x, policy=STUDENT_POLICY, run_date=RUN)
+    return rc.merge_policy(v.extract_x, v.sor_x, policy=STUDENT_POLICY)
 
 
 @register("email_actions", sql="""
