@@ -192,8 +192,9 @@ def attribute_changes(extract: DataFrame, sor: DataFrame, *, fields: dict[str, i
     """(create, update) rows for Yes/No attribute fields.
 
     Flags are unpivoted once to ``(id, field, value)``.  A field listed in
-    ``default_yes`` treats a blank extract value as Yes and any non-blank SoR
-    value as present; other fields need Yes/No on both sides.
+    ``default_yes`` reads any extract value other than No (blank, NULL) as
+    Yes and any non-blank SoR value as present; other fields need Yes/No on
+    both sides.
     Code: Yes -> '1', anything else -> '2' (No -> '2' for default-yes fields).
     """
     default_yes = set(default_yes)
@@ -201,7 +202,9 @@ def attribute_changes(extract: DataFrame, sor: DataFrame, *, fields: dict[str, i
     i = _unpivot_flags(extract, fields)
     c = _unpivot_flags(sor, fields)
     i_value = F.when(dy & (F.col("value_name") != "No"), F.lit("Yes")).otherwise(F.col("value_name"))
-    i_ok = F.when(dy, F.col("value_name").isin("Yes", "No", "")).otherwise(F.col("value_name").isin("Yes", "No"))
+    # A default-yes field is tested after mapping (anything but No is Yes),
+    # so every row qualifies; other fields need a literal Yes or No.
+    i_ok = F.when(dy, F.lit(True)).otherwise(F.col("value_name").isin("Yes", "No"))
     code = lambda v: F.when(v == "Yes", F.lit("1")).otherwise(F.lit("2"))
     new = (i.filter(i_ok).select(KEY, "flag", "field_id", i_value.alias("value_name"))
            .withColumn("num_code", code(F.col("value_name"))))

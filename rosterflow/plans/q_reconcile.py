@@ -150,7 +150,7 @@ WITH i AS (
   SELECT patron_id, 'tech_optout' AS flag, 1 AS field_id, tech_optout AS v FROM x_extract WHERE tech_optout IN ('Yes', 'No')
   UNION ALL SELECT patron_id, 'laptop', 3, laptop FROM x_extract WHERE laptop IN ('Yes', 'No')
   UNION ALL SELECT patron_id, 'permission', 4, CASE WHEN permission = 'No' THEN 'No' ELSE 'Yes' END
-            FROM x_extract WHERE permission IN ('Yes', 'No', '')),
+            FROM x_extract),
 c AS (
   SELECT patron_id, 'tech_optout' AS flag FROM x_sor WHERE tech_optout IN ('Yes', 'No')
   UNION ALL SELECT patron_id, 'laptop' FROM x_sor WHERE laptop IN ('Yes', 'No')
