@@ -20,3 +20,16 @@ def test_sql_functions_match_column_functions(spark):
                      text.std_zip("v").alias("c"), text.std_state("v").alias("d"), ro.phone_clean(F.col("v")).alias("e"),
                      ro.school_remap(F.col("v")).alias("f"), net.ip_to_long(F.col("v")).alias("g")).collect()
     assert [tuple(r) for r in got] == [tuple(r) for r in want]
+
+
+def test_sql_namecase_matches_column_namecase(spark, views):
+    from tests.test_text import CASES
+
+    register_sql_functions(spark)
+    names = [c[0] for c in CASES] + ["MACDONALD-MCKAY", "O'NEIL", "JUAN Y MARIA E JOSE", "BIN LADEN X", "AL"]
+    df = spark.createDataFrame([(v,) for v in names], "v string")
+    parts = views.table("part").select(F.concat("p_name", F.lit(" "), "p_type").alias("v"))
+    roster = views.patron.select(F.upper(F.concat("last_name", F.lit(" "), "first_name")).alias("v"))
+    for src in (df, parts, roster):
+        got = src.select("v", F.expr("rf_namecase(v)").alias("a"), text.namecase(F.col("v")).alias("b"))
+        assert got.filter(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
