@@ -14,7 +14,9 @@ replay), giving exactly-once results.
   ``applyInPandasWithState``; events of a micro-batch are ordered per item.
   The state is one row per item; the rows of one item in one micro-batch
   are bounded by the trigger size (``maxFilesPerTrigger`` /
-  ``maxBytesPerTrigger``), which also bounds a hot item's group.
+  ``maxBytesPerTrigger``), which also bounds a hot item's group.  Events
+  are assumed to arrive in time order across micro-batches (an append-only
+  log); the batch job (``circulation.in_house_circ``) is exact for any order.
 * T3 last seen: ``foreachBatch`` merge of arriving roster ids into a
   versioned state table (read version n, write version n+1).
 * T4 drops: date-named drop files aggregated per batch with ``foreachBatch``.
