@@ -324,24 +324,15 @@ def action_summary(actions: dict[str, DataFrame]) -> DataFrame:
     return u.groupBy("action").agg(F.count(F.lit(1)).alias("n"))
 
 
-def reconcile_report_onepass(extract: DataFrame, sor: DataFrame, state: DataFrame, *, by: str,
-                             compare_cols: list[str], run_date: str, grace_days: int = 7,
-                             closed_branch: str = "XMNPS", sor_yes: Column, sor_no: Column,
-                             extract_yes: Column, extract_no: Column) -> DataFrame:
-    """The K11 run report from each input read once: a tagged union of
-    extract, SoR and state grouped by id (one shuffle -- a three-way full
-    outer join without its three exchanges), row flags, and one aggregate by
-    group (a second, map-side combined shuffle).
-
-    Row flags reproduce the action tables: created = extract only; updated =
-    in both and some compare column differs (NULL-safe, the set-difference
-    rule); removed = in the SoR, not closed, and expired after the last-seen
-    merge.  Ids are unique per input (the roster is de-duplicated upstream,
-    the SoR and the state are keyed by id).
-    """
-    e_cols = {"_eg": F.col(by), **{f"_e_{c}": F.col(c) for c in compare_cols},
+def _run_rows(extract: DataFrame, sor: DataFrame, state: DataFrame, *, by: str | None,
+              compare_cols: list[str], run_date: str, grace_days: int, closed_branch: str,
+              sor_yes: Column, sor_no: Column, extract_yes: Column, extract_no: Column):
+    """One row per id over extract, SoR and state (a tagged union grouped by
+    id: one shuffle, each input read once) with the run's row flags."""
+    group = (lambda: F.col(by)) if by else (lambda: F.lit(0))
+    e_cols = {"_eg": group(), **{f"_e_{c}": F.col(c) for c in compare_cols},
               "_ey": extract_yes, "_en": extract_no, "_in_e": F.lit(True)}
-    c_cols = {"_cg": F.col(by), **{f"_c_{x}": F.col(x) for x in compare_cols}, "_edit": F.col("edit_branch"),
+    c_cols = {"_cg": group(), **{f"_c_{x}": F.col(x) for x in compare_cols}, "_edit": F.col("edit_branch"),
               "_cy": sor_yes, "_cn": sor_no, "_in_c": F.lit(True)}
     s_cols = {"_seen": F.col("last_seen"), "_in_s": F.lit(True)}
     parts = {"e": (extract, e_cols), "c": (sor, c_cols), "s": (state, s_cols)}
@@ -369,6 +360,43 @@ def reconcile_report_onepass(extract: DataFrame, sor: DataFrame, state: DataFram
             ("extract_no", F.col("_eg"), in_e & F.coalesce(F.col("_en"), F.lit(False)))]
     pairs = F.filter(F.array(*[F.when(cond, F.struct(g.alias("g"), F.lit(t).alias("t"))) for t, g, cond in tags]),
                      lambda x: x.isNotNull())
-    long = j.select(F.explode(pairs).alias("p")).select("p.g", "p.t")
+    return j.select(F.explode(pairs).alias("p")).select("p.g", "p.t")
+
+
+def reconcile_report_onepass(extract: DataFrame, sor: DataFrame, state: DataFrame, *, by: str,
+                             compare_cols: list[str], run_date: str, grace_days: int = 7,
+                             closed_branch: str = "XMNPS", sor_yes: Column, sor_no: Column,
+                             extract_yes: Column, extract_no: Column) -> DataFrame:
+    """The K11 run report from each input read once: a tagged union of
+    extract, SoR and state grouped by id (one shuffle -- a three-way full
+    outer join without its three exchanges), row flags, and one aggregate by
+    group (a second, map-side combined shuffle).
+
+    Row flags reproduce the action tables: created = extract only; updated =
+    in both and some compare column differs (NULL-safe, the set-difference
+    rule); removed = in the SoR, not closed, and expired after the last-seen
+    merge.  Ids are unique per input (the roster is de-duplicated upstream,
+    the SoR and the state are keyed by id).
+    """
+    long = _run_rows(extract, sor, state, by=by, compare_cols=compare_cols, run_date=run_date,
+                     grace_days=grace_days, closed_branch=closed_branch, sor_yes=sor_yes, sor_no=sor_no,
+                     extract_yes=extract_yes, extract_no=extract_no)
     agg = long.groupBy("g").agg(*[F.count_if(F.col("t") == t).alias(t) for t in REPORT_COLS])
     return agg.filter(F.col("sor") > 0).select(_d(run_date).alias("report_date"), F.col("g").alias(by), *REPORT_COLS)
+
+
+def action_counts(extract: DataFrame, sor: DataFrame, state: DataFrame, *, compare_cols: list[str],
+                  run_date: str, grace_days: int = 7, closed_branch: str = "XMNPS",
+                  actions=("created", "updated", "removed")) -> DataFrame:
+    """Rows per action of one run (A12) from the same one-pass row flags
+    (each input read once), as ``(action, n)``."""
+    f = F.lit(False)
+    long = _run_rows(extract, sor, state, by=None, compare_cols=compare_cols, run_date=run_date,
+                     grace_days=grace_days, closed_branch=closed_branch, sor_yes=f, sor_no=f,
+                     extract_yes=f, extract_no=f)
+    names = {"created": "create", "updated": "update", "removed": "remove"}
+    # One global row of conditional counts (zero counts included), then one
+    # row per action.
+    totals = long.agg(*[F.count_if(F.col("t") == a).alias(a) for a in actions])
+    return totals.select(F.explode(F.array(*[F.struct(F.lit(names.get(a, a)).alias("action"), F.col(a).alias("n"))
+                                             for a in actions])).alias("x")).select("x.action", "x.n")

@@ -250,5 +250,4 @@ SELECT 'create' AS action, count(*) AS n FROM cr
 UNION ALL SELECT 'update', count(*) FROM up
 UNION ALL SELECT 'remove', count(*) FROM rm""")
 def q_action_summary(v):
-    r = run(v)
-    return rc.action_summary({"create": r["create"], "update": r["update"], "remove": r["remove"]})
+    return rc.action_counts(v.extract_x, v.sor_x, v.last_seen, compare_cols=STUDENT_COLS, run_date=RUN)
