@@ -111,21 +111,29 @@ def ineligible_holds(holds: DataFrame, ineligible: DataFrame, *, user_col: str =
 def hold_cancel_plan(matches: DataFrame, collisions: DataFrame, *, limit: int | None = None) -> DataFrame:
     """One action per distinct matched user (K19): ids of length 15 or 6 are
     cancelled, 6-character ids that collide are skipped, other lengths are
-    skipped; ``limit`` caps the processed (non length-skipped) users in
-    numeric order."""
+    skipped.  Users are walked in numeric order; with ``limit``, the walk
+    stops once ``limit`` users were processed (cancelled or skipped as
+    colliding), so later users -- of any kind -- are not listed."""
     users = matches.select("user_id").distinct()
-    col = collisions.select(F.col("value").alias("_c"))
+    col = collisions.select(F.col("value").alias("_c")).distinct()
     j = users.join(col, F.col("user_id") == F.col("_c"), "left")
     n = F.length("user_id")
     action = (F.when(~n.isin(15, 6), F.lit("skip_length"))
               .when((n == 6) & F.col("_c").isNotNull(), F.lit("skip_collision"))
               .otherwise(F.lit("cancel")))
     out = j.select("user_id", action.alias("action"),
-                   F.col("user_id").try_cast("decimal(20,0)").alias("sort_key"))
+                   F.struct(F.col("user_id").try_cast("decimal(20,0)").alias("k"), F.col("user_id").alias("u"))
+                   .alias("_pos"))
     if limit is None:
-        return out.drop("sort_key")
-    done = out.filter(F.col("action") != "skip_length").orderBy("sort_key", "user_id").limit(limit)
-    return done.unionByName(out.filter(F.col("action") == "skip_length")).drop("sort_key")
+        return out.drop("_pos")
+    # Position of the limit-th processed user (a bounded TakeOrdered), as a
+    # scalar sub-query; the walk keeps everything up to it.
+    processed = out.filter(F.col("action") != "skip_length")
+    last = processed.orderBy("_pos").limit(limit).agg(F.max("_pos"), F.count(F.lit(1)))
+    last_pos = last.select(F.col("max(_pos)")).scalar()
+    reached = last.select((F.col("count(1)") >= limit).alias("r")).scalar()
+    keep = ~F.coalesce(reached, F.lit(False)) | (F.col("_pos") <= last_pos)
+    return out.filter(keep).drop("_pos")
 
 
 def graduation_actions(extract: DataFrame, sor: DataFrame, *, grade_type: int = 34,

@@ -38,14 +38,15 @@ def test_out_of_area(spark):
 
 
 def test_hold_cancel_plan_with_cap(spark):
-    holds = spark.createDataFrame([("211920000000009",), ("211920000000003",), ("100060",), ("100070",), ("12345",)],
-                                  "user_id string")
+    holds = spark.createDataFrame([("211920000000009",), ("211920000000003",), ("100060",), ("100070",), ("12345",),
+                                   ("9999999999",)], "user_id string")
     coll = spark.createDataFrame([("100060",)], "value string")
     full = {r.user_id: r.action for r in el.hold_cancel_plan(holds, coll).collect()}
     assert full == {"211920000000009": "cancel", "211920000000003": "cancel", "100060": "skip_collision",
-                    "100070": "cancel", "12345": "skip_length"}
+                    "100070": "cancel", "12345": "skip_length", "9999999999": "skip_length"}
     capped = {r.user_id: r.action for r in el.hold_cancel_plan(holds, coll, limit=2).collect()}
-    # Numeric order: 100060 (skipped, still processed), 100070, then the 15-digit ids.
+    # Numeric order: 12345 (wrong length, not counted), 100060 (skipped, still
+    # processed), 100070; the walk stops there, so 9999999999 is not listed.
     assert capped == {"100060": "skip_collision", "100070": "cancel", "12345": "skip_length"}
 
 
