@@ -120,9 +120,9 @@ def txn_gap(txlog: DataFrame, *, start: str, stop: str) -> DataFrame:
 
     The reference restricts to one day before the window, so the first event
     of a day has no predecessor.  The predecessor is found with
-    ``ordered.previous_row`` (per item and minute bucket, balanced even when
-    one item carries a large share of the events) instead of one window
-    group per item and day.
+    ``ordered.previous_row``: an item-day with very many events is split into
+    minute buckets, so one item carrying a large share of the events does not
+    load one task; the rest is a plain window per item and day.
     """
     t = (txlog.filter((F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
                       & (F.col("ts") < F.lit(stop).cast("timestamp_ntz")))
