@@ -58,18 +58,35 @@ def expand(keys: list[str], registry) -> list[str]:
     return out
 
 
-def implementations(fn) -> list[str]:
+def implementations(fn, seen=None) -> list[str]:
+    """Library functions a query builder calls, following helpers defined in
+    the same plans module."""
+    seen = set() if seen is None else seen
+    if fn in seen:
+        return []
+    seen.add(fn)
     src = inspect.getsource(fn)
     mod = sys.modules[fn.__module__]
     out = []
     for alias, name in re.findall(r"\b([a-z_]+)\.([a-z_][a-z0-9_]*)\(", src):
         obj = getattr(mod, alias, None)
-        if isinstance(obj, types.ModuleType) and obj.__name__.startswith("rosterflow.") and hasattr(obj, name):
-            out.append(f"{obj.__name__.split('.', 1)[1]}.{name}")
+        if isinstance(obj, types.ModuleType) and obj.__name__.startswith("rosterflow."):
+            target = getattr(obj, name, None)
+            if target is None:
+                continue
+            if obj.__name__.startswith("rosterflow.plans"):
+                if inspect.isfunction(target):
+                    out += implementations(target, seen)
+            else:
+                out.append(f"{obj.__name__.split('.', 1)[1]}.{name}")
     for name in re.findall(r"\b([a-z_][a-z0-9_]*)\(", src):
         obj = getattr(mod, name, None)
-        if callable(obj) and getattr(obj, "__module__", "").startswith("rosterflow.") and \
-                not getattr(obj, "__module__", "").startswith("rosterflow.plans"):
+        if not callable(obj) or not getattr(obj, "__module__", "").startswith("rosterflow."):
+            continue
+        if obj.__module__.startswith("rosterflow.plans"):
+            if inspect.isfunction(obj) and obj is not fn:
+                out += implementations(obj, seen)
+        else:
             out.append(f"{obj.__module__.split('.', 1)[1]}.{name}")
     return sorted(set(out))
 
