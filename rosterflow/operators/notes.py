@@ -46,6 +46,22 @@ def expired_note_ids(notes: DataFrame, *, marker: str) -> DataFrame:
                  .alias("expired_note_ids")))
 
 
+def note_summary(notes: DataFrame, *, guarantor_marker: str, expired_marker: str) -> DataFrame:
+    """Per patron, in one aggregate over the notes: the latest guarantor note's
+    guarantor (as ``latest_note``) and the expiry-note id list (as
+    ``expired_note_ids``)."""
+    g_ok = F.col("text").contains(guarantor_marker)
+    e_ok = F.col("text").contains(expired_marker)
+    latest = F.max_by(F.when(g_ok, F.col("text")), F.when(g_ok, F.struct("ts", "note_id")))
+    ids = F.expr("listagg(CASE WHEN _e THEN CAST(note_id AS STRING) END, ',') "
+                 "WITHIN GROUP (ORDER BY ts DESC, note_id DESC)")
+    agg = (notes.filter(g_ok | e_ok).withColumn("_e", e_ok)
+           .groupBy(KEY).agg(latest.alias("_latest"), ids.alias("expired_note_ids")))
+    g = F.upper(F.trim(F.regexp_extract("_latest", r"[-/0-9]+:.+$", 0)))
+    return agg.select(KEY, F.when(F.col("_latest").isNotNull(), F.nullif(g, F.lit(""))).alias("guarantor"),
+                      F.nullif(F.col("expired_note_ids"), F.lit("")).alias("expired_note_ids"))
+
+
 def notes_reappeared(extract: DataFrame, sor_ids: DataFrame) -> DataFrame:
     """SoR rows with expiry notes whose patron is back in the extract."""
     return (sor_ids.filter(F.col("expired_note_ids") != "")
