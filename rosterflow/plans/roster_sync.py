@@ -66,8 +66,15 @@ class RosterSync:
             out["expired_note_delete"] = nt.expired_note_delete(extract, nt.expired_note_ids(notes, marker="Patron expired"))
         sy, sn, ey, en = self._yes_no()
         for by, exempt in (("default_branch", self.closed_branch), ("bty", self.closed_type)):
-            rep = rc.reconcile_report(extract, sor, create, update, remove, by=by, sor_yes=sy, sor_no=sn,
-                                      extract_yes=ey, extract_no=en, run_date=self.run_date)
+            if self.population == "student" and not self.programme:
+                # Same counts as the action tables, each input read once.
+                rep = rc.reconcile_report_onepass(
+                    extract, sor, state, by=by, compare_cols=STUDENT_COMPARE, run_date=self.run_date,
+                    grace_days=self.grace_days, closed_branch=self.closed_branch,
+                    sor_yes=sy, sor_no=sn, extract_yes=ey, extract_no=en)
+            else:
+                rep = rc.reconcile_report(extract, sor, create, update, remove, by=by, sor_yes=sy, sor_no=sn,
+                                          extract_yes=ey, extract_no=en, run_date=self.run_date)
             out[f"report_{by}"] = rep
             out[f"guard_{by}"] = rc.abort_guard(rep, by=by, exempt=exempt)
         return out

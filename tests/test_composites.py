@@ -89,3 +89,16 @@ def test_roster_sync_staff_policy(spark, small):
     kept = upd.join(sent, "patron_id")
     assert kept.filter("collection_status <> 2").count() == 0
     assert kept.filter("changed_cols LIKE '%collection_status%'").count() == 0
+
+
+def test_roster_sync_report_matches_action_tables(spark, small):
+    from pyspark.sql import functions as F
+
+    sync = RosterSync(run_date="2024-02-01")
+    t = sync.plan(small.extract_x, small.sor_x, small.last_seen)
+    b = F.col("bty")
+    slow = rc.reconcile_report(small.extract_x, small.sor_x, t["create"], t["update"], t["remove"], by="bty",
+                               sor_yes=b.between(21, 34) | (b == 46), sor_no=b.between(35, 37) | (b == 47),
+                               extract_yes=F.col("permission") == "Yes", extract_no=F.col("permission") == "No",
+                               run_date="2024-02-01")
+    assert sorted(t["report_bty"].collect()) == sorted(slow.collect())
