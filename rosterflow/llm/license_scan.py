@@ -123,7 +123,7 @@ def _same_spelling(word):
 def canonical_lines(text):
     """Array of the canonical non-empty lines of ``text`` (null: empty array)."""
     folded = F.regexp_replace(F.regexp_replace(F.lower(text), COPYRIGHT_LINE, ""), PUNCTUATION, " ")
-    lines = F.filter(F.transform(F.split(folded, "\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(folded, "\n"), lambda x: F.trim(x)), lambda x: x != "")
     same = F.transform(lines, lambda x: F.array_join(F.transform(F.split(x, " "), _same_spelling), " "))
     return F.coalesce(same, F.array().cast("array<string>"))
 
@@ -159,7 +159,7 @@ def license_scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     lines = (docs.select("doc_id", canonical_lines(F.col("text")).alias("lines"))
              .select(F.monotonically_increasing_id().alias("row"), "doc_id",
                      F.when(F.size("lines") > 0, _digest(F.array_join("lines", " "))).alias("canon_sha256"),
-                     F.transform("lines", _digest).alias("digests"))
+                     F.transform("lines", lambda x: _digest(x)).alias("digests"))
              .select("row", "doc_id", "canon_sha256", F.explode_outer("digests").alias("line_digest")))
     found = (lines.join(by_line, F.col("line_digest") == F.col("k_digest"), "left")
              .groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("canon_sha256").alias("canon_sha256"),
