@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rosterflow.llm import oracle
+from rosterflow.llm.bpe import bpe_round_trip, default_vocabulary
 from rosterflow.llm.common import table
 from rosterflow.llm.license_scan import known_licences, license_scan
 from rosterflow.llm.url_filter import url_verdicts
@@ -24,9 +25,14 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(table(spark, sf_dir, "pages"), rules)
 
 
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_round_trip(table(spark, sf_dir, "documents"), default_vocabulary())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scan": op2_license_scan,
     "op6_url_filter": op6_url_filter,
+    "op10_bpe": op10_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {
