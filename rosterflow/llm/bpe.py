@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterflow.llm.common import bound_batches, slices
+from rosterflow.llm.common import bound_batches, slices, with_fields
 
 # Fixed value: the pattern that byte-level BPE vocabularies of this kind split text with.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -255,7 +255,7 @@ def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str =
     spark = df.sparkSession
     bound_batches(spark)
     shared = spark.sparkContext.broadcast(vocabulary)
-    schema = df.schema.add(ids, "array<int>")
+    schema = with_fields(df, f"`{ids}` array<int>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
@@ -277,7 +277,7 @@ def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: str =
     spark = df.sparkSession
     bound_batches(spark)
     shared = spark.sparkContext.broadcast(vocabulary)
-    schema = df.schema.add(text, "string")
+    schema = with_fields(df, f"`{text}` string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value.token_bytes

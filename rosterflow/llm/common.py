@@ -7,6 +7,7 @@ import uuid
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rosterflow.session import ensure_checkpoint_dir
 
@@ -73,3 +74,8 @@ def packed(df: DataFrame, *columns: str) -> DataFrame:
 
 def unpacked(df: DataFrame) -> DataFrame:
     return df.select("row.*")
+
+
+def with_fields(df: DataFrame, ddl: str) -> T.StructType:
+    """Schema of ``df`` with the columns of ``ddl`` added."""
+    return T.StructType([*df.schema.fields, *T.StructType.fromDDL(ddl).fields])
