@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,7 +52,7 @@ def crc_mod(col: str, n: int):
 
 def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES):
     """Cut a batch into row slices of at most ``most`` bytes of text (one row at least)."""
-    sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
     start, held = 0, 0
     for i, n in enumerate(sizes):
         if held and held + n > most:
