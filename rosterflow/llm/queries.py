@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rosterflow.llm import oracle
 from rosterflow.llm.bpe import bpe_round_trip, default_vocabulary
 from rosterflow.llm.common import table
+from rosterflow.llm.decontam import leak_report
 from rosterflow.llm.license_scan import known_licences, license_scan
 from rosterflow.llm.url_filter import url_verdicts
 
@@ -25,6 +26,10 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(table(spark, sf_dir, "pages"), rules)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leak_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf_dir, "documents"), default_vocabulary())
 
@@ -32,6 +37,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scan": op2_license_scan,
     "op6_url_filter": op6_url_filter,
+    "op8_decontamination": op8_decontamination,
     "op10_bpe": op10_bpe,
 }
 
