@@ -80,3 +80,18 @@ def unpacked(df: DataFrame) -> DataFrame:
 def with_fields(df: DataFrame, ddl: str) -> T.StructType:
     """Schema of ``df`` with the columns of ``ddl`` added."""
     return T.StructType([*df.schema.fields, *T.StructType.fromDDL(ddl).fields])
+
+
+def one_row_per_id(docs: DataFrame, keep_null: bool = False) -> DataFrame:
+    """One row for each doc_id: of rows that repeat an id the one with the smallest text.
+
+    Only ids that occur more than once are grouped; equal texts are told apart
+    by the other columns as a JSON text.  Rows without id go, or all stay.
+    """
+    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 AND doc_id IS NOT NULL").select("doc_id")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    first = (docs.join(repeated, "doc_id", "left_semi")
+             .groupBy("doc_id").agg(F.min_by(row, F.struct(F.col("text").isNull(), "text", F.to_json(row))).alias("row"))
+             .select("row.*"))
+    single = docs.join(repeated, "doc_id", "left_anti")
+    return (single if keep_null else single.where("doc_id IS NOT NULL")).unionByName(first)

@@ -11,6 +11,7 @@ from rosterflow.llm.bpe import bpe_round_trip, default_vocabulary
 from rosterflow.llm.common import table
 from rosterflow.llm.decontam import leak_report
 from rosterflow.llm.license_scan import known_licences, license_scan
+from rosterflow.llm.near_dup import near_duplicates
 from rosterflow.llm.url_filter import url_verdicts
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
@@ -21,6 +22,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"), known_licences(spark))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_verdicts(table(spark, sf_dir, "pages"), rules)
@@ -36,6 +41,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scan": op2_license_scan,
+    "op3_near_duplicates": op3_near_duplicates,
     "op6_url_filter": op6_url_filter,
     "op8_decontamination": op8_decontamination,
     "op10_bpe": op10_bpe,
