@@ -11,6 +11,7 @@ from rosterflow.llm.bpe import bpe_round_trip, default_vocabulary
 from rosterflow.llm.common import table
 from rosterflow.llm.decontam import leak_report
 from rosterflow.llm.license_scan import known_licences, license_scan
+from rosterflow.llm.lm_score import lm_scores
 from rosterflow.llm.near_dup import near_duplicates
 from rosterflow.llm.url_filter import url_verdicts
 
@@ -35,6 +36,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leak_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf_dir, "documents"), default_vocabulary())
 
@@ -44,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_near_duplicates": op3_near_duplicates,
     "op6_url_filter": op6_url_filter,
     "op8_decontamination": op8_decontamination,
+    "op9_lm_score": op9_lm_score,
     "op10_bpe": op10_bpe,
 }
 

@@ -39,17 +39,21 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(text: str) -> np.ndarray:
+def byte_hashes(raw: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each stretch ``first`` to ``end`` of the bytes."""
+    _POWERS.to(len(raw) + 1)
+    total = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_BYTE[raw] * _POWERS.up[:len(raw)], out=total[1:])
+    return (total[end] - total[first]) * _POWERS.down[first] + (end - first).astype(np.uint64)
+
+
+def word_hashes(text: str | bytes) -> np.ndarray:
     """64-bit hash of each word ``[^\\x20\\x09-\\x0D]+`` of the text, A-Z lowered."""
-    raw = np.frombuffer(text.encode().lower(), np.uint8)
+    raw = np.frombuffer((text.encode() if isinstance(text, str) else text).lower(), np.uint8)
     gap = np.concatenate([[True], _IS_SPACE[raw], [True]])
     edge = np.flatnonzero(gap[1:] != gap[:-1])
     first, end = edge[::2], edge[1::2]
-    if not len(first):
-        return np.empty(0, np.uint64)
-    _POWERS.to(len(raw) + 1)
-    total = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[raw] * _POWERS.up[:len(raw)], dtype=np.uint64)])
-    return mix((total[end] - total[first]) * _POWERS.down[first] + (end - first).astype(np.uint64))
+    return mix(byte_hashes(raw, first, end)) if len(first) else np.empty(0, np.uint64)
 
 
 def shingle_set(text: str | None, size: int) -> np.ndarray:
