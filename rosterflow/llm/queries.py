@@ -10,9 +10,11 @@ from rosterflow.llm import oracle
 from rosterflow.llm.bpe import bpe_round_trip, default_vocabulary
 from rosterflow.llm.common import table
 from rosterflow.llm.decontam import leak_report
+from rosterflow.llm.language_id import languages
 from rosterflow.llm.license_scan import known_licences, license_scan
 from rosterflow.llm.lm_score import lm_scores
 from rosterflow.llm.near_dup import near_duplicates
+from rosterflow.llm.quality import quality_scores
 from rosterflow.llm.url_filter import url_verdicts
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
@@ -27,6 +29,14 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(table(spark, sf_dir, "documents"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_verdicts(table(spark, sf_dir, "pages"), rules)
@@ -47,6 +57,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scan": op2_license_scan,
     "op3_near_duplicates": op3_near_duplicates,
+    "op4_language_id": op4_language_id,
+    "op5_quality": op5_quality,
     "op6_url_filter": op6_url_filter,
     "op8_decontamination": op8_decontamination,
     "op9_lm_score": op9_lm_score,
