@@ -1,9 +1,11 @@
 """Quality classifier by compression with two zstandard dictionaries.
 
 One dictionary is built from text labelled good, one from text labelled bad.  A
-text is compressed with both, block by block; the difference of the sizes over
-their sum, put through a logistic curve fitted on further labelled documents,
-is the probability that the text is good.
+text is compressed with both, block by block.  The difference of the sizes over
+the length of the text, put through a logistic curve fitted on further labelled
+documents, is the probability that the text is good.  The length has a constant
+added, and the curve knows how much of the sum is text: a text of a few bytes
+gets about the share of good texts among such, whatever its sizes are.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ PIECES, PIECE = 4, 1024  # samples that a document gives its dictionary, and the
 DICTIONARY = 112_640  # bytes
 BLOCK = 2048  # bytes that are compressed at a time
 LEVEL = 3
+SMOOTH = 256  # bytes that are added to the length of a text
 THRESHOLD = 0.3
 
 
@@ -33,8 +36,7 @@ THRESHOLD = 0.3
 class Classifier:
     good: bytes  # dictionaries
     bad: bytes
-    slope: float = 0.0
-    shift: float = 0.0
+    weights: tuple[float, float, float] = (0.0, 0.0, 0.0)  # of the difference, the share of text and one
 
 
 def dictionary(samples: list[bytes], size: int = DICTIONARY) -> bytes:
@@ -46,7 +48,7 @@ def dictionary(samples: list[bytes], size: int = DICTIONARY) -> bytes:
 
 
 class Compressor:
-    """Normalised difference of the sizes of a text under the two dictionaries."""
+    """Normalised difference of the sizes of a text under the two dictionaries, and the share of text."""
 
     def __init__(self, c: Classifier):
         self.pair = []
@@ -59,10 +61,10 @@ class Compressor:
             else:
                 self.pair.append(zstandard.ZstdCompressor(level=LEVEL, write_content_size=False))
 
-    def __call__(self, text: str | None) -> float:
+    def __call__(self, text: str | None) -> tuple[float, float]:
         raw = text.encode() if text else b""
         good, bad = (sum(len(c.compress(raw[i:i + BLOCK])) for i in range(0, len(raw), BLOCK)) for c in self.pair)
-        return (bad - good) / (bad + good) if raw else 0.0
+        return (bad - good) / (len(raw) + SMOOTH), len(raw) / (len(raw) + SMOOTH)
 
 
 def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -99,50 +101,52 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
     if not samples[0] or not samples[1]:
         return Classifier(b"", b"")
     found = Classifier(dictionary(samples[1]), dictionary(samples[0]))
-    held = (add_difference(labelled.where("half = 1").select("doc_id", "good", "text"), found, "diff")
-            .select("diff", "good").limit(2 * DOCS_PER_CLASS).collect())
-    x, y = np.array([r["diff"] for r in held]), np.array([r.good for r in held], float)
+    held = (add_difference(labelled.where("half = 1").select("doc_id", "good", "text"), found, "d")
+            .select("d.difference", "d.share", "good").limit(2 * DOCS_PER_CLASS).collect())
+    y = np.array([r.good for r in held], float)
     if len(set(y)) == 2:
-        found.slope, found.shift = logistic(x, y)
+        found.weights = logistic(np.array([[r.difference, r.share, 1.0] for r in held]), y)
     return found
 
 
-def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of the logistic curve of greatest likelihood (with a weak pull to zero), by Newton's steps."""
-    scale = float(x.std()) or 1.0
-    a = np.stack([x / scale, np.ones(len(x))], axis=1)
-    w = np.zeros(2)
+def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
+    """Weights of greatest likelihood (with a weak pull to zero), by Newton's steps."""
+    scale = np.maximum(np.abs(x).max(axis=0), 1e-9)
+    a = x / scale
+    w = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + 1e-3 * np.eye(2), a.T @ (y - p) - 1e-3 * w)
+        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + 1e-2 * np.eye(len(w)), a.T @ (y - p) - 1e-2 * w)
         w += step
         if np.abs(step).max() < 1e-9:
             break
-    return float(w[0] / scale), float(w[1])
+    return tuple((w / scale).tolist())
 
 
 def add_difference(docs: DataFrame, classifier: Classifier, out: str) -> DataFrame:
-    """Add ``out``: the normalised difference of sizes of every row's text (null and empty: 0)."""
+    """Add ``out`` (struct of ``difference`` and ``share``) of every row's text (null and empty: 0 and 0)."""
     bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(classifier)
+    result = pa.struct([("difference", pa.float64()), ("share", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         difference = Compressor(shared.value)
         for batch in batches:
             for part in slices(batch):
                 got = [difference(t) for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(got, pa.float64())], [*part.schema.names, out])
+                column = pa.array([{"difference": a, "share": b} for a, b in got], result)
+                yield pa.RecordBatch.from_arrays([*part.columns, column], [*part.schema.names, out])
 
-    return docs.mapInArrow(run, with_fields(docs, f"`{out}` double"))
+    return docs.mapInArrow(run, with_fields(docs, f"`{out}` struct<difference: double, share: double>"))
 
 
 def add_quality(docs: DataFrame, classifier: Classifier, out: str = "quality_score") -> DataFrame:
     """Add ``out``: the probability that the text is good.
 
-    A null or empty text has the score of a text that both dictionaries suit
-    alike.  Repeated rows each get a score; ``out`` must not be a column.
+    A null or empty text has about the score of very short texts.  Repeated rows each get a score; ``out`` must not be a column.
     """
-    z = F.col(f"`{out}`") * classifier.slope + classifier.shift
+    slope, of_share, shift = classifier.weights
+    z = F.col(f"`{out}`.difference") * slope + F.col(f"`{out}`.share") * of_share + shift
     return add_difference(docs, classifier, out).withColumn(out, 1 / (1 + F.exp(-z)))
 
 
