@@ -15,6 +15,7 @@ from rosterflow.llm.license_scan import known_licences, license_scan
 from rosterflow.llm.lm_score import lm_scores
 from rosterflow.llm.near_dup import near_duplicates
 from rosterflow.llm.quality import quality_scores
+from rosterflow.llm.token_counts import load_ranks, section_tokens
 from rosterflow.llm.url_filter import url_verdicts
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
@@ -42,6 +43,13 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(table(spark, sf_dir, "pages"), rules)
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return section_tokens(table(spark, sf_dir, "documents"), ranks)
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leak_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -60,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op5_quality": op5_quality,
     "op6_url_filter": op6_url_filter,
+    "op7_token_counts": op7_token_counts,
     "op8_decontamination": op8_decontamination,
     "op9_lm_score": op9_lm_score,
     "op10_bpe": op10_bpe,
