@@ -17,11 +17,16 @@ from rosterflow.llm.near_dup import near_duplicates
 from rosterflow.llm.quality import quality_scores
 from rosterflow.llm.token_counts import load_ranks, section_tokens
 from rosterflow.llm.url_filter import url_verdicts
+from rosterflow.llm.vector_search import top_k
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
              ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
+def op1_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"), known_licences(spark))
 
@@ -63,6 +68,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_vector_search": op1_vector_search,
     "op2_license_scan": op2_license_scan,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_language_id": op4_language_id,
@@ -75,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_vector_search": oracle.VECTOR_SEARCH,
     "op2_license_scan": oracle.license_scan_sql(),
     "op6_url_filter": oracle.URL_FILTER,
 }
