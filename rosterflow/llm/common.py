@@ -63,20 +63,6 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES)
         yield batch.slice(start)
 
 
-def packed(df: DataFrame, *columns: str) -> DataFrame:
-    """Keep every column in one struct ``row`` beside the named ones.
-
-    The operators add their columns to the named ones, so a column of the input
-    may bear any name.  ``unpacked`` restores the input's columns.
-    """
-    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
-                     *[F.col(f"`{c}`") for c in columns])
-
-
-def unpacked(df: DataFrame) -> DataFrame:
-    return df.select("row.*")
-
-
 def with_fields(df: DataFrame, ddl: str) -> T.StructType:
     """Schema of ``df`` with the columns of ``ddl`` added."""
     return T.StructType([*df.schema.fields, *T.StructType.fromDDL(ddl).fields])
@@ -95,3 +81,11 @@ def one_row_per_id(docs: DataFrame, keep_null: bool = False) -> DataFrame:
              .select("row.*"))
     single = docs.join(repeated, "doc_id", "left_anti")
     return (single if keep_null else single.where("doc_id IS NOT NULL")).unionByName(first)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column (in any case) has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterflow.llm.common import bound_batches, slices, with_fields
+from rosterflow.llm.common import bound_batches, fresh, slices, with_fields
 
 WINDOW = 10
 # Characters of benchmark text that are searched in one pass over the documents.
@@ -228,9 +228,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, out: str = "matches",
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """The documents without any hit word, with their columns."""
-    out = "leak"
-    while out in docs.columns:
-        out += "_"
+    out = fresh(docs, "leak")
     return add_leaks(docs, benchmark, out, size).where(F.col(f"`{out}`.n_hit") == 0).drop(out)
 
 
