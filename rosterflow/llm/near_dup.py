@@ -41,7 +41,7 @@ COORDINATES = 64
 MIN_MATCHES = 34
 HUBS = 3  # hubs that a class is tested against
 SHORT_LIST = 32
-BLOCK = 256  # classes on either side of a block of a long list
+BLOCK_SHINGLES = 250_000  # of the classes on either side of a block of a long list, about
 # A worker's texts of candidate pairs, at two texts a row.
 PAIR_ROWS = 256
 
@@ -129,9 +129,10 @@ def _with_components(postings: DataFrame, comps: DataFrame | None) -> DataFrame:
 
 
 def _open_lists(postings: DataFrame) -> DataFrame:
-    """(key, members) of the lists whose classes are not all connected yet."""
-    return (postings.groupBy("key").agg(F.count("*").alias("members"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-            .where("lo <> hi").select("key", "members"))
+    """(key, members, shingles) of the lists whose classes are not all connected yet."""
+    return (postings.groupBy("key").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"),
+                                        F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+            .where("lo <> hi").select("key", "members", "shingles"))
 
 
 def _long_list_links(postings: DataFrame, lists: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -139,7 +140,7 @@ def _long_list_links(postings: DataFrame, lists: DataFrame, texts: DataFrame, wo
     members = postings.join(lists, "key")
     largest = (members.groupBy("key", "comp").agg(F.count("*").alias("n"))
                .groupBy("key").agg(F.max(F.struct("n", "comp")).alias("m")).select("key", F.col("m.comp").alias("main")))
-    members = members.join(largest, "key").withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
+    members = members.join(largest, "key").withColumn("blocks", F.ceil(F.col("shingles") / BLOCK_SHINGLES).cast("int"))
     members = members.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     rows = members.where("comp <> main").select("key", "id", "comp", F.col("block").alias("i"), every.alias("j"),
@@ -209,7 +210,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coordina
         .join(classes.select("id", "n", "sig"), "id"), "active")
     texts = staged(unique.join(active.select(F.col("id").alias("doc_id")), "doc_id")
                    .select(F.col("doc_id").alias("id"), "text"), "texts")
-    postings = staged(active.select("id", "central", F.explode("prefix").alias("p")).select("id", "central", "p.key"), "postings")
+    postings = staged(active.select("id", "central", "n", F.explode("prefix").alias("p")).select("id", "central", "n", "p.key"), "postings")
 
     def confirm(candidates: DataFrame) -> DataFrame:
         return _confirmed(candidates, active, texts, words, percent, min_matches)
