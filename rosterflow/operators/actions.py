@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rosterflow.operators.notes import EXPIRED_MARKER
+
 KEY = "patron_id"
 # Test-id prefix and PIN, school e-mail domains, note text.
 TEST_PREFIX = "190999"
@@ -49,12 +51,13 @@ def payload_create(roster: DataFrame) -> DataFrame:
 
 
 def payload_update(rows: DataFrame, *, run_date: str, start: str, twenty_day: str) -> DataFrame:
-    """updatePatron rows: as create, but the PIN is reset only between the
-    term start and the twentieth day."""
+    """updatePatron rows: as create, but without the e-mail (the SoR keeps its
+    own) and with the PIN reset only between the term start and the twentieth
+    day."""
     d = _d(run_date)
     reset = (d >= _d(start)) & (d < _d(twenty_day))
     pid = F.col(KEY)
-    out = payload_create(rows).withColumn("action", F.lit("update"))
+    out = payload_create(rows).drop("email").withColumn("action", F.lit("update"))
     return out.withColumn("pin", F.when(pid.startswith(TEST_PREFIX), F.lit(TEST_PIN))
                           .when(reset, _pin(F.col("birth_date"))))
 
@@ -70,7 +73,7 @@ def payload_remove(remove: DataFrame, *, run_date: str, closed_branch: str = "XM
         school_mail = school_mail | (F.instr(F.lower(email), dom.lower()) > 1)
     new_email = F.when(school_mail, F.lit("")).otherwise(email)
     exp = F.coalesce(F.col("last_seen"), F.date_sub(_d(run_date), 1))
-    note = F.concat(F.lit("MNPS patron expired "), exp.cast("string"), F.lit(". Previous branchcode: "),
+    note = F.concat(F.lit(f"MNPS {EXPIRED_MARKER} "), exp.cast("string"), F.lit(". Previous branchcode: "),
                     F.col("default_branch").cast("string"), F.lit(". Previous bty: "), F.col("bty").cast("string"),
                     F.lit("."))
     return remove.select(

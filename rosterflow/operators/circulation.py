@@ -9,8 +9,8 @@ Scale notes
 * The transaction log is the fact table (billions of rows); it is filtered on
   date and type first so the parquet scan prunes row groups, then
   pre-aggregated before any join with the patron table.
-* Branch is a dimension (hundreds of rows): joined through
-  ``broadcast_if_small``, which proves the bound before hinting.
+* Branch is a dimension (hundreds of rows): the planner broadcasts it while it
+  is below ``spark.sql.autoBroadcastJoinThreshold`` bytes, else it shuffles.
 * "Latest per key" is computed with an aggregate (partial combine per map
   task) and a join back, never by sorting one key's rows in one task.
 """
@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterflow.operators.ordered import previous_row
-from rosterflow.session import broadcast_if_small
 
 STAFF_ID = r"^[0-9]{6,7}$"
 STUDENT_ID = r"^190[0-9]{6}$"
@@ -34,7 +33,7 @@ def branch_roles(events: DataFrame, branch: DataFrame, roles: dict[str, str],
     ``roles`` maps an event column holding a branch number to the output
     prefix; each role adds ``<prefix>_code`` and ``<prefix>_group``.
     """
-    dim = broadcast_if_small(branch.select("branch_number", code_col, "branch_group"))
+    dim = (branch.select("branch_number", code_col, "branch_group"))
     out = events
     for col_name, prefix in roles.items():
         d = dim.select(F.col("branch_number").alias(f"_{prefix}_no"),
@@ -102,7 +101,7 @@ def daily_checkouts(txlog: DataFrame, branch: DataFrame, patron: DataFrame, *,
                     F.substring("item_code", -3, 3).alias("i"),
                     F.substring("pat_code", -3, 3).alias("p"))
            .agg(F.count(F.lit(1)).alias("n")))
-    dim = broadcast_if_small(branch.select("branch_number", "branch_code"))
+    dim = (branch.select("branch_number", "branch_code"))
     current = (patron.select("patron_id", "default_branch")
                .join(dim, F.col("default_branch") == F.col("branch_number"), "left")
                .select("patron_id", F.substring("branch_code", -3, 3).alias("now")))
@@ -141,7 +140,7 @@ def in_house_circ(txlog: DataFrame, branch: DataFrame, *, start: str, stop: str,
                   shelf_status: str = "S") -> DataFrame:
     """On-shelf returns per school and day (K14): gap > gap_hours or first of day."""
     g = txn_gap(txlog, start=start, stop=stop)
-    dim = broadcast_if_small(branch.select("branch_number", "branch_code", "branch_group"))
+    dim = (branch.select("branch_number", "branch_code", "branch_group"))
     osr = (g.join(dim, g["item_branch"] == dim["branch_number"], "left")
            .filter((F.col("branch_group") == 2) & F.col("branch_code").rlike("^[0-9]")
                    & (F.col("txn_type") == return_code)
@@ -181,7 +180,7 @@ def collection_count(items: DataFrame, branch: DataFrame, *, run_date: str,
     Items are counted per owning branch first (partial aggregate), then the
     small per-branch result meets the branch dimension.
     """
-    b = broadcast_if_small(school_branches(branch, excluded_names=excluded_names,
+    b = (school_branches(branch, excluded_names=excluded_names,
                                            excluded_prefixes=excluded_prefixes)
                            .select("branch_number", "branch_code"))
     counts = (items.filter(F.col("status").isin(*statuses))
@@ -194,7 +193,7 @@ def collection_count(items: DataFrame, branch: DataFrame, *, run_date: str,
 
 def right_join_counts(items: DataFrame, branch: DataFrame) -> DataFrame:
     """Items per school branch keeping branches without items (J8 as a right join)."""
-    b = broadcast_if_small(school_branches(branch).select("branch_number", "branch_code"))
+    b = (school_branches(branch).select("branch_number", "branch_code"))
     per = items.groupBy("owning_branch").agg(F.count("item_id").alias("n"))
     return (per.join(b, per["owning_branch"] == b["branch_number"], "right")
             .select("branch_number", "branch_code",
@@ -221,10 +220,8 @@ def due_date_extension(open_loans: DataFrame, txlog: DataFrame, patron: DataFram
                        branch: int, due_before: str, run_date: str,
                        months: int = 6, codes=("C", "O")) -> DataFrame:
     """Open loans due before a date whose latest checkout was at ``branch``.
-    Loans carrying a ``trans_code`` are restricted to ``codes`` (checked out /
-    overdue)."""
-    if "trans_code" in open_loans.columns:
-        open_loans = open_loans.filter(F.col("trans_code").isin(*codes))
+    Only loans with a ``trans_code`` of ``codes`` (checked out / overdue) count."""
+    open_loans = open_loans.filter(F.col("trans_code").isin(*codes))
     since = F.add_months(F.trunc(F.lit(run_date).cast("date"), "MM"), -months)
     tx = txlog.filter(F.col("ts") >= since.cast("timestamp_ntz"))
     latest = latest_checkout(tx, since="1900-01-01", env_branch=branch)
@@ -239,25 +236,25 @@ def not_in(df: DataFrame, key: str, sub: DataFrame, sub_key: str) -> DataFrame:
     """SQL ``key NOT IN (select sub_key ...)`` with its null semantics.
 
     When the sub-query yields a NULL nothing qualifies; rows whose own key is
-    NULL never qualify.  Rebuilt as a left-anti join on non-null keys (a
+    NULL qualify only if the sub-query is empty.  Rebuilt as a left-anti join on non-null keys (a
     hash or sort-merge join that scales with both sides) guarded by a scalar
     sub-query flag for NULLs in the sub-query, instead of the null-aware
     anti join that falls back to a nested loop when the sub-query is large.
     """
     s = sub.select(F.col(sub_key).alias("_k"))
-    null_in_sub = s.agg(F.max(F.col("_k").isNull().cast("int"))).scalar()
+    null_in_sub = s.agg(F.max(F.col("_k").isNull().cast("int"))).scalar()  # NULL: the sub-query is empty
     # Distinct keys on the anti side: a key repeated many times in the
     # sub-query (one patron with a third of all loans) becomes one row.
     keys = s.filter(F.col("_k").isNotNull()).distinct()
-    kept = df.filter(F.col(key).isNotNull()).join(keys, F.col(key) == F.col("_k"), "left_anti")
-    return kept.filter(F.coalesce(null_in_sub, F.lit(0)) == 0)
+    kept = df.join(keys, F.col(key) == F.col("_k"), "left_anti")  # keeps NULL keys
+    return kept.filter(null_in_sub.isNull() | ((null_in_sub == 0) & F.col(key).isNotNull()))
 
 
 def fee_waiver(loans: DataFrame, patron: DataFrame, items: DataFrame, branch: DataFrame, *,
                since: str, codes=("L", "O"), excluded_types=(10, 13, 40, 42, 51),
                closed_type: int = 38, student_prefix: str = "190") -> DataFrame:
     """Loans to waive: school patrons, school items, lost/overdue codes."""
-    dim = broadcast_if_small(branch.select("branch_number", "branch_code", "branch_group"))
+    dim = (branch.select("branch_number", "branch_code", "branch_group"))
     t = loans.filter(F.col("trans_code").isin(*codes) & (F.col("trans_date") > F.lit(since).cast("date")))
     p = patron.select("patron_id", "bty", "default_branch")
     i = items.select(F.col("item_id").alias("i_item"), "owning_branch")

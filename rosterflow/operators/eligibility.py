@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterflow.session import broadcast_if_small
 
 KEY = "patron_id"
 
@@ -71,8 +70,8 @@ def bulk_extend(patron: DataFrame, *, run_date: str, types=(4, 16, 17), new_type
                     F.when(in_window, F.date_add(exp, days)).otherwise(exp).alias("new_exp_date")))
 
 
-def bulk_expiry(patron: DataFrame, *, bty: int, exp_date: str, prefix: str, limit: int | None = 10000) -> DataFrame:
-    """Patrons of one type with one expiry date and id prefix, first ``limit`` by id."""
+def bulk_expiry(patron: DataFrame, *, bty: int, exp_date: str, prefix: str, limit: int | None = None) -> DataFrame:
+    """Patrons of one type with one expiry date and id prefix; with ``limit`` the first so many by id."""
     rows = patron.filter((F.col("bty") == bty) & (F.col("exp_date") == _d(exp_date))
                          & F.col(KEY).startswith(prefix)).select(KEY)
     return _cap(rows, limit)
@@ -88,12 +87,9 @@ def ineligible_patrons(patron: DataFrame, *, run_date: str, types=(43, 44, 45),
 def id_collisions(patron: DataFrame, *, length: int = 6) -> DataFrame:
     """Values of ``length`` characters that are one patron's id and another
     patron's guid (J13 / U2)."""
-    vals = (patron.filter(F.length("guid") == length).select(F.col("guid").alias("value"))
-            .union(patron.filter(F.length(KEY) == length).select(F.col(KEY).alias("value"))).distinct())
-    by_id = patron.select(F.col(KEY).alias("_id_pid"), F.col(KEY).alias("value"))
-    by_guid = patron.select(F.col(KEY).alias("_g_pid"), F.col("guid").alias("value"))
-    return (vals.join(by_id, "value").join(by_guid, "value")
-            .filter(F.col("_id_pid") != F.col("_g_pid")).select("value").distinct())
+    ids = patron.filter(F.length(KEY) == length).select(F.col(KEY).alias("value"))
+    guids = patron.filter((F.length("guid") == length) & (F.col("guid") != F.col(KEY))).select(F.col("guid").alias("value"))
+    return guids.distinct().join(ids, "value", "left_semi")
 
 
 def ineligible_holds(holds: DataFrame, ineligible: DataFrame, *, user_col: str = "user_id") -> DataFrame:
@@ -167,7 +163,7 @@ def calendar_gate(actions: DataFrame, calendar: DataFrame, *, run_date: str,
              .otherwise(F.lit("closed")))
     out = actions.withColumn("phase", phase)
     if skip_windows is not None:
-        w = broadcast_if_small(skip_windows.filter((d >= F.col("skip_start")) & (d <= F.col("skip_stop")))
+        w = (skip_windows.filter((d >= F.col("skip_start")) & (d <= F.col("skip_stop")))
                                .select(F.col("branch").alias("_sb"), F.col("bty").alias("_st")).distinct())
         out = out.join(w, (F.col("default_branch") == F.col("_sb")) & (F.col("bty") == F.col("_st")), "left") \
                  .withColumn("skipped", F.col("_sb").isNotNull()).drop("_sb", "_st")

@@ -1,12 +1,12 @@
 """IP range maintenance lists (K31: J20 match, J21 new ranges).
 
-Target lists are typed by a person (tens of lines); range tables can be
-large.  Matching never compares every range with every target:
+Matching never compares every range with every target:
 * exact targets: equi join on the value;
-* CIDR targets: [lo, hi] bounds, exploded to their /8 buckets (at most 256
-  per target), equi join on the bucket of the address plus a range residual;
-* regex targets: the only theta join, against a target side whose size is
-  checked before it is broadcast.
+* CIDR targets: the distinct block sizes of the list (at most 33, a scalar
+  sub-query) give each address one key per size, the number of its block; equi
+  join on (size, block);
+* regex targets: the only theta join, since a pattern has no key; it meets the
+  distinct values only.
 Per range, the first target in list order wins (``min_by``).
 """
 
@@ -28,31 +28,30 @@ def range_values(ranges: DataFrame, fields=("start_ip", "end_ip")) -> DataFrame:
                .filter(F.col("value") != "")
 
 
-def ip_match(ranges: DataFrame, targets: DataFrame, *, max_targets: int = 10_000) -> DataFrame:
-    """First matching target (by ``target_order``) of every range.
+def ip_match(ranges: DataFrame, targets: DataFrame) -> DataFrame:
+    """First matching target (by ``target_order``) of every range (J20), for lists of any length.
 
-    The target list is checked to hold at most ``max_targets`` rows and then
-    broadcast in all three joins, so the range table is never shuffled (a
-    block holding most ranges, e.g. all of 10/8, cannot skew a partition).
-    A longer target list is refused rather than run as a quadratic join.
+    The join with a CIDR block of many ranges is an ordinary equi join, which
+    AQE splits; the planner broadcasts the target side while it is small.
     """
     t = targets.select("target_order", "target")
-    if t.limit(max_targets + 1).count() > max_targets:
-        raise ValueError(f"more than {max_targets} targets")
     vals = range_values(ranges)
-    exact = (vals.join(F.broadcast(t), vals["value"] == t["target"], "inner")
+    exact = (vals.join(t, vals["value"] == t["target"], "inner")
              .select("range_id", "target_order", "target"))
     lo, hi = cidr_bounds(F.col("target"))
     cidr = (t.select("target_order", "target", lo.alias("lo"), hi.alias("hi"))
             .filter(F.col("lo").isNotNull())
-            .withColumn("bucket", F.explode(F.sequence(F.shiftright("lo", 24), F.shiftright("hi", 24)))))
-    by_cidr = (vals.withColumn("bucket", F.shiftright("ip", 24))
-               .join(F.broadcast(cidr), ["bucket"], "inner")
-               .filter(F.col("ip").between(F.col("lo"), F.col("hi")))
+            .select("target_order", "target", (F.col("hi") - F.col("lo") + 1).alias("size"),
+                    F.expr("lo div (hi - lo + 1)").alias("block")))
+    sizes = cidr.agg(F.collect_set("size").alias("sizes")).scalar()
+    by_cidr = (vals.filter(F.col("ip").isNotNull())
+               .withColumn("size", F.explode(sizes)).withColumn("block", F.expr("ip div size"))
+               .join(cidr, ["size", "block"], "inner")
                .select("range_id", "target_order", "target"))
-    rx = F.broadcast(t.filter(F.col("target").rlike(REGEX_CHARS)))
-    by_regex = (vals.join(rx, F.expr("value rlike target"), "inner")
-                .select("range_id", "target_order", "target"))
+    rx = t.filter(F.col("target").rlike(REGEX_CHARS))
+    hits = (vals.select("value").distinct().join(rx, F.expr("value rlike target"), "inner")
+            .groupBy("value").agg(F.min(F.struct("target_order", "target")).alias("m")))
+    by_regex = vals.join(hits, "value").select("range_id", "m.target_order", "m.target")
     allm = exact.unionByName(by_cidr).unionByName(by_regex)
     return allm.groupBy("range_id").agg(F.min_by("target", "target_order").alias("target"))
 

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from rosterflow.functions.common import let
 
 KEY = "patron_id"
+# Words of the expiry notes: the removal writes them, the clean-up finds them (in any case).
+EXPIRED_MARKER = "patron expired"
 ACTIVITY_CODES = ("C", "O", "L", "F1", "F2", "FS")
 
 
@@ -40,7 +42,7 @@ def latest_note(notes: DataFrame, *, marker: str) -> DataFrame:
 
 def expired_note_ids(notes: DataFrame, *, marker: str) -> DataFrame:
     """Comma list of the expiry-note ids of each patron, newest first."""
-    return (notes.filter(F.col("text").contains(marker))
+    return (notes.filter(F.lower("text").contains(marker.lower()))
             .groupBy(KEY)
             .agg(F.expr("listagg(CAST(note_id AS STRING), ',') WITHIN GROUP (ORDER BY ts DESC, note_id DESC)")
                  .alias("expired_note_ids")))
@@ -51,7 +53,7 @@ def note_summary(notes: DataFrame, *, guarantor_marker: str, expired_marker: str
     guarantor (as ``latest_note``) and the expiry-note id list (as
     ``expired_note_ids``)."""
     g_ok = F.col("text").contains(guarantor_marker)
-    e_ok = F.col("text").contains(expired_marker)
+    e_ok = F.lower("text").contains(expired_marker.lower())
     latest = F.max_by(F.when(g_ok, F.col("text")), F.when(g_ok, F.struct("ts", "note_id")))
     ids = F.expr("listagg(CASE WHEN _e THEN CAST(note_id AS STRING) END, ',') "
                  "WITHIN GROUP (ORDER BY ts DESC, note_id DESC)")

@@ -4,10 +4,9 @@ A window ``PARTITION BY key ORDER BY ts`` sends every row of a key to one
 task; if one item or patron holds a third of the rows, that task does a
 third of the work.  The operators here avoid it:
 
-* ``previous_row`` (lag): keys above a row threshold are split into time
-  buckets, so a hot key's rows are spread over many small sorted groups; the
-  first row of each bucket takes its predecessor from a one-row-per-bucket
-  summary of the hot keys.  Other keys run as a plain window.
+* ``previous_row`` (lag): rows are sorted within time buckets of a key, so a
+  hot key is spread over many small groups; the first row of each bucket takes
+  its predecessor from a summary of one row per bucket.
 * ``first_per_key`` (keep-best): two aggregations with map-side partial
   combine (``min`` of a struct per value, ``max_by`` per key), never a
   per-key sort and no self-join.
@@ -18,43 +17,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rosterflow.session import broadcast_if_small
-
 
 def previous_row(df: DataFrame, keys: list[str], ts: str, tiebreak: str, values: list[str], *,
-                 hot_rows: int = 500_000, bucket_seconds: int = 60,
-                 max_hot_keys: int = 200_000) -> DataFrame:
+                 bucket_seconds: int = 60) -> DataFrame:
     """Add ``prev_<v>`` = value of the preceding row of the same key in
     (``ts``, ``tiebreak``) order -- ``lag`` -- without sorting a hot key in
     one task.
 
-    Keys with more than ``hot_rows`` rows (counted with a partial
-    aggregate; at most ``rows / hot_rows`` of them, and their list is
-    broadcast only after ``broadcast_if_small`` proves the bound) are split
-    into time buckets of ``bucket_seconds``; every other key is one group,
-    as in a plain window.  Each group is sorted on its own; the first row of
-    a hot key's bucket takes its predecessor from the last row of the
-    closest earlier non-empty bucket of that key, found on a per-bucket
-    summary of the hot keys only.  Only built-in operators are used.
+    Every key is split into time buckets of ``bucket_seconds``; each bucket is
+    sorted on its own.  The last row of every bucket (a ``max`` of a struct,
+    combined map-side) forms a summary with one row per key and bucket, on
+    which a second window finds the closest earlier bucket.  One plan for all
+    sizes; building it starts no job.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = broadcast_if_small(counts.filter(F.col("_n") > hot_rows).select(*keys, F.lit(True).alias("_hot")),
-                             max_hot_keys)
-    b = df.join(hot, keys, "left").withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False)))
     seconds = F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST({ts} AS TIMESTAMP_NTZ))")
-    b = b.withColumn("_bucket", F.when(F.col("_hot"), F.floor(seconds / bucket_seconds)).otherwise(F.lit(0))
-                     .cast("bigint"))
+    b = df.withColumn("_bucket", F.floor(seconds / bucket_seconds).cast("bigint"))
     part = [*keys, "_bucket"]
     w = Window.partitionBy(*part).orderBy(ts, tiebreak)
     local = b.select("*", *[F.lag(v).over(w).alias(f"prev_{v}") for v in values],
-                     ((F.row_number().over(w) == 1) & F.col("_hot")).alias("_first"))
-    summary = (b.filter(F.col("_hot")).groupBy(*part)
-               .agg(F.max(F.struct(F.col(ts).alias("_o1"), F.col(tiebreak).alias("_o2"),
-                                   *[F.col(v).alias(f"v_{v}") for v in values])).alias("_last")))
-    prior = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(*part, F.last("_last", ignorenulls=True).over(prior).alias("_carry"))
-    # One row per hot bucket: broadcast when provably small, else a shuffle join.
-    j = local.join(broadcast_if_small(carry, max_hot_keys), part, "left")
+                     (F.row_number().over(w) == 1).alias("_first"))
+    summary = b.groupBy(*part).agg(F.max(F.struct(F.col(ts).alias("_o1"), F.col(tiebreak).alias("_o2"),
+                                                  *[F.col(v).alias(f"v_{v}") for v in values])).alias("_last"))
+    carry = summary.select(*part, F.lag("_last").over(Window.partitionBy(*keys).orderBy("_bucket")).alias("_carry"))
+    j = local.join(carry, part, "left")
     return j.select(*df.columns, *[F.when(F.col("_first"), F.col(f"_carry.v_{v}")).otherwise(F.col(f"prev_{v}"))
                                    .alias(f"prev_{v}") for v in values])
 

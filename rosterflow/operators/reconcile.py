@@ -85,8 +85,13 @@ def reconcile_update(extract: DataFrame, sor: DataFrame, *, compare_cols: list[s
     """
     cols = [KEY] + [c for c in compare_cols if c != KEY]
     if policy == "set_difference":
-        diff = extract.select(*cols).subtract(sor.select(*cols))
-        return diff.join(sor.select(KEY), KEY, "left_semi")
+        # One join on the id: a row is new unless the SoR's row of that id is equal, NULLs included.
+        c = sor.select(KEY, *[F.col(x).alias(f"_c_{x}") for x in cols[1:]])
+        same = F.lit(True)
+        for x in cols[1:]:
+            same = same & F.col(x).eqNullSafe(F.col(f"_c_{x}"))
+        j = extract.select(*cols).join(c, KEY, "inner").groupBy(*cols).agg(F.max(same).alias("_same"))
+        return j.filter(~F.col("_same")).select(*cols)
     if policy != "any_column":
         raise ValueError(policy)
     sticky = sticky or {}
@@ -173,11 +178,11 @@ def email_actions(extract: DataFrame, sor: DataFrame, *, school_domain: str,
                     | ((F.col("c_email") == "") & (F.col("i_email") == "") & (F.col("n") != "1"))
                     | ((F.col("c_email") == "") & (F.col("i_email") != "")))
     resend_own = (F.col("c_email") != "") & ~c_school & (F.col("n") == "2")
-    a = j.filter(send_extract).select(KEY, F.col("i_email").alias("email"),
-                                      F.lit(action).alias("email_notices"), F.lit("extract").alias("source"))
-    b = j.filter(resend_own).select(KEY, F.col("c_email").alias("email"),
-                                    F.lit(action).alias("email_notices"), F.lit("sor").alias("source"))
-    return a.unionByName(b)
+    # The rules exclude each other, so one pass decides the address and its source.
+    source = F.when(send_extract, F.lit("extract")).when(resend_own, F.lit("sor"))
+    return (j.withColumn("source", source).filter(F.col("source").isNotNull())
+            .select(KEY, F.when(F.col("source") == "extract", F.col("i_email")).otherwise(F.col("c_email")).alias("email"),
+                    F.lit(action).alias("email_notices"), "source"))
 
 
 # -- K10: attribute (user-defined field) changes ---------------------------

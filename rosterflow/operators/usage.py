@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rosterflow.session import broadcast_if_small
 
 KEY = "patron_id"
 
@@ -38,7 +37,7 @@ def school_lookup(patron_ids: DataFrame, patron: DataFrame, branch: DataFrame, *
     One join instead of IN-lists chunked by 1,000 ids; ids are de-duplicated
     first so the join input is bounded by distinct patrons.
     """
-    b = broadcast_if_small(branch.filter((F.col("branch_group") == 2) & (F.col("branch_code") != closed_code))
+    b = (branch.filter((F.col("branch_group") == 2) & (F.col("branch_code") != closed_code))
                            .select("branch_number", "branch_code"))
     ids = patron_ids.select(KEY).distinct()
     p = patron.select(KEY, F.col(reg_col).alias("_reg"))
@@ -49,7 +48,7 @@ def school_lookup(patron_ids: DataFrame, patron: DataFrame, branch: DataFrame, *
 def lookup_fallback(usage: DataFrame, patron_school: DataFrame, library_school: DataFrame) -> DataFrame:
     """School = patron's registered school, else the vendor library's."""
     u = usage.withColumn(KEY, patron_from_login(F.col("patron_full")))
-    lib = broadcast_if_small(library_school.select(F.col("library_id").alias("_lib"),
+    lib = (library_school.select(F.col("library_id").alias("_lib"),
                                                    F.col("school_code").alias("_lib_school")))
     ps = patron_school.select(KEY, F.col("school_code").alias("_p_school"))
     return (u.join(lib, u["library_id"] == lib["_lib"], "left").join(ps, KEY, "left")
@@ -76,7 +75,7 @@ def vendor_usage_a(usage: DataFrame, library_school: DataFrame, patron: DataFram
                         patron_from_login(F.col("patron_full")).alias(KEY), "checkouts")
            .groupBy("library_id", "year_month_day", KEY).agg(F.sum("checkouts").alias("checkouts")))
     ps = school_lookup(pre.select(KEY), patron, branch).select(KEY, F.col("school_code").alias("_p_school"))
-    lib = broadcast_if_small(library_school.select(F.col("library_id").alias("_lib"),
+    lib = (library_school.select(F.col("library_id").alias("_lib"),
                                                    F.col("school_code").alias("_lib_school")))
     rows = (pre.join(lib, pre["library_id"] == lib["_lib"], "left").join(ps, KEY, "left")
             .withColumn("school_code", F.coalesce("_p_school", "_lib_school"))
@@ -133,7 +132,7 @@ def email_name_match(usage: DataFrame, roster: DataFrame, *, user_col: str = "us
 
 def vendor_usage_c(usage: DataFrame, patron: DataFrame, branch: DataFrame, *, report_date: str) -> DataFrame:
     """Vendor C checkouts by guid (K18): inner join on the guid, sum per patron."""
-    b = broadcast_if_small(branch.select("branch_number", "branch_code"))
+    b = (branch.select("branch_number", "branch_code"))
     p = patron.select(KEY, "guid", "default_branch").join(
         b, F.col("default_branch") == F.col("branch_number"), "left")
     # One row per guid before the join: a heavy user does not skew it.

@@ -104,7 +104,8 @@ SELECT s_suppkey AS range_id,
 FROM supplier""",
     "v_open_loan": """
 SELECT user_id AS item_id, CAST(190000000 + event_id % 150 AS VARCHAR) AS patron_id,
-       CAST(CAST(ts AS DATE) + 21 AS DATE) AS due_date
+       CAST(CAST(ts AS DATE) + 21 AS DATE) AS due_date,
+       CASE WHEN event_id % 10 = 9 THEN 'L' WHEN event_id % 2 = 0 THEN 'C' ELSE 'O' END AS trans_code
 FROM events WHERE event_id % 3 <> 2""",
     "v_holds": """
 SELECT guid AS user_id, 1 AS hold_no FROM v_patron WHERE bty IN (3, 14, 43, 44, 45, 52)

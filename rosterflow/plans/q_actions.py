@@ -17,7 +17,7 @@ FLAT = ["patron_id", "action", "patron_type", "last_name", "first_name", "defaul
 
 
 def _flat(df):
-    return df.select(*FLAT, F.col("addresses")[0]["street"].alias("primary_street"),
+    return df.select(*[c for c in FLAT if c in df.columns], F.col("addresses")[0]["street"].alias("primary_street"),
                      F.col("addresses")[0]["city"].alias("city"), F.col("addresses")[1]["street"].alias("sponsor_street"))
 
 
@@ -25,8 +25,8 @@ def _roster(v):
     return ro.format_student_roster(fx.roster_df(v), run_date=VIEW_RUN_DATE, expiration=q_roster.EXPIRATION)
 
 
-def _flat_sql(action: str, pin: str) -> str:
-    return (f"patron_id, '{action}' AS action, bty AS patron_type, last_name, first_name, default_branch, email, "
+def _flat_sql(action: str, pin: str, email: str = "email, ") -> str:
+    return (f"patron_id, '{action}' AS action, bty AS patron_type, last_name, first_name, default_branch, {email}"
             f"birth_date, expiration_date, {pin} AS pin, "
             f"CASE WHEN teacher_id <> '' THEN 'Sponsor' ELSE 'Primary' END AS preferred_address, "
             f"teacher_name AS sponsor_name, street AS primary_street, city, teacher_id AS sponsor_street")
@@ -49,7 +49,7 @@ def q_payload_create(v):
 
 @register("payload_update", sql=f"""
 WITH r AS ({q_roster._roster_sql()})
-SELECT {_flat_sql('update', _PIN)} FROM r
+SELECT {_flat_sql('update', _PIN, email='')} FROM r
 WHERE EXISTS (SELECT 1 FROM v_patron c WHERE c.patron_id = r.patron_id
               AND (r.bty <> CAST(c.bty AS VARCHAR) OR r.last_name <> c.last_name))""")
 def q_payload_update(v):

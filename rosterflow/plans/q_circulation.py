@@ -12,35 +12,41 @@ START, STOP = "2024-01-01", VIEW_RUN_DATE
 
 
 @register("daily_checkouts", sql="""
-WITH co AS (
-  SELECT * FROM v_txlog
-  WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-02-01' AND txn_type = 'CH'
-), cos AS (
-  SELECT CASE WHEN co.env_branch <> 29 AND bre.branch_group = 2 AND bri.branch_group = 2 THEN 'school'
-              WHEN co.env_branch = 29 AND bri.branch_group = 1 THEN 'public' END AS owner,
-         CASE WHEN regexp_matches(co.patron_id, '^[0-9]{6,7}$') AND co.patron_id NOT LIKE '999%' THEN 'staff'
-              WHEN regexp_matches(co.patron_id, '^190[0-9]{6}$') AND co.patron_id NOT LIKE '190999%' THEN 'student' END AS population,
-         right(bre.branch_code, 3) AS e, right(bri.branch_code, 3) AS i, right(brp.branch_code, 3) AS p,
-         strftime(co.ts, '%Y%m%d') AS year_month_day, co.patron_id
-  FROM co
-  LEFT JOIN v_branch bre ON co.env_branch = bre.branch_number
-  LEFT JOIN v_branch bri ON co.item_branch = bri.branch_number
-  LEFT JOIN v_branch brp ON co.patron_branch = brp.branch_number
-), coss AS (
-  SELECT owner, population, year_month_day, cos.patron_id,
-         CASE WHEN e = '181' AND i = '181' AND (p = '508' OR right(b.branch_code, 3) = '508') THEN p
-              WHEN e = i AND e <> p AND e = right(b.branch_code, 3) THEN e
-              WHEN e = i AND e <> p AND e <> right(b.branch_code, 3) THEN NULL
-              WHEN e <> i AND e <> p AND i <> p THEN NULL
-              ELSE right(p, 3) END AS school_code
-  FROM cos
-  LEFT JOIN v_patron pt ON cos.patron_id = pt.patron_id
-  LEFT JOIN v_branch b ON pt.default_branch = b.branch_number
-  WHERE owner IS NOT NULL AND population IS NOT NULL
+WITH person AS (
+  SELECT patron_id, default_branch FROM v_patron
+), seen AS (
+  SELECT t.patron_id, t.ts, t.env_branch = 29 AS at_public,
+         (SELECT any_value(branch_group) FROM v_branch WHERE branch_number = t.env_branch) AS env_group,
+         (SELECT any_value(branch_group) FROM v_branch WHERE branch_number = t.item_branch) AS item_group,
+         (SELECT any_value(right(branch_code, 3)) FROM v_branch WHERE branch_number = t.env_branch) AS site,
+         (SELECT any_value(right(branch_code, 3)) FROM v_branch WHERE branch_number = t.item_branch) AS owned,
+         (SELECT any_value(right(branch_code, 3)) FROM v_branch WHERE branch_number = t.patron_branch) AS home,
+         (SELECT any_value(right(b.branch_code, 3)) FROM person n JOIN v_branch b ON b.branch_number = n.default_branch
+          WHERE n.patron_id = t.patron_id) AS today
+  FROM v_txlog t
+  WHERE t.txn_type = 'CH' AND CAST(t.ts AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'
+), typed AS (
+  SELECT *, CASE length(patron_id) WHEN 9 THEN 'student' ELSE 'staff' END AS population,
+         CASE WHEN at_public THEN 'public' ELSE 'school' END AS owner
+  FROM seen
+  WHERE regexp_full_match(patron_id, '[0-9]+')
+    AND ((length(patron_id) = 9 AND patron_id[1:3] = '190' AND patron_id[4:6] <> '999')
+         OR (length(patron_id) IN (6, 7) AND patron_id[1:3] <> '999'))
+    AND ((at_public AND item_group = 1) OR (NOT at_public AND env_group = 2 AND item_group = 2))
+), rules AS (
+  SELECT *, list_position([
+           coalesce(site = '181' AND owned = '181' AND '508' IN (home, today), FALSE),
+           coalesce(site = owned AND home <> site AND today = site, FALSE),
+           coalesce(site = owned AND home <> site AND today <> site, FALSE),
+           coalesce(site <> owned AND site <> home AND owned <> home, FALSE),
+           TRUE], TRUE) AS rule
+  FROM typed
 )
-SELECT owner, population, school_code, year_month_day, patron_id, count(*) AS checkouts
-FROM coss WHERE school_code IS NOT NULL
-GROUP BY owner, population, school_code, year_month_day, patron_id
+SELECT owner, population, CASE rule WHEN 2 THEN site ELSE home END AS school_code,
+       strftime(ts, '%Y%m%d') AS year_month_day, patron_id, count(*) AS checkouts
+FROM rules
+WHERE rule IN (1, 2, 5) AND CASE rule WHEN 2 THEN site ELSE home END IS NOT NULL
+GROUP BY ALL
 """)
 def q_daily_checkouts(v):
     return circ.daily_checkouts(v.txlog, v.branch, v.patron, start=START, stop=STOP)
@@ -75,49 +81,44 @@ def q_txn_gap(v):
 
 
 @register("in_house_circ", sql="""
-WITH txp AS (
-  SELECT t.*, lag(ts) OVER (PARTITION BY item_id, CAST(ts AS DATE) ORDER BY ts, txn_id) AS prev_ts
-  FROM v_txlog t WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-02-01'
-), osr AS (
-  SELECT b.branch_code, CAST(txp.ts AS DATE) AS d
-  FROM txp LEFT JOIN v_branch b ON txp.item_branch = b.branch_number
-  WHERE b.branch_group = 2 AND regexp_matches(b.branch_code, '^[0-9]')
-    AND txn_type = 'DS' AND status_before = 'S'
-    AND (prev_ts IS NULL OR ts > prev_ts + INTERVAL 2 HOUR)
-)
-SELECT substr(branch_code, 3, 3) AS school_code, strftime(d, '%Y-%m-%d') AS report_date, count(*) AS in_house
-FROM osr GROUP BY branch_code, d
+SELECT substr(b.branch_code, 3, 3) AS school_code, strftime(t.ts, '%Y-%m-%d') AS report_date, count(*) AS in_house
+FROM v_txlog t JOIN v_branch b ON b.branch_number = t.item_branch AND b.branch_group = 2
+WHERE t.txn_type = 'DS' AND t.status_before = 'S' AND ascii(b.branch_code) BETWEEN ascii('0') AND ascii('9')
+  AND t.ts BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2024-01-31 23:59:59.999999'
+  AND NOT EXISTS (  -- an earlier event of that item on that day, two hours back at most
+    SELECT 1 FROM v_txlog e
+    WHERE e.item_id = t.item_id AND (e.ts, e.txn_id) < (t.ts, t.txn_id)
+      AND e.ts >= greatest(date_trunc('day', t.ts), t.ts - INTERVAL 2 HOUR))
+GROUP BY b.branch_code, 2
 """)
 def q_in_house_circ(v):
     return circ.in_house_circ(v.txlog, v.branch, start=START, stop=STOP)
 
 
 @register("collection_count", sql="""
-WITH b AS (SELECT * FROM v_branch WHERE branch_group = 2
-             AND branch_name NOT IN ('Bailey building - MNPS', 'Bransford building - MNPS', 'Former MNPS',
-                 'Limitless Bookmobile Annex', 'Limitless Libraries', 'Limitless Libraries Bookmobile',
-                 'Mark as error', 'Martin Professional Development Center', 'NPL delivery only')
-             AND branch_name NOT LIKE 'Robertson Academy%' AND branch_name NOT LIKE 'DO NOT USE%'
-             AND branch_name NOT LIKE 'DNU%' AND branch_name NOT LIKE 'was %'),
-ic AS (SELECT i.owning_branch, count(i.item_id) AS n FROM v_item i JOIN b ON i.owning_branch = b.branch_number
-       WHERE i.status IN ('C','H','I','IH','S','SC','SI','SP','SS','SU') GROUP BY i.owning_branch)
-SELECT substr(b.branch_code, 3) AS school_code, ic.n AS collection_count, '2024-02-01' AS report_date
-FROM ic JOIN b ON b.branch_number = ic.owning_branch
+SELECT school_code, sum(held)::BIGINT AS collection_count, '2024-02-01' AS report_date
+FROM (SELECT branch_number, substr(branch_code, 3) AS school_code FROM v_branch
+      WHERE branch_group = 2 AND NOT list_contains(['Bailey building - MNPS', 'Bransford building - MNPS', 'Former MNPS', 'Limitless Bookmobile Annex',
+  'Limitless Libraries', 'Limitless Libraries Bookmobile', 'Mark as error', 'Martin Professional Development Center',
+  'NPL delivery only'], branch_name)
+  AND NOT regexp_matches(branch_name, '^(Robertson Academy|DO NOT USE|DNU|was )')) s
+JOIN LATERAL (SELECT count(*) AS held FROM v_item
+              WHERE owning_branch = s.branch_number
+                AND list_contains(['C', 'H', 'I', 'IH', 'S', 'SC', 'SI', 'SP', 'SS', 'SU'], status)) h ON h.held > 0
+GROUP BY branch_number, school_code
 """)
 def q_collection_count(v):
     return circ.collection_count(v.item, v.branch, run_date=VIEW_RUN_DATE)
 
 
 @register("right_join_counts", sql="""
-WITH b AS (SELECT * FROM v_branch WHERE branch_group = 2
-             AND branch_name NOT IN ('Bailey building - MNPS', 'Bransford building - MNPS', 'Former MNPS',
-                 'Limitless Bookmobile Annex', 'Limitless Libraries', 'Limitless Libraries Bookmobile',
-                 'Mark as error', 'Martin Professional Development Center', 'NPL delivery only')
-             AND branch_name NOT LIKE 'Robertson Academy%' AND branch_name NOT LIKE 'DO NOT USE%'
-             AND branch_name NOT LIKE 'DNU%' AND branch_name NOT LIKE 'was %')
-SELECT b.branch_number, b.branch_code, count(i.item_id) AS item_count
-FROM v_item i RIGHT JOIN b ON i.owning_branch = b.branch_number
-GROUP BY b.branch_number, b.branch_code
+SELECT branch_number, branch_code,
+       (SELECT count(*) FROM v_item WHERE owning_branch = v_branch.branch_number) AS item_count
+FROM v_branch
+WHERE branch_group = 2 AND NOT list_contains(['Bailey building - MNPS', 'Bransford building - MNPS', 'Former MNPS', 'Limitless Bookmobile Annex',
+  'Limitless Libraries', 'Limitless Libraries Bookmobile', 'Mark as error', 'Martin Professional Development Center',
+  'NPL delivery only'], branch_name)
+  AND NOT regexp_matches(branch_name, '^(Robertson Academy|DO NOT USE|DNU|was )')
 """)
 def q_right_join_counts(v):
     return circ.right_join_counts(v.item, v.branch)
@@ -134,13 +135,14 @@ def q_latest_checkout(v):
 
 
 @register("due_date_extension", sql="""
-WITH ti AS (SELECT * FROM v_open_loan WHERE due_date < DATE '2024-02-15'),
-txx AS (SELECT t.*, rank() OVER (PARTITION BY item_id ORDER BY ts DESC) AS rk
-        FROM v_txlog t WHERE ts >= TIMESTAMP '2023-08-01' AND txn_type = 'CH' AND env_branch = 2),
-tix AS (SELECT DISTINCT ti.item_id, ti.patron_id FROM ti JOIN txx ON ti.item_id = txx.item_id AND ti.patron_id = txx.patron_id
-        WHERE txx.rk = 1)
-SELECT tix.patron_id, tix.item_id, strftime(p.exp_date, '%Y-%m-%d') AS exp_date
-FROM tix JOIN v_patron p ON tix.patron_id = p.patron_id WHERE DATE '2024-02-01' < p.exp_date
+SELECT DISTINCT o.patron_id, o.item_id, strftime(p.exp_date, '%Y-%m-%d') AS exp_date
+FROM v_open_loan o JOIN v_patron p USING (patron_id)
+WHERE p.exp_date > DATE '2024-02-01' AND o.due_date < DATE '2024-02-15' AND o.trans_code IN ('C', 'O')
+  AND EXISTS (  -- this patron made the last checkout of the item at the branch
+    SELECT 1 FROM v_txlog t
+    WHERE t.item_id = o.item_id AND t.patron_id = o.patron_id AND t.txn_type = 'CH' AND t.env_branch = 2
+      AND t.ts = (SELECT max(l.ts) FROM v_txlog l
+                  WHERE l.item_id = o.item_id AND l.txn_type = 'CH' AND l.env_branch = 2 AND l.ts >= TIMESTAMP '2023-08-01'))
 """)
 def q_due_date_extension(v):
     return circ.due_date_extension(v.open_loan, v.txlog, v.patron,
@@ -156,16 +158,13 @@ def q_not_in_antijoin(v):
 
 
 @register("fee_waiver", sql="""
-SELECT t.item_id, ib.branch_code AS item_branch_code, t.patron_id, CAST(t.amount AS VARCHAR) AS amount
-FROM v_loan t
-LEFT JOIN v_patron p ON t.patron_id = p.patron_id
-LEFT JOIN v_item i ON CAST(t.item_id AS VARCHAR) = i.item_id
-LEFT JOIN v_branch pb ON p.default_branch = pb.branch_number
-LEFT JOIN v_branch ib ON i.owning_branch = ib.branch_number
-WHERE p.bty NOT IN (10, 13, 40, 42, 51)
-  AND t.trans_code IN ('L', 'O') AND t.trans_date > DATE '1997-01-01'
-  AND ib.branch_group = 2 AND pb.branch_group = 2
-  AND t.patron_id NOT IN (SELECT pp.patron_id FROM v_patron pp WHERE pp.bty = 38 AND pp.patron_id NOT LIKE '190%')
+WITH schools AS (SELECT list(branch_number) AS numbers FROM v_branch WHERE branch_group = 2)
+SELECT l.item_id, (SELECT any_value(branch_code) FROM v_branch WHERE branch_number = i.owning_branch) AS item_branch_code,
+       l.patron_id, CAST(l.amount AS VARCHAR) AS amount
+FROM v_loan l JOIN v_patron p USING (patron_id) JOIN v_item i ON i.item_id = CAST(l.item_id AS VARCHAR), schools
+WHERE l.trans_code IN ('L', 'O') AND l.trans_date >= DATE '1997-01-02'
+  AND NOT list_contains([10, 13, 40, 42, 51], p.bty) AND (p.bty <> 38 OR starts_with(l.patron_id, '190'))
+  AND list_contains(schools.numbers, i.owning_branch) AND list_contains(schools.numbers, p.default_branch)
 """)
 def q_fee_waiver(v):
     return circ.fee_waiver(v.loan, v.patron, v.item, v.branch, since="1997-01-01")

@@ -50,8 +50,7 @@ def q_bulk_extend(v):
 
 
 @register("bulk_expiry", sql="""
-SELECT patron_id FROM v_patron WHERE bty = 48 AND exp_date = DATE '2024-10-01' AND patron_id LIKE 'B%'
-ORDER BY patron_id LIMIT 10000""")
+SELECT patron_id FROM v_patron WHERE bty = 48 AND exp_date = DATE '2024-10-01' AND patron_id LIKE 'B%'""")
 def q_bulk_expiry(v):
     return el.bulk_expiry(v.patron, bty=48, exp_date="2024-10-01", prefix="B")
 
@@ -67,12 +66,9 @@ def q_ineligible_patrons(v):
 
 
 COLLISION_SQL = """
-WITH six AS (SELECT DISTINCT guid AS value FROM v_patron WHERE length(guid) = 6
-             UNION SELECT DISTINCT patron_id FROM v_patron WHERE length(patron_id) = 6)
-SELECT DISTINCT six.value FROM six
-JOIN v_patron p_id ON p_id.patron_id = six.value
-JOIN v_patron p_guid ON p_guid.guid = six.value
-WHERE p_id.patron_id <> p_guid.patron_id"""
+SELECT guid AS value FROM v_patron g
+WHERE length(guid) = 6 AND EXISTS (SELECT 1 FROM v_patron p WHERE p.patron_id = g.guid AND p.patron_id <> g.patron_id)
+GROUP BY guid"""
 
 
 @register("id_collisions", sql=COLLISION_SQL)

@@ -6,7 +6,7 @@ from rosterflow.operators import notes as nt
 from rosterflow.plans.catalog import register
 from rosterflow.sources.tables import VIEW_RUN_DATE
 
-GUARANTOR, EXPIRED = "Guarantor effective", "Patron expired"
+GUARANTOR, EXPIRED = "Guarantor effective", nt.EXPIRED_MARKER
 
 LATEST_SQL = """
 SELECT patron_id, first(text ORDER BY ts DESC, note_id DESC) AS text

@@ -37,28 +37,32 @@ def report(v, by):
         extract_yes=F.col("permission") == "Yes", extract_no=F.col("permission") == "No")
 
 
-# Independent SQL of the state steps: insert unseen SoR ids with NULL, stamp
-# ids in the extract, insert new extract ids, expire NULL / stale rows.
+# The state from one list of who was seen where: each id once, with its last day and what holds it.
 STATE_SQL = """
-s1 AS (SELECT patron_id, last_seen FROM v_last_seen
-       UNION ALL SELECT c.patron_id, CAST(NULL AS DATE) FROM x_sor c
-       WHERE c.patron_id NOT IN (SELECT patron_id FROM v_last_seen)),
-s2 AS (SELECT patron_id, CASE WHEN patron_id IN (SELECT patron_id FROM x_extract) THEN DATE '2024-02-01'
-                              ELSE last_seen END AS last_seen FROM s1
-       UNION ALL SELECT i.patron_id, DATE '2024-02-01' FROM x_extract i
-       WHERE i.patron_id NOT IN (SELECT patron_id FROM s1)),
-expired AS (SELECT * FROM s2 WHERE last_seen IS NULL OR last_seen < DATE '2024-01-25'),
-rm AS (SELECT DISTINCT e.patron_id, e.last_seen, c.email, c.collection_status, c.default_branch, c.bty
-       FROM expired e LEFT JOIN x_sor c ON e.patron_id = c.patron_id WHERE c.edit_branch <> 'XMNPS'),
-cr AS (SELECT i.* FROM x_extract i LEFT JOIN x_sor c ON i.patron_id = c.patron_id WHERE c.patron_id IS NULL),
-up AS (SELECT patron_id, bty, last_name, first_name, default_branch, exp_date, birth_date FROM x_extract
-       EXCEPT SELECT patron_id, bty, last_name, first_name, default_branch, exp_date, birth_date FROM x_sor
-       EXCEPT SELECT patron_id, bty, last_name, first_name, default_branch, exp_date, birth_date FROM cr)"""
+sighted AS (
+  SELECT patron_id, max(day) AS last_seen, bool_or(roster) AS in_roster, bool_or(live) AS in_sor FROM (
+    SELECT patron_id, last_seen AS day, FALSE AS roster, FALSE AS live FROM v_last_seen
+    UNION ALL BY NAME SELECT patron_id, DATE '2024-02-01' AS day, TRUE AS roster, FALSE AS live FROM x_extract
+    UNION ALL BY NAME SELECT patron_id, FALSE AS roster, TRUE AS live FROM x_sor)
+  GROUP BY patron_id
+), aged AS (
+  SELECT *, coalesce(date_diff('day', last_seen, DATE '2024-02-01') > 7, TRUE) AS gone FROM sighted
+), rm AS (
+  SELECT c.patron_id, a.last_seen, c.email, c.collection_status, c.default_branch, c.bty
+  FROM x_sor c JOIN aged a USING (patron_id) WHERE a.gone AND c.edit_branch <> 'XMNPS' GROUP BY ALL
+), cr AS (
+  SELECT * FROM x_extract i WHERE NOT EXISTS (SELECT 1 FROM x_sor WHERE patron_id = i.patron_id)
+), up AS (
+  SELECT DISTINCT patron_id, bty, last_name, first_name, default_branch, exp_date, birth_date
+  FROM x_extract i
+  WHERE (SELECT bool_and((c.bty, c.last_name, c.first_name, c.default_branch, c.exp_date, c.birth_date)
+                         IS DISTINCT FROM (i.bty, i.last_name, i.first_name, i.default_branch, i.exp_date, i.birth_date))
+         FROM x_sor c WHERE c.patron_id = i.patron_id)
+)"""
 
 
 @register("last_seen_merge", sql=f"""WITH {STATE_SQL}
-SELECT patron_id, strftime(last_seen, '%Y-%m-%d') AS last_seen FROM s2
-WHERE NOT (last_seen IS NULL OR last_seen < DATE '2024-01-25')""")
+SELECT patron_id, strftime(last_seen, '%Y-%m-%d') AS last_seen FROM aged WHERE NOT gone""")
 def q_last_seen_merge(v):
     return run(v)["state"]
 
@@ -77,9 +81,9 @@ def q_reconcile_remove(v):
 
 
 @register("reconcile_create", sql="""
-SELECT i.patron_id, i.bty, i.last_name, i.first_name, i.default_branch,
-       strftime(i.exp_date, '%Y-%m-%d') AS exp_date, strftime(i.birth_date, '%Y-%m-%d') AS birth_date, i.email
-FROM v_extract i LEFT JOIN v_patron c ON i.patron_id = c.patron_id WHERE c.patron_id IS NULL""")
+SELECT patron_id, bty, last_name, first_name, default_branch, strftime(exp_date, '%Y-%m-%d') AS exp_date,
+       strftime(birth_date, '%Y-%m-%d') AS birth_date, email
+FROM v_extract ANTI JOIN v_patron USING (patron_id)""")
 def q_reconcile_create(v):
     return rc.reconcile_create(v.extract, v.patron)
 
@@ -131,16 +135,18 @@ def q_merged_patron(v):
 
 
 @register("email_actions", sql="""
-SELECT i.patron_id, i.email, 'send email' AS email_notices, 'extract' AS source
-FROM x_extract i LEFT JOIN x_sor c ON i.patron_id = c.patron_id
-WHERE (lower(c.email) LIKE '%school.example' AND c.email_notices <> '1')
-   OR (c.email <> '' AND lower(c.email) NOT LIKE '%school.example' AND c.email_notices IN ('0', '3'))
-   OR (c.email = '' AND i.email = '' AND c.email_notices <> '1')
-   OR (c.email = '' AND i.email <> '')
-UNION ALL
-SELECT c.patron_id, c.email, 'send email', 'sor'
-FROM x_extract i LEFT JOIN x_sor c ON i.patron_id = c.patron_id
-WHERE c.email <> '' AND lower(c.email) NOT LIKE '%school.example' AND c.email_notices = '2'""")
+WITH pair AS (
+  SELECT i.patron_id, i.email AS new, c.email AS old, c.email_notices AS n,
+         CASE WHEN c.email = '' THEN 'blank' WHEN ends_with(lower(c.email), 'school.example') THEN 'school' ELSE 'other' END AS kind
+  FROM x_extract i JOIN x_sor c USING (patron_id)
+), decided AS (
+  SELECT *, CASE kind WHEN 'school' THEN CASE WHEN n <> '1' THEN 'extract' END
+                      WHEN 'other' THEN CASE n WHEN '0' THEN 'extract' WHEN '3' THEN 'extract' WHEN '2' THEN 'sor' END
+                      ELSE CASE WHEN new <> '' OR (new = '' AND n <> '1') THEN 'extract' END END AS source
+  FROM pair WHERE old IS NOT NULL
+)
+SELECT patron_id, CASE source WHEN 'sor' THEN old ELSE new END AS email, 'send email' AS email_notices, source
+FROM decided WHERE source IS NOT NULL""")
 def q_email_actions(v):
     return rc.email_actions(v.extract_x, v.sor_x, school_domain="SCHOOL.example")
 
@@ -181,22 +187,23 @@ def q_attribute_update(v):
 
 
 def report_sql(by: str) -> str:
-    def grp(src, cond="TRUE"):
-        return f"(SELECT {by} AS g, count(patron_id) AS n FROM {src} WHERE {cond} GROUP BY {by})"
-    return f"""WITH {STATE_SQL}
-SELECT '2024-02-01' AS report_date, x.g AS {by}, x.n AS sor, coalesce(i.n, 0) AS extract,
-       coalesce(c.n, 0) AS created, coalesce(u.n, 0) AS updated, coalesce(r.n, 0) AS removed,
-       coalesce(x1.n, 0) AS sor_yes, coalesce(i1.n, 0) AS extract_yes, coalesce(x0.n, 0) AS sor_no,
-       coalesce(i0.n, 0) AS extract_no
-FROM {grp('x_sor')} x
-LEFT JOIN {grp('x_extract')} i ON x.g = i.g
-LEFT JOIN {grp('cr')} c ON x.g = c.g
-LEFT JOIN {grp('up')} u ON x.g = u.g
-LEFT JOIN {grp('rm')} r ON x.g = r.g
-LEFT JOIN {grp('x_sor', '(bty BETWEEN 21 AND 34 OR bty = 46)')} x1 ON x.g = x1.g
-LEFT JOIN {grp('x_extract', "permission = 'Yes'")} i1 ON x.g = i1.g
-LEFT JOIN {grp('x_sor', '(bty BETWEEN 35 AND 37 OR bty = 47)')} x0 ON x.g = x0.g
-LEFT JOIN {grp('x_extract', "permission = 'No'")} i0 ON x.g = i0.g"""
+    """The report as one conditional count over a tagged list of rows; only groups of the SoR stand in it."""
+    return f"""WITH {STATE_SQL},
+tagged AS (
+  SELECT {by}, 'sor' AS kind, CASE WHEN bty IN (46, 21, 22, 23, 24, 25, 26, 27, 28, 29, 30, 31, 32, 33, 34) THEN 'yes'
+                                   WHEN bty IN (47, 35, 36, 37) THEN 'no' END AS answer FROM x_sor
+  UNION ALL SELECT {by}, 'extract', lower(permission) FROM x_extract
+  UNION ALL SELECT {by}, 'created', NULL FROM cr
+  UNION ALL SELECT {by}, 'updated', NULL FROM up
+  UNION ALL SELECT {by}, 'removed', NULL FROM rm
+)
+SELECT '2024-02-01' AS report_date, {by},
+       count(*) FILTER (kind = 'sor') AS sor, count(*) FILTER (kind = 'extract') AS extract,
+       count(*) FILTER (kind = 'created') AS created, count(*) FILTER (kind = 'updated') AS updated,
+       count(*) FILTER (kind = 'removed') AS removed,
+       count(*) FILTER (kind = 'sor' AND answer = 'yes') AS sor_yes, count(*) FILTER (kind = 'extract' AND answer = 'yes') AS extract_yes,
+       count(*) FILTER (kind = 'sor' AND answer = 'no') AS sor_no, count(*) FILTER (kind = 'extract' AND answer = 'no') AS extract_no
+FROM tagged GROUP BY {by} HAVING bool_or(kind = 'sor') AND {by} IS NOT NULL"""
 
 
 @register("reconcile_report_branch", sql=report_sql("default_branch"))

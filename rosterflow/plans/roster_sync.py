@@ -63,7 +63,7 @@ class RosterSync:
         out = {"state": state_new, "remove": remove, "create": create, "update": update,
                "email": rc.email_actions(extract, sor, school_domain=self.school_domain)}
         if notes is not None:
-            out["expired_note_delete"] = nt.expired_note_delete(extract, nt.expired_note_ids(notes, marker="Patron expired"))
+            out["expired_note_delete"] = nt.expired_note_delete(extract, nt.expired_note_ids(notes, marker=nt.EXPIRED_MARKER))
         sy, sn, ey, en = self._yes_no()
         for by, exempt in (("default_branch", self.closed_branch), ("bty", self.closed_type)):
             if self.population == "student" and not self.programme:

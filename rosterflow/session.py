@@ -1,12 +1,12 @@
-"""Session construction and cluster-safe helpers shared by every job."""
+"""Session construction and the shared checkpoint folder."""
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 # Settings every job relies on.  AQE re-plans joins and coalesces small
 # shuffle partitions at runtime; skew-join splits hot partitions so one
@@ -48,12 +48,15 @@ def build_session(master: str | None = None, app: str = "rosterflow",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the folder is configured by the operator (a shared file
-    system path); it is only created here when the setting is absent, as in
-    local tests.
+    On a cluster the folder has to be configured (a shared file system path):
+    a folder of one machine would hold only that executor's files.  In local
+    mode, as in tests, one is created when the setting is absent.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="rosterflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     try:  # classic sessions: DataFrame.checkpoint() writes here too
@@ -68,13 +71,3 @@ def state_path(spark: SparkSession, name: str) -> str:
     """Location for a cross-run state table inside the shared checkpoint folder."""
     return os.path.join(ensure_checkpoint_dir(spark), "state", name)
 
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Broadcast-hint a dimension only after proving it is small.
-
-    ``limit(max_rows + 1).count()`` stops reading once the bound is crossed, so
-    the check costs at most ``max_rows`` rows.  Above the bound the frame is
-    returned unhinted and the planner falls back to a shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

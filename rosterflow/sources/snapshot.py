@@ -11,17 +11,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterflow.operators import notes as nt
-from rosterflow.session import broadcast_if_small
 
 STUDENT_TYPES = (tuple(range(21, 39)) + (46, 47))
 
 
 def patron_snapshot(patron: DataFrame, branch: DataFrame, notes: DataFrame, loans: DataFrame, *,
                     run_date: str, guarantor_marker: str = "Guarantor effective",
-                    expired_marker: str = "Patron expired", closed_branch: str = "XMNPS") -> DataFrame:
+                    expired_marker: str = nt.EXPIRED_MARKER, closed_branch: str = "XMNPS") -> DataFrame:
     """Student patrons (types 21-38, 46-47 or student-shaped ids) with branch
     codes, current guarantor, expiry-note ids and guarantor notes to delete."""
-    b = broadcast_if_small(branch.select("branch_number", "branch_code"))
+    b = (branch.select("branch_number", "branch_code"))
     p = patron.filter(F.col("bty").isin(*STUDENT_TYPES) | F.col("patron_id").rlike(r"^190[0-9]{6}$"))
     # Guarantor and expiry ids in one aggregate over the notes.
     summary = nt.note_summary(notes, guarantor_marker=guarantor_marker, expired_marker=expired_marker)

@@ -244,6 +244,7 @@ class Views:
             F.col("user_id").alias("item_id"),
             (eid % 150 + 190000000).cast("string").alias("patron_id"),
             F.date_add(F.col("ts").cast("date"), 21).alias("due_date"),
+            F.when(eid % 10 == 9, "L").when(eid % 2 == 0, "C").otherwise("O").alias("trans_code"),
         )
 
     # -- derived reconcile inputs ---------------------------------------------

@@ -29,6 +29,7 @@ import re
 from typing import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,10 +54,9 @@ def utc_day(instant: Column) -> Column:
     return F.date_from_unix_date(F.floor(F.unix_micros(instant) / DAY_US).cast("int"))
 
 
-def _run(query, timeout_s: int = 600) -> None:
-    query.awaitTermination(timeout_s)
-    if query.exception() is not None:
-        raise query.exception()
+def _run(query) -> None:
+    """Wait until the stream has processed all that has landed, however long that takes."""
+    query.awaitTermination()  # raises the stream's error
 
 
 # -- T1 ----------------------------------------------------------------------
@@ -127,8 +127,10 @@ def latest_version(spark: SparkSession, base: str) -> DataFrame | None:
     never commits its files, so only complete versions are listed."""
     try:
         df = spark.read.parquet(base)
-    except Exception:  # no version yet
-        return None
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # no version yet
+            return None
+        raise  # any other fault must not pass for an empty state
     versions = {int(m.group(1)) for f in df.inputFiles() if (m := re.search(r"/v=(\d+)/", f))}
     if not versions:
         return None

@@ -24,10 +24,9 @@ def test_previous_row_matches_lag_on_hot_key(spark):
     df = _events(spark)
     w = Window.partitionBy("item_id", "day").orderBy("ts", "txn_id")
     ref = df.select("txn_id", F.lag("ts").over(w).alias("r_ts"), F.lag("txn_type").over(w).alias("r_type"))
-    # hot_rows=100: the hot item (500 rows per day) is split into buckets;
-    # the default threshold runs every key as a plain window.
-    for hot_rows in (100, 500_000):
-        got = previous_row(df, ["item_id", "day"], "ts", "txn_id", ["ts", "txn_type"], hot_rows=hot_rows)
+    # Buckets of one second, one minute and more than a day: many groups, some, one per key.
+    for seconds in (1, 60, 10**6):
+        got = previous_row(df, ["item_id", "day"], "ts", "txn_id", ["ts", "txn_type"], bucket_seconds=seconds)
         bad = got.join(ref, "txn_id").filter(~F.col("prev_ts").eqNullSafe(F.col("r_ts"))
                                              | ~F.col("prev_txn_type").eqNullSafe(F.col("r_type")))
         assert got.count() == df.count() and bad.count() == 0

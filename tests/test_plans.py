@@ -7,10 +7,10 @@ import io
 
 import pytest
 
-import __spark_entry__ as ent
+from rosterflow.plans.catalog import spark_queries
 from tests.conftest import SF
 
-QUERIES = ent.queries()
+QUERIES = spark_queries()
 NESTED_LOOP_OK = {"ip_match"}
 PLAN_KEYS = sorted(k for k in QUERIES if not k.startswith(("stream_", "scan_")))
 
