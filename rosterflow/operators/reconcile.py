@@ -274,14 +274,18 @@ def abort_guard(report: DataFrame, *, by: str, exempt, ratio: float = 0.1) -> Da
 
     extract <= (1 - ratio) * sor, or created / updated / removed >= ratio * sor,
     or |sor_yes - extract_yes| / sor_yes >= ratio (real division; a zero
-    denominator gives NULL, which never alarms).
+    denominator gives NULL, which never alarms).  The staff report has no
+    yes/no counts, and so no such test.
     """
     cx = F.col("sor")
-    gap = F.try_divide(F.abs(F.col("sor_yes") - F.col("extract_yes")).cast("double"),
-                       F.col("sor_yes").cast("double"))
+    if "sor_yes" not in report.columns:
+        report_gap = F.lit(None).cast("double")
+    else:
+        report_gap = F.try_divide(F.abs(F.col("sor_yes") - F.col("extract_yes")).cast("double"),
+                                  F.col("sor_yes").cast("double"))
     cond = ((F.col("extract") <= cx * (1 - ratio)) | (F.col("created") >= cx * ratio)
             | (F.col("updated") >= cx * ratio) | (F.col("removed") >= cx * ratio)
-            | F.coalesce(gap >= ratio, F.lit(False)))
+            | F.coalesce(report_gap >= ratio, F.lit(False)))
     return report.filter((F.col(by).cast("string") != str(exempt)) & cond)
 
 
@@ -331,7 +335,8 @@ def action_summary(actions: dict[str, DataFrame]) -> DataFrame:
 
 def _run_rows(extract: DataFrame, sor: DataFrame, state: DataFrame, *, by: str | None,
               compare_cols: list[str], run_date: str, grace_days: int, closed_branch: str,
-              sor_yes: Column, sor_no: Column, extract_yes: Column, extract_no: Column):
+              sor_yes: Column, sor_no: Column, extract_yes: Column, extract_no: Column,
+              policy: str = "set_difference", sticky: dict[str, object] | None = None):
     """One row per id over extract, SoR and state (a tagged union grouped by
     id: one shuffle, each input read once) with the run's row flags."""
     group = (lambda: F.col(by)) if by else (lambda: F.lit(0))
@@ -353,7 +358,13 @@ def _run_rows(extract: DataFrame, sor: DataFrame, state: DataFrame, *, by: str |
     in_e, in_c = F.coalesce(F.col("_in_e"), F.lit(False)), F.coalesce(F.col("_in_c"), F.lit(False))
     differs = F.lit(False)
     for x in compare_cols:
-        differs = differs | ~F.col(f"_e_{x}").eqNullSafe(F.col(f"_c_{x}"))
+        if policy == "set_difference":
+            differs = differs | ~F.col(f"_e_{x}").eqNullSafe(F.col(f"_c_{x}"))
+        else:
+            t = F.col(f"_e_{x}") != F.col(f"_c_{x}")
+            if x in (sticky or {}):
+                t = t & (F.col(f"_c_{x}") != F.lit(sticky[x]))
+            differs = differs | F.coalesce(t, F.lit(False))
     seen = F.when(in_e, _d(run_date)).otherwise(F.col("_seen"))
     expired = seen.isNull() | (seen < F.date_sub(_d(run_date), grace_days))
     tags = [("sor", F.col("_cg"), in_c), ("extract", F.col("_eg"), in_e),
@@ -370,8 +381,9 @@ def _run_rows(extract: DataFrame, sor: DataFrame, state: DataFrame, *, by: str |
 
 def reconcile_report_onepass(extract: DataFrame, sor: DataFrame, state: DataFrame, *, by: str,
                              compare_cols: list[str], run_date: str, grace_days: int = 7,
-                             closed_branch: str = "XMNPS", sor_yes: Column, sor_no: Column,
-                             extract_yes: Column, extract_no: Column) -> DataFrame:
+                             closed_branch: str = "XMNPS", sor_yes: Column | None = None, sor_no: Column | None = None,
+                             extract_yes: Column | None = None, extract_no: Column | None = None,
+                             policy: str = "set_difference", sticky: dict[str, object] | None = None) -> DataFrame:
     """The K11 run report from each input read once: a tagged union of
     extract, SoR and state grouped by id (one shuffle -- a three-way full
     outer join without its three exchanges), row flags, and one aggregate by
@@ -382,12 +394,18 @@ def reconcile_report_onepass(extract: DataFrame, sor: DataFrame, state: DataFram
     rule); removed = in the SoR, not closed, and expired after the last-seen
     merge.  Ids are unique per input (the roster is de-duplicated upstream,
     the SoR and the state are keyed by id).
+
+    With ``policy="any_column"`` (staff) updated follows that rule.  Without
+    yes/no conditions the report has the five counts only (staff).
     """
+    counts = REPORT_COLS if sor_yes is not None else REPORT_COLS[:5]
+    none = F.lit(False)
+    sor_yes, sor_no, extract_yes, extract_no = (none if c is None else c for c in (sor_yes, sor_no, extract_yes, extract_no))
     long = _run_rows(extract, sor, state, by=by, compare_cols=compare_cols, run_date=run_date,
                      grace_days=grace_days, closed_branch=closed_branch, sor_yes=sor_yes, sor_no=sor_no,
-                     extract_yes=extract_yes, extract_no=extract_no)
-    agg = long.groupBy("g").agg(*[F.count_if(F.col("t") == t).alias(t) for t in REPORT_COLS])
-    return agg.filter(F.col("sor") > 0).select(_d(run_date).alias("report_date"), F.col("g").alias(by), *REPORT_COLS)
+                     extract_yes=extract_yes, extract_no=extract_no, policy=policy, sticky=sticky)
+    agg = long.groupBy("g").agg(*[F.count_if(F.col("t") == t).alias(t) for t in counts])
+    return agg.filter(F.col("sor") > 0).select(_d(run_date).alias("report_date"), F.col("g").alias(by), *counts)
 
 
 def action_counts(extract: DataFrame, sor: DataFrame, state: DataFrame, *, compare_cols: list[str],

@@ -43,6 +43,10 @@ STUDENT_LAYOUT = ["patron_id", "bty", "last_name", "first_name", "middle_name",
                   "email_notices", "expired_note_ids", "delete_note_ids", "collection_status",
                   "edit_branch", "phone1"]
 
+STAFF_LAYOUT = ["patron_id", "bty", "last_name", "first_name", "middle_name", "suffix", "default_branch", "expiration_date",
+                "email", "email_notices", "expired_note_ids", "collection_status", "edit_branch"]
+STAFF_FIELDS = ["patron_id", "bty", "last_name", "first_name", "middle_name", "suffix", "school_code"]
+
 
 def _d(x: str) -> Column:
     return F.lit(x).cast("date")
@@ -217,3 +221,17 @@ def format_student_roster(raw: DataFrame, overrides: DataFrame | None = None, *,
                          "edit_branch": F.lit(""), "phone1": F.lit(""),
                          "default_branch": F.col("school_code")})
     return df.select(*[trim_fields(c, quote_to_apostrophe=True).alias(c) for c in STUDENT_LAYOUT])
+
+
+def format_staff_roster(raw: DataFrame, overrides: DataFrame, *, expiration: str) -> DataFrame:
+    """Nightly staff roster in the 13-column layout (C3-C7, C12, C13, C19, C21):
+    the best row of each id, override rows first."""
+    df = filter_id_shape(dedupe_staff(raw, overrides, fields=STAFF_FIELDS), population="staff")
+    df = df.select(*[scrub_ascii(c).alias(c) for c in df.columns])
+    last, first, middle, suffix = namecase_if_caps("last_name", "first_name", "middle_name", "suffix")
+    df = df.withColumns({"last_name": last, "first_name": first, "middle_name": middle, "suffix": suffix})
+    df = staff_type_rules(df.withColumn("school_code", F.regexp_replace("school_code", r"\s", "")))
+    df = df.withColumns({"expiration_date": F.lit(expiration), "email_notices": F.lit("1"), "expired_note_ids": F.lit(""),
+                         "collection_status": collection_status(F.col("bty"), population="staff"),
+                         "edit_branch": F.lit(""), "default_branch": F.col("school_code")})
+    return df.select(*[trim_fields(c).alias(c) for c in STAFF_LAYOUT])

@@ -17,6 +17,25 @@ from pyspark.sql import functions as F
 
 R1, R2, R3, R4 = ("CAST(right(patron_id, %d) AS INT)" % n for n in (1, 2, 3, 4))
 
+def _differs(k: int, other: str, same: str) -> str:
+    """The SoR differs from the roster on every 29th id, one column for each remainder."""
+    return f"CASE WHEN {R4} % 29 = {k} THEN {other} ELSE {same} END"
+
+
+_SAME = {
+    "middle_name": f"CASE WHEN {R4} % 3 = 0 THEN 'J' ELSE '' END", "suffix": f"CASE WHEN {R4} % 11 = 0 THEN 'JR' ELSE '' END",
+    "street": "concat(right(patron_id, 3), ' Main St')", "city": "'Nashville'", "state": "'TN'",
+    "postal_code": "concat('372', right(patron_id, 2))", "phone": "concat('615555', right(patron_id, 4))",
+    "teacher_id": f"CASE WHEN {R4} % 5 = 0 THEN CAST(NULL AS STRING) ELSE concat('T', right(patron_id, 2)) END",
+    "teacher_name": "concat('Teacher ', right(patron_id, 2))",
+}
+_OTHER = {"middle_name": "'X'", "suffix": "'SR'", "street": "'9 Old Rd'", "city": "'Antioch'", "state": "CAST(NULL AS STRING)",
+          "postal_code": "'37013'", "phone": "''", "teacher_id": "'T0'", "teacher_name": "CAST(NULL AS STRING)"}
+# Further columns of the roster (x_extract) and of the SoR snapshot (x_sor).
+EXTRACT_MORE = [*_SAME.items(), ("phone1", "''"), ("email_notices", "'1'")]
+SOR_MORE = [*[(c, _differs(k, _OTHER[c], e)) for k, (c, e) in enumerate(_SAME.items(), 1)],
+            ("phone1", f"CASE WHEN {R4} % 2 = 0 THEN '' ELSE concat('615', right(patron_id, 4)) END")]
+
 ROSTER_COLS = [
     ("patron_id", "patron_id"),
     ("bty", "CAST(bty AS STRING)"),

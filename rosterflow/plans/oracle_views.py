@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import re
 
+from rosterflow.plans.fixtures import EXTRACT_MORE, SOR_MORE
+
 VIEW_SQL: dict[str, str] = {
     "v_branch": """
 SELECT n_nationkey AS branch_number,
@@ -120,14 +122,18 @@ SELECT e.*,
        CASE CAST(right(patron_id, 3) AS INT) % 5 WHEN 0 THEN 'No' WHEN 1 THEN '' ELSE 'Yes' END AS tech_optout,
        CASE WHEN CAST(right(patron_id, 1) AS INT) < 3 THEN ''
             ELSE concat('G', CAST(CAST(right(patron_id, 2) AS INT) % 50 AS VARCHAR)) END AS guarantor,
-       CAST(CASE WHEN bty IN (13, 40, 51) THEN 78 ELSE 1 END AS INT) AS collection_status
+       CAST(CASE WHEN bty IN (13, 40, 51) THEN 78 ELSE 1 END AS INT) AS collection_status,
+       """ + ", ".join(f"{e} AS {c}" for c, e in EXTRACT_MORE) + """
 FROM v_extract e""",
     "x_sor": """
 SELECT p.*,
        CASE CAST(right(patron_id, 1) AS INT) % 3 WHEN 0 THEN 'Yes' WHEN 1 THEN 'No' ELSE '' END AS permission,
        CASE CAST(right(patron_id, 2) AS INT) % 4 WHEN 0 THEN 'No' WHEN 1 THEN 'Yes' ELSE '' END AS laptop,
-       CASE CAST(right(patron_id, 3) AS INT) % 5 WHEN 0 THEN 'Yes' WHEN 1 THEN '' ELSE 'No' END AS tech_optout
+       CASE CAST(right(patron_id, 3) AS INT) % 5 WHEN 0 THEN 'Yes' WHEN 1 THEN '' ELSE 'No' END AS tech_optout,
+       """ + ", ".join(f"{e} AS {c}" for c, e in SOR_MORE) + """
 FROM v_patron p""",
+    # Students always get collection status 78.
+    "x_student": "SELECT * REPLACE (CAST(78 AS INT) AS collection_status) FROM x_extract",
 }
 
 _NAME = re.compile(r"\b[vx]_[a-z_]+\b")

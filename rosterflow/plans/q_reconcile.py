@@ -10,18 +10,22 @@ from pyspark.sql import functions as F
 
 from rosterflow.operators import reconcile as rc
 from rosterflow.plans.catalog import register
+from rosterflow.plans.roster_sync import STAFF_COMPARE, STUDENT_COMPARE, STUDENT_CONTACT
 from rosterflow.sources.tables import VIEW_RUN_DATE
 
 RUN = VIEW_RUN_DATE
-STUDENT_COLS = ["bty", "last_name", "first_name", "default_branch", "exp_date", "birth_date"]
-STAFF_COLS = ["bty", "last_name", "first_name", "default_branch", "exp_date", "email", "collection_status"]
-CONTACT = ["email", "collection_status", "default_branch", "bty"]
+STUDENT_COLS, STAFF_COLS, CONTACT = STUDENT_COMPARE, STAFF_COMPARE, STUDENT_CONTACT
 FLAGS = {"tech_optout": 1, "laptop": 3, "permission": 4}
 
 
+def student_extract(v):
+    """The roster with the collection status that every student gets."""
+    return v.extract_x.withColumn("collection_status", F.lit(78))
+
+
 def run(v):
     """One reconcile run over the stand-in inputs -> dict of action tables."""
-    sor, ext = v.sor_x, v.extract_x
+    sor, ext = v.sor_x, student_extract(v)
     state, expired = rc.last_seen_merge(v.last_seen, sor, ext, run_date=RUN)
     remove = rc.reconcile_remove(expired, sor, contact_cols=CONTACT)
     create = rc.reconcile_create(ext, sor)
@@ -32,7 +36,7 @@ def run(v):
 def report(v, by):
     b = F.col("bty")
     return rc.reconcile_report_onepass(
-        v.extract_x, v.sor_x, v.last_seen, by=by, compare_cols=STUDENT_COLS, run_date=RUN,
+        student_extract(v), v.sor_x, v.last_seen, by=by, compare_cols=STUDENT_COLS, run_date=RUN,
         sor_yes=b.between(21, 34) | (b == 46), sor_no=b.between(35, 37) | (b == 47),
         extract_yes=F.col("permission") == "Yes", extract_no=F.col("permission") == "No")
 
@@ -48,16 +52,19 @@ sighted AS (
 ), aged AS (
   SELECT *, coalesce(date_diff('day', last_seen, DATE '2024-02-01') > 7, TRUE) AS gone FROM sighted
 ), rm AS (
-  SELECT c.patron_id, a.last_seen, c.email, c.collection_status, c.default_branch, c.bty
+  SELECT c.patron_id, a.last_seen, c.email, c.collection_status, c.default_branch, c.bty, c.phone1, c.phone, c.teacher_id,
+         c.teacher_name
   FROM x_sor c JOIN aged a USING (patron_id) WHERE a.gone AND c.edit_branch <> 'XMNPS' GROUP BY ALL
 ), cr AS (
   SELECT * FROM x_extract i WHERE NOT EXISTS (SELECT 1 FROM x_sor WHERE patron_id = i.patron_id)
 ), up AS (
-  SELECT DISTINCT patron_id, bty, last_name, first_name, default_branch, exp_date, birth_date
-  FROM x_extract i
-  WHERE (SELECT bool_and((c.bty, c.last_name, c.first_name, c.default_branch, c.exp_date, c.birth_date)
-                         IS DISTINCT FROM (i.bty, i.last_name, i.first_name, i.default_branch, i.exp_date, i.birth_date))
-         FROM x_sor c WHERE c.patron_id = i.patron_id)
+  SELECT DISTINCT i.patron_id, i.bty, i.last_name, i.first_name, i.middle_name, i.suffix, i.street, i.city, i.state, i.postal_code,
+         i.phone, i.default_branch, i.exp_date, i.birth_date, i.teacher_id, i.teacher_name, i.collection_status
+  FROM x_student i JOIN x_sor c USING (patron_id)
+  WHERE (c.bty, c.last_name, c.first_name, c.default_branch, c.exp_date, c.birth_date, c.collection_status)
+          IS DISTINCT FROM (i.bty, i.last_name, i.first_name, i.default_branch, i.exp_date, i.birth_date, i.collection_status)
+     OR (c.middle_name, c.suffix, c.street, c.city, c.state, c.postal_code, c.phone, c.teacher_id, c.teacher_name)
+          IS DISTINCT FROM (i.middle_name, i.suffix, i.street, i.city, i.state, i.postal_code, i.phone, i.teacher_id, i.teacher_name)
 )"""
 
 
@@ -75,7 +82,8 @@ def q_seen_today(v):
 
 
 @register("reconcile_remove", sql=f"""WITH {STATE_SQL}
-SELECT patron_id, strftime(last_seen, '%Y-%m-%d') AS last_seen, email, collection_status, default_branch, bty FROM rm""")
+SELECT patron_id, strftime(last_seen, '%Y-%m-%d') AS last_seen, email, collection_status, default_branch, bty,
+       phone1, phone, teacher_id, teacher_name FROM rm""")
 def q_reconcile_remove(v):
     return run(v)["remove"]
 
@@ -89,32 +97,37 @@ def q_reconcile_create(v):
 
 
 @register("reconcile_update_student", sql=f"""WITH {STATE_SQL}
-SELECT patron_id, bty, last_name, first_name, default_branch,
-       strftime(exp_date, '%Y-%m-%d') AS exp_date, strftime(birth_date, '%Y-%m-%d') AS birth_date FROM up""")
+SELECT * REPLACE (strftime(exp_date, '%Y-%m-%d') AS exp_date, strftime(birth_date, '%Y-%m-%d') AS birth_date) FROM up""")
 def q_reconcile_update_student(v):
     return run(v)["update"]
 
 
-@register("reconcile_update_staff", sql="""
-SELECT i.patron_id, i.bty, i.last_name, i.first_name, i.default_branch, strftime(i.exp_date, '%Y-%m-%d') AS exp_date,
-       i.email, CASE WHEN c.collection_status = 2 THEN 2 ELSE i.collection_status END AS collection_status,
-       concat_ws(',', CASE WHEN i.bty <> c.bty THEN 'bty' END, CASE WHEN i.last_name <> c.last_name THEN 'last_name' END,
-                 CASE WHEN i.first_name <> c.first_name THEN 'first_name' END,
-                 CASE WHEN i.default_branch <> c.default_branch THEN 'default_branch' END,
-                 CASE WHEN i.exp_date <> c.exp_date THEN 'exp_date' END, CASE WHEN i.email <> c.email THEN 'email' END,
-                 CASE WHEN i.collection_status <> c.collection_status AND c.collection_status <> 2 THEN 'collection_status' END)
-         AS changed_cols
-FROM x_extract i LEFT JOIN x_sor c ON i.patron_id = c.patron_id
-WHERE c.patron_id IS NOT NULL AND (i.bty <> c.bty OR i.last_name <> c.last_name OR i.first_name <> c.first_name
-   OR i.default_branch <> c.default_branch OR i.exp_date <> c.exp_date OR i.email <> c.email
-   OR (i.collection_status <> c.collection_status AND c.collection_status <> 2))""")
+# The staff changes as one list of the columns that differ (a NULL on either side is no change).
+STAFF_SQL = """
+staff_pair AS (
+  SELECT i.*, c.bty AS s_bty, c.collection_status AS s_status, list_filter([
+           CASE WHEN i.bty <> c.bty THEN 'bty' END, CASE WHEN i.last_name <> c.last_name THEN 'last_name' END,
+           CASE WHEN i.first_name <> c.first_name THEN 'first_name' END, CASE WHEN i.middle_name <> c.middle_name THEN 'middle_name' END,
+           CASE WHEN i.suffix <> c.suffix THEN 'suffix' END, CASE WHEN i.default_branch <> c.default_branch THEN 'default_branch' END,
+           CASE WHEN i.exp_date <> c.exp_date THEN 'exp_date' END, CASE WHEN i.email <> c.email THEN 'email' END,
+           CASE WHEN i.email_notices <> c.email_notices THEN 'email_notices' END,
+           CASE WHEN c.collection_status NOT IN (2, i.collection_status) THEN 'collection_status' END], lambda x: x IS NOT NULL) AS changes
+  FROM x_extract i JOIN x_sor c USING (patron_id)
+)"""
+
+
+@register("reconcile_update_staff", sql=f"""WITH {STAFF_SQL}
+SELECT patron_id, bty, last_name, first_name, middle_name, suffix, default_branch, strftime(exp_date, '%Y-%m-%d') AS exp_date,
+       email, email_notices, CASE s_status WHEN 2 THEN 2 ELSE collection_status END AS collection_status,
+       array_to_string(changes, ',') AS changed_cols
+FROM staff_pair WHERE len(changes) > 0""")
 def q_reconcile_update_staff(v):
     return rc.reconcile_update(v.extract_x, v.sor_x, compare_cols=STAFF_COLS, policy="any_column",
                                sticky={"collection_status": 2})
 
 
 STUDENT_POLICY = {
-    **{c: (rc.take_extract(), rc.take_extract()) for c in STUDENT_COLS},
+    **{c: (rc.take_extract(), rc.take_extract()) for c in STUDENT_COLS if c != "collection_status"},
     "email": (rc.take_extract(), rc.take_sor()),
     "email_notices": (rc.const("1"), rc.const("send email")),
     "collection_status": (rc.const(78), rc.keep_sor_if((2,), rc.const(78))),
@@ -125,6 +138,7 @@ STUDENT_POLICY = {
 @register("merged_patron", sql="""
 SELECT i.patron_id, c.patron_id IS NOT NULL AS exists_in_sor, i.bty, i.last_name, i.first_name, i.default_branch,
        strftime(i.exp_date, '%Y-%m-%d') AS exp_date, strftime(i.birth_date, '%Y-%m-%d') AS birth_date,
+       i.middle_name, i.suffix, i.street, i.city, i.state, i.postal_code, i.phone, i.teacher_id, i.teacher_name,
        CASE WHEN c.patron_id IS NULL THEN i.email ELSE c.email END AS email,
        CASE WHEN c.patron_id IS NULL THEN '1' ELSE 'send email' END AS email_notices,
        CASE WHEN c.patron_id IS NOT NULL AND c.collection_status = 2 THEN 2 ELSE 78 END AS collection_status,
@@ -211,6 +225,22 @@ def q_reconcile_report_branch(v):
     return report(v, "default_branch")
 
 
+@register("reconcile_report_staff", sql=f"""WITH {STATE_SQL}, {STAFF_SQL},
+tagged AS (
+  SELECT default_branch, 'sor' AS kind FROM x_sor UNION ALL SELECT default_branch, 'extract' FROM x_extract
+  UNION ALL SELECT default_branch, 'created' FROM cr
+  UNION ALL SELECT default_branch, 'updated' FROM staff_pair WHERE len(changes) > 0
+  UNION ALL SELECT default_branch, 'removed' FROM rm
+)
+SELECT '2024-02-01' AS report_date, default_branch, count(*) FILTER (kind = 'sor') AS sor,
+       count(*) FILTER (kind = 'extract') AS extract, count(*) FILTER (kind = 'created') AS created,
+       count(*) FILTER (kind = 'updated') AS updated, count(*) FILTER (kind = 'removed') AS removed
+FROM tagged GROUP BY default_branch HAVING bool_or(kind = 'sor')""")
+def q_reconcile_report_staff(v):
+    return rc.reconcile_report_onepass(v.extract_x, v.sor_x, v.last_seen, by="default_branch", compare_cols=STAFF_COLS,
+                                       run_date=RUN, policy="any_column", sticky={"collection_status": 2})
+
+
 @register("reconcile_report_type", sql=report_sql("bty"))
 def q_reconcile_report_type(v):
     return report(v, "bty")
@@ -257,4 +287,4 @@ SELECT 'create' AS action, count(*) AS n FROM cr
 UNION ALL SELECT 'update', count(*) FROM up
 UNION ALL SELECT 'remove', count(*) FROM rm""")
 def q_action_summary(v):
-    return rc.action_counts(v.extract_x, v.sor_x, v.last_seen, compare_cols=STUDENT_COLS, run_date=RUN)
+    return rc.action_counts(student_extract(v), v.sor_x, v.last_seen, compare_cols=STUDENT_COLS, run_date=RUN)

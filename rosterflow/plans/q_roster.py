@@ -298,3 +298,36 @@ SELECT {trim} FROM f"""
 @register("roster_student", sql=_roster_sql())
 def q_roster_student(v):
     return ro.format_student_roster(fx.roster_df(v), run_date=VIEW_RUN_DATE, expiration=EXPIRATION)
+
+
+def _staff_sql() -> str:
+    names = ["patron_id", "bty", "last_name", "first_name", "middle_name", "suffix", "school_code", "email"]
+    scrub = ", ".join(f"regexp_replace({c}, '[^\\n\\r\\x20-\\x7E]', '', 'g') AS {c}" for c in names)
+    nc, last = _nc_chain("s", ["last_name", "first_name", "middle_name", "suffix"], tag="t")
+    cased = ", ".join(f"CASE WHEN {_caps} THEN nc_{c} ELSE {c} END AS {c}" for c in ("last_name", "first_name", "middle_name", "suffix"))
+    trim = ", ".join(f"regexp_replace(regexp_replace({c}, '[\\n\\r]+', '', 'g'), '^\\s+|\\s+$', '', 'g') AS {c}" for c in ro.STAFF_LAYOUT)
+    return f"""WITH best AS (
+  SELECT *, 1 AS priority FROM x_staff
+  QUALIFY row_number() OVER (PARTITION BY patron_id ORDER BY {_skey} DESC, school_code, email) = 1
+), one AS (
+  SELECT * FROM (SELECT *, 0 AS priority FROM ({_OVERRIDES_SQL}) UNION ALL BY NAME SELECT * FROM best)
+  WHERE patron_id <> '' QUALIFY row_number() OVER (PARTITION BY patron_id ORDER BY priority, {_skey} DESC) = 1
+), s AS (SELECT {scrub} FROM one),
+{nc},
+typed AS (
+  SELECT patron_id, {cased}, email, regexp_replace(school_code, '\\s', '', 'g') AS default_branch,
+         CASE WHEN regexp_replace(school_code, '\\s', '', 'g') IN ('79118', '7E601') THEN '12' ELSE bty END AS bty
+  FROM {last} WHERE regexp_replace(school_code, '\\s', '', 'g') <> '86665' OR CAST(bty AS INT) = 40
+), f AS (
+  SELECT *, '2026-10-01' AS expiration_date, '1' AS email_notices, '' AS expired_note_ids, '' AS edit_branch,
+         CASE WHEN bty IN ('13', '40', '51') THEN '78' ELSE '1' END AS collection_status FROM typed
+)
+SELECT {trim} FROM f"""
+
+
+@register("roster_staff", sql=_staff_sql())
+def q_roster_staff(v):
+    s = fx.staff_df(v)
+    ov = (s.filter(F.expr(fx.OVERRIDE_FILTER) & ~F.col("school_code").endswith("9"))
+          .withColumn("last_name", F.lit("OVERRIDE")))
+    return ro.format_staff_roster(s, ov, expiration=EXPIRATION)

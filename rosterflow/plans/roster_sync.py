@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,8 +27,12 @@ from rosterflow.operators import reconcile as rc
 from rosterflow.session import ensure_checkpoint_dir
 from rosterflow.sources import sinks
 
-STUDENT_COMPARE = ["bty", "last_name", "first_name", "default_branch", "exp_date", "birth_date"]
-STAFF_COMPARE = ["bty", "last_name", "first_name", "default_branch", "exp_date", "email", "collection_status"]
+STUDENT_COMPARE = ["bty", "last_name", "first_name", "middle_name", "suffix", "street", "city", "state", "postal_code", "phone",
+                   "default_branch", "exp_date", "birth_date", "teacher_id", "teacher_name", "collection_status"]
+STAFF_COMPARE = ["bty", "last_name", "first_name", "middle_name", "suffix", "default_branch", "exp_date", "email",
+                 "email_notices", "collection_status"]
+STUDENT_CONTACT = ["email", "collection_status", "default_branch", "bty", "phone1", "phone", "teacher_id", "teacher_name"]
+STAFF_CONTACT = ["email", "collection_status", "default_branch", "bty"]
 
 
 @dataclass
@@ -41,18 +45,25 @@ class RosterSync:
     school_domain: str = "mnpsk12.org"
     closed_branch: str = "XMNPS"
     closed_type: int = 38
-    contact_cols: list[str] = field(default_factory=lambda: ["email", "collection_status", "default_branch", "bty"])
+    contact_cols: list[str] | None = None  # what a removal carries; by population if not given
 
     def _yes_no(self) -> tuple[Column, Column, Column, Column]:
         b = F.col("bty")
         return (b.between(21, 34) | (b == 46), b.between(35, 37) | (b == 47),
                 F.col("permission") == "Yes", F.col("permission") == "No")
 
+    def _report_rules(self) -> dict:
+        """What the report counts: staff by any column and without the yes/no flags."""
+        if self.population != "student":
+            return {"compare_cols": STAFF_COMPARE, "policy": "any_column", "sticky": {"collection_status": 2}}
+        names = ("sor_yes", "sor_no", "extract_yes", "extract_no")
+        return {"compare_cols": STUDENT_COMPARE, **dict(zip(names, self._yes_no()))}
+
     def plan(self, extract: DataFrame, sor: DataFrame, state: DataFrame,
              notes: DataFrame | None = None) -> dict[str, DataFrame]:
         state_new, expired = rc.last_seen_merge(state, sor, extract, run_date=self.run_date,
                                                 grace_days=self.grace_days, enabled=not self.programme)
-        remove = rc.reconcile_remove(expired, sor, contact_cols=self.contact_cols,
+        remove = rc.reconcile_remove(expired, sor, contact_cols=self.contact_cols or (STUDENT_CONTACT if self.population == "student" else STAFF_CONTACT),
                                      closed_branch=self.closed_branch, enabled=not self.programme)
         create = rc.reconcile_create(extract, sor)
         if self.population == "student":
@@ -64,17 +75,16 @@ class RosterSync:
                "email": rc.email_actions(extract, sor, school_domain=self.school_domain)}
         if notes is not None:
             out["expired_note_delete"] = nt.expired_note_delete(extract, nt.expired_note_ids(notes, marker=nt.EXPIRED_MARKER))
-        sy, sn, ey, en = self._yes_no()
         for by, exempt in (("default_branch", self.closed_branch), ("bty", self.closed_type)):
-            if self.population == "student" and not self.programme:
-                # Same counts as the action tables, each input read once.
-                rep = rc.reconcile_report_onepass(
-                    extract, sor, state, by=by, compare_cols=STUDENT_COMPARE, run_date=self.run_date,
-                    grace_days=self.grace_days, closed_branch=self.closed_branch,
-                    sor_yes=sy, sor_no=sn, extract_yes=ey, extract_no=en)
-            else:
+            if self.programme:
+                sy, sn, ey, en = self._yes_no()
                 rep = rc.reconcile_report(extract, sor, create, update, remove, by=by, sor_yes=sy, sor_no=sn,
                                           extract_yes=ey, extract_no=en, run_date=self.run_date)
+            else:
+                # Same counts as the action tables, each input read once.
+                rep = rc.reconcile_report_onepass(
+                    extract, sor, state, by=by, run_date=self.run_date, grace_days=self.grace_days,
+                    closed_branch=self.closed_branch, **self._report_rules())
             out[f"report_{by}"] = rep
             out[f"guard_{by}"] = rc.abort_guard(rep, by=by, exempt=exempt)
         return out

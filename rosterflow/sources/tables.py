@@ -17,6 +17,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rosterflow.plans.fixtures import EXTRACT_MORE, SOR_MORE
+
 DRIVER_TABLES = ("region nation customer supplier part orders lineitem events "
                  "documents embeddings pages benchmark labels conversations").split()
 
@@ -262,6 +264,7 @@ class Views:
             F.when(d1 < 3, F.lit("")).otherwise(F.concat(F.lit("G"), (d2 % 50).cast("string")))
              .alias("guarantor"),
             F.when(F.col("bty").isin(13, 40, 51), 78).otherwise(1).cast("int").alias("collection_status"),
+            *[F.expr(e).alias(c) for c, e in EXTRACT_MORE],
         )
 
     @cached_property
@@ -272,4 +275,5 @@ class Views:
             F.when(d1 % 3 == 0, "Yes").when(d1 % 3 == 1, "No").otherwise("").alias("permission"),
             F.when(d2 % 4 == 0, "No").when(d2 % 4 == 1, "Yes").otherwise("").alias("laptop"),
             F.when(d3 % 5 == 0, "Yes").when(d3 % 5 == 1, "").otherwise("No").alias("tech_optout"),
+            *[F.expr(e).alias(c) for c, e in SOR_MORE],
         )

@@ -102,3 +102,27 @@ def test_roster_sync_report_matches_action_tables(spark, small):
                                extract_yes=F.col("permission") == "Yes", extract_no=F.col("permission") == "No",
                                run_date="2024-02-01")
     assert sorted(t["report_bty"].collect()) == sorted(slow.collect())
+
+
+def test_staff_run_needs_no_student_columns(spark, small):
+    """The staff extract has no yes/no flags, guarantor or address; the plan must not read them."""
+    staff = small.extract_x.filter("length(patron_id) = 6").drop("permission", "laptop", "tech_optout", "guarantor", "street", "city", "state",
+                                                                 "postal_code", "phone", "phone1", "teacher_id", "teacher_name", "birth_date")
+    sor = small.sor_x.filter("length(patron_id) = 6")
+    state = small.last_seen.filter("length(patron_id) = 6")
+    t = RosterSync(run_date="2024-02-01", population="staff").plan(staff, sor, state)
+    counts = {r.default_branch: r for r in t["report_default_branch"].collect()}
+    assert "sor_yes" not in t["report_default_branch"].columns
+    assert sum(r.updated for r in counts.values()) == t["update"].count()
+    assert sum(r.removed for r in counts.values()) == t["remove"].count()
+    assert "phone" not in t["remove"].columns
+    t["guard_bty"].collect()
+
+
+def test_each_student_column_is_compared(spark, small):
+    """Every 29th id differs from the SoR in one further column; all of them are updates."""
+    t = RosterSync(run_date="2024-02-01").plan(small.extract_x, small.sor_x, small.last_seen)
+    updated = {r.patron_id for r in t["update"].select("patron_id").collect()}
+    ids = {r.patron_id for r in small.extract_x.join(small.sor_x, "patron_id", "left_semi").select("patron_id").collect()}
+    assert {i for i in ids if 1 <= int(i[-4:]) % 29 <= 9} <= updated
+    assert {"phone1", "phone", "teacher_id", "teacher_name"} <= set(t["remove"].columns)
