@@ -14,23 +14,28 @@ from rosterflow.plans.fixtures import EXTRACT_MORE, SOR_MORE
 VIEW_SQL: dict[str, str] = {
     "v_branch": """
 SELECT n_nationkey AS branch_number,
-       CASE WHEN n_regionkey < 3 THEN concat(CAST(60 + n_nationkey AS VARCHAR), lpad(CAST((n_nationkey * 37) % 1000 AS VARCHAR), 3, '0'))
+       CASE WHEN n_regionkey < 3 THEN concat(CAST(60 + n_nationkey AS VARCHAR), CASE n_nationkey WHEN 2 THEN '181' WHEN 5 THEN '508'
+                 ELSE lpad(CAST((n_nationkey * 37) % 1000 AS VARCHAR), 3, '0') END)
             ELSE concat('NP', lpad(CAST(n_nationkey AS VARCHAR), 3, '0')) END AS branch_code,
        n_name AS branch_name,
        CASE WHEN n_regionkey < 3 THEN 2 ELSE 1 END AS branch_group
 FROM nation""",
     "v_patron": """
 SELECT CASE WHEN c_custkey % 4 = 0 THEN CAST(100000 + c_custkey AS VARCHAR)
+            WHEN c_custkey % 59 = 3 THEN concat('B', CAST(100000 + c_custkey AS VARCHAR))
             ELSE CAST(190000000 + c_custkey AS VARCHAR) END AS patron_id,
        CAST(CASE WHEN c_custkey % 28 = 0 THEN CASE CAST(floor(c_custkey / 28) AS INT) % 7 WHEN 0 THEN 3 WHEN 1 THEN 14 WHEN 2 THEN 15 WHEN 3 THEN 43 WHEN 4 THEN 44 WHEN 5 THEN 45 ELSE 52 END
+                 WHEN c_custkey % 44 = 4 THEN 38
                  WHEN c_custkey % 4 = 0 THEN CASE c_custkey % 3 WHEN 0 THEN 13 WHEN 1 THEN 40 ELSE 51 END
+                 WHEN c_custkey % 59 = 3 THEN 48
+                 WHEN c_custkey % 53 = 2 THEN CASE c_custkey % 3 WHEN 0 THEN 4 WHEN 1 THEN 16 ELSE 17 END
                  WHEN c_custkey % 37 = 1 THEN 38 WHEN c_custkey % 43 = 1 THEN 46 WHEN c_custkey % 47 = 1 THEN 47
                  ELSE 21 + c_custkey % 17 END AS INT) AS bty,
        concat('LAST', CAST(c_custkey % 97 AS VARCHAR)) AS last_name,
        c_mktsegment AS first_name,
        c_nationkey AS default_branch,
        CASE WHEN c_custkey % 41 = 0 THEN 'XMNPS' ELSE CAST(c_nationkey AS VARCHAR) END AS edit_branch,
-       CAST(DATE '2023-10-01' + CAST(c_custkey % 400 AS INT) AS DATE) AS exp_date,
+       CAST(CASE WHEN c_custkey % 118 = 3 THEN DATE '2024-10-01' ELSE DATE '2023-10-01' + CAST(c_custkey % 400 AS INT) END AS DATE) AS exp_date,
        CAST(DATE '2004-01-01' + CAST(c_custkey % 4000 AS INT) AS DATE) AS birth_date,
        CASE WHEN c_custkey % 5 = 0 THEN '' WHEN c_custkey % 5 = 1 THEN concat('u', CAST(c_custkey AS VARCHAR), '@home.example')
             ELSE concat('u', CAST(c_custkey AS VARCHAR), '@SCHOOL.example') END AS email,
@@ -43,7 +48,8 @@ SELECT CASE WHEN c_custkey % 4 = 0 THEN CAST(100000 + c_custkey AS VARCHAR)
 FROM customer""",
     "v_extract": """
 SELECT patron_id,
-       CAST(CASE WHEN CAST(right(patron_id, 4) AS INT) % 11 = 0 THEN bty + 1 ELSE bty END AS INT) AS bty,
+       CAST(CASE WHEN bty IN (4, 16, 17, 38) AND CAST(right(patron_id, 4) AS INT) % 2 = 0 THEN 34
+                 WHEN CAST(right(patron_id, 4) AS INT) % 11 = 0 THEN bty + 1 ELSE bty END AS INT) AS bty,
        CASE WHEN CAST(right(patron_id, 4) AS INT) % 13 = 0 THEN lower(last_name) ELSE last_name END AS last_name,
        first_name, default_branch, exp_date, birth_date,
        concat('s', patron_id, '@SCHOOL.example') AS email
@@ -59,15 +65,15 @@ SELECT patron_id,
 FROM v_patron""",
     "v_txlog": """
 SELECT event_id AS txn_id, ts, user_id AS item_id,
-       CAST(190000000 + event_id % 150 AS VARCHAR) AS patron_id,
+       CAST(CASE WHEN event_id % 11 = 3 THEN 100000 ELSE 190000000 END + event_id % 150 AS VARCHAR) AS patron_id,
        CASE event_type WHEN 'purchase' THEN 'CH' WHEN 'signup' THEN 'CH' WHEN 'click' THEN 'DS' WHEN 'view' THEN 'DS' ELSE 'RN' END AS txn_type,
-       CAST(user_id % 25 AS INT) AS env_branch,
+       CAST(CASE WHEN event_id % 13 = 5 THEN 29 ELSE user_id % 25 END AS INT) AS env_branch,
        CAST(CASE WHEN event_id % 5 = 0 THEN (user_id + 3) % 25 ELSE user_id % 25 END AS INT) AS item_branch,
        CAST(CASE WHEN event_id % 7 = 2 THEN (user_id + 7) % 25 WHEN event_id % 3 = 0 THEN (user_id + 3) % 25 WHEN event_id % 31 = 1 THEN NULL ELSE user_id % 25 END AS INT) AS patron_branch,
        CASE WHEN event_id % 4 = 0 THEN 'C' ELSE 'S' END AS status_before
 FROM events""",
     "v_loan": """
-SELECT o_orderkey AS item_id, CAST(190000000 + o_custkey AS VARCHAR) AS patron_id,
+SELECT o_orderkey AS item_id, CASE WHEN o_orderkey % 50 = 7 THEN 'a9' ELSE '' END || CAST(190000000 + o_custkey AS VARCHAR) AS patron_id,
        CASE o_orderkey % 6 WHEN 0 THEN 'C' WHEN 1 THEN 'O' WHEN 2 THEN 'L' WHEN 3 THEN 'F1' WHEN 4 THEN 'F2' ELSE 'H' END AS trans_code,
        CAST(o_orderdate AS DATE) AS trans_date,
        CAST(CAST(o_orderdate AS DATE) + 21 AS DATE) AS due_date,
@@ -75,7 +81,8 @@ SELECT o_orderkey AS item_id, CAST(190000000 + o_custkey AS VARCHAR) AS patron_i
 FROM orders""",
     "v_note": """
 SELECT o_orderkey AS note_id, CAST(190000000 + o_custkey AS VARCHAR) AS patron_id, o_orderdate AS ts,
-       CASE WHEN o_orderkey % 3 = 0 THEN concat('Patron expired ', CAST(CAST(o_orderdate AS DATE) AS VARCHAR))
+       CASE WHEN o_orderkey % 70 = 5 THEN concat('Guarantor effective ', CAST(CAST(o_orderdate AS DATE) AS VARCHAR), ':')
+            WHEN o_orderkey % 3 = 0 THEN concat('Patron expired ', CAST(CAST(o_orderdate AS DATE) AS VARCHAR))
             ELSE concat('Guarantor effective ', CAST(CAST(o_orderdate AS DATE) AS VARCHAR), ' - ',
                         CAST(CAST(CAST(o_orderdate AS DATE) + 90 AS DATE) AS VARCHAR), ': G', CAST(o_orderkey % 50 AS VARCHAR)) END AS text
 FROM orders""",
@@ -88,13 +95,14 @@ FROM part""",
     "v_usage": """
 SELECT CAST(user_id % 25 AS INT) AS library_id,
        concat(CAST(CAST(ts AS DATE) AS VARCHAR), ' 00:00:00') AS activity_date,
-       CASE WHEN event_id % 4 = 0 THEN concat('"', CAST(100000 + event_id % 150 AS VARCHAR), '"')
+       CASE WHEN event_id % 20 = 7 THEN concat('S', CAST(190000000 + event_id % 150 AS VARCHAR), '@School.example')
+            WHEN event_id % 4 = 0 THEN concat('"', CAST(100000 + event_id % 150 AS VARCHAR), '"')
             ELSE concat(CAST(190000000 + event_id % 150 AS VARCHAR), '@school.example') END AS patron_full,
        concat(CASE event_id % 5 WHEN 0 THEN 'b' WHEN 1 THEN 'a' WHEN 2 THEN 'h' WHEN 3 THEN 'm' ELSE 'f' END, 'last', CAST(event_id % 97 AS VARCHAR), '@school.example') AS user_email,
        1 AS checkouts
 FROM events""",
     "v_media": """
-SELECT concat(CAST(190000000 + page_id AS VARCHAR), '.jpg') AS file_name,
+SELECT concat(CAST(190000000 + page_id AS VARCHAR), CASE WHEN page_id % 19 = 5 THEN 'x.jpg' ELSE '.jpg' END) AS file_name,
        CAST(length(html) AS BIGINT) AS n_bytes,
        CAST(DATE '2022-01-01' + CAST(page_id % 900 AS INT) AS DATE) AS mtime
 FROM pages""",

@@ -56,7 +56,7 @@ class Views:
         code = F.when(
             school,
             F.concat((F.col("n_nationkey") + 60).cast("string"),
-                     F.lpad(((F.col("n_nationkey") * 37) % 1000).cast("string"), 3, "0")),
+                     F.when(F.col("n_nationkey") == 2, "181").when(F.col("n_nationkey") == 5, "508").otherwise(F.lpad(((F.col("n_nationkey") * 37) % 1000).cast("string"), 3, "0"))),
         ).otherwise(F.concat(F.lit("NP"), F.lpad(F.col("n_nationkey").cast("string"), 3, "0")))
         return n.select(
             F.col("n_nationkey").alias("branch_number"),
@@ -76,7 +76,10 @@ class Views:
                       F.when(special == 0, 3).when(special == 1, 14).when(special == 2, 15)
                       .when(special == 3, 43).when(special == 4, 44).when(special == 5, 45)
                       .otherwise(52))
+               .when(k % 44 == 4, 38)
                .when(staff, F.when(k % 3 == 0, 13).when(k % 3 == 1, 40).otherwise(51))
+               .when(k % 59 == 3, 48)
+               .when(k % 53 == 2, F.when(k % 3 == 0, 4).when(k % 3 == 1, 16).otherwise(17))
                .when(k % 37 == 1, 38).when(k % 43 == 1, 46).when(k % 47 == 1, 47)
                .otherwise(21 + k % 17)).cast("int")
         email = (F.when(k % 5 == 0, F.lit(""))
@@ -84,6 +87,7 @@ class Views:
                  .otherwise(F.concat(F.lit("u"), k.cast("string"), F.lit("@SCHOOL.example"))))
         return c.select(
             F.when(staff, (k + 100000).cast("string"))
+             .when(k % 59 == 3, F.concat(F.lit("B"), (k + 100000).cast("string")))
              .otherwise((k + 190000000).cast("string")).alias("patron_id"),
             bty.alias("bty"),
             F.concat(F.lit("LAST"), (k % 97).cast("string")).alias("last_name"),
@@ -91,7 +95,7 @@ class Views:
             F.col("c_nationkey").alias("default_branch"),
             F.when(k % 41 == 0, F.lit("XMNPS")).otherwise(F.col("c_nationkey").cast("string"))
              .alias("edit_branch"),
-            _days_after("2023-10-01", k % 400).alias("exp_date"),
+            F.when(k % 118 == 3, F.lit("2024-10-01").cast("date")).otherwise(_days_after("2023-10-01", k % 400)).alias("exp_date"),
             _days_after("2004-01-01", k % 4000).alias("birth_date"),
             email.alias("email"),
             (k % 4).cast("string").alias("email_notices"),
@@ -108,7 +112,7 @@ class Views:
         r4 = _right4_int()
         kept = p.filter(r4 % 17 != 3).select(
             "patron_id",
-            F.when(r4 % 11 == 0, F.col("bty") + 1).otherwise(F.col("bty")).cast("int").alias("bty"),
+            F.when(F.col("bty").isin(4, 16, 17, 38) & (r4 % 2 == 0), 34).when(r4 % 11 == 0, F.col("bty") + 1).otherwise(F.col("bty")).cast("int").alias("bty"),
             F.when(r4 % 13 == 0, F.lower("last_name")).otherwise(F.col("last_name")).alias("last_name"),
             "first_name", "default_branch", "exp_date", "birth_date",
             F.concat(F.lit("s"), F.col("patron_id"), F.lit("@SCHOOL.example")).alias("email"),
@@ -147,11 +151,11 @@ class Views:
             eid.alias("txn_id"),
             F.col("ts"),
             uid.alias("item_id"),
-            (eid % 150 + 190000000).cast("string").alias("patron_id"),
+            (F.when(eid % 11 == 3, 100000).otherwise(190000000) + eid % 150).cast("string").alias("patron_id"),
             F.when(F.col("event_type").isin("purchase", "signup"), F.lit("CH"))
              .when(F.col("event_type").isin("click", "view"), F.lit("DS"))
              .otherwise(F.lit("RN")).alias("txn_type"),
-            (uid % 25).cast("int").alias("env_branch"),
+            F.when(eid % 13 == 5, 29).otherwise(uid % 25).cast("int").alias("env_branch"),
             F.when(eid % 5 == 0, (uid + 3) % 25).otherwise(uid % 25).cast("int").alias("item_branch"),
             F.when(eid % 7 == 2, (uid + 7) % 25).when(eid % 3 == 0, (uid + 3) % 25)
              .when(eid % 31 == 1, F.lit(None)).otherwise(uid % 25).cast("int").alias("patron_branch"),
@@ -165,7 +169,7 @@ class Views:
         d = F.col("o_orderdate").cast("date")
         return o.select(
             k.alias("item_id"),
-            (F.col("o_custkey") + 190000000).cast("string").alias("patron_id"),
+            F.concat(F.when(k % 50 == 7, "a9").otherwise(""), (F.col("o_custkey") + 190000000).cast("string")).alias("patron_id"),
             F.when(k % 6 == 0, "C").when(k % 6 == 1, "O").when(k % 6 == 2, "L")
              .when(k % 6 == 3, "F1").when(k % 6 == 4, "F2").otherwise("H").alias("trans_code"),
             d.alias("trans_date"),
@@ -183,7 +187,8 @@ class Views:
             k.alias("note_id"),
             (F.col("o_custkey") + 190000000).cast("string").alias("patron_id"),
             F.col("o_orderdate").alias("ts"),
-            F.when(k % 3 == 0, F.concat(F.lit("Patron expired "), d))
+            F.when(k % 70 == 5, F.concat(F.lit("Guarantor effective "), d, F.lit(":")))
+             .when(k % 3 == 0, F.concat(F.lit("Patron expired "), d))
              .otherwise(F.concat(F.lit("Guarantor effective "), d, F.lit(" - "), d90,
                                  F.lit(": G"), (k % 50).cast("string"))).alias("text"),
         )
@@ -209,7 +214,8 @@ class Views:
         return e.select(
             (F.col("user_id") % 25).cast("int").alias("library_id"),
             F.concat(F.col("ts").cast("date").cast("string"), F.lit(" 00:00:00")).alias("activity_date"),
-            F.when(eid % 4 == 0, F.concat(F.lit('"'), (eid % 150 + 100000).cast("string"), F.lit('"')))
+            F.when(eid % 20 == 7, F.concat(F.lit("S"), (eid % 150 + 190000000).cast("string"), F.lit("@School.example")))
+             .when(eid % 4 == 0, F.concat(F.lit('"'), (eid % 150 + 100000).cast("string"), F.lit('"')))
              .otherwise(F.concat((eid % 150 + 190000000).cast("string"), F.lit("@school.example")))
              .alias("patron_full"),
             F.concat(prefix, F.lit("last"), (eid % 97).cast("string"), F.lit("@school.example"))
@@ -221,7 +227,8 @@ class Views:
     def media(self) -> DataFrame:
         p = self.table("pages")
         return p.select(
-            F.concat((F.col("page_id") + 190000000).cast("string"), F.lit(".jpg")).alias("file_name"),
+            F.concat((F.col("page_id") + 190000000).cast("string"),
+                     F.when(F.col("page_id") % 19 == 5, "x.jpg").otherwise(".jpg")).alias("file_name"),
             F.length("html").cast("bigint").alias("n_bytes"),
             _days_after("2022-01-01", F.col("page_id") % 900).alias("mtime"),
         )
