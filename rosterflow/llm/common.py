@@ -74,7 +74,9 @@ def one_row_per_id(docs: DataFrame, keep_null: bool = False) -> DataFrame:
     Only ids that occur more than once are grouped; equal texts are told apart
     by the other columns as a JSON text.  Rows without id go, or all stay.
     """
-    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 AND doc_id IS NOT NULL").select("doc_id")
+    # Written first: its size is then known when the joins are planned, and a short list costs no shuffle of the texts.
+    repeated = staged(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 AND doc_id IS NOT NULL").select("doc_id"),
+                      "repeated")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     first = (docs.join(repeated, "doc_id", "left_semi")
              .groupBy("doc_id").agg(F.min_by(row, F.struct(F.col("text").isNull(), "text", F.to_json(row))).alias("row"))

@@ -208,7 +208,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coordina
         .where(F.size("held") >= min_matches)
         .select("id", "central", F.slice("held", 1, F.size("held") - min_matches + 1).alias("prefix"))
         .join(classes.select("id", "n", "sig"), "id"), "active")
-    texts = staged(unique.join(active.select(F.col("id").alias("doc_id")), "doc_id")
+    wanted = staged(active.select(F.col("id").alias("doc_id")), "wanted")  # a known size, as in one_row_per_id
+    texts = staged(unique.join(wanted, "doc_id", "left_semi")
                    .select(F.col("doc_id").alias("id"), "text"), "texts")
     postings = staged(active.select("id", "central", "n", F.explode("prefix").alias("p")).select("id", "central", "n", "p.key"), "postings")
 
@@ -250,5 +251,5 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coordina
 
 def deduplicated(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One row of each group of near-duplicates, with its columns (that of the smallest doc_id)."""
-    gone = near_duplicates(docs, words, percent).where("NOT kept").select("doc_id")
+    gone = staged(near_duplicates(docs, words, percent).where("NOT kept").select("doc_id"), "gone")
     return one_row_per_id(docs, keep_null=True).join(gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
