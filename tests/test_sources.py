@@ -78,3 +78,12 @@ def test_ragged_rows_dropped_for_any_projection(spark):
     df = fs.read_csv_headered(spark, d)
     assert df.count() == len(df.collect()) == 2
     assert sorted(tuple(r) for r in df.collect()) == [("1", "2"), ("6", "")]
+
+
+def test_header_normalized_reads_every_hold(spark, views, monkeypatch):
+    from rosterflow.plans import q_sources
+
+    read, seen = fs.read_csv_headered, []
+    monkeypatch.setattr(q_sources.fs, "read_csv_headered", lambda *a, **k: seen.append(read(*a, **k)) or seen[-1])
+    kept = q_sources.q_scan_header_normalized(views)
+    assert seen[0].count() == views.holds.count() > kept.count() > 0
