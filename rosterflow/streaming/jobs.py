@@ -7,9 +7,9 @@ scheduled run is incremental and restartable after executor or driver loss.
 Sinks are idempotent per micro-batch (a batch id folder is overwritten on
 replay), giving exactly-once results.
 
-* T1 daily counts: event-time tumbling windows of one day with a one-day
-  watermark, append mode (a day is emitted once the watermark passes it;
-  events older than the watermark are dropped -- the late-data policy).
+* T1 daily counts: event-time days; the counts of each batch go to a folder
+  of their own with ``foreachBatch`` and are summed when read, so every event
+  counts once, however late it comes, and the last days are there too.
 * T2 gap returns: per-item state (last event time and day) with
   ``applyInPandasWithState``; events of a micro-batch are ordered per item.
   The state is one row per item; the rows of one item in one micro-batch
@@ -60,21 +60,23 @@ def _run(query) -> None:
 
 
 # -- T1 ----------------------------------------------------------------------
-def stream_daily_counts(events: DataFrame, *, name: str, key: Column, watermark: str = "1 day") -> DataFrame:
+def stream_daily_counts(events: DataFrame, *, name: str, key: Column) -> DataFrame:
     """Daily counts per key from a streaming event frame with an instant
-    column ``ts``; returns the rows emitted so far (batch read of the sink)."""
+    column ``ts``: of all events so far, in any order."""
     spark = events.sparkSession
     root = stream_root(spark, name)
-    agg = (events.withWatermark("ts", watermark)
-           .groupBy(F.window("ts", "1 day"), key.alias("key"))
-           .agg(F.count(F.lit(1)).alias("n")))
-    out = agg.select(utc_day(F.col("window.start")).alias("day"), "key", "n")
-    q = (out.writeStream.outputMode("append").format("parquet")
-         .option("path", os.path.join(root, "out"))
+    out = os.path.join(root, "out")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (batch.groupBy(utc_day(F.col("ts")).alias("day"), key.alias("key")).agg(F.count(F.lit(1)).alias("n"))
+         .write.mode("overwrite").parquet(f"{out}/batch={batch_id}"))
+
+    # Events without a time belong to no day.
+    q = (events.where(F.col("ts").isNotNull()).writeStream.foreachBatch(write)
          .option("checkpointLocation", os.path.join(root, "checkpoint"))
          .trigger(availableNow=True).start())
     _run(q)
-    return spark.read.parquet(os.path.join(root, "out"))
+    return spark.read.parquet(out).groupBy("day", "key").agg(F.sum("n").alias("n"))
 
 
 # -- T2 ----------------------------------------------------------------------

@@ -50,3 +50,25 @@ def test_last_seen_stream_versions(spark):
     ids = spark.readStream.schema("patron_id string").parquet(landing)
     again = {r.patron_id: r.last_seen for r in sj.stream_last_seen(ids, state, name=name, run_date="2024-02-01").collect()}
     assert again == out
+
+
+def test_daily_counts_hold_late_files_and_the_last_day(spark):
+    import datetime as dt
+
+    landing = tempfile.mkdtemp(prefix="rosterflow-events-")
+    name = "daily-" + os.path.basename(landing)
+
+    def run():
+        events = (spark.readStream.schema("day string, kind string").option("maxFilesPerTrigger", 1).parquet(landing)
+                  .select(F.expr("timestamp_micros(unix_micros(to_timestamp(concat(day, ' 12:00:00Z'))))").alias("ts"), "kind"))
+        return {(r.day, r.key): r.n for r in sj.stream_daily_counts(events, name=name, key=F.col("kind")).collect()}
+
+    def land(*rows):
+        spark.createDataFrame(rows, "day string, kind string").coalesce(1).write.mode("append").parquet(landing)
+
+    land(("2024-01-09", "CH"), ("2024-01-10", "CH"), ("2024-01-10", "CH"))
+    first = {(dt.date(2024, 1, 9), "CH"): 1, (dt.date(2024, 1, 10), "CH"): 2}
+    assert run() == first
+    assert run() == first
+    land(("2024-01-02", "DS"), ("2024-01-10", "CH"), (None, "CH"))  # a week late
+    assert run() == {**first, (dt.date(2024, 1, 2), "DS"): 1, (dt.date(2024, 1, 10), "CH"): 3}
