@@ -10,13 +10,12 @@ replay), giving exactly-once results.
 * T1 daily counts: event-time days; the counts of each batch go to a folder
   of their own with ``foreachBatch`` and are summed when read, so every event
   counts once, however late it comes, and the last days are there too.
-* T2 gap returns: per-item state (last event time and day) with
-  ``applyInPandasWithState``; events of a micro-batch are ordered per item.
-  The state is one row per item; the rows of one item in one micro-batch
-  are bounded by the trigger size (``maxFilesPerTrigger`` /
-  ``maxBytesPerTrigger``), which also bounds a hot item's group.  Events
-  are assumed to arrive in time order across micro-batches (an append-only
-  log); the batch job (``circulation.in_house_circ``) is exact for any order.
+* T2 gap returns: ``foreachBatch``; the rows of a micro-batch find the event
+  before them with ``ordered.previous_row``, so a hot item is split, and the
+  first of each item in the versioned state table of last events (one row per
+  item).  Events are assumed to arrive in time order across micro-batches (an
+  append-only log); the batch job (``circulation.in_house_circ``) is exact for
+  any order.
 * T3 last seen: ``foreachBatch`` merge of arriving roster ids into a
   versioned state table (read version n, write version n+1).
 * T4 drops: date-named drop files aggregated per batch with ``foreachBatch``.
@@ -26,15 +25,13 @@ from __future__ import annotations
 
 import os
 import re
-from typing import Iterator
 
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
 
+from rosterflow.operators.ordered import previous_row
 from rosterflow.session import ensure_checkpoint_dir
 
 DAY_US = 86_400_000_000
@@ -82,25 +79,8 @@ def stream_daily_counts(events: DataFrame, *, name: str, key: Column) -> DataFra
 # -- T2 ----------------------------------------------------------------------
 GAP_OUT = T.StructType([T.StructField("txn_id", T.LongType()), T.StructField("item_id", T.LongType()),
                         T.StructField("ts_us", T.LongType())])
-GAP_STATE = T.StructType([T.StructField("last_us", T.LongType()), T.StructField("last_day", T.LongType())])
-
-
-def _gap_fn(gap_us: int, return_code: str, shelf_status: str):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        last_us, last_day = (state.get if state.exists else (None, None))
-        frames = [p for p in pdfs]
-        batch = pd.concat(frames).sort_values(["ts_us", "txn_id"]) if frames else pd.DataFrame()
-        hits = []
-        for r in batch.itertuples(index=False):
-            day = r.ts_us // DAY_US
-            prev = last_us if last_day == day else None
-            if r.txn_type == return_code and r.status_before == shelf_status and (prev is None or r.ts_us - prev > gap_us):
-                hits.append((r.txn_id, r.item_id, r.ts_us))
-            last_us, last_day = r.ts_us, day
-        if last_us is not None:
-            state.update((int(last_us), int(last_day)))
-        yield pd.DataFrame(hits, columns=["txn_id", "item_id", "ts_us"])
-    return fn
+GAP_STATE = T.StructType([T.StructField("no_item", T.BooleanType()), T.StructField("item", T.LongType()),
+                          T.StructField("last_us", T.LongType())])
 
 
 def stream_gap_returns(events: DataFrame, *, name: str, gap_hours: int = 2,
@@ -109,17 +89,33 @@ def stream_gap_returns(events: DataFrame, *, name: str, gap_hours: int = 2,
     item with keyed state; returns the emitted events (batch read of sink)."""
     spark = events.sparkSession
     root = stream_root(spark, name)
-    rows = events.select("txn_id", "item_id", "txn_type", "status_before",
-                         F.unix_micros("ts").alias("ts_us"))
-    out = rows.groupBy("item_id").applyInPandasWithState(
-        _gap_fn(gap_hours * 3_600_000_000, return_code, shelf_status), GAP_OUT, GAP_STATE, "append",
-        GroupStateTimeout.NoTimeout)
-    q = (out.writeStream.outputMode("append").format("parquet")
-         .option("path", os.path.join(root, "out"))
+    base, out = os.path.join(root, "state"), os.path.join(root, "out")
+    if latest_version(spark, base) is None:
+        spark.createDataFrame([], GAP_STATE).write.mode("overwrite").parquet(f"{base}/v=0")
+    # Events without an item are the events of one item; the joins need a key that is never null.
+    keys = ["no_item", "item"]
+    rows = events.select("txn_id", "item_id", "txn_type", "status_before", F.unix_micros("ts").alias("ts_us"),
+                         F.col("item_id").isNull().alias("no_item"), F.coalesce("item_id", F.lit(0)).cast("bigint").alias("item"))
+
+    def find(batch: DataFrame, batch_id: int) -> None:
+        # Version n of the state holds the last events before batch n, as in T3.
+        state = spark.read.schema(GAP_STATE).parquet(f"{base}/v={batch_id}")
+        ordered = previous_row(batch.withColumn("wall", F.expr("timestampadd(MICROSECOND, ts_us, TIMESTAMP_NTZ'1970-01-01 00:00:00')")),
+                               keys, "wall", "txn_id", ["ts_us"])
+        prev = F.coalesce("prev_ts_us", "last_us")
+        same_day = F.floor(prev / DAY_US) == F.floor(F.col("ts_us") / DAY_US)
+        hit = ((F.col("txn_type") == return_code) & (F.col("status_before") == shelf_status)
+               & (prev.isNull() | ~same_day | (F.col("ts_us") - prev > gap_hours * 3_600_000_000)))
+        (ordered.join(state, keys, "left").where(hit).select("txn_id", "item_id", "ts_us")
+         .write.mode("overwrite").parquet(f"{out}/batch={batch_id}"))
+        (state.unionByName(batch.select(*keys, F.col("ts_us").alias("last_us")))
+         .groupBy(*keys).agg(F.max("last_us").alias("last_us")).write.mode("overwrite").parquet(f"{base}/v={batch_id + 1}"))
+
+    q = (rows.where("ts_us IS NOT NULL").writeStream.foreachBatch(find)
          .option("checkpointLocation", os.path.join(root, "checkpoint"))
          .trigger(availableNow=True).start())
     _run(q)
-    return spark.read.schema(GAP_OUT).parquet(os.path.join(root, "out"))
+    return spark.read.schema(GAP_OUT).parquet(out).select("txn_id", "item_id", "ts_us")
 
 
 # -- T3 ----------------------------------------------------------------------

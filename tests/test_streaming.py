@@ -72,3 +72,25 @@ def test_daily_counts_hold_late_files_and_the_last_day(spark):
     assert run() == first
     land(("2024-01-02", "DS"), ("2024-01-10", "CH"), (None, "CH"))  # a week late
     assert run() == {**first, (dt.date(2024, 1, 2), "DS"): 1, (dt.date(2024, 1, 10), "CH"): 3}
+
+
+def test_gap_returns_split_a_hot_item_and_go_on_over_batches(spark, monkeypatch):
+    calls, split = [], sj.previous_row
+    monkeypatch.setattr(sj, "previous_row", lambda *a, **k: calls.append(a[1]) or split(*a, **k))
+    landing = tempfile.mkdtemp(prefix="rosterflow-gaps-")
+    name = "gaps-" + os.path.basename(landing)
+
+    def run():
+        events = (spark.readStream.schema("txn_id bigint, item_id bigint, minute bigint").parquet(landing)
+                  .select("txn_id", "item_id", F.lit("DS").alias("txn_type"), F.lit("S").alias("status_before"),
+                          F.timestamp_micros(F.col("minute") * 60_000_000).alias("ts")))
+        return sorted(r.txn_id for r in sj.stream_gap_returns(events, name=name).collect())
+
+    def land(*rows):
+        spark.createDataFrame(rows, "txn_id bigint, item_id bigint, minute bigint").write.mode("append").parquet(landing)
+
+    land((1, 7, 0), (2, 7, 60), (3, 7, 181), (4, 7, 181), (5, 8, 200), (11, None, 10), (12, None, 20))
+    assert run() == [1, 3, 5, 11]
+    land((6, 7, 300), (7, 7, 421), (8, 8, 321), (9, 7, 1441), (10, 7, 1442))
+    assert run() == [1, 3, 5, 7, 8, 9, 11] and run() == [1, 3, 5, 7, 8, 9, 11]
+    assert len(calls) == 2
