@@ -41,6 +41,43 @@ SELECT page_id, host, path, rule,
 FROM j
 """
 
+COLLOCATIONS = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+         string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[.,;:!?\x0A-\x0D]') AS pieces
+  FROM documents
+), p AS (
+  SELECT lang, regexp_extract_all(piece, '[^ \x09]+') AS ws FROM (SELECT lang, unnest(pieces) AS piece FROM t)
+), f AS (
+  SELECT lang, 1 AS k, [unnest(ws)] AS ws FROM p
+  UNION ALL SELECT lang, 2, ws[i:i + 1] FROM (SELECT lang, ws, unnest(range(1, len(ws))) AS i FROM p)
+  UNION ALL SELECT lang, 3, ws[i:i + 2] FROM (SELECT lang, ws, unnest(range(1, len(ws) - 1)) AS i FROM p)
+), c AS (
+  SELECT lang, k, ws, count(*) AS f FROM f GROUP BY ALL
+), n AS (
+  SELECT lang, sum(f) AS n FROM c WHERE k = 1 GROUP BY lang
+), cuts AS (
+  SELECT x.lang, x.k, x.ws, x.f AS a, y.k AS cut, y.f AS l, z.f AS r,
+         (1000000::HUGEINT * x.f * x.f) // (y.f::HUGEINT * z.f) AS score
+  FROM c x JOIN c y ON y.lang = x.lang AND y.k < x.k AND y.ws = x.ws[1:y.k]
+           JOIN c z ON z.lang = x.lang AND z.k = x.k - y.k AND z.ws = x.ws[y.k + 1:]
+  WHERE x.k > 1 AND x.f >= 10
+), best AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, ws ORDER BY score, cut) AS i FROM cuts) WHERE i = 1
+), covered AS (
+  SELECT DISTINCT b.lang, b.ws FROM best b JOIN best o ON o.lang = b.lang AND o.k = 3 AND (o.ws[1:2] = b.ws OR o.ws[2:3] = b.ws)
+  WHERE b.k = 2 AND 100 * o.a >= 50 * b.a
+), ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(ws, ' ')) AS rank,
+         array_to_string(ws, ' ') AS phrase, a, l, r, score
+  FROM best ANTI JOIN covered USING (lang, ws)
+)
+SELECT lang, CAST(rank AS INTEGER) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
 
 def _quoted(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rosterflow.llm import oracle
 from rosterflow.llm.bpe import bpe_round_trip, default_vocabulary
+from rosterflow.llm.collocations import collocations
 from rosterflow.llm.common import table
+from rosterflow.llm.compression_rules import quality_rules
 from rosterflow.llm.decontam import leak_report
 from rosterflow.llm.language_id import languages
 from rosterflow.llm.license_scan import known_licences, license_scan
@@ -67,6 +69,14 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf_dir, "documents"), default_vocabulary())
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vector_search": op1_vector_search,
     "op2_license_scan": op2_license_scan,
@@ -78,10 +88,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_lm_score": op9_lm_score,
     "op10_bpe": op10_bpe,
+    "op11_collocations": op11_collocations,
+    "op13_quality_rules": op13_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_vector_search": oracle.VECTOR_SEARCH,
     "op2_license_scan": oracle.license_scan_sql(),
     "op6_url_filter": oracle.URL_FILTER,
+    "op11_collocations": oracle.COLLOCATIONS,
 }
