@@ -17,6 +17,7 @@ from rosterflow.llm.license_scan import known_licences, license_scan
 from rosterflow.llm.lm_score import lm_scores
 from rosterflow.llm.near_dup import near_duplicates
 from rosterflow.llm.quality import quality_scores
+from rosterflow.llm.spelling import spelling_variants
 from rosterflow.llm.token_counts import load_ranks, section_tokens
 from rosterflow.llm.url_filter import url_verdicts
 from rosterflow.llm.vector_search import top_k
@@ -73,6 +74,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_lm_score": op9_lm_score,
     "op10_bpe": op10_bpe,
     "op11_collocations": op11_collocations,
+    "op12_spelling": op12_spelling,
     "op13_quality_rules": op13_quality_rules,
 }
 
