@@ -15,6 +15,8 @@ from typing import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rosterflow.sources.versioned import VersionedTable
+
 KEY = "patron_id"
 
 
@@ -296,15 +298,16 @@ def raise_if_any(df: DataFrame, message: str = "threshold guard fired") -> None:
         raise RuntimeError(f"{message}: {hit[0].asDict()}")
 
 
-def report_history_upsert(history: DataFrame, report: DataFrame, *, run_date: str,
+def report_history_upsert(history: VersionedTable, report: DataFrame, *, run_date: str,
                           date_col: str = "report_date") -> DataFrame:
-    """Replace the run date's rows of a date-keyed history with ``report``.
+    """Replace the run date's rows of a history with ``report`` and read the history back.
 
-    Persist with ``sinks.write_partitions`` (dynamic partition overwrite), so
-    only the ``run_date`` partition is rewritten.
+    Each date is a part of the table, so the rows of other dates are neither
+    read nor written, and readers see the old rows of the date until the new
+    ones are whole.
     """
-    keep = history.filter(F.col(date_col) != _d(run_date))
-    return keep.unionByName(report.withColumn(date_col, _d(run_date)))
+    history.replace(report.withColumn(date_col, _d(run_date)), part=run_date)
+    return history.read()
 
 
 # -- J22: redundant exceptions -----------------------------------------------

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rosterflow.sources.sinks import write_partitions
+
 
 KEY = "patron_id"
 
@@ -218,10 +220,18 @@ def drop_dates(usage: DataFrame) -> DataFrame:
     return usage.select(F.substring("activity_date", 1, 10).alias("year_month_day")).distinct()
 
 
-def split_by_date(rows: DataFrame, *, population_col: str = "population",
+def split_by_date(rows: DataFrame, path: str, *, population_col: str = "population",
                   date_col: str = "year_month_day") -> DataFrame:
-    """Output folders of a ``partitionBy(population, date)`` write with their
-    row counts (S17); the write itself is ``sinks.write_partitions``."""
-    return (rows.groupBy(population_col, date_col).agg(F.count(F.lit(1)).alias("n_rows"))
-            .withColumn("folder", F.concat(F.lit(population_col + "="), F.col(population_col),
-                                           F.lit("/" + date_col + "="), F.col(date_col))))
+    """Write ``rows`` as CSV files in a folder for each population and date, and
+    return the rows that these folders hold (S17).
+
+    A folder has one file, or a few if it is large; a later call replaces the
+    folders that it has rows for.  Rows without a date or population come back
+    as such; empty texts in other columns stay empty.
+    """
+    by = [population_col, date_col]
+    write_partitions(rows, path, by, fmt="csv", sep=",")
+    schema = T.StructType([*[f for f in rows.schema.fields if f.name not in by], *[rows.schema[c] for c in by]])
+    spark = rows.sparkSession
+    back = spark.read.schema(schema).option("header", True).option("nullValue", "\u0000").option("emptyValue", "").csv(path)
+    return back.select(*rows.columns)

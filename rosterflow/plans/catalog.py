@@ -56,7 +56,7 @@ def _load_all() -> None:
     # Importing the modules registers their queries.
     from rosterflow.plans import (  # noqa: F401
         q_circulation, q_roster, q_reconcile, q_notes, q_usage, q_eligibility,
-        q_media, q_netrange, q_sources, q_streams, q_text, q_actions,
+        q_media, q_netrange, q_sinks, q_sources, q_streams, q_text, q_actions,
     )
 
 

@@ -146,9 +146,9 @@ SELECT concat('B', right(guid, 8)) AS patron_id, last_name, first_name, '' AS mi
        48 AS bty, 'Nashville' AS city, 'TN' AS state, '37212' AS zip, 'EH' AS default_branch, 'VI' AS reg_branch,
        'not sent' AS collection_status, 'send email' AS email_notices, '2025-10-01' AS exp_date,
        'G' AS status_code, 'Primary' AS preferred_address
-FROM v_patron WHERE bty = 38""")
+FROM v_patron""")
 def q_onboard_csv(v):
-    csv = v.patron.filter(F.col("bty") == 38).select(
+    csv = v.patron.select(
         F.col("last_name").alias("Last Name"), F.col("first_name").alias("First Name"),
         F.lit("").alias("Middle Name"), F.concat(F.lit("B"), F.expr("right(guid, 8)")).alias("BUID"),
         F.concat(F.lit("Hall"), (F.col("bty") % 7).cast("string")).alias("Hall"), F.col("email").alias("Email"))

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from rosterflow.sources.files import landing_path
+from rosterflow.sources.versioned import VersionedTable
 from rosterflow.operators import reconcile as rc
 from rosterflow.plans.catalog import register
 from rosterflow.plans.roster_sync import STAFF_COMPARE, STUDENT_COMPARE, STUDENT_CONTACT
@@ -261,11 +263,11 @@ SELECT '2024-01-31' AS report_date, default_branch, sor, extract, created, updat
        sor_yes, extract_yes, sor_no, extract_no FROM r
 UNION ALL SELECT * FROM r""")
 def q_report_history_upsert(v):
-    rep = report(v, "default_branch")
-    # Existing history: yesterday's run and a stale copy of today's run.
-    history = (rep.withColumn("report_date", F.lit("2024-01-31").cast("date"))
-               .unionByName(rep.withColumn("extract", F.lit(0).cast("bigint"))))
-    return rc.report_history_upsert(history, rep.drop("report_date"), run_date=RUN)
+    # Yesterday's run, a stale run of today, and today's run again.
+    history = VersionedTable(v.spark, landing_path(v.spark, "report-history"))
+    rows = rc.report_history_upsert(history, report(v, "default_branch").drop("report_date"), run_date="2024-01-31").drop("report_date")
+    rc.report_history_upsert(history, rows.withColumn("extract", F.lit(0).cast("bigint")), run_date=RUN)
+    return rc.report_history_upsert(history, rows, run_date=RUN)
 
 
 @register("exceptions_redundant", sql="""

@@ -57,12 +57,11 @@ def q_scan_csv_headered(v):
 
 
 @register("scan_header_normalized", sql="""
-SELECT user_id AS "USER ID", CAST(hold_no AS VARCHAR) AS "HOLD NO" FROM v_holds WHERE hold_no = 1""")
+SELECT user_id AS "USER ID", CAST(hold_no AS VARCHAR) AS "HOLD NO" FROM v_holds""")
 def q_scan_header_normalized(v):
     rows = v.holds.select(F.col("user_id").alias('\ufeff"User ID"'), F.col("hold_no").cast("string").alias("'hold no'"))
     path = _land_csv(v, "normalized", rows, sep=",")
-    # All holds are landed and read; the statement asks for first holds alone.
-    return fs.read_csv_headered(v.spark, path, sep=",", normalize=True).filter(F.col("HOLD NO") == "1")
+    return fs.read_csv_headered(v.spark, path, sep=",", normalize=True)
 
 
 @register("scan_alias_columns", sql="SELECT user_id FROM v_holds")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rosterflow.operators import usage as us
 from rosterflow.plans.catalog import register
+from rosterflow.sources.files import landing_path
 from rosterflow.sources.tables import VIEW_RUN_DATE
 
 
@@ -195,14 +196,16 @@ def q_drop_dates(v):
 
 
 @register("split_by_date", sql=f"""WITH {LOGIN},
-line AS (SELECT DISTINCT CASE length(patron_id) WHEN 9 THEN 'student' ELSE 'staff' END AS population, school_code,
-                activity_date[1:10] AS day, patron_id
-         FROM use_school WHERE school_code IS NOT NULL AND length(patron_id) IN (6, 7, 9))
-SELECT population, day AS year_month_day, count(*) AS n_rows,
-       'population=' || population || '/year_month_day=' || day AS folder
-FROM line GROUP BY population, day""")
+paid AS (SELECT *, activity_date[1:10] AS year_month_day FROM use_school WHERE school_code IS NOT NULL)
+SELECT 'student' AS population, school_code, year_month_day, patron_id, sum(checkouts)::BIGINT AS checkouts
+FROM paid WHERE length(patron_id) = 9 GROUP BY ALL
+UNION ALL
+SELECT 'staff', school_code, year_month_day, patron_id, sum(checkouts)::BIGINT
+FROM paid WHERE length(patron_id) BETWEEN 6 AND 7 GROUP BY ALL""")
 def q_split_by_date(v):
-    return us.split_by_date(us.vendor_usage_a(v.usage, library_school(v), v.patron, v.branch))
+    # Written as files for each population and date, and read back from them.
+    rows = us.vendor_usage_a(v.usage, library_school(v), v.patron, v.branch)
+    return us.split_by_date(rows, landing_path(v.spark, "usage-by-date"))
 
 
 HEADER = {"library_id": "library_id", "activity_date": "activity_date", "patron_full": "patron_full",

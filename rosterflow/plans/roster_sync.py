@@ -9,8 +9,9 @@ population, every action table, the run report and the change guard.
 * the guard is evaluated before anything is written and aborts the run;
 * action tables are written with dynamic partition overwrite on
   ``run_date`` (a rerun of a day replaces that day only);
-* the new last-seen state is written as a new version next to the old one
-  (never over the version being read).
+* the new last-seen state is the next version of the table at ``state_dir``
+  (``VersionedTable``): what readers see changes when it is whole;
+* the staged tables are dropped at the end, also after a failure.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from rosterflow.operators import notes as nt
 from rosterflow.operators import reconcile as rc
 from rosterflow.session import ensure_checkpoint_dir
 from rosterflow.sources import sinks
+from rosterflow.sources.versioned import VersionedTable
 
 STUDENT_COMPARE = ["bty", "last_name", "first_name", "middle_name", "suffix", "street", "city", "state", "postal_code", "phone",
                    "default_branch", "exp_date", "birth_date", "teacher_id", "teacher_name", "collection_status"]
@@ -89,9 +91,14 @@ class RosterSync:
             out[f"guard_{by}"] = rc.abort_guard(rep, by=by, exempt=exempt)
         return out
 
-    @staticmethod
-    def co_partition(extract: DataFrame, sor: DataFrame, state: DataFrame,
+    @classmethod
+    def co_partition(cls, extract: DataFrame, sor: DataFrame, state: DataFrame,
                      buckets: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """The tables of ``stage`` as DataFrames."""
+        return tuple(extract.sparkSession.table(t) for t in cls.stage(extract, sor, state, buckets))
+
+    @staticmethod
+    def stage(extract: DataFrame, sor: DataFrame, state: DataFrame, buckets: int | None = None) -> list[str]:
         """Stage the three inputs as tables bucketed identically on the id
         under the shared checkpoint folder.  Every later join on
         ``patron_id`` between them reads matching buckets (no shuffle of the
@@ -104,21 +111,28 @@ class RosterSync:
         for name, df in (("extract", extract), ("sor", sor), ("state", state)):
             table = f"rosterflow_{name}_{os.path.basename(root)}"
             sinks.write_bucketed(df, table, "patron_id", n, path=os.path.join(root, name))
-            out.append(spark.table(table))
-        return tuple(out)
+            out.append(table)
+        return out
 
     def run(self, extract: DataFrame, sor: DataFrame, state: DataFrame, *, out_dir: str, state_dir: str,
             notes: DataFrame | None = None, enforce_guard: bool = True) -> dict[str, str]:
         """Persist one run; returns the written locations."""
-        extract, sor, state = self.co_partition(extract, sor, state)
-        tables = self.plan(extract, sor, state, notes)
+        spark = extract.sparkSession
+        tables = self.stage(extract, sor, state)
+        try:
+            return self._write(self.plan(*map(spark.table, tables), notes), out_dir, state_dir, enforce_guard)
+        finally:
+            for table in tables:
+                spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+    def _write(self, tables: dict[str, DataFrame], out_dir: str, state_dir: str, enforce_guard: bool) -> dict[str, str]:
         if enforce_guard:
             for k in [k for k in tables if k.startswith("guard_")]:
                 rc.raise_if_any(tables[k], f"{k} fired for {self.run_date}")
         written = {}
-        new_state = os.path.join(state_dir, f"v={self.run_date}")
-        tables.pop("state").write.mode("overwrite").parquet(new_state)
-        written["state"] = new_state
+        new_state = tables.pop("state")
+        VersionedTable(new_state.sparkSession, state_dir).replace(new_state, note={"run_date": self.run_date})
+        written["state"] = state_dir
         for name, df in tables.items():
             path = os.path.join(out_dir, name)
             sinks.write_partitions(df.withColumn("run_date", F.lit(self.run_date)), path, ["run_date"])

@@ -34,12 +34,14 @@ def warehouse_reports(txlog: DataFrame, branch: DataFrame, patron: DataFrame, it
 
 
 def write_reports(reports: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
-    """TSV per (owner, population, day) for checkouts; per day for the others.
-    Dynamic partition overwrite makes a rerun of a day idempotent."""
+    """TSV per (owner, population, day) for checkouts, ordered by patron, day and
+    school (L2); per day for the others.  Dynamic partition overwrite makes a
+    rerun of a day idempotent."""
     paths = {}
     chk = reports["checkouts"].withColumn("report_date", F.to_date("year_month_day", "yyyyMMdd"))
     paths["checkouts"] = os.path.join(out_dir, "checkouts")
-    sinks.write_partitions(chk, paths["checkouts"], ["owner", "population", "report_date"], fmt="csv")
+    sinks.write_partitions(chk, paths["checkouts"], ["owner", "population", "report_date"], fmt="csv",
+                           order=["patron_id", "year_month_day", "school_code"])
     for name in ("in_house", "collection"):
         paths[name] = os.path.join(out_dir, name)
         sinks.write_partitions(reports[name], paths[name], ["report_date"], fmt="csv")

@@ -6,6 +6,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
+from rosterflow.sources.versioned import VersionedTable
 from rosterflow.operators import reconcile as rc
 from rosterflow.plans.roster_sync import RosterSync
 from rosterflow.plans.warehouse import warehouse_reports, write_reports
@@ -28,7 +29,8 @@ def test_roster_sync_run_and_rerun(spark, small):
     # Rerunning the same day replaces that day's partition (idempotent).
     sync.run(small.extract_x, small.sor_x, small.last_seen, out_dir=out, state_dir=st, enforce_guard=False)
     assert spark.read.parquet(w["create"]).count() == n_create
-    state = spark.read.parquet(w["state"])
+    state = VersionedTable(spark, w["state"]).read()
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("rosterflow_")]
     assert state.filter(F.col("last_seen").isNull()).count() == 0
 
 

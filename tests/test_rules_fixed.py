@@ -3,13 +3,13 @@
 import uuid
 
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from rosterflow.operators import actions, circulation, eligibility, netrange, notes, reconcile
 from rosterflow.plans import catalog
 from rosterflow.plans.catalog import spark_queries
 from rosterflow.session import ensure_checkpoint_dir
+from rosterflow.sources.versioned import VersionedTable
 from rosterflow.streaming import jobs
 
 
@@ -43,13 +43,15 @@ def test_the_clean_up_finds_the_notes_that_the_removal_writes(spark):
 
 
 def test_a_read_fault_is_no_empty_state(spark, tmp_path):
-    assert jobs.latest_version(spark, str(tmp_path / "nothing")) is None
-    broken = tmp_path / "state" / "v=0"
-    broken.mkdir(parents=True)
-    (broken / "part-0.parquet").write_bytes(b"not parquet")
-    with pytest.raises(Exception) as e:
-        jobs.latest_version(spark, str(tmp_path / "state"))
-    assert not isinstance(e.value, AnalysisException) or e.value.getCondition() != "PATH_NOT_FOUND"
+    assert VersionedTable(spark, str(tmp_path / "nothing")).read() is None
+    table = VersionedTable(spark, str(tmp_path / "state"))
+    table.replace(spark.createDataFrame([(1,)], "a int"))
+    (folder,) = table.manifest()["parts"][""]
+    for part in (tmp_path / "state" / folder).glob("*.parquet"):
+        part.with_name(f".{part.name}.crc").unlink()
+        part.write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        table.read().collect()
 
 
 def test_streams_are_awaited_without_a_limit():

@@ -86,4 +86,4 @@ def test_header_normalized_reads_every_hold(spark, views, monkeypatch):
     read, seen = fs.read_csv_headered, []
     monkeypatch.setattr(q_sources.fs, "read_csv_headered", lambda *a, **k: seen.append(read(*a, **k)) or seen[-1])
     kept = q_sources.q_scan_header_normalized(views)
-    assert seen[0].count() == views.holds.count() > kept.count() > 0
+    assert seen[0].count() == views.holds.count() == kept.count() > 0

@@ -36,20 +36,80 @@ def test_drop_stream_is_incremental_and_idempotent(spark):
     assert third == {("2024-01-02", 1): 5, ("2024-01-03", 2): 4}
 
 
-def test_last_seen_stream_versions(spark):
+def test_last_seen_stream_equals_the_batch_merge_day_by_day(spark):
+    """Ids that nobody saw for more than a week leave on a later day; one that comes back enters again."""
+    import datetime as dt
+
+    from rosterflow.operators.reconcile import last_seen_merge
+
+    landing = tempfile.mkdtemp(prefix="rosterflow-ids-")
+    name = "seen-" + os.path.basename(landing)
+    first = dt.date(2024, 2, 1)
+    state = spark.createDataFrame([("old", first - dt.timedelta(9)), ("week", first - dt.timedelta(7)), ("never", None), ("a", first - dt.timedelta(1))],
+                                  "patron_id string, last_seen date")
+    nobody = spark.createDataFrame([], "patron_id string")
+    batch, gone = state, set()
+    days = {0: ["a", "c", "c"], 1: ["c", "d"], 7: ["c"], 8: ["c"], 9: ["c", "b"], 10: ["a"], 19: ["b", None]}
+    for n, ids in days.items():
+        day = first + dt.timedelta(n)
+        (spark.createDataFrame([(i, day) for i in ids], "patron_id string, seen_on date").coalesce(1).write.mode("append").parquet(landing))
+        stream = spark.readStream.schema("patron_id string, seen_on date").parquet(landing)
+        got = {r.patron_id: r.last_seen for r in sj.stream_last_seen(stream, state, name=name).collect()}
+        kept, expired = last_seen_merge(batch, nobody, spark.createDataFrame([(i,) for i in ids if i], "patron_id string").distinct(),
+                                        run_date=str(day))
+        want = [tuple(r) for r in kept.collect()]
+        gone |= {r.patron_id for r in expired.collect() if r.last_seen}
+        assert got == dict(want), n
+        assert {r.patron_id for r in sj.removed_ids(spark, name).collect()} == gone
+        batch = spark.createDataFrame(want, "patron_id string, last_seen date")
+    assert gone == {"old", "week", "d", "a", "c"} and set(got) == {"b"}
+    # Restart with nothing new: no change.
+    stream = spark.readStream.schema("patron_id string, seen_on date").parquet(landing)
+    assert {r.patron_id: r.last_seen for r in sj.stream_last_seen(stream, state, name=name).collect()} == got
+
+
+def test_last_seen_state_is_not_written_again(spark):
+    """A batch of one id changes one key of the state store, whatever the state holds."""
     import datetime as dt
 
     landing = tempfile.mkdtemp(prefix="rosterflow-ids-")
-    spark.createDataFrame([("a",), ("c",)], "patron_id string").write.mode("append").parquet(landing)
-    state = spark.createDataFrame([("a", dt.date(2024, 1, 1)), ("b", dt.date(2024, 1, 2))], "patron_id string, last_seen date")
     name = "seen-" + os.path.basename(landing)
-    ids = spark.readStream.schema("patron_id string").parquet(landing)
-    out = {r.patron_id: r.last_seen for r in sj.stream_last_seen(ids, state, name=name, run_date="2024-02-01").collect()}
-    assert out == {"a": dt.date(2024, 2, 1), "b": dt.date(2024, 1, 2), "c": dt.date(2024, 2, 1)}
-    # Restart with nothing new: the latest version is unchanged.
-    ids = spark.readStream.schema("patron_id string").parquet(landing)
-    again = {r.patron_id: r.last_seen for r in sj.stream_last_seen(ids, state, name=name, run_date="2024-02-01").collect()}
-    assert again == out
+    state = spark.createDataFrame([(str(i), dt.date(2024, 1, 30)) for i in range(500)], "patron_id string, last_seen date")
+
+    def run(day, *ids):
+        spark.createDataFrame([(i, day) for i in ids], "patron_id string, seen_on date").coalesce(1).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema("patron_id string, seen_on date").parquet(landing)
+        assert sj.stream_last_seen(stream, state, name=name).count() == 500
+        progress = os.path.join(sj.stream_root(spark, name), "checkpoint", "commits")
+        return max(int(n) for n in os.listdir(progress) if n.isdigit())
+
+    def state_files(after):
+        """Size of the changes that batches after ``after`` have written (a version is one more than its batch)."""
+        folder = os.path.join(sj.stream_root(spark, name), "checkpoint", "state")
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(folder) for f in files
+                   if f.endswith(".changelog") and f.split("_")[0].split(".")[0].isdigit() and int(f.split("_")[0].split(".")[0]) > after + 1)
+
+    last = run(dt.date(2024, 2, 1), "7")
+    whole = state_files(-1)
+    run(dt.date(2024, 2, 2), "8")
+    assert 0 < state_files(last) < whole / 2
+
+
+def test_a_lost_checkpoint_meets_no_state_of_the_old_stream(spark):
+    landing = tempfile.mkdtemp(prefix="rosterflow-gaps-")
+    name = "gaps-" + os.path.basename(landing)
+
+    def run():
+        events = (spark.readStream.schema("txn_id bigint, item_id bigint, minute bigint").parquet(landing)
+                  .select("txn_id", "item_id", F.lit("DS").alias("txn_type"), F.lit("S").alias("status_before"),
+                          F.timestamp_micros(F.col("minute") * 60_000_000).alias("ts")))
+        return sorted(r.txn_id for r in sj.stream_gap_returns(events, name=name).collect())
+
+    spark.createDataFrame([(1, 7, 0), (2, 7, 60), (3, 8, 5)], "txn_id bigint, item_id bigint, minute bigint").write.mode("append").parquet(landing)
+    assert run() == run() == [1, 3]
+    checkpoint = os.path.join(sj.stream_root(spark, name), "checkpoint")
+    os.rename(checkpoint, f"{checkpoint}-elsewhere")
+    assert run() == [1, 3]
 
 
 def test_daily_counts_hold_late_files_and_the_last_day(spark):
