@@ -11,13 +11,16 @@ import os
 import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rosterflow.session import ensure_checkpoint_dir
 
 
+RAGGED = "_ragged_record"
+
+
 def string_schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
@@ -42,12 +45,25 @@ def read_csv_headerless(spark: SparkSession, path: str, schema: T.StructType, *,
     return r.csv(path)
 
 
+def _records(spark: SparkSession, path: str, sep: str) -> DataFrameReader:
+    """Reader of delimited records that follow quotes: a quoted field may hold
+    separators, line breaks and doubled quotes."""
+    return (spark.read.option("sep", sep).option("header", False).option("multiLine", True).option("quote", '"').option("escape", '"')
+            .option("nullValue", "\u0000").option("emptyValue", ""))
+
+
+def _first_record(spark: SparkSession, path: str, sep: str) -> list[str]:
+    """Fields of the first record; reads the first file only."""
+    row = _records(spark, path, sep).csv(path).limit(1).collect()
+    return ["" if v is None else v for v in row[0]] if row else []
+
+
 def detect_delimiter(spark: SparkSession, path: str, candidates=(",", "\t")) -> str:
-    """Delimiter of a vendor export from its first line (S6): the candidate
-    occurring most often (reads one line)."""
+    """Delimiter of a vendor export (S6): the candidate that stands most often
+    in its first line, outside quotes (reads one line)."""
     first = spark.read.text(path).limit(1).collect()
-    line = first[0][0] if first else ""
-    return max(candidates, key=lambda c: line.count(c))
+    line = re.sub(r'"[^"]*("|$)', "", first[0][0]) if first else ""
+    return max(candidates, key=line.count)
 
 
 def normalize_name(name: str) -> str:
@@ -71,24 +87,32 @@ def alias_columns(df: DataFrame, target: str, candidates: list[str]) -> DataFram
 
 def read_csv_headered(spark: SparkSession, path: str, *, sep: str | None = None,
                       normalize: bool = False) -> DataFrame:
-    """Headered CSV read by name; rows whose field count differs from the
-    header are dropped (S3).  The header line fixes the (all-text) schema.
-
-    The field count of every line is taken from the raw text (separators
-    outside quotes), so the rows kept do not depend on which columns a query
-    reads -- the parser's DROPMALFORMED mode does, under CSV column pruning.
-    Header lines repeated at the top of further part files are dropped too.
-    As in a CSV table import, an empty field is '' (never NULL).
+    """Headered CSV read by name; records whose field count differs from the
+    header are dropped (S3).  The header record fixes the (all-text) schema.
+
+    Records and header are split by the same rules, which follow quotes: a
+    quoted field may hold separators, line breaks and doubled quotes.  The count
+    is that of the parsed record and does not depend on the columns that a query
+    reads.  Records equal to the header go, in further part files too.  As in a
+    CSV table import, an empty field is '' (never NULL).
+
+    A record may go over lines, so a file is read by one task; vendors deliver
+    many files, and files are the unit of parallel work.
     """
     sep = sep or detect_delimiter(spark, path)
-    header = spark.read.text(path).limit(1).collect()[0][0]
-    names = [n.strip('"') for n in header.split(sep)]
-    ddl = ", ".join("`" + n.replace("`", "``") + "` STRING" for n in names)
-    lines = spark.read.text(path).filter(F.col("value") != header)
-    n_fields = F.size(F.split(F.regexp_replace("value", r'"[^"]*"', ""), re.escape(sep), -1))
-    parsed = (lines.filter(n_fields == len(names))
-              .select(F.from_csv("value", ddl, {"sep": sep}).alias("_r")))
-    df = parsed.select(*[F.coalesce(F.col("_r")[n], F.lit("")).alias(n) for n in names])
+    header = _first_record(spark, path, sep)
+    if not header:
+        raise ValueError(f"{path}: no header")
+    # The parser puts a record of another length into the last column.
+    fields = [f"_c{i}" for i in range(len(header))]
+    schema = T.StructType([*string_schema(fields).fields, T.StructField(RAGGED, T.StringType())])
+    df = (_records(spark, path, sep).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RAGGED)
+          .option("columnPruning", False).schema(schema).csv(path))
+    values = [F.coalesce(F.col(c), F.lit("")) for c in fields]
+    is_header = F.lit(True)
+    for c, name in zip(values, header):
+        is_header = is_header & (c == F.lit(name))
+    df = df.where(F.col(RAGGED).isNull() & ~is_header).select(*values).toDF(*header)
     return normalize_header(df) if normalize else df
 
 

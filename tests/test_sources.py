@@ -4,6 +4,7 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from rosterflow.operators import media as md
@@ -87,3 +88,42 @@ def test_header_normalized_reads_every_hold(spark, views, monkeypatch):
     monkeypatch.setattr(q_sources.fs, "read_csv_headered", lambda *a, **k: seen.append(read(*a, **k)) or seen[-1])
     kept = q_sources.q_scan_header_normalized(views)
     assert seen[0].count() == views.holds.count() == kept.count() > 0
+
+
+def test_records_follow_quotes(spark):
+    d = _tmp()
+    with open(os.path.join(d, "a.csv"), "w", newline="") as f:
+        f.write('a,"b,c",d\n1,"x\ny",3\n2,"say ""hi"", ok",\n3,4\n4,5,6,7\n"",q,r\na,"b,c",d\n5,"",z\n')
+    with open(os.path.join(d, "b.csv"), "w", newline="") as f:
+        f.write('a,"b,c",d\n9,"l1\r\nl2",8\n')
+    df = fs.read_csv_headered(spark, d)
+    want = [("", "q", "r"), ("1", "x\ny", "3"), ("2", 'say "hi", ok', ""), ("5", "", "z"), ("9", "l1\r\nl2", "8")]
+    assert df.columns == ["a", "b,c", "d"] and sorted(map(tuple, df.collect())) == want
+    # The records that are kept do not depend on the columns that are read.
+    assert df.count() == 5 and sorted(r.a for r in df.select("a").collect()) == [w[0] for w in want]
+    assert sorted(r[0] for r in df.select("`b,c`").collect()) == sorted(w[1] for w in want)
+
+
+def test_header_with_quoted_separators_and_line_breaks(spark):
+    d = _tmp()
+    with open(os.path.join(d, "a.tsv"), "w") as f:
+        f.write('"x,y"\t"z,w"\n1,2,3,4\t5\n')
+    df = fs.read_csv_headered(spark, d)
+    assert fs.detect_delimiter(spark, d) == "\t" and df.columns == ["x,y", "z,w"] and [tuple(r) for r in df.collect()] == [("1,2,3,4", "5")]
+    d = _tmp()
+    with open(os.path.join(d, "a.csv"), "w") as f:
+        f.write('"User\nID",n\n"7",1\n8,2,3\n')
+    df = fs.read_csv_headered(spark, d, sep=",")
+    assert df.columns == ["User\nID", "n"] and [tuple(r) for r in df.collect()] == [("7", "1")]
+
+
+def test_a_headered_file_without_records(spark):
+    d = _tmp()
+    with open(os.path.join(d, "a.csv"), "w") as f:
+        f.write("a,b\n")
+    df = fs.read_csv_headered(spark, d)
+    assert df.columns == ["a", "b"] and df.collect() == []
+    d = _tmp()
+    open(os.path.join(d, "a.csv"), "w").close()
+    with pytest.raises(ValueError):
+        fs.read_csv_headered(spark, d)
