@@ -6,7 +6,7 @@ import datetime as dt
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from rosterflow.operators.ordered import first_per_key, previous_row
+from rosterflow.operators.ordered import first_per_key, pieces, previous_row
 
 
 def _events(spark, n=3000):
@@ -39,3 +39,31 @@ def test_first_per_key_matches_row_number(spark):
     w = Window.partitionBy("k").orderBy(F.col("street").desc(), F.col("x"))
     ref = {r.k: (r.street, r.x) for r in df.withColumn("rn", F.row_number().over(w)).filter("rn = 1").collect()}
     assert got == ref
+
+
+def test_previous_row_cuts_a_burst(spark):
+    """Half of an item's events lie within one second, a third of them at one instant."""
+    base = "TIMESTAMP_NTZ'2024-01-01 10:00:00'"
+    n = 60_000
+    df = (spark.range(0, n, 1, 6).withColumn("h", F.pmod(F.xxhash64("id"), F.lit(10**9)))
+          .select(F.col("id").alias("txn_id"), F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("h") % 50).alias("item_id"),
+                  F.expr(f"timestampadd(MICROSECOND, CASE WHEN h % 2 = 0 THEN IF(h % 6 = 0, 5, h % 1000000) ELSE h * 80 END, {base})").alias("ts")))
+    cut = pieces(df, ["item_id"], "ts", "txn_id", hot_rows=2000)
+    sizes = [r[0] for r in cut.where("item_id = 7").groupBy("_bucket", "_piece").count().select("count").collect()]
+    burst = df.where("item_id = 7").groupBy(F.date_trunc("second", "ts")).count().agg(F.max("count")).first()[0]
+    assert burst > n / 7 and max(sizes) < burst / 20
+    w = Window.partitionBy("item_id").orderBy("ts", "txn_id")
+    rises = cut.select((F.struct("_bucket", "_piece") < F.lag(F.struct("_bucket", "_piece")).over(w)).alias("falls")).where("falls").count()
+    assert rises == 0
+    ref = df.select("txn_id", F.lag("txn_id").over(w).alias("want"))
+    got = previous_row(df.withColumn("t", F.col("txn_id")), ["item_id"], "ts", "txn_id", ["t"], hot_rows=2000)
+    assert got.join(ref, "txn_id").where(~F.col("prev_t").eqNullSafe(F.col("want"))).count() == 0 and got.count() == n
+
+
+def test_previous_row_with_null_keys_times_and_no_rows(spark):
+    schema = "txn_id bigint, item_id int, ts timestamp_ntz"
+    assert previous_row(spark.createDataFrame([], schema), ["item_id"], "ts", "txn_id", ["txn_id"]).collect() == []
+    at = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(1, 1, at), (2, 1, at), (3, 1, at + dt.timedelta(days=3)), (9, 2, at)], schema)
+    assert {r.txn_id: r.prev_txn_id for r in previous_row(df, ["item_id"], "ts", "txn_id", ["txn_id"], hot_rows=0).collect()} == {
+        1: None, 2: 1, 3: 2, 9: None}
