@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterflow.functions.common import let
+from rosterflow.operators.ordered import joined_lists, pieces
 
 KEY = "patron_id"
 # Words of the expiry notes: the removal writes them, the clean-up finds them (in any case).
@@ -40,40 +41,37 @@ def latest_note(notes: DataFrame, *, marker: str) -> DataFrame:
     return latest.select(KEY, "text", F.nullif(g, F.lit("")).alias("guarantor"))
 
 
+# Notes of a patron are listed by months, and those of a month in pieces if they are many.
+LIST_SECONDS = 30 * 86_400
+# Note ids that are listed together.
+LIST_IDS = 65_536
+
+
+def expired_notes(notes: DataFrame, *, marker: str) -> DataFrame:
+    """The expiry notes, one row each."""
+    return notes.filter(F.lower("text").contains(marker.lower())).select(KEY, "note_id", "ts")
+
+
 def expired_note_ids(notes: DataFrame, *, marker: str) -> DataFrame:
     """Comma list of the expiry-note ids of each patron, newest first."""
-    return (notes.filter(F.lower("text").contains(marker.lower()))
-            .groupBy(KEY)
-            .agg(F.expr("listagg(CAST(note_id AS STRING), ',') WITHIN GROUP (ORDER BY ts DESC, note_id DESC)")
-                 .alias("expired_note_ids")))
+    return _newest_first(expired_notes(notes, marker=marker))
 
 
-def note_summary(notes: DataFrame, *, guarantor_marker: str, expired_marker: str) -> DataFrame:
-    """Per patron, in one aggregate over the notes: the latest guarantor note's
-    guarantor (as ``latest_note``) and the expiry-note id list (as
-    ``expired_note_ids``)."""
-    g_ok = F.col("text").contains(guarantor_marker)
-    e_ok = F.lower("text").contains(expired_marker.lower())
-    latest = F.max_by(F.when(g_ok, F.col("text")), F.when(g_ok, F.struct("ts", "note_id")))
-    ids = F.expr("listagg(CASE WHEN _e THEN CAST(note_id AS STRING) END, ',') "
-                 "WITHIN GROUP (ORDER BY ts DESC, note_id DESC)")
-    agg = (notes.filter(g_ok | e_ok).withColumn("_e", e_ok)
-           .groupBy(KEY).agg(latest.alias("_latest"), ids.alias("expired_note_ids")))
-    g = F.upper(F.trim(F.regexp_extract("_latest", r"[-/0-9]+:.+$", 0)))
-    return agg.select(KEY, F.when(F.col("_latest").isNotNull(), F.nullif(g, F.lit(""))).alias("guarantor"),
-                      F.nullif(F.col("expired_note_ids"), F.lit("")).alias("expired_note_ids"))
+def _newest_first(rows: DataFrame) -> DataFrame:
+    cut = pieces(rows, [KEY], "ts", "note_id", bucket_seconds=LIST_SECONDS)
+    return joined_lists(cut, KEY, ["_bucket", "_piece"], ["ts", "note_id"], "note_id", "expired_note_ids", descending=True)
 
 
-def notes_reappeared(extract: DataFrame, sor_ids: DataFrame) -> DataFrame:
-    """SoR rows with expiry notes whose patron is back in the extract."""
-    return (sor_ids.filter(F.col("expired_note_ids") != "")
-            .join(extract.select(KEY), KEY, "inner").select(KEY, "expired_note_ids"))
+def notes_reappeared(extract: DataFrame, notes: DataFrame, *, marker: str) -> DataFrame:
+    """Lists of the expiry notes of patrons who are back in the extract, once for each of their rows there."""
+    back = extract.select(KEY)
+    return back.join(_newest_first(expired_notes(notes, marker=marker).join(back, KEY, "left_semi")), KEY)
 
 
-def expired_note_delete(extract: DataFrame, sor_ids: DataFrame) -> DataFrame:
-    """One delete action per expiry note of a reappeared patron (K9)."""
-    r = notes_reappeared(extract, sor_ids)
-    return r.select(KEY, F.explode(F.split("expired_note_ids", ",")).alias("note_id"))
+def expired_note_delete(extract: DataFrame, notes: DataFrame, *, marker: str) -> DataFrame:
+    """One delete action per expiry note of a patron who is back in the extract (K9); no list is made."""
+    rows = expired_notes(notes, marker=marker).select(KEY, F.col("note_id").cast("string").alias("note_id"))
+    return rows.join(extract.select(KEY), KEY)
 
 
 def guarantor_note_create(extract: DataFrame, sor_guarantor: DataFrame, *, run_date: str,
@@ -120,10 +118,8 @@ def guarantor_note_delete(notes: DataFrame, loans: DataFrame, *, run_date: str,
                           codes=ACTIVITY_CODES, prefix: str = "Guarantor effective") -> DataFrame:
     """Per patron, the ids of ended guarantor notes with no activity (K8)."""
     w = guarantor_windows(notes, prefix=prefix).filter(F.col("g_stop") < F.lit(run_date).cast("date"))
-    idle = notes_without_activity(w, loans, codes=codes)
-    return (idle.groupBy(KEY)
-            .agg(F.expr("listagg(CAST(note_id AS STRING), ',') WITHIN GROUP (ORDER BY note_id)")
-                 .alias("delete_note_ids")))
+    idle = notes_without_activity(w, loans, codes=codes).withColumn("_part", F.floor(F.col("note_id") / LIST_IDS))
+    return joined_lists(idle, KEY, ["_part"], ["note_id"], "note_id", "delete_note_ids")
 
 
 def note_cleanup(notes: DataFrame, patron: DataFrame, *, prefix: str = "Guarantor effective",

@@ -8,6 +8,8 @@ third of the work.  The operators here avoid it:
   bucket that a burst fills is cut further, at quantiles of (time, tie-break);
   the first row of each piece takes its predecessor from a summary of one row
   per piece.
+* ``joined_lists`` (ordered lists): the pieces of a key are sorted and joined on
+  their own, then the texts of the pieces.
 * ``first_per_key`` (keep-best): two aggregations with map-side partial
   combine (``min`` of a struct per value, ``max_by`` per key), never a
   per-key sort and no self-join.
@@ -94,3 +96,18 @@ def first_per_key(df: DataFrame, key: str, best: str, *, descending: bool = True
     out = per_value.groupBy(key).agg(chosen.alias("_pick"))
     return out.select(key, F.col(f"_pick.{best}").alias(best), *[F.col(f"_pick._row.{c}").alias(c) for c in rest]) \
               .select(*df.columns)
+
+
+def joined_lists(df: DataFrame, key: str, parts: list[str], order: list[str], value: str, name: str, *,
+                 descending: bool = False) -> DataFrame:
+    """Per ``key``, the texts of ``value`` in ``order``, joined by commas.
+
+    ``parts`` are columns that rise with the order, such as those of ``pieces``:
+    the values of one part are sorted and joined on their own, and what meets
+    per key is one text for each part, in the order of the parts.
+    """
+    row = F.struct(*order, F.col(value).cast("string").alias("_value"))
+    segment = F.array_join(F.transform(F.sort_array(F.collect_list(row), not descending), lambda x: x["_value"]), ",")
+    segments = df.groupBy(key, *parts).agg(segment.alias("_text"))
+    whole = F.sort_array(F.collect_list(F.struct(*parts, "_text")), not descending)
+    return segments.groupBy(key).agg(F.array_join(F.transform(whole, lambda x: x["_text"]), ",").alias(name))

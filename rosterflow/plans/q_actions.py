@@ -83,5 +83,5 @@ UNION ALL SELECT patron_id, 'note_delete', NULL, NULL, note_id FROM d""")
 def q_payload_notes(v):
     sor_g = v.sor_x.select("patron_id").join(nt.latest_note(v.note, marker=q_notes.GUARANTOR), "patron_id", "left")
     add = nt.guarantor_note_create(v.extract_x, sor_g, run_date=VIEW_RUN_DATE, term_start="2024-01-08")
-    delete = nt.expired_note_delete(v.extract, nt.expired_note_ids(v.note, marker=q_notes.EXPIRED))
+    delete = nt.expired_note_delete(v.extract, v.note, marker=q_notes.EXPIRED)
     return ac.payload_notes(add, delete)

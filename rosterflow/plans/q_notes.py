@@ -48,7 +48,7 @@ WITH c AS ({IDS_SQL})
 SELECT c.patron_id, c.expired_note_ids FROM v_extract i JOIN c ON i.patron_id = c.patron_id
 WHERE c.expired_note_ids <> ''""")
 def q_notes_reappeared(v):
-    return nt.notes_reappeared(v.extract, nt.expired_note_ids(v.note, marker=EXPIRED))
+    return nt.notes_reappeared(v.extract, v.note, marker=EXPIRED)
 
 
 @register("expired_note_delete", sql=f"""
@@ -56,7 +56,7 @@ WITH c AS ({IDS_SQL})
 SELECT c.patron_id, unnest(string_split(c.expired_note_ids, ',')) AS note_id
 FROM v_extract i JOIN c ON i.patron_id = c.patron_id WHERE c.expired_note_ids <> ''""")
 def q_expired_note_delete(v):
-    return nt.expired_note_delete(v.extract, nt.expired_note_ids(v.note, marker=EXPIRED))
+    return nt.expired_note_delete(v.extract, v.note, marker=EXPIRED)
 
 
 @register("guarantor_note_create", sql=f"""

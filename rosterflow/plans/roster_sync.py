@@ -76,7 +76,7 @@ class RosterSync:
         out = {"state": state_new, "remove": remove, "create": create, "update": update,
                "email": rc.email_actions(extract, sor, school_domain=self.school_domain)}
         if notes is not None:
-            out["expired_note_delete"] = nt.expired_note_delete(extract, nt.expired_note_ids(notes, marker=nt.EXPIRED_MARKER))
+            out["expired_note_delete"] = nt.expired_note_delete(extract, notes, marker=nt.EXPIRED_MARKER)
         for by, exempt in (("default_branch", self.closed_branch), ("bty", self.closed_type)):
             if self.programme:
                 sy, sn, ey, en = self._yes_no()

@@ -22,15 +22,15 @@ def patron_snapshot(patron: DataFrame, branch: DataFrame, notes: DataFrame, loan
     codes, current guarantor, expiry-note ids and guarantor notes to delete."""
     b = (branch.select("branch_number", "branch_code"))
     p = patron.filter(F.col("bty").isin(*STUDENT_TYPES) | F.col("patron_id").rlike(r"^190[0-9]{6}$"))
-    # Guarantor and expiry ids in one aggregate over the notes.
-    summary = nt.note_summary(notes, guarantor_marker=guarantor_marker, expired_marker=expired_marker)
+    guarantor = nt.latest_note(notes, marker=guarantor_marker).select("patron_id", "guarantor")
+    expired = nt.expired_note_ids(notes, marker=expired_marker)
     dels = nt.guarantor_note_delete(notes, loans, run_date=run_date, prefix=guarantor_marker)
     out = (p.join(b, p["default_branch"] == b["branch_number"], "left")
            .withColumnRenamed("branch_code", "default_branch_code").drop("branch_number")
            .join(b, F.col("edit_branch") == b["branch_number"].cast("string"), "left")
            .withColumn("edit_branch_code", F.when(F.col("edit_branch") == closed_branch, F.lit(closed_branch))
                        .otherwise(F.col("branch_code")))
-           .join(summary, "patron_id", "left").join(dels, "patron_id", "left"))
+           .join(guarantor, "patron_id", "left").join(expired, "patron_id", "left").join(dels, "patron_id", "left"))
     return out.select("patron_id", "bty", "last_name", "first_name", "default_branch_code", "exp_date", "email",
                       "birth_date", "guarantor", "email_notices", "expired_note_ids", "delete_note_ids",
                       "collection_status", "edit_branch_code", "guid")

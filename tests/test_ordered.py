@@ -6,7 +6,7 @@ import datetime as dt
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from rosterflow.operators.ordered import first_per_key, pieces, previous_row
+from rosterflow.operators.ordered import first_per_key, joined_lists, pieces, previous_row
 
 
 def _events(spark, n=3000):
@@ -67,3 +67,18 @@ def test_previous_row_with_null_keys_times_and_no_rows(spark):
     df = spark.createDataFrame([(1, 1, at), (2, 1, at), (3, 1, at + dt.timedelta(days=3)), (9, 2, at)], schema)
     assert {r.txn_id: r.prev_txn_id for r in previous_row(df, ["item_id"], "ts", "txn_id", ["txn_id"], hot_rows=0).collect()} == {
         1: None, 2: 1, 3: 2, 9: None}
+
+
+def test_joined_lists_of_a_hot_key(spark):
+    base = dt.datetime(2024, 1, 1)
+    rows = [(i, "hot" if i % 3 == 0 else f"p{i % 40}", base + dt.timedelta(days=i * 7919 % 500 // 3)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "note_id bigint, patron_id string, ts timestamp_ntz").repartition(5)
+    cut = pieces(df, ["patron_id"], "ts", "note_id", bucket_seconds=30 * 86_400, hot_rows=50)
+    for down in (True, False):
+        got = {r.patron_id: r.ids for r in joined_lists(cut, "patron_id", ["_bucket", "_piece"], ["ts", "note_id"], "note_id", "ids",
+                                                        descending=down).collect()}
+        want = {}
+        for i, p, t in sorted(rows, key=lambda r: (r[2], r[0]), reverse=down):
+            want.setdefault(p, []).append(str(i))
+        assert got == {p: ",".join(ids) for p, ids in want.items()}
+    assert cut.where("patron_id = 'hot'").groupBy("_bucket", "_piece").count().agg(F.max("count")).first()[0] < 200
