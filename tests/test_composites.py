@@ -56,7 +56,7 @@ def test_payload_json_and_addresses(spark, small):
     from rosterflow.plans import fixtures as fx
 
     roster = ro.format_student_roster(fx.roster_df(small), run_date="2024-02-01", expiration="2026-10-01").limit(5)
-    out = ac.to_payload_json(ac.payload_create(roster)).collect()
+    out = ac.to_payload_json(ac.payload_create(roster, run_date="2024-02-01", test_pin="7357")).collect()
     assert out and all(r.action == "create" for r in out)
     p = json.loads(out[0].payload)
     assert [a["type"] for a in p["addresses"]] == ["Primary", "Secondary"]

@@ -26,12 +26,12 @@ def test_not_in_follows_sql_null_logic(spark):
 
 def test_update_payload_keeps_the_sor_email(spark):
     row = {c: "x" for c in ("patron_id", "bty", "last_name", "first_name", "middle_name", "suffix", "default_branch", "email",
-                            "expiration_date", "teacher_id", "teacher_name", "street", "city", "state", "zip")}
-    roster = spark.createDataFrame([{**row, "birth_date": "2010-05-06"}])
-    update = actions.payload_update(roster, run_date="2024-02-01", start="2024-01-08", twenty_day="2024-02-05")
+                            "expiration_date", "teacher_id", "teacher_name", "street", "city", "state", "zip", "phone")}
+    roster = spark.createDataFrame([{**row, "birth_date": "2010-05-06", "collection_status": "78"}])
+    update = actions.payload_update(roster, run_date="2024-02-01", start="2024-01-08", twenty_day="2024-02-05", test_pin="0000")
     assert "email" not in update.columns and update.first().pin == "0506"
-    late = actions.payload_update(roster, run_date="2024-02-05", start="2024-01-08", twenty_day="2024-02-05")
-    assert late.first().pin is None and actions.payload_create(roster).first().email == "x"
+    late = actions.payload_update(roster, run_date="2024-02-05", start="2024-01-08", twenty_day="2024-02-05", test_pin="0000")
+    assert late.first().pin is None and actions.payload_create(roster, run_date="2024-02-05", test_pin="0000").first().email == "x"
 
 
 def test_the_clean_up_finds_the_notes_that_the_removal_writes(spark):
@@ -119,3 +119,40 @@ def test_building_a_plan_starts_no_job(spark, views, key):
         assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == 0
     finally:
         spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_staff_payloads_follow_type_and_status(spark):
+    row = {c: "x" for c in ("last_name", "first_name", "middle_name", "suffix", "default_branch", "email", "expiration_date")}
+    rows = [{**row, "patron_id": i, "bty": t, "collection_status": s} for i, t, s in (
+        ("123456", "13", 78), ("123457", "13", 0), ("999001", "11", 2), ("123458", "11", 1), ("123459", "11", None), ("123460", "11", 78))]
+    df = spark.createDataFrame(rows, "patron_id string, bty string, collection_status int, last_name string, first_name string, "
+                                     "middle_name string, suffix string, default_branch string, email string, expiration_date string")
+    made = {r.patron_id: r for r in actions.payload_staff_create(df, run_date="2024-02-01", test_pin="0000").collect()}
+    assert {i: (r.collection_status, r.pin, r.draw_pin) for i, r in made.items() if i in ("123456", "999001", "123458")} == {
+        "123456": ("do not send", None, True), "999001": ("not sent", "0000", False), "123458": ("not sent", None, True)}
+    assert made["123456"].reg_branch == made["123456"].last_edit_branch == "x" and made["123456"].patron_status == "G"
+    changed = {r.patron_id: (r.collection_status, r.pin) for r in actions.payload_staff_update(df, run_date="2024-02-01", test_pin="0000").collect()}
+    assert changed == {"123456": ("do not send", None), "123457": ("not sent", None), "999001": ("sent", "0000"), "123458": ("not sent", None),
+                       "123459": ("not sent", None), "123460": (None, None)}
+    gone = df.withColumn("last_seen", F.lit(None).cast("date")).withColumn("bty", F.col("bty").cast("int"))
+    first = actions.payload_staff_remove(gone, run_date="2024-02-01").where("patron_id = '123456'").first()
+    assert first.collection_status == "not sent" and "email" not in first.asDict()
+    assert first.note_text.startswith("Former MNPS staffer, patron expired 2024-01-31. Previous branchcode: x. Previous bty: 13.")
+
+
+def test_a_removal_clears_phone_and_sponsor(spark):
+    rows = [("1", "a@MNPS.org", 78, None), ("2", "a@b.c", 5, "2024-01-03"), ("3", None, 1, None)]
+    df = (spark.createDataFrame(rows, "patron_id string, email string, collection_status int, last_seen string")
+          .select("*", F.lit(12).alias("default_branch"), F.lit(21).alias("bty")).withColumn("last_seen", F.col("last_seen").cast("date")))
+    got = {r.patron_id: r for r in actions.payload_remove(df, run_date="2024-02-01").collect()}
+    assert [(got[i].email, got[i].email_notices, got[i].collection_status) for i in "123"] == [
+        ("", "do not send email", "not sent"), ("a@b.c", None, None), (None, None, "not sent")]
+    assert all(r.phone2 == r.sponsor_name == r.addresses[0].street == "" and r.addresses[0].type == "Secondary" for r in got.values())
+    assert str(got["2"].expiration_date) == "2024-01-03" and str(got["1"].expiration_date) == "2024-01-31"
+    left = {r.patron_id: (r.email, r.email_notices) for r in actions.payload_graduation(df, run_date="2024-02-01").collect()}
+    assert left == {"1": ("", "do not send email"), "2": (None, None), "3": (None, None)}
+
+
+def test_item_payload_has_every_field(spark):
+    row = actions.payload_item_create(spark.createDataFrame([("i1", "9.99", "z")], "item_id string, price string, other string")).first()
+    assert list(row.asDict()) == ["action", *actions.ITEM_FIELDS] and (row.item_id, row.price, row.status) == ("i1", "9.99", None)
