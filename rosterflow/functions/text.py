@@ -64,6 +64,16 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def code_tail(c: Column | str, n: int = 3) -> Column:
+    """The last ``n`` characters of a code; NULL when it is shorter."""
+    return F.when(F.length(_col(c)) >= n, F.substring(_col(c), -n, n))
+
+
+def code_part(c: Column | str, start: int, n: int) -> Column:
+    """``n`` characters of a code from ``start``; NULL when there are none."""
+    return F.nullif(F.substring(_col(c), start, n), F.lit(""))
+
+
 def scrub_ascii(c: Column | str) -> Column:
     """Drop characters outside printable ASCII, keeping CR and LF (C4)."""
     return F.regexp_replace(_col(c), r"[^\n\r\x20-\x7E]", "")

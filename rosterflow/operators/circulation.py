@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rosterflow.functions.text import code_part, code_tail
 from rosterflow.operators.ordered import previous_row
 
 STAFF_ID = r"^[0-9]{6,7}$"
@@ -66,7 +67,7 @@ def attribute_school(e: Column, i: Column, p: Column, now: Column, *,
             .when((e == i) & (e != p) & (e == now), e)
             .when((e == i) & (e != p) & (e != now), F.lit(None).cast("string"))
             .when((e != i) & (e != p) & (i != p), F.lit(None).cast("string"))
-            .otherwise(F.substring(p, -3, 3)))
+            .otherwise(code_tail(p)))
 
 
 def daily_checkouts(txlog: DataFrame, branch: DataFrame, patron: DataFrame, *,
@@ -97,14 +98,14 @@ def daily_checkouts(txlog: DataFrame, branch: DataFrame, patron: DataFrame, *,
     pre = (co.withColumn("owner", owner).filter(F.col("owner").isNotNull())
            .groupBy("owner", "population", "patron_id",
                     F.date_format("ts", "yyyyMMdd").alias("year_month_day"),
-                    F.substring("env_code", -3, 3).alias("e"),
-                    F.substring("item_code", -3, 3).alias("i"),
-                    F.substring("pat_code", -3, 3).alias("p"))
+                    code_tail("env_code").alias("e"),
+                    code_tail("item_code").alias("i"),
+                    code_tail("pat_code").alias("p"))
            .agg(F.count(F.lit(1)).alias("n")))
     dim = (branch.select("branch_number", "branch_code"))
     current = (patron.select("patron_id", "default_branch")
                .join(dim, F.col("default_branch") == F.col("branch_number"), "left")
-               .select("patron_id", F.substring("branch_code", -3, 3).alias("now")))
+               .select("patron_id", code_tail("branch_code").alias("now")))
     joined = pre.join(current, "patron_id", "left")
     school = attribute_school(F.col("e"), F.col("i"), F.col("p"), F.col("now"),
                               special_env=special_env, special_patron=special_patron)
@@ -149,7 +150,7 @@ def in_house_circ(txlog: DataFrame, branch: DataFrame, *, start: str, stop: str,
                       | (F.col("ts") > F.col("prev_ts") + F.expr(f"INTERVAL {int(gap_hours)} HOURS")))))
     return (osr.groupBy("branch_code", F.to_date("ts").alias("report_date"))
             .agg(F.count(F.lit(1)).alias("in_house"))
-            .select(F.substring("branch_code", 3, 3).alias("school_code"), "report_date", "in_house"))
+            .select(code_part("branch_code", 3, 3).alias("school_code"), "report_date", "in_house"))
 
 
 # Branch names and name prefixes never counted as school
@@ -187,7 +188,7 @@ def collection_count(items: DataFrame, branch: DataFrame, *, run_date: str,
               .join(b.select("branch_number"), F.col("owning_branch") == F.col("branch_number"), "left_semi")
               .groupBy("owning_branch").agg(F.count("item_id").alias("collection_count")))
     return (counts.join(b, counts["owning_branch"] == b["branch_number"], "inner")
-            .select(F.expr("substring(branch_code, 3)").alias("school_code"),
+            .select(code_part("branch_code", 3, 1 << 20).alias("school_code"),
                     "collection_count", F.lit(run_date).cast("date").alias("report_date")))
 
 

@@ -44,14 +44,18 @@ def media_missing(roster: DataFrame, media: DataFrame) -> DataFrame:
 
 def media_report(media: DataFrame, roster: DataFrame, *, cutoff: str) -> DataFrame:
     """Per branch: images missing, images older than ``cutoff`` and their sum,
-    plus a 'Total' row (K24; J18 full outer join + A7 grand total as ROLLUP)."""
-    r = report_roster(roster)
-    missing = media_missing(r, media).select("branch_code", F.lit(1).alias("m"), F.lit(0).alias("o"))
-    old = (image_ids(media).filter(F.col("mtime") < F.lit(cutoff).cast("date")).select(KEY)
-           .join(r, KEY, "inner").select("branch_code", F.lit(0).alias("m"), F.lit(1).alias("o")))
-    agg = (missing.unionByName(old).rollup("branch_code")
-           .agg(F.sum("m").cast("bigint").alias("missing_images"), F.sum("o").cast("bigint").alias("old_images"),
-                F.grouping("branch_code").alias("_g")))
+    plus a 'Total' row (K24; J18 full outer join + A7 grand total as ROLLUP).
+
+    Each input is read once: the images of an id are counted first, one left
+    join gives the roster its counts, one grouped aggregate adds them up.
+    Branches with neither missing nor old images have no row.
+    """
+    old = F.count_if(F.col("mtime") < F.lit(cutoff).cast("date"))
+    images = image_ids(media).groupBy(KEY).agg(old.alias("o"))
+    rows = (report_roster(roster).join(images, KEY, "left")
+            .select("branch_code", F.col("o").isNull().cast("bigint").alias("m"), F.coalesce("o", F.lit(0)).alias("o")))
+    agg = (rows.where("m + o > 0").rollup("branch_code")
+           .agg(F.sum("m").alias("missing_images"), F.sum("o").alias("old_images"), F.grouping("branch_code").alias("_g")))
     return agg.select(F.when(F.col("_g") == 1, F.lit("Total")).otherwise(F.col("branch_code")).alias("branch_code"),
                       "missing_images", "old_images",
                       (F.col("missing_images") + F.col("old_images")).alias("total_images_needing_update"))
@@ -78,12 +82,14 @@ def media_by_day(media: DataFrame, *, month: str) -> DataFrame:
             .groupBy(F.col("mtime").alias("day")).agg(F.count(F.lit(1)).alias("n")))
 
 
-def media_invalid(media: DataFrame, *, min_bytes: int = 4096) -> DataFrame:
-    """Files to clean up with the reason (C41): smaller than ``min_bytes``,
-    or a name that is not ``<6-9 digits>.jpg``."""
-    small = media.filter(F.col("n_bytes") < min_bytes).select("file_name", F.lit("too_small").alias("reason"))
-    bad = media.filter(~F.col("file_name").rlike(r"^\d{6,9}\.jpg$")).select("file_name", F.lit("bad_name").alias("reason"))
-    return small.unionByName(bad)
+def media_invalid(media: DataFrame, *, run_date: str, min_bytes: int = 4096) -> DataFrame:
+    """Files that are not uploaded, once for each reason (C41): smaller than
+    ``min_bytes``, a name that is not ``<6-9 digits>.jpg``, or not changed on
+    the day of the run (or later)."""
+    reasons = {"too_small": F.col("n_bytes") < min_bytes, "bad_name": ~F.col("file_name").rlike(r"^\d{6,9}\.jpg$"),
+               "not_today": F.col("mtime") < F.lit(run_date).cast("date")}
+    found = F.array_compact(F.array(*[F.when(c, F.lit(r)) for r, c in reasons.items()]))
+    return media.select("file_name", F.explode(found).alias("reason"))
 
 
 def media_upload_list(media: DataFrame, roster: DataFrame, *, since: str) -> DataFrame:

@@ -357,7 +357,10 @@ def _run_rows(extract: DataFrame, sor: DataFrame, state: DataFrame, *, by: str |
         return df.select(KEY, *[(cols[k] if k in cols else F.lit(None).cast(t)).alias(k) for k, t in types.items()])
 
     u = side(*parts["e"]).unionByName(side(*parts["c"])).unionByName(side(*parts["s"]))
-    j = u.groupBy(KEY).agg(*[F.max(k).alias(k) for k in types])
+    # Of rows that repeat an id in one input, one whole row counts (the greatest), never a mixture.
+    flags = {"e": "_in_e", "c": "_in_c", "s": "_in_s"}
+    rows = u.groupBy(KEY).agg(*[F.max(F.when(F.col(flags[p]), F.struct(*cols))).alias(p) for p, (_, cols) in parts.items()])
+    j = rows.select(KEY, *[F.col(f"{p}.{k}").alias(k) for p, (_, cols) in parts.items() for k in cols])
     in_e, in_c = F.coalesce(F.col("_in_e"), F.lit(False)), F.coalesce(F.col("_in_c"), F.lit(False))
     differs = F.lit(False)
     for x in compare_cols:

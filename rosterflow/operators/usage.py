@@ -3,11 +3,8 @@ S17, S19, A4, A13, J10-J12, J16).
 
 Usage rows are the fact side; lookups (vendor library -> school, roster) are
 joined on equi keys.  The name-key match of vendor B staff (an OR of two
-conditions in the reference) runs as two equi joins on computed keys plus a
-union: a patron can match one usage row through at most one of the keys (the
-keys have different lengths relative to the last name), so the union is
-exactly the OR-join and needs no de-duplication, and neither join degrades to
-a nested loop.
+conditions in the reference) is one equi join: a roster person is posted under
+one or two keys, which differ in length, so a usage row meets a person once.
 """
 
 from __future__ import annotations
@@ -16,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rosterflow.functions.text import code_tail
 from rosterflow.sources.sinks import write_partitions
 
 
@@ -32,30 +30,36 @@ def population_by_length(pid: Column) -> Column:
             .when(F.length(pid).isin(6, 7), F.lit("staff")))
 
 
+def registered_school(patron: DataFrame, branch: DataFrame, *, reg_col: str = "default_branch",
+                      closed_code: str = "XMNPS") -> DataFrame:
+    """(patron_id, school_code) of the patrons registered at an open school branch."""
+    b = (branch.filter((F.col("branch_group") == 2) & (F.col("branch_code") != closed_code))
+         .select("branch_number", code_tail(F.col("branch_code")).alias("school_code")))
+    return (patron.select(KEY, F.col(reg_col).alias("_reg")).join(b, F.col("_reg") == F.col("branch_number"))
+            .select(KEY, "school_code"))
+
+
 def school_lookup(patron_ids: DataFrame, patron: DataFrame, branch: DataFrame, *,
                   reg_col: str = "default_branch", closed_code: str = "XMNPS") -> DataFrame:
     """Registered school (last 3 of the branch code) of each id.
 
-    One join instead of IN-lists chunked by 1,000 ids; ids are de-duplicated
-    first so the join input is bounded by distinct patrons.
+    One join instead of IN-lists chunked by 1,000 ids.
     """
-    b = (branch.filter((F.col("branch_group") == 2) & (F.col("branch_code") != closed_code))
-                           .select("branch_number", "branch_code"))
-    ids = patron_ids.select(KEY).distinct()
-    p = patron.select(KEY, F.col(reg_col).alias("_reg"))
-    return (ids.join(p, KEY, "inner").join(b, F.col("_reg") == F.col("branch_number"), "inner")
-            .select(KEY, F.substring("branch_code", -3, 3).alias("school_code")))
+    schools = registered_school(patron, branch, reg_col=reg_col, closed_code=closed_code)
+    return schools.join(patron_ids.select(KEY), KEY, "left_semi")
 
 
 def lookup_fallback(usage: DataFrame, patron_school: DataFrame, library_school: DataFrame) -> DataFrame:
     """School = patron's registered school, else the vendor library's."""
-    u = usage.withColumn(KEY, patron_from_login(F.col("patron_full")))
-    lib = (library_school.select(F.col("library_id").alias("_lib"),
-                                                   F.col("school_code").alias("_lib_school")))
+    return _with_school(usage.withColumn(KEY, patron_from_login(F.col("patron_full"))), patron_school, library_school)
+
+
+def _with_school(rows: DataFrame, patron_school: DataFrame, library_school: DataFrame) -> DataFrame:
+    """Rows of (patron_id, library_id) with the patron's school, else the library's."""
+    lib = library_school.select("library_id", F.col("school_code").alias("_lib_school"))
     ps = patron_school.select(KEY, F.col("school_code").alias("_p_school"))
-    return (u.join(lib, u["library_id"] == lib["_lib"], "left").join(ps, KEY, "left")
-            .withColumn("school_code", F.coalesce("_p_school", "_lib_school"))
-            .drop("_lib", "_lib_school", "_p_school"))
+    out = rows.join(lib, "library_id", "left").join(ps, KEY, "left")
+    return out.select(*rows.columns, F.coalesce("_p_school", "_lib_school").alias("school_code"))
 
 
 def vendor_usage_sum(df: DataFrame, keys: list[str], value: str, alias: str) -> DataFrame:
@@ -71,19 +75,13 @@ def vendor_usage_a(usage: DataFrame, library_school: DataFrame, patron: DataFram
     one pass computes both with a ``population`` column.  Usage is first
     summed per (library, day, patron) -- the school depends only on the
     patron and the library -- so the lookup joins see one row per patron and
-    day however many checkouts a patron has.
+    day however many checkouts a patron has.  The usage is read once.
     """
     pre = (usage.select("library_id", F.substring("activity_date", 1, 10).alias("year_month_day"),
                         patron_from_login(F.col("patron_full")).alias(KEY), "checkouts")
            .groupBy("library_id", "year_month_day", KEY).agg(F.sum("checkouts").alias("checkouts")))
-    ps = school_lookup(pre.select(KEY), patron, branch).select(KEY, F.col("school_code").alias("_p_school"))
-    lib = (library_school.select(F.col("library_id").alias("_lib"),
-                                                   F.col("school_code").alias("_lib_school")))
-    rows = (pre.join(lib, pre["library_id"] == lib["_lib"], "left").join(ps, KEY, "left")
-            .withColumn("school_code", F.coalesce("_p_school", "_lib_school"))
-            .filter(F.col("school_code").isNotNull())
-            .withColumn("population", population_by_length(F.col(KEY)))
-            .filter(F.col("population").isNotNull()))
+    rows = (_with_school(pre, registered_school(patron, branch), library_school).filter(F.col("school_code").isNotNull())
+            .withColumn("population", population_by_length(F.col(KEY))).filter(F.col("population").isNotNull()))
     return vendor_usage_sum(rows, ["population", "school_code", "year_month_day", KEY], "checkouts",
                             "checkouts")
 
@@ -120,16 +118,11 @@ def email_name_match(usage: DataFrame, roster: DataFrame, *, user_col: str = "us
     several people (kept, as in the reference).
     """
     local = F.when(F.instr(F.col(user_col), "@") > 0, F.upper(F.substring_index(F.col(user_col), "@", 1)))
-    u = usage.withColumn("_local", local)
-    k1, k2 = name_keys(F.col("first_name"), F.col("middle_name"), F.col("last_name"))
-    r1 = roster.select(F.col(KEY).alias("_rid"), F.col("default_branch").alias("_rb"), k1.alias("_key"))
-    r2 = roster.select(F.col(KEY).alias("_rid"), F.col("default_branch").alias("_rb"), k2.alias("_key"))
-    out = []
-    for r in (r1, r2):
-        j = u.join(r, (F.col("_local") == F.col("_key")) & (F.col(branch_col) == F.col("_rb")), "inner")
-        pid = F.when(F.length(F.col(user_col)).isin(6, 7), F.col(user_col)).otherwise(F.col("_rid"))
-        out.append(j.select("school_code", "year_month_day", pid.alias(KEY), "checkouts"))
-    return out[0].unionByName(out[1])
+    keys = F.array_distinct(F.array_compact(F.array(*name_keys(F.col("first_name"), F.col("middle_name"), F.col("last_name")))))
+    r = roster.select(F.col(KEY).alias("_rid"), F.col("default_branch").alias("_rb"), F.explode(keys).alias("_key"))
+    j = usage.withColumn("_local", local).join(r, (F.col("_local") == F.col("_key")) & (F.col(branch_col) == F.col("_rb")))
+    pid = F.when(F.length(F.col(user_col)).isin(6, 7), F.col(user_col)).otherwise(F.col("_rid"))
+    return j.select("school_code", "year_month_day", pid.alias(KEY), "checkouts")
 
 
 def vendor_usage_c(usage: DataFrame, patron: DataFrame, branch: DataFrame, *, report_date: str) -> DataFrame:
@@ -140,7 +133,7 @@ def vendor_usage_c(usage: DataFrame, patron: DataFrame, branch: DataFrame, *, re
     # One row per guid before the join: a heavy user does not skew it.
     per_user = usage.groupBy("user_id").agg(F.sum("checkouts").alias("checkouts"))
     j = per_user.join(p, per_user["user_id"] == p["guid"], "inner")
-    rows = j.select(F.substring("branch_code", -3, 3).alias("school_code"),
+    rows = j.select(code_tail(F.col("branch_code")).alias("school_code"),
                     F.lit(report_date).alias("year_month_day"), KEY, "checkouts")
     return vendor_usage_sum(rows, ["school_code", "year_month_day", KEY], "checkouts", "checkouts")
 

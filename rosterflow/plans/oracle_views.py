@@ -17,7 +17,7 @@ SELECT n_nationkey AS branch_number,
        CASE WHEN n_regionkey < 3 THEN concat(CAST(60 + n_nationkey AS VARCHAR), CASE n_nationkey WHEN 2 THEN '181' WHEN 5 THEN '508'
                  ELSE lpad(CAST((n_nationkey * 37) % 1000 AS VARCHAR), 3, '0') END)
             ELSE concat('NP', lpad(CAST(n_nationkey AS VARCHAR), 3, '0')) END AS branch_code,
-       n_name AS branch_name,
+       CASE n_nationkey WHEN 17 THEN 'Mark as error' WHEN 21 THEN 'DNU ' || n_name ELSE n_name END AS branch_name,
        CASE WHEN n_regionkey < 3 THEN 2 ELSE 1 END AS branch_group
 FROM nation""",
     "v_patron": """
@@ -42,7 +42,8 @@ SELECT CASE WHEN c_custkey % 4 = 0 THEN CAST(100000 + c_custkey AS VARCHAR)
        CAST(c_custkey % 4 AS VARCHAR) AS email_notices,
        CAST(CASE WHEN c_custkey % 9 = 0 THEN 2 ELSE 78 END AS INT) AS collection_status,
        concat('37', lpad(CAST(c_custkey % 250 AS VARCHAR), 3, '0')) AS zip,
-       CASE WHEN c_custkey % 56 = 0 THEN CAST(100004 + c_custkey AS VARCHAR)
+       CASE WHEN c_custkey % 140 = 0 THEN concat('7', lpad(CAST(c_custkey AS VARCHAR), 9, '0'))
+            WHEN c_custkey % 56 = 0 THEN CAST(100004 + c_custkey AS VARCHAR)
             ELSE concat('21192', lpad(CAST(c_custkey AS VARCHAR), 10, '0')) END AS guid,
        CAST(DATE '2023-12-15' + CAST(c_custkey % 60 AS INT) AS DATE) AS edit_date
 FROM customer""",
@@ -98,7 +99,7 @@ SELECT CAST(user_id % 25 AS INT) AS library_id,
        CASE WHEN event_id % 20 = 7 THEN concat('S', CAST(190000000 + event_id % 150 AS VARCHAR), '@School.example')
             WHEN event_id % 4 = 0 THEN concat('"', CAST(100000 + event_id % 150 AS VARCHAR), '"')
             ELSE concat(CAST(190000000 + event_id % 150 AS VARCHAR), '@school.example') END AS patron_full,
-       concat(CASE event_id % 5 WHEN 0 THEN 'b' WHEN 1 THEN 'a' WHEN 2 THEN 'h' WHEN 3 THEN 'm' ELSE 'f' END, 'last', CAST(event_id % 97 AS VARCHAR), '@school.example') AS user_email,
+       concat(CASE event_id % 5 WHEN 0 THEN 'b' WHEN 1 THEN 'a' WHEN 2 THEN 'h' WHEN 3 THEN 'm' ELSE 'f' END, CASE WHEN event_id % 3 <> 1 THEN '' WHEN event_id % 5 = 2 THEN 'o' WHEN event_id % 5 = 3 THEN 'a' ELSE 'u' END, 'last', CAST(event_id % 97 AS VARCHAR), '@school.example') AS user_email,
        1 AS checkouts
 FROM events""",
     "v_media": """

@@ -140,13 +140,13 @@ FROM v_open_loan o JOIN v_patron p USING (patron_id)
 WHERE p.exp_date > DATE '2024-02-01' AND o.due_date < DATE '2024-02-15' AND o.trans_code IN ('C', 'O')
   AND EXISTS (  -- this patron made the last checkout of the item at the branch
     SELECT 1 FROM v_txlog t
-    WHERE t.item_id = o.item_id AND t.patron_id = o.patron_id AND t.txn_type = 'CH' AND t.env_branch = 2
+    WHERE t.item_id = o.item_id AND t.patron_id = o.patron_id AND t.txn_type = 'CH' AND t.env_branch = 29
       AND t.ts = (SELECT max(l.ts) FROM v_txlog l
-                  WHERE l.item_id = o.item_id AND l.txn_type = 'CH' AND l.env_branch = 2 AND l.ts >= TIMESTAMP '2023-08-01'))
+                  WHERE l.item_id = o.item_id AND l.txn_type = 'CH' AND l.env_branch = 29 AND l.ts >= TIMESTAMP '2023-08-01'))
 """)
 def q_due_date_extension(v):
     return circ.due_date_extension(v.open_loan, v.txlog, v.patron,
-                                   branch=2, due_before="2024-02-15", run_date=VIEW_RUN_DATE)
+                                   branch=29, due_before="2024-02-15", run_date=VIEW_RUN_DATE)
 
 
 @register("not_in_antijoin", sql="""

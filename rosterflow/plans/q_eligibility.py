@@ -35,9 +35,9 @@ def q_area_downgrade(v):
     return el.area_downgrade(v.patron, run_date=RUN)
 
 
-@register("batch_cap", sql=DOWNGRADE_SQL + " ORDER BY patron_id LIMIT 3000")
+@register("batch_cap", sql=DOWNGRADE_SQL + " ORDER BY patron_id LIMIT 5")
 def q_batch_cap(v):
-    return el.area_downgrade(v.patron, run_date=RUN, limit=3000)
+    return el.area_downgrade(v.patron, run_date=RUN, limit=5)
 
 
 @register("bulk_extend", sql="""
@@ -101,6 +101,18 @@ def q_hold_cancel_plan(v):
     return el.hold_cancel_plan(holds(v), el.id_collisions(v.patron))
 
 
+@register("hold_cancel_batch", sql=f"""
+WITH m AS (SELECT DISTINCT user_id FROM ({HOLDS_SQL})), c AS ({COLLISION_SQL}),
+w AS (SELECT *, count(*) FILTER (length(user_id) IN (15, 6)) OVER (
+        ORDER BY TRY_CAST(user_id AS DECIMAL(20, 0)) NULLS FIRST, user_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS done
+      FROM m)
+SELECT user_id, CASE WHEN length(user_id) NOT IN (15, 6) THEN 'skip_length'
+                     WHEN length(user_id) = 6 AND user_id IN (SELECT value FROM c) THEN 'skip_collision' ELSE 'cancel' END AS action
+FROM w WHERE done < 12""")
+def q_hold_cancel_batch(v):
+    return el.hold_cancel_plan(holds(v), el.id_collisions(v.patron), limit=12)
+
+
 @register("graduation_actions", sql="""
 WITH ids AS (SELECT DISTINCT patron_id FROM v_extract WHERE bty = 34),
 sel AS (SELECT patron_id, bty FROM v_patron
@@ -116,20 +128,24 @@ def q_graduation_actions(v):
 
 
 @register("calendar_gate", sql="""
-WITH cr AS (SELECT i.patron_id, i.default_branch, i.bty FROM v_extract i
-            LEFT JOIN v_patron c ON i.patron_id = c.patron_id WHERE c.patron_id IS NULL)
-SELECT patron_id, default_branch, bty, 'remove' AS phase,
-       (default_branch = 5 AND bty IN (34, 37, 46, 47)) AS skipped,
-       NOT (default_branch = 5 AND bty IN (34, 37, 46, 47)) AS allowed
-FROM cr""")
+WITH cr AS (SELECT patron_id, default_branch, bty FROM v_extract ANTI JOIN v_patron USING (patron_id)),
+days AS (FROM (VALUES (DATE '2023-08-20', 'homeroom'), (DATE '2024-02-01', 'remove'), (DATE '2024-06-01', 'closed')) t(run_date, phase)),
+j AS (SELECT *, run_date = DATE '2024-02-01' AND default_branch < 12 AND bty IN (22, 27, 34, 37, 46, 47) AS skipped FROM cr, days)
+SELECT strftime(run_date, '%Y-%m-%d') AS run_date, patron_id, default_branch, bty, phase, skipped,
+       phase <> 'closed' AND NOT skipped AS allowed FROM j""")
 def q_calendar_gate(v):
     spark = v.spark
     calendar = spark.createDataFrame([(dt.date(2023, 8, 7), dt.date(2023, 9, 5), dt.date(2024, 5, 24))],
                                      "start_date date, twenty_day date, stop_date date")
-    skips = spark.createDataFrame([(5, b, dt.date(2024, 1, 30), dt.date(2024, 2, 2)) for b in (34, 37, 46, 47)],
+    skips = spark.createDataFrame([(b, t, dt.date(2024, 1, 30), dt.date(2024, 2, 2)) for b in range(12) for t in (22, 27, 34, 37, 46, 47)],
                                   "branch int, bty int, skip_start date, skip_stop date")
     actions = rc.reconcile_create(v.extract, v.patron).select("patron_id", "default_branch", "bty")
-    return el.calendar_gate(actions, calendar, run_date=RUN, skip_windows=skips)
+    # A day of each phase; the skip windows are open on the second one.
+    out = None
+    for day in ("2023-08-20", "2024-02-01", "2024-06-01"):
+        gated = el.calendar_gate(actions, calendar, run_date=day, skip_windows=skips).withColumn("run_date", F.lit(day))
+        out = gated if out is None else out.unionByName(gated)
+    return out
 
 
 # University onboarding column names and constant defaults.

@@ -75,9 +75,10 @@ def q_media_by_day(v):
 
 @register("media_invalid", sql="""
 SELECT file_name, 'too_small' AS reason FROM v_media WHERE n_bytes < 4096
-UNION ALL SELECT file_name, 'bad_name' FROM v_media WHERE NOT regexp_matches(file_name, '^\\d{6,9}\\.jpg$')""")
+UNION ALL SELECT file_name, 'bad_name' FROM v_media WHERE NOT regexp_matches(file_name, '^\\d{6,9}\\.jpg$')
+UNION ALL SELECT file_name, 'not_today' FROM v_media WHERE mtime < DATE '2022-06-15'""")
 def q_media_invalid(v):
-    return md.media_invalid(v.media)
+    return md.media_invalid(v.media, run_date="2022-06-15")
 
 
 @register("media_upload_list", sql=f"""

@@ -167,37 +167,33 @@ def q_email_actions(v):
     return rc.email_actions(v.extract_x, v.sor_x, school_domain="SCHOOL.example")
 
 
-@register("attribute_create", sql="""
-WITH i AS (
-  SELECT patron_id, 'tech_optout' AS flag, 1 AS field_id, tech_optout AS v FROM x_extract WHERE tech_optout IN ('Yes', 'No')
-  UNION ALL SELECT patron_id, 'laptop', 3, laptop FROM x_extract WHERE laptop IN ('Yes', 'No')
-  UNION ALL SELECT patron_id, 'permission', 4, CASE WHEN permission = 'No' THEN 'No' ELSE 'Yes' END
-            FROM x_extract),
-c AS (
-  SELECT patron_id, 'tech_optout' AS flag FROM x_sor WHERE tech_optout IN ('Yes', 'No')
-  UNION ALL SELECT patron_id, 'laptop' FROM x_sor WHERE laptop IN ('Yes', 'No')
-  UNION ALL SELECT patron_id, 'permission' FROM x_sor WHERE permission <> '')
-SELECT i.patron_id, '0' AS occur, CAST(i.field_id AS VARCHAR) AS field_id,
-       CASE WHEN i.v = 'Yes' THEN '1' ELSE '2' END AS num_code, '0' AS type, i.v AS value_name
-FROM i LEFT JOIN c ON i.patron_id = c.patron_id AND i.flag = c.flag WHERE c.patron_id IS NULL""")
+# What roster and SoR say about each flag of a patron, side by side; a flag's number is its place in the list.
+TOLD_SQL = """
+said AS (
+  UNPIVOT (SELECT patron_id, 'roster' AS source, tech_optout, laptop, permission FROM x_extract
+           UNION ALL SELECT patron_id, 'sor', tech_optout, laptop, permission FROM x_sor)
+  ON tech_optout, laptop, permission INTO NAME flag VALUE answer
+), told AS (
+  SELECT patron_id, flag, CAST(list_position(['tech_optout', '-', 'laptop', 'permission'], flag) AS VARCHAR) AS field_id,
+         any_value(answer) FILTER (source = 'roster') AS now, any_value(answer) FILTER (source = 'sor') AS before
+  FROM said GROUP BY patron_id, flag
+)"""
+
+
+@register("attribute_create", sql=f"""WITH {TOLD_SQL},
+missing AS (
+  SELECT patron_id, field_id, if(flag = 'permission' AND now <> 'No', 'Yes', now) AS value_name FROM told
+  WHERE now IS NOT NULL AND if(flag = 'permission', coalesce(before, '') = '',
+                               coalesce(before, '') NOT IN ('Yes', 'No') AND now IN ('Yes', 'No')))
+SELECT patron_id, '0' AS occur, field_id, if(value_name = 'Yes', '1', '2') AS num_code, '0' AS type, value_name FROM missing""")
 def q_attribute_create(v):
     return rc.attribute_changes(v.extract_x, v.sor_x, fields=FLAGS, default_yes=["permission"])[0]
 
 
-@register("attribute_update", sql="""
-WITH i AS (
-  SELECT patron_id, 'tech_optout' AS flag, 1 AS field_id, tech_optout AS v FROM x_extract WHERE tech_optout <> ''
-  UNION ALL SELECT patron_id, 'laptop', 3, laptop FROM x_extract WHERE laptop <> ''
-  UNION ALL SELECT patron_id, 'permission', 4, permission FROM x_extract WHERE permission <> ''),
-c AS (
-  SELECT patron_id, 'tech_optout' AS flag, tech_optout AS v FROM x_sor WHERE tech_optout <> ''
-  UNION ALL SELECT patron_id, 'laptop', laptop FROM x_sor WHERE laptop <> ''
-  UNION ALL SELECT patron_id, 'permission', permission FROM x_sor WHERE permission <> '')
-SELECT i.patron_id, CAST(i.field_id AS VARCHAR) AS field_id,
-       CASE WHEN i.v = 'Yes' THEN '1' ELSE '2' END AS num_code, i.v AS value_name,
-       CASE WHEN c.v = 'Yes' THEN '1' ELSE '2' END AS old_num_code, c.v AS old_value_name
-FROM i JOIN c ON i.patron_id = c.patron_id AND i.flag = c.flag
-WHERE (CASE WHEN i.v = 'Yes' THEN '1' ELSE '2' END) <> (CASE WHEN c.v = 'Yes' THEN '1' ELSE '2' END)""")
+@register("attribute_update", sql=f"""WITH {TOLD_SQL}
+SELECT patron_id, field_id, if(now = 'Yes', '1', '2') AS num_code, now AS value_name,
+       if(before = 'Yes', '1', '2') AS old_num_code, before AS old_value_name
+FROM told WHERE length(now) > 0 AND length(before) > 0 AND (now = 'Yes') <> (before = 'Yes')""")
 def q_attribute_update(v):
     return rc.attribute_changes(v.extract_x, v.sor_x, fields=FLAGS, default_yes=["permission"])[1]
 

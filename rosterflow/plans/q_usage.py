@@ -29,7 +29,7 @@ def vendor_b_rows(v):
 def staff_roster(v):
     return v.patron.filter(F.length("patron_id").isin(6, 7)).select(
         "patron_id", "first_name", "last_name", "default_branch",
-        F.when(F.expr("CAST(right(patron_id, 1) AS INT) % 2 = 0"), F.lit(""))
+        F.when(F.expr("CAST(right(patron_id, 2) AS INT) % 8 = 0"), F.lit(""))
          .otherwise(F.substring("first_name", 2, 1)).alias("middle_name"))
 
 
@@ -61,8 +61,7 @@ def q_vendor_usage_a(v):
 @register("lookup_fallback", sql=f"""WITH {LOGIN}
 SELECT library_id, activity_date, patron_full, patron_id, user_email, checkouts, school_code FROM use_school""")
 def q_lookup_fallback(v):
-    ids = v.usage.select(us.patron_from_login(F.col("patron_full")).alias("patron_id"))
-    return us.lookup_fallback(v.usage, us.school_lookup(ids, v.patron, v.branch), library_school(v))
+    return us.lookup_fallback(v.usage, us.registered_school(v.patron, v.branch), library_school(v))
 
 
 @register("school_lookup", sql=f"""WITH {LOGIN} SELECT patron_id, code AS school_code FROM own""")
@@ -82,7 +81,7 @@ def q_vendor_usage_sum(v):
 # Every staff member has up to two login names at their branch: the initial or both initials before the last name.
 STAFF_LOGIN = """WITH staff AS (
   SELECT patron_id, default_branch, upper(last_name) AS last, upper(first_name[1]) AS one,
-         CASE WHEN CAST(patron_id[-1:] AS INT) % 2 = 1 THEN upper(first_name[2]) ELSE '' END AS two
+         CASE WHEN CAST(patron_id[-2:] AS INT) % 8 = 0 THEN '' ELSE upper(first_name[2]) END AS two
   FROM v_patron WHERE length(patron_id) BETWEEN 6 AND 7
 ), login AS (
   SELECT patron_id, default_branch, one || last AS name FROM staff

@@ -61,7 +61,8 @@ class Views:
         return n.select(
             F.col("n_nationkey").alias("branch_number"),
             code.alias("branch_code"),
-            F.col("n_name").alias("branch_name"),
+            F.when(F.col("n_nationkey") == 17, "Mark as error").when(F.col("n_nationkey") == 21, F.concat(F.lit("DNU "), F.col("n_name")))
+             .otherwise(F.col("n_name")).alias("branch_name"),
             F.when(school, F.lit(2)).otherwise(F.lit(1)).alias("branch_group"),
         )
 
@@ -101,7 +102,8 @@ class Views:
             (k % 4).cast("string").alias("email_notices"),
             F.when(k % 9 == 0, F.lit(2)).otherwise(F.lit(78)).cast("int").alias("collection_status"),
             F.concat(F.lit("37"), F.lpad((k % 250).cast("string"), 3, "0")).alias("zip"),
-            F.when(k % 56 == 0, (k + 100004).cast("string"))
+            F.when(k % 140 == 0, F.concat(F.lit("7"), F.lpad(k.cast("string"), 9, "0")))
+             .when(k % 56 == 0, (k + 100004).cast("string"))
              .otherwise(F.concat(F.lit("21192"), F.lpad(k.cast("string"), 10, "0"))).alias("guid"),
             _days_after("2023-12-15", k % 60).alias("edit_date"),
         )
@@ -211,6 +213,7 @@ class Views:
         eid = F.col("event_id")
         prefix = (F.when(eid % 5 == 0, "b").when(eid % 5 == 1, "a").when(eid % 5 == 2, "h")
                   .when(eid % 5 == 3, "m").otherwise("f"))
+        second = F.when(eid % 5 == 2, "o").when(eid % 5 == 3, "a").otherwise("u")
         return e.select(
             (F.col("user_id") % 25).cast("int").alias("library_id"),
             F.concat(F.col("ts").cast("date").cast("string"), F.lit(" 00:00:00")).alias("activity_date"),
@@ -218,8 +221,8 @@ class Views:
              .when(eid % 4 == 0, F.concat(F.lit('"'), (eid % 150 + 100000).cast("string"), F.lit('"')))
              .otherwise(F.concat((eid % 150 + 190000000).cast("string"), F.lit("@school.example")))
              .alias("patron_full"),
-            F.concat(prefix, F.lit("last"), (eid % 97).cast("string"), F.lit("@school.example"))
-             .alias("user_email"),
+            F.concat(prefix, F.when(eid % 3 == 1, second).otherwise(""), F.lit("last"), (eid % 97).cast("string"),
+                     F.lit("@school.example")).alias("user_email"),
             F.lit(1).alias("checkouts"),
         )
 

@@ -156,3 +156,32 @@ def test_a_removal_clears_phone_and_sponsor(spark):
 def test_item_payload_has_every_field(spark):
     row = actions.payload_item_create(spark.createDataFrame([("i1", "9.99", "z")], "item_id string, price string, other string")).first()
     assert list(row.asDict()) == ["action", *actions.ITEM_FIELDS] and (row.item_id, row.price, row.status) == ("i1", "9.99", None)
+
+
+def test_short_codes_have_no_tail(spark):
+    from rosterflow.functions.text import code_part, code_tail
+
+    df = spark.createDataFrame([("ab",), ("abc",), ("abcdef",), ("",), (None,)], "c string")
+    assert [r[0] for r in df.select(code_tail("c")).collect()] == [None, "abc", "def", None, None]
+    assert [r[0] for r in df.select(code_part("c", 3, 3)).collect()] == [None, "c", "cde", None, None]
+
+
+def test_the_report_takes_one_whole_row_of_a_repeated_id(spark):
+    """Two rows of one id differ from the SoR each in another column; no mixture of them may equal it."""
+    ext = spark.createDataFrame([("1", 5, "a", "z"), ("1", 5, "b", "y")], "patron_id string, bty int, last_name string, city string")
+    sor = spark.createDataFrame([("1", 5, "b", "z", "x")], "patron_id string, bty int, last_name string, city string, edit_branch string")
+    state = spark.createDataFrame([], "patron_id string, last_seen date")
+    (row,) = reconcile.reconcile_report_onepass(ext, sor, state, by="bty", compare_cols=["last_name", "city"], run_date="2024-02-01").collect()
+    assert (row.sor, row.extract, row.updated, row.created, row.removed) == (1, 1, 1, 0, 0)
+
+
+def test_a_person_meets_a_usage_row_by_either_key(spark):
+    from rosterflow.operators import usage
+
+    staff = spark.createDataFrame([("123456", "Ann", "Bo", "Lee", 4), ("123457", "Al", None, "Lee", 4), ("123458", "Abe", "", "Lee", 5)],
+                                  "patron_id string, first_name string, middle_name string, last_name string, default_branch int")
+    rows = [("alee@x.y", 4), ("ABLEE@x.y", 4), ("alee@x.y", 5), ("ablee@x.y", 5), ("alee", 4)]
+    use = spark.createDataFrame([(u, b, "S", "d", i) for i, (u, b) in enumerate(rows)],
+                                "user_id string, sor_branch int, school_code string, year_month_day string, checkouts int")
+    got = sorted((r.checkouts, r.patron_id) for r in usage.email_name_match(use, staff).collect())
+    assert got == [(0, "123456"), (0, "123457"), (1, "123456"), (2, "123458")]

@@ -26,8 +26,11 @@ def test_binary_file_inventory(spark):
     rows = {r.file_name: r for r in inv.collect()}
     assert set(rows) == {"190000001.jpg", "190000002.jpg"}
     assert rows["190000001.jpg"].patron_id == "190000001" and rows["190000001.jpg"].n_bytes == 5000
-    bad = md.media_invalid(inv.select("file_name", "n_bytes")).collect()
+    bad = md.media_invalid(inv.select("file_name", "n_bytes", "mtime"), run_date="2020-01-01").collect()
     assert [(r.file_name, r.reason) for r in bad] == [("190000002.jpg", "too_small")]
+    later = md.media_invalid(inv.select("file_name", "n_bytes", "mtime"), run_date="2999-01-01").collect()
+    assert {(r.file_name, r.reason) for r in later} == {("190000002.jpg", "too_small"), ("190000002.jpg", "not_today"),
+                                                        ("190000001.jpg", "not_today")}
 
 
 def test_json_pages_from_files(spark):
