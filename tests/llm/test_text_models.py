@@ -1,14 +1,12 @@
-import math
 import zlib
-from collections import Counter
 
 import numpy as np
 import pytest
 
-from rosterflow.llm import language_id, lm_score, quality
+from rosterflow.llm import language_id, quality
 from rosterflow.llm.common import table
 from tests.conftest import SF
-from tests.llm.helpers import TEXTS, documents, shingle_words
+from tests.llm.helpers import TEXTS, documents
 
 
 def fold(doc_id, n):
@@ -70,56 +68,3 @@ def test_logistic_fit():
     y = (np.random.default_rng(0).random(400) < 1 / (1 + np.exp(-(3 * x[:, 0] + 0.5)))).astype(float)
     slope, shift = quality.logistic(x, y)
     assert 2 < slope < 4 and 0 < shift < 1
-
-
-def unigram(rows, folds=5, held=1):
-    counts = Counter()
-    for i, t in rows:
-        if i is not None and fold(i, folds) != held:
-            counts.update([*shingle_words(t), ""])
-    n, v = sum(counts.values()), len(counts)
-    out = {}
-    for i, t in rows:
-        tokens = [*shingle_words(t), ""]
-        base = sum(math.log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in tokens)
-        out[i] = (fold(i, folds) == held, len(tokens), sum(counts[w] > 0 for w in tokens), n, pytest.approx(base, rel=1e-9))
-    return out
-
-
-@pytest.mark.parametrize("frequent", [lm_score.FREQUENT_WORDS, 3])
-def test_base_score_equals_brute_force(spark, monkeypatch, frequent):
-    monkeypatch.setattr(lm_score, "FREQUENT_WORDS", frequent)
-    texts = [*TEXTS, "The CAT\x0bsat\r\nnowhere", "cat cat dog", *[f"word{i} the cat" for i in range(30)]]
-    rows = lm_score.lm_scores(documents(spark, texts), slot_bits=14).collect()
-    found = {r.doc_id: (r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in rows}
-    assert found == unigram(list(enumerate(texts, 1)))
-    assert all(r.score < 0 and r.bits_per_byte > 0 for r in rows)
-    none = lm_score.lm_scores(documents(spark, texts[:2]).selectExpr("cast(null as bigint) doc_id", "text"), slot_bits=14).collect()
-    assert {(r.train_tokens, r.base_score, r.held_out) for r in none} == {(0, 0.0, True)}
-    assert lm_score.lm_scores(documents(spark).limit(0), slot_bits=14).count() == 0
-
-
-def test_mixer_is_a_distribution_and_learns():
-    """The probabilities of all last bytes sum to one; training and neighbours change them as they should."""
-    code = lm_score.Code.of(np.arange(256), 14)
-    counts = lm_score.Counts(code)
-    counts.add([b"abracadabra abracadabra\n"] * 50)
-    odds = np.array([lm_score.odds_of(c) for c in counts.n])
-    mixer = lm_score.Mixer(code, odds, np.full((lm_score.GATES, lm_score.ORDERS), 0.3))
-    texts = [b"abrac" + bytes([b]) for b in range(256)]
-    total = np.exp(mixer.losses([b"abrac"])[0] - mixer.losses(texts)).sum()
-    assert total == pytest.approx(1, abs=1e-3)
-    losses = mixer.losses([b"abracadabra\n", b"xqzvkjwpyfgh\n"])
-    assert losses[0] < losses[1] / 3
-    alone = [mixer.losses([t])[0] for t in texts[:50]]
-    assert mixer.losses(texts[:50]) == pytest.approx(alone, rel=1e-6)
-
-
-def test_mixer_scores_a_very_long_text_in_pieces(monkeypatch):
-    code = lm_score.Code.of(np.zeros(256, int), 14)
-    odds = np.random.default_rng(0).integers(-100, 100, (lm_score.ORDERS, 1 << 14)).astype(np.int8)
-    text = b"some words that go on and on " * 900 + b"\n"
-    whole = lm_score.Mixer(code, odds, np.full((lm_score.GATES, lm_score.ORDERS), 0.3)).losses([text])[0]
-    monkeypatch.setattr(lm_score, "PIECE", 1024)
-    pieces = lm_score.Mixer(code, odds, np.full((lm_score.GATES, lm_score.ORDERS), 0.3)).losses([text])[0]
-    assert pieces == pytest.approx(whole, rel=1e-5)
