@@ -45,10 +45,13 @@ def pieces(df: DataFrame, keys: list[str], ts: str, tiebreak: str, *, bucket_sec
     b = b.withColumn("_ends", ends).withColumn("_place", F.coalesce(F.pmod("_us", F.lit(width)) + share, F.lit(-1.0))).drop("_us", "_ends")
     part = [*keys, "_bucket"]
     levels = F.array(*[F.lit(i / PIECES) for i in range(1, PIECES)])
-    cuts = (b.where(F.pmod(F.xxhash64(tiebreak), F.lit(SAMPLE)) == 0).groupBy(*part)
-            .agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_place", levels, 1000).alias("_cuts"))
-            .where(F.col("_n") * SAMPLE > hot_rows).select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(part)], "_cuts"))
+    chosen = b.where(F.pmod(F.xxhash64(tiebreak), F.lit(SAMPLE)) == 0).select(*part, "_place")
+    names = [F.col(c).alias(f"_k{i}") for i, c in enumerate(part)]
     same = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(part)]
+    # Counted first: mostly no bucket is hot, and there is nothing to cut.
+    hot = chosen.groupBy(*part).count().where(F.col("count") * SAMPLE > hot_rows).select(*names)
+    cuts = (chosen.join(hot, same, "left_semi").groupBy(*part).agg(F.percentile_approx("_place", levels, 1000).alias("_cuts"))
+            .select(*names, "_cuts"))
     piece = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= F.col("_place"))), F.lit(0))
     return b.join(cuts, same, "left").select(*df.columns, "_bucket", F.when(F.col("_cuts").isNull(), 0).otherwise(piece).alias("_piece"))
 
