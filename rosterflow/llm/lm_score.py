@@ -11,13 +11,20 @@ before it choose, likely bytes shorter; a bit is predicted in four contexts:
   to ``DEPTH`` bytes,
 * for the first two bytes of a word, the last byte of the word before.
 
-The training documents give the counts of zeros and ones of each context and
-code node.  The predictions are mixed in the logistic domain; the weights are
-chosen by a gate (how well the step before was predicted), start from weights
-fitted on a
-bounded sample and are refined by a gradient step after every ``STEP`` bytes of
-a document.  A document's score depends on nothing but its text and the
-counts, so it is the same however the rows are dealt out.
+All training documents give the codes, and the counts of zeros and ones of each
+context and code node.  The predictions are mixed in the logistic domain; the
+weights are chosen by a gate (how well the step before was predicted), start
+from the weights that fit the decisions of all training documents best and are
+refined by a gradient step after every ``STEP`` bytes of a document.  A
+document's score depends on nothing but its text and the counts, so it is the
+same however the rows are dealt out.
+
+The first weights fit every decision of every training word, once for each
+occurrence; the word so far is then counted without that occurrence, as in a
+text that is new.  The decisions are counted by their log odds (in bins of
+``BIN``), which is all that a fit needs.  Those of a word's first two bytes are
+known by the byte before, as counts over the slices; no others look back
+beyond their word.
 
 The contexts of the word so far depend on the word alone.  So documents become
 lists of word numbers, slice by slice.  The distinct words of each slice, one
@@ -37,6 +44,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,14 +63,14 @@ SLICE_BYTES = 14 << 20  # bytes of text of a slice, about
 RANGE_ROWS = 150_000  # words of slices in a range, about
 WORD_ROWS = 20_000  # of an Arrow batch of words
 SCALE = 127 / 8  # log odds up to 8 are kept in a byte
-# Codes and first weights are fitted on one in SAMPLE_IN training documents, at most SAMPLE_DOCS, and SAMPLE_CHARS of each.
-SAMPLE_IN, SAMPLE_DOCS, SAMPLE_CHARS = 20, 200, 8_192
+BIN = 4  # of scaled log odds, when decisions are counted for the first weights
+BINS = 2 * (128 // BIN) + 1
+FIRST_WEIGHT = 0.3  # of every context, if nothing is learnt
 RATE = 0.01
 END, BLANK = 10, 32
 _END_WORD = b"\n"  # stands for the end in lists of words; no word is a line break
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
-SAMPLE = -1  # in place of a slice
 _DOCS = -1  # in the table of slices, the code of a document's row
 
 
@@ -143,18 +151,24 @@ class Code:
 
     @classmethod
     def fitted(cls, words: pa.Array, counts: np.ndarray) -> Code:
-        """Huffman codes for the most frequent pairs of the sample, and one for all others."""
-        x = Letters.of(words)
-        n = np.repeat(counts, np.diff(x.starts)).astype(float)
-        pair = x.back[1].astype(np.int64) << 8 | x.back[0]
-        plain = np.bincount(x.byte, n, 256) + 1e-3
+        """The codes of words that occur ``counts`` times."""
+        return cls.of_triples(*triples(Letters.of(words), counts))
+
+    @classmethod
+    def of_triples(cls, triple: np.ndarray, n: np.ndarray) -> Code:
+        """Huffman codes for the most frequent pairs of bytes, and one for all others.
+
+        ``triple``: second last << 16 | last << 8 | byte, which occurs ``n`` times.
+        """
+        pair, byte, n = triple >> 8, triple & 255, n.astype(float)
+        plain = np.bincount(byte, n, 256) + 1e-3
         plain /= plain.sum()
         seen = np.bincount(pair, n, 65536)
         own = np.argsort(-seen, kind="stable")[:CODES - 1]
         own = own[seen[own] >= 16]
         of_pair = np.zeros(65536, np.int64)
         of_pair[own] = 1 + np.arange(len(own))
-        both = np.bincount(of_pair[pair] << 8 | x.byte, n, (len(own) + 1) << 8).reshape(-1, 256)
+        both = np.bincount(of_pair[pair] << 8 | byte, n, (len(own) + 1) << 8).reshape(-1, 256)
         byte_class = np.full(256, CLASSES - 1, np.int64)
         byte_class[np.argsort(-plain, kind="stable")[:CLASSES - 1]] = np.arange(CLASSES - 1)
         starts, lengths, steps, at = [], [], [], 0
@@ -164,7 +178,7 @@ class Code:
             lengths.append(length)
             steps.append(step + 512 * k)
             at += len(step)
-        return cls(of_pair, np.array(starts), np.array(lengths), np.concatenate(steps), byte_class)
+        return cls(of_pair, np.array(starts), np.array(lengths), np.concatenate(steps).astype(np.int32), byte_class)
 
     @property
     def nodes(self) -> int:
@@ -179,6 +193,16 @@ class Code:
         return length, self.step[at]
 
 
+def triples(x: Letters, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (second last << 16 | last << 8 | byte) of words that occur ``counts`` times, and the occurrences."""
+    used = np.flatnonzero(np.bincount(x.byte, minlength=256) + (np.arange(256) == BLANK))
+    rank = np.zeros(256, np.int64)
+    rank[used] = np.arange(k := len(used))
+    n = np.bincount((rank[x.back[1]] * k + rank[x.back[0]]) * k + rank[x.byte], np.repeat(counts, np.diff(x.starts)), k ** 3)
+    some = np.flatnonzero(n)
+    return used[some // (k * k)] << 16 | used[some // k % k] << 8 | used[some % k], n[some].astype(np.int64)
+
+
 def huffman(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bits of each symbol, and 2 * node + bit on the paths from the root (node 0), symbol by symbol."""
     n = len(weights)
@@ -276,10 +300,12 @@ class Beginnings:
         """The contexts that other ranges may have too: those of the first and the last word."""
         return self.of({0, len(self.words) - 1} if len(self.words) else ())
 
-    def odds(self, n: np.ndarray, elsewhere: dict[int, dict[int, int]], asked: np.ndarray | None = None) -> pa.Array:
+    def odds(self, n: np.ndarray, elsewhere: dict[int, dict[int, int]], asked: np.ndarray | None = None,
+             but_one: bool = False) -> pa.Array:
         """Log odds of the word so far at every decision of the ``asked`` words (all), as bytes; no context: 0.
 
         ``elsewhere``: occurrences of the bytes after a context in other ranges.
+        ``but_one``: for each word, of the counts without one of its occurrences.
         """
         keys, count = self.edges(n)
         words = np.arange(len(self.words)) if asked is None else np.flatnonzero(asked)
@@ -303,7 +329,12 @@ class Beginnings:
         slot |= self.code.step[at] & 511
         nodes, which = np.unique(slot >> 1, return_inverse=True)
         both = np.bincount(2 * which + (slot & 1), np.repeat(counts, length), 2 * len(nodes))
-        edge_odds = odds_of(both[::2], both[1::2])[which]  # of each decision of an edge; the words take those of their edges
+        # Of each decision of an edge; the words take those of their edges.
+        if but_one:
+            bit = slot & 1
+            edge_odds = odds_of(np.maximum(both[2 * which] - 1 + bit, 0), np.maximum(both[2 * which + 1] - bit, 0))
+        else:
+            edge_odds = odds_of(both[::2], both[1::2])[which]
         edge_start = np.zeros(len(keys), np.int64)
         edge_start[own] = (np.cumsum(length) - length)[:int(own.sum())]
         edge_of = np.full(len(self.context), -1, np.int64)
@@ -457,21 +488,13 @@ class Mixer:
 # --- job ------------------------------------------------------------------
 
 
-def sample_of(train: DataFrame) -> list[bytes]:
-    """Beginnings of some training documents, chosen by a hash of the id."""
-    order = F.xxhash64("doc_id")
-    rows = (train.where((F.pmod(order, F.lit(SAMPLE_IN)) == 0) & F.col("text").isNotNull())
-            .select(order.alias("h"), "doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-            .orderBy("h", "doc_id", "text").limit(SAMPLE_DOCS).collect())
-    return [r.text.encode() for r in rows]
-
-
-def _sliced(docs: DataFrame, code: Code) -> DataFrame:
+def _sliced(docs: DataFrame) -> DataFrame:
     """Slices of documents: a row for each document (code -1) with its word numbers, and one for each distinct word
-    with its occurrences in training documents.  ``before``: with the first word's row, counts of what follows a byte class."""
+    with its occurrences in training documents.  With the first word's row, counts over the training documents of the
+    slice: ``before``, of a word's first two bytes after the last byte of the word before (last << 16 | first two), and
+    ``triples``, of a byte after two others."""
     fields = [f.name for f in docs.schema if f.name != "text"]
-    shared = docs.sparkSession.sparkContext.broadcast(code)
-    names = ["slice", "code", "word", "n", "codes", "before"]
+    names = ["slice", "code", "word", "n", "codes", "before", "triples"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, schema = [], 0, None
@@ -483,13 +506,13 @@ def _sliced(docs: DataFrame, code: Code) -> DataFrame:
             lists, words = tokenised(texts)
             train = [not h for h in rows.column("held_out").to_pylist()]
             n = np.zeros(len(words), np.int64)
-            pairs = np.zeros(CLASSES << 16, np.int64)
             x = Letters.of(words)
             two = x.byte[x.starts[:-1]].astype(np.int64) << 8
             longer = np.diff(x.starts) > 1
             two[longer] |= x.byte[x.starts[:-1][longer] + 1]
-            last = shared.value.byte_class[x.byte[np.maximum(x.starts[1:] - 2, x.starts[:-1])]]
-            blank = int(shared.value.byte_class[BLANK])
+            twos, two = np.unique(two, return_inverse=True)
+            last = x.byte[np.maximum(x.starts[1:] - 2, x.starts[:-1])].astype(np.int64)
+            pairs = np.zeros(len(twos) << 8, np.int64)
             learnt = [c for c, t in zip(lists, train) if t]
             for lo in range(0, len(learnt), 512):
                 some = learnt[lo:lo + 512]
@@ -497,19 +520,19 @@ def _sliced(docs: DataFrame, code: Code) -> DataFrame:
                 n += np.bincount(codes, minlength=len(words))
                 previous = np.empty(len(codes), np.int64)
                 previous[1:] = last[codes[:-1]]
-                previous[np.cumsum([0, *map(len, some[:-1])])] = blank
-                pairs += np.bincount(previous << 16 | two[codes], minlength=len(pairs))
+                previous[np.cumsum([0, *map(len, some[:-1])])] = BLANK
+                pairs += np.bincount(two[codes] << 8 | previous, minlength=len(pairs))
             some = np.flatnonzero(pairs)
             empty = pa.nulls(rows.num_rows, pa.int64())
             yield from pa.Table.from_arrays(
                 [*[rows.column(f) for f in fields], pa.array(np.full(rows.num_rows, number)), pa.array(np.full(rows.num_rows, _DOCS)),
                  pa.nulls(rows.num_rows, pa.string()), empty, pa.array([planes(c) for c in lists], pa.binary()),
-                 pa.nulls(rows.num_rows, pa.binary())], [*fields, *names]).to_batches(256)
+                 *[pa.nulls(rows.num_rows, pa.binary())] * 2], [*fields, *names]).to_batches(256)
             k = len(words)
-            told = np.concatenate([some, pairs[some]]).tobytes()
+            told = [np.concatenate(c).tobytes() for c in (((some & 255) << 16 | twos[some >> 8], pairs[some]), triples(x, n))]
             yield pa.RecordBatch.from_arrays(
                 [*[pa.nulls(k, schema.field(f).type) for f in fields], pa.array(np.full(k, number)), pa.array(np.arange(k)), words,
-                 pa.array(n), pa.nulls(k, pa.binary()), pa.array([told, *[None] * (k - 1)], pa.binary())], [*fields, *names])
+                 pa.array(n), pa.nulls(k, pa.binary()), *[pa.array([t, *[None] * (k - 1)], pa.binary()) for t in told]], [*fields, *names])
 
         for batch in batches:
             schema = batch.schema
@@ -524,11 +547,11 @@ def _sliced(docs: DataFrame, code: Code) -> DataFrame:
             yield from out()
 
     ddl = ", ".join(f"`{f}` {docs.schema[f].dataType.simpleString()}" for f in fields)
-    return docs.mapInArrow(run, f"{ddl}, slice bigint, code bigint, word string, n bigint, codes binary, before binary")
+    return docs.mapInArrow(run, f"{ddl}, slice bigint, code bigint, word string, n bigint, codes binary, before binary, triples binary")
 
 
 class Range:
-    """The rows (slice, code, word, n) of a range of words, in order of the words; those of slice -1 are the sample's."""
+    """The rows (slice, code, word, n) of a range of words, in order of the words."""
 
     def __init__(self, table: pa.Table):
         word = pa.concat_arrays([c.cast(pa.binary()) for c in table.column("word").chunks])
@@ -538,8 +561,7 @@ class Range:
         begin = np.flatnonzero(fresh)
         self.table, self.word_of = table, np.cumsum(fresh) - 1
         self.words = word.take(pa.array(begin)).cast(pa.string())
-        n, sample = table.column("n").to_numpy(), table.column("slice").to_numpy() == SAMPLE
-        self.n, self.s = (np.add.reduceat(np.where(own, n, 0), begin) for own in (~sample, sample))
+        self.n = np.add.reduceat(table.column("n").to_numpy(), begin)
 
     def blocks(self, odds: pa.Array) -> Iterator[tuple[int, bytes]]:
         """What each slice gets: (code, n, word, odds) of its words, packed."""
@@ -548,10 +570,9 @@ class Range:
         cuts = np.flatnonzero(np.diff(slices[order])) + 1
         for rows in np.split(order, cuts):
             which = pa.array(self.word_of[rows])
-            if slices[rows[0]] != SAMPLE:
-                yield int(slices[rows[0]]), packed(pa.record_batch([
-                    pa.array(self.table.column("code").to_numpy()[rows]), pa.array(self.n[self.word_of[rows]]),
-                    self.words.take(which), odds.take(which)], names=["code", "n", "word", "odds"]))
+            yield int(slices[rows[0]]), packed(pa.record_batch([
+                pa.array(self.table.column("code").to_numpy()[rows]), pa.array(self.n[self.word_of[rows]]),
+                self.words.take(which), odds.take(which)], names=["code", "n", "word", "odds"]))
 
 
 def packed(batch: pa.RecordBatch) -> bytes:
@@ -582,70 +603,119 @@ def by_range(batches: Iterator[pa.RecordBatch]) -> Iterator[Range]:
         yield Range(pa.Table.from_batches(held))
 
 
-def _counted(dealt: DataFrame, code: Code) -> pa.Table:
+def _counted(dealt: DataFrame, code: Broadcast) -> pa.Table:
     """Counts over all ranges: of the contexts of two and three bytes, of the beginnings at the borders
-    of ranges and those of the sample's words, and of the words."""
-    shared = dealt.sparkSession.sparkContext.broadcast(code)
-    schema = pa.schema([("kind", pa.int32()), ("begin", pa.binary()), ("slot", pa.int64()), ("n", pa.int64()), ("s", pa.int64())])
+    of ranges, and of the words (``n``: occurrences, ``distinct``: those that occur)."""
+    schema = pa.schema([("kind", pa.int32()), ("begin", pa.binary()), ("slot", pa.int64()), ("n", pa.int64()), ("distinct", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in by_range(batches):
-            for order, (slots, counts) in node_counts(shared.value, Letters.of(r.words), r.n).items():
+            for order, (slots, counts) in node_counts(code.value, Letters.of(r.words), r.n).items():
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(slots), order, np.int32)), pa.array([b""] * len(slots), pa.binary()),
                                                   pa.array(slots), pa.array(counts), pa.array(np.zeros(len(slots), np.int64))], schema=schema)
-            begun = Beginnings(shared.value, r.words)
+            begun = Beginnings(code.value, r.words)
             keys, count = begun.edges(r.n)
-            _, in_sample = begun.edges(r.s)
             rows = [(1, b"", 0, int(r.n.sum()), int((r.n > 0).sum()))]
             border = begun.border()
-            for kind, asked in ((0, border), (4, border | begun.of(np.flatnonzero(r.s).tolist()))):
-                wanted = np.zeros(begun.count, bool)
-                wanted[list(asked)] = True
-                for i in np.flatnonzero(wanted[keys >> 8]).tolist():
-                    rows.append((kind, asked[int(keys[i] >> 8)], int(keys[i] & 255), int(count[i]), int(in_sample[i])))
+            wanted = np.zeros(begun.count, bool)
+            wanted[list(border)] = True
+            for i in np.flatnonzero(wanted[keys >> 8]).tolist():
+                rows.append((0, border[int(keys[i] >> 8)], int(keys[i] & 255), int(count[i]), 0))
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], t) for i, t in enumerate(schema.types)], schema=schema)
 
-    return (dealt.mapInArrow(run, "kind int, begin binary, slot bigint, n bigint, s bigint")
-            .groupBy("kind", "begin", "slot").agg(F.sum("n").alias("n"), F.sum("s").alias("s")).toArrow())
+    return (dealt.mapInArrow(run, "kind int, begin binary, slot bigint, n bigint, distinct bigint")
+            .groupBy("kind", "begin", "slot").agg(F.sum("n").alias("n"), F.sum("distinct").alias("distinct")).toArrow())
 
 
-def _answered(dealt: DataFrame, code: Code, border: dict[bytes, dict[int, int]]) -> DataFrame:
+def _elsewhere(begun: Beginnings, n: np.ndarray, border: dict[bytes, dict[int, int]]) -> dict[int, dict[int, int]]:
+    """Occurrences in other ranges of what follows the contexts at the borders of this one."""
+    keys, own = begun.edges(n)
+    out = {}
+    for number, begin in begun.border().items():
+        a, b = np.searchsorted(keys, [number << 8, (number + 1) << 8])
+        here = dict(zip((keys[a:b] & 255).tolist(), own[a:b].tolist()))
+        out[number] = {byte: k - here.get(byte, 0) for byte, k in border.get(begin, {}).items()}
+    return out
+
+
+def _answered(dealt: DataFrame, code: Broadcast, border: Broadcast) -> DataFrame:
     """The blocks (slice, block) of every range.  ``border``: the counts of beginnings that other ranges may have too."""
-    shared = dealt.sparkSession.sparkContext.broadcast((code, border))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, border = shared.value
         for r in by_range(batches):
-            begun = Beginnings(code, r.words)
-            keys, own = begun.edges(r.n)
-            elsewhere = {}
-            for number, begin in begun.border().items():
-                a, b = np.searchsorted(keys, [number << 8, (number + 1) << 8])
-                here = dict(zip((keys[a:b] & 255).tolist(), own[a:b].tolist()))
-                elsewhere[number] = {byte: n - here.get(byte, 0) for byte, n in border.get(begin, {}).items()}
-            for number, block in r.blocks(begun.odds(r.n, elsewhere)):
+            begun = Beginnings(code.value, r.words)
+            for number, block in r.blocks(begun.odds(r.n, _elsewhere(begun, r.n, border.value))):
                 yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([block], pa.binary())], ["asked_by", "block"])
 
     return dealt.mapInArrow(run, "asked_by bigint, block binary")
 
 
-def _start_weights(code: Code, tables: Tables, sample: list[np.ndarray], words: pa.Array, n: np.ndarray,
-                   rest: dict[bytes, dict[int, int]]) -> np.ndarray:
-    """Weights fitted on the sample; ``rest``: what follows the beginnings of its words, without its own occurrences."""
-    weights = np.full((GATES, ORDERS), 0.3)
-    order = pc.sort_indices(words.cast(pa.binary())).to_numpy()
-    order = order[n[order] > 0]
-    if not len(order):
-        return weights
-    number = np.zeros(len(words), np.int64)
-    number[order] = np.arange(len(order))
-    words = words.take(pa.array(order))
-    begun = Beginnings(code, words)
-    odds = begun.odds(np.zeros(len(words), np.int64), {c: rest[begin] for c, begin in begun.of(range(len(words))).items()})
-    mixer = Mixer(code, tables, words, _bytes_of(odds), weights)
-    for _ in range(2):
-        mixer.losses([number[t] for t in sample], learn=True)
-    return mixer.weights
+def decision_bins(tables: Tables, begun: Beginnings, n: np.ndarray, elsewhere: dict[int, dict[int, int]]) -> np.ndarray:
+    """Decisions after the second byte of words that occur ``n`` times, counted by the binned log odds of their contexts
+    towards the bit that comes."""
+    code, learnt = begun.code, n > 0
+    x = Letters.of(begun.words.filter(pa.array(learnt)))
+    length, step = code.decisions(x)
+    later = np.repeat(x.place > 1, length)
+    node, sign = step[later] >> 1, (2 * (step[later] & 1) - 1).astype(np.int16)
+    third = np.repeat(code.byte_class[x.back[2]], length)[later]
+    odds = _bytes_of(begun.odds(n, elsewhere, learnt, but_one=True))[later]
+    bins = np.zeros(len(node), np.int32)
+    for column in (tables.two[node], tables.three[third * code.nodes + node], odds):
+        bins *= BINS
+        bins += (column * sign + (128 + BIN // 2)) // BIN
+    return np.bincount(bins, np.repeat(np.repeat(n[learnt], np.diff(x.starts)), length)[later], BINS ** 3).astype(np.int64)
+
+
+def _decisions(dealt: DataFrame, code: Broadcast, tables: Broadcast, border: Broadcast) -> pa.Table:
+    """The ``decision_bins`` (bin, n) of all ranges."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BINS ** 3, np.int64)
+        for r in by_range(batches):
+            begun = Beginnings(code.value, r.words)
+            total += decision_bins(tables.value, begun, r.n, _elsewhere(begun, r.n, border.value))
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["bin", "n"])
+
+    return dealt.mapInArrow(run, "bin bigint, n bigint").groupBy("bin").agg(F.sum("n").alias("n")).toArrow()
+
+
+def first_weights(odds: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The weights under which decisions with these scaled log odds, ``n`` times each, are likeliest (Newton's method); ever so
+    little is kept of ``FIRST_WEIGHT``."""
+    x, n = odds / SCALE, n.astype(float)
+
+    def nats(w: np.ndarray) -> float:
+        return float(n @ np.logaddexp(0, -(x @ w)) + 0.5 * ((w - FIRST_WEIGHT) ** 2).sum())
+
+    w = np.full(ORDERS, FIRST_WEIGHT)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(x @ w))  # of the other bit
+        slope = (w - FIRST_WEIGHT) - x.T @ (n * p)
+        move = np.linalg.solve(np.eye(ORDERS) + (x.T * (n * p * (1 - p))) @ x, slope)
+        while nats(w - move) > nats(w) and np.abs(move).max() > 1e-9:
+            move /= 2
+        w = w - move
+        if np.abs(move).max() < 1e-6:
+            break
+    return w
+
+
+def _start_weights(code: Code, tables: Tables, pairs: np.ndarray, n: np.ndarray, later: pa.Table) -> np.ndarray:
+    """The first weights, of every gate the same.  ``pairs``, ``n``: what follows a byte class; ``later``: decisions by bin."""
+    bins, times = later.column("bin").to_numpy(), later.column("n").to_numpy()
+    odds = [np.column_stack([*(((bins // BINS ** k % BINS) - 128 // BIN) * BIN for k in (2, 1, 0)), np.zeros(len(bins))])]
+    counts = [times]
+    previous, context, slots, length, both = _first_bytes(code, pairs, n)
+    so_far = node_odds(np.repeat(context, length) * (2 * code.nodes) + slots, both, 257 * code.nodes)
+    node, sign = slots >> 1, 2 * (slots & 1) - 1
+    third = int(code.byte_class[BLANK]) * code.nodes
+    columns = (tables.two[node], tables.three[third + node], so_far[np.repeat(context, length) * code.nodes + node],
+               tables.before[np.repeat(previous, length) * code.nodes + node])
+    odds.append(np.column_stack([c * sign for c in columns]))
+    counts.append(both)
+    return np.repeat(first_weights(np.concatenate(odds), np.concatenate(counts))[None], GATES, 0)
 
 
 def _bytes_of(odds: pa.Array) -> np.ndarray:
@@ -654,18 +724,25 @@ def _bytes_of(odds: pa.Array) -> np.ndarray:
     return np.frombuffer(odds.buffers()[2] or b"", np.int8)[offsets[0]:offsets[-1]]
 
 
-def _before_odds(code: Code, pairs: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Log odds by class of the last byte of the word before, and node, for the first two bytes of a word."""
+def _first_bytes(code: Code, pairs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The first two bytes of words: class before, the word so far (0: nothing, else one more than the first byte); of their
+    decisions: 2 * node + bit; decisions of each byte; occurrences of each decision.  ``pairs``: class << 16 | two bytes."""
     previous, one, two = pairs >> 16, pairs >> 8 & 255, pairs & 255
-    first, slots, counts = np.full(len(pairs), BLANK), [], []
-    for before2, before1, byte, n_ in ((first, first, one, n), (first, one, two, np.where(one == END, 0, n))):
-        which = code.of_pair[before2 << 8 | before1]
+    first, parts = np.full(len(pairs), BLANK), []
+    # The word after an end is in another text.
+    for before1, byte, n_, context in ((first, one, n, np.zeros(len(pairs), np.int64)), (one, two, np.where(one == END, 0, n), 1 + one)):
+        which = code.of_pair[first << 8 | before1]
         length = code.length[which, byte]
         at = np.repeat(code.start[which, byte] - (np.cumsum(length) - length), length)
         at += np.arange(len(at))
-        slots.append(np.repeat(previous, length) * (2 * code.nodes) + code.step[at])
-        counts.append(np.repeat(n_, length))
-    return node_odds(np.concatenate(slots), np.concatenate(counts), CLASSES * code.nodes)
+        parts.append((previous, context, code.step[at], length, np.repeat(n_, length)))
+    return tuple(np.concatenate(p) for p in zip(*parts))
+
+
+def _before_odds(code: Code, pairs: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Log odds by class of the last byte of the word before, and node, for the first two bytes of a word."""
+    previous, _, slots, length, counts = _first_bytes(code, pairs, n)
+    return node_odds(np.repeat(previous, length) * (2 * code.nodes) + slots, counts, CLASSES * code.nodes)
 
 
 def lm_scores(docs: DataFrame, folds: int = 5, held: int = 1) -> DataFrame:
@@ -684,44 +761,38 @@ def lm_scores(docs: DataFrame, folds: int = 5, held: int = 1) -> DataFrame:
     """
     spark = docs.sparkSession
     bound_batches(spark)
-    train = docs.where(crc_mod("doc_id", folds) != held).select("doc_id", "text")
-    sample, sample_words = tokenised(sample_of(train))
-    sample_n = np.bincount(np.concatenate([*sample, np.zeros(0, np.int32)]).astype(np.int64), minlength=len(sample_words))
-    code = Code.fitted(sample_words, sample_n)
-
     rows = staged(_sliced(docs.select(
         F.monotonically_increasing_id().alias("row"), "doc_id",
-        F.coalesce(crc_mod("doc_id", folds) == held, F.lit(True)).alias("held_out"), "text"), code), "lm-slices")
+        F.coalesce(crc_mod("doc_id", folds) == held, F.lit(True)).alias("held_out"), "text")), "lm-slices")
     words = rows.where(F.col("code") != _DOCS)
-    of_sample = spark.createDataFrame([(SAMPLE, 0, w, int(n)) for w, n in zip(sample_words.to_pylist(), sample_n) if n],
-                                      "slice bigint, code bigint, word string, n bigint")
-    asked = words.select("slice", "code", "word", "n").unionByName(of_sample)
+    code = Code.of_triples(*_added(words, "triples"))
+    shared = spark.sparkContext.broadcast(code)
+    asked = words.select("slice", "code", "word", "n")
     ranges = max(spark.sparkContext.defaultParallelism, -(-asked.count() // RANGE_ROWS))
     with batch_rows(spark, WORD_ROWS):
         dealt = staged(asked.repartitionByRange(ranges, "word").sortWithinPartitions("word").withColumn("part", F.spark_partition_id()),
                        "lm-ranges", {"parquet.block.size": str(1 << 30)})
-        told = _counted(dealt, code)
+        told = _counted(dealt, shared)
     kind, slot, n = (told.column(c).to_numpy() for c in ("kind", "slot", "n"))
     two, three = (node_odds(slot[kind == order], n[kind == order], width) for order, width in ((2, code.nodes), (3, code.nodes * CLASSES)))
-    border, of_context = ({} for _ in range(2))
-    for number, counts in ((0, border), (4, of_context)):
-        some = told.filter(pc.equal(told.column("kind"), number))
-        for begin, byte, *both in zip(*(some.column(c).to_pylist() for c in ("begin", "slot", "n", "s"))):
-            counts.setdefault(begin, {})[byte] = both[0] - both[1] if number else both[0]
-    follows = (words.where("before IS NOT NULL").select("before")
-               .mapInArrow(_pairs, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).toArrow())
-    tables = Tables(two, three, _before_odds(code, follows.column("pair").to_numpy(), follows.column("n").to_numpy()))
+    border: dict[bytes, dict[int, int]] = {}
+    at_border = told.filter(pc.equal(told.column("kind"), 0))
+    for begin, byte, times in zip(*(at_border.column(c).to_pylist() for c in ("begin", "slot", "n"))):
+        border.setdefault(begin, {})[byte] = times
+    follows = _added(words, "before", code.byte_class)
+    tables = Tables(two, three, _before_odds(code, *follows))
     total = told.filter(pc.equal(told.column("kind"), 1)).to_pylist()
-    tokens, distinct = (total[0]["n"], total[0]["s"]) if total else (0, 0)
-    start = _start_weights(code, tables, sample, sample_words, sample_n, of_context)
-    found = _answered(dealt, code, border)
-    model = spark.sparkContext.broadcast((code, tables, start))
+    tokens, distinct = (total[0]["n"], total[0]["distinct"]) if total else (0, 0)
+    shared_tables, shared_border = spark.sparkContext.broadcast(tables), spark.sparkContext.broadcast(border)
+    with batch_rows(spark, WORD_ROWS):
+        start = _start_weights(code, tables, *follows, _decisions(dealt, shared, shared_tables, shared_border))
+    found = _answered(dealt, shared, shared_border)
 
     def run(part: pa.Table, found: pa.Table) -> pa.Table:
-        code, tables, weights = model.value
         found = unpacked(found.column("block").to_pylist())
         n = found.column("n").to_numpy()
-        mixer = Mixer(code, tables, pa.concat_arrays(found.column("word").chunks), _bytes_of(pa.concat_arrays(found.column("odds").chunks)), weights)
+        mixer = Mixer(shared.value, shared_tables.value, pa.concat_arrays(found.column("word").chunks),
+                      _bytes_of(pa.concat_arrays(found.column("odds").chunks)), start)
         del found
         pa.default_memory_pool().release_unused()
         lists = [from_planes(c) for c in part.column("codes").to_pylist()]
@@ -743,9 +814,17 @@ def lm_scores(docs: DataFrame, folds: int = 5, held: int = 1) -> DataFrame:
                          (F.col("nats") / float(np.log(2)) / F.col("n_bytes")).alias("bits_per_byte"))
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The counts in ``before`` as rows."""
-    for batch in batches:
-        for raw in batch.column(0).to_pylist():
-            pair, n = np.frombuffer(raw, np.int64).reshape(2, -1)
-            yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n)], ["pair", "n"])
+def _added(words: DataFrame, column: str, classes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and sums of the counts that slices hold in a column.  ``classes``: of bytes, to stand for the keys' first one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for raw in batch.column(0).to_pylist():
+                key, n = np.frombuffer(raw, np.int64).reshape(2, -1)
+                if classes is not None:
+                    key = classes[key >> 16] << 16 | key & 65535
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
+
+    found = (words.where(F.col(column).isNotNull()).select(column).mapInArrow(run, "key bigint, n bigint")
+             .groupBy("key").agg(F.sum("n").alias("n")).toArrow())
+    return found.column("key").to_numpy(), found.column("n").to_numpy()

@@ -199,3 +199,64 @@ def test_a_very_long_text_and_its_parts(spark):
     rows = [(i, part * n) for i, n in enumerate([3, 3, 3, 30, 9000, 3, 3, 3])] + [(100, "other words here")]
     got = {r.doc_id: r for r in lm.lm_scores(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert got[4].n_tokens == 9000 * 7 + 1 and got[4].bits_per_byte < got[3].bits_per_byte < got[0].bits_per_byte < got[100].bits_per_byte
+
+
+def learnt_decisions(code, tables, texts):
+    """Scaled log odds towards the bit that comes, at every decision of all texts; the word so far is counted without the
+    word's own occurrence after its second byte."""
+    counts = Counter()
+    for text in texts:
+        for w in [*text, "\n"]:
+            raw = spelt(w)
+            for i in range(min(len(raw), lm.DEPTH + 1)):
+                counts.update((raw[:i], node, bit) for node, bit in path(code, two_before(raw, i), raw[i]))
+    out = []
+    for text in texts:
+        previous = code.byte_class[lm.BLANK]
+        for w in [*text, "\n"]:
+            raw = spelt(w)
+            for i, byte in enumerate(raw):
+                third = (b"   " + raw[:i])[-3]
+                for node, bit in path(code, two_before(raw, i), byte):
+                    both = [counts[raw[:i], node, b] - (i > 1 and b == bit) if i <= lm.DEPTH else 0 for b in (0, 1)]
+                    x = [tables.two[node], tables.three[code.byte_class[third] * code.nodes + node],
+                         lm.odds_of(np.array(both[:1]), np.array(both[1:]))[0], tables.before[previous * code.nodes + node] if i < 2 else 0]
+                    x = np.array(x, int) * (2 * bit - 1)
+                    out.append((x + 128 + lm.BIN // 2) // lm.BIN * lm.BIN - 128 if i > 1 else x)
+            previous = code.byte_class[raw[-2] if len(raw) > 1 else raw[0]]
+    return np.array(out, float)
+
+
+def test_codes_and_first_weights_come_from_all_training_documents(spark, monkeypatch):
+    """Documents of every id, and what comes late in a long one, count."""
+    used = {}
+    for name, args in (("_counted", slice(1, 2)), ("_start_weights", slice(1, 2))):
+        def kept(*a, name=name, args=args, f=getattr(lm, name)):
+            out = f(*a)
+            used[name] = (a[args][0], out)
+            return out
+        monkeypatch.setattr(lm, name, kept)
+    monkeypatch.setattr(lm, "RANGE_ROWS", 40)
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choice("abcdefgé"[i % 4:]) for _ in range(rng.randint(1, 5))) for _ in range(30)) for i in range(30)]
+    texts[0] = "ab " * 4000 + "quixotic " * 30 + "x" * 60
+    lm.lm_scores(documents(spark, texts).repartition(3)).collect()
+    train = [t.lower().split() for i, t in enumerate(texts) if zlib.crc32(str(1 + i).encode()) % 5 != 1]
+    assert "quixotic" in train[0]
+    n = Counter(w for t in train for w in [*t, "\n"])
+    words = sorted(n)
+    code = used["_counted"][0].value
+    want = lm.Code.fitted(pa.array(words), np.array([n[w] for w in words]))
+    assert all(np.array_equal(getattr(code, f), getattr(want, f)) for f in ("of_pair", "start", "length", "step", "byte_class"))
+    tables, weights = used["_start_weights"]
+    odds = learnt_decisions(code, tables, train)
+    assert weights == pytest.approx(np.repeat(lm.first_weights(odds, np.ones(len(odds)))[None], lm.GATES, 0), abs=1e-6)
+
+
+def test_first_weights_are_the_likeliest():
+    rng = np.random.default_rng(2)
+    odds, n = rng.integers(-60, 90, (500, lm.ORDERS)), rng.integers(1, 2000, 500)
+    found = lm.first_weights(odds, n)
+    nats = lambda w: n @ np.log1p(np.exp(-odds @ w / lm.SCALE))
+    assert all(nats(found) < nats(found + d) for k in range(lm.ORDERS) for d in (np.eye(lm.ORDERS)[k] * 0.01, -np.eye(lm.ORDERS)[k] * 0.01))
+    assert lm.first_weights(odds[:0], n[:0]) == pytest.approx(lm.FIRST_WEIGHT)
