@@ -95,6 +95,42 @@ def test_last_seen_state_is_not_written_again(spark):
     assert 0 < state_files(last) < whole / 2
 
 
+def test_last_seen_ids_share_the_timer_of_their_bucket(spark, monkeypatch):
+    """Keys and timers, which cost a message each, don't grow with the ids; every id still leaves on its own day."""
+    import datetime as dt
+    import random
+
+    from rosterflow.streaming.jobs import settings
+
+    monkeypatch.setattr(sj, "BUCKETS", 4, raising=False)
+    rng = random.Random(3)
+    landing = tempfile.mkdtemp(prefix="rosterflow-ids-")
+    name = "seen-" + os.path.basename(landing)
+    first = dt.date(2024, 2, 1)
+    known = {f"i{i}": first - dt.timedelta(rng.randint(0, 5)) for i in range(60)}
+    state = spark.createDataFrame(list(known.items()), "patron_id string, last_seen date")
+    gone = set()
+    # The first batch has no newest day yet, so its new ids may lie before all days of their bucket.
+    days = [[(f"n{i}", first - dt.timedelta(6)) for i in range(20)] + [(f"i{i}", first) for i in range(0, 60, 7) for _ in range(3)]]
+    days += [[(rng.choice("in") + str(rng.randint(0, 25)), first + dt.timedelta(n)) for _ in range(12)] for n in (1, 3, 4, 8, 9, 20)]
+    for rows in days:
+        spark.createDataFrame(rows, "patron_id string, seen_on date").coalesce(1).write.mode("append").parquet(landing)
+        with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "7"}):
+            ids = spark.readStream.schema("patron_id string, seen_on date").parquet(landing)
+            got = {r.patron_id: r.last_seen for r in sj.stream_last_seen(ids, state, name=name).collect()}
+        for patron, day in rows:
+            known[patron] = max(day, known.get(patron, day))
+        newest = max(day for _, day in rows)
+        left = {p for p, day in known.items() if (newest - day).days > 7}
+        gone |= left
+        known = {p: day for p, day in known.items() if p not in left}
+        assert got == known and {r.patron_id for r in sj.removed_ids(spark, name).collect()} == gone
+        timers = (spark.read.format("statestore").option("path", os.path.join(sj.stream_root(spark, name), "checkpoint"))
+                  .option("readRegisteredTimers", True).load())
+        assert 0 < timers.count() <= 4
+    assert len(gone) > 60 and known
+
+
 def test_a_lost_checkpoint_meets_no_state_of_the_old_stream(spark):
     landing = tempfile.mkdtemp(prefix="rosterflow-gaps-")
     name = "gaps-" + os.path.basename(landing)
